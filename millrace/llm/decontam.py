@@ -9,7 +9,7 @@ The hash set is broadcast only while the tests have at most ``MAX_HEADS`` differ
 down for every window and the join (by shuffle) does all the work, with equal results.
 
 Defined results: null or empty texts (of either table) have no words; repeated rows are judged each; ties don't matter; without
-tests or documents nothing is hit; extra columns are ignored by ``hits`` and kept by ``remove_hits`` and ``drop_hit``.
+tests or documents nothing is hit; extra columns are ignored by ``report`` and kept by ``clean``.
 """
 
 from __future__ import annotations
@@ -56,9 +56,11 @@ def head_of_gram(n: int, head: int) -> Column:
     return out
 
 
-def hits(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, max_heads: int = MAX_HEADS) -> DataFrame:
+def hits(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, max_heads: int = MAX_HEADS, extra: tuple[str, ...] = ()) -> DataFrame:
     """Rows (row, doc_id, n_words, places array<struct<pos,n>>, items array<string>): 1-based word places of windows that occur.
 
+    ``extra``: further columns of the documents to carry along.
+
     ``row`` tells repeated doc_ids apart; it is fixed by writing the scan down.
     """
     grams = materialize(windows(benchmark, size), "windows")
@@ -66,19 +68,19 @@ def hits(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, max_heads: int
     sets = {n: grams.filter(F.col("n") == n).select(head_of_gram(n, HEAD).alias("h")).distinct() for n in lengths}
     small = grams.select("n", "gram").limit(max_heads + 1).count() <= max_heads
     found = {n: [r["h"] for r in s.collect()] for n, s in sets.items()} if small else {n: None for n in lengths}
-    base = docs.select("doc_id", words("text").alias("w")).withColumn("h1", F.transform("w", lambda x: F.xxhash64(x)))
+    base = docs.select("doc_id", *extra, words("text").alias("w")).withColumn("h1", F.transform("w", lambda x: F.xxhash64(x)))
     deepest = min(HEAD, max(lengths, default=0))
     for k in range(2, deepest + 1):
         base = base.withColumn(f"h{k}", F.zip_with(f"h{k - 1}", F.slice("h1", k, F.greatest(F.size("h1"), F.lit(1))), lambda a, b: F.xxhash64(a, b)))
     places = [places_of(n, found[n]) for n in lengths]
     place = F.concat(*places) if places else F.lit(None).cast("array<struct<pos:int,n:int,gram:string>>")
-    scanned = materialize(base.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.size("w").alias("n_words"), place.alias("place")), "scanned")
+    scanned = materialize(base.select(F.monotonically_increasing_id().alias("row"), "doc_id", *extra, F.size("w").alias("n_words"), place.alias("place")), "scanned")
     items = grams.groupBy("gram").agg(F.collect_set("item").alias("items"))
     hit = scanned.select("row", F.explode("place").alias("p")).select("row", "p.pos", "p.n", "p.gram").join(items, "gram")
     per_row = hit.groupBy("row").agg(
         F.collect_list(F.struct("pos", "n")).alias("places"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")
     )
-    return scanned.select("row", "doc_id", "n_words").join(per_row, "row", "left")
+    return scanned.select("row", "doc_id", *extra, "n_words").join(per_row, "row", "left")
 
 
 def covered_words(places: str = "places") -> Column:
@@ -97,27 +99,22 @@ def report(docs: DataFrame, benchmark: DataFrame, size: int = SIZE) -> DataFrame
     )
 
 
-def drop_hit(docs: DataFrame, benchmark: DataFrame, share: float = 0.0, size: int = SIZE) -> DataFrame:
-    """Documents of which at most ``share`` of the words is hit; all their columns and rows stay as they are."""
-    bad = (
-        hits(docs, benchmark, size).filter("places IS NOT NULL").select("doc_id", (F.size(covered_words()) > share * F.col("n_words")).alias("bad"))
-        .filter("bad").select("doc_id").distinct()
-    )
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["doc_id"]), "left_anti")
-
+def clean(docs: DataFrame, benchmark: DataFrame, share: float = 1.0, size: int = SIZE) -> DataFrame:
+    """Documents without the hit words; those with more than ``share`` of their words hit go as a whole.
 
-def remove_hits(docs: DataFrame, benchmark: DataFrame, size: int = SIZE) -> DataFrame:
-    """Documents with the hit words cut out of their texts (with what separates them from the word before); null stays null.
-
-    Documents that share a doc_id but not their text are cut by the union of their places, so doc_ids should be unique.
+    A hit word goes with the separators before it. Documents without hits, null texts and all other columns stay as they are;
+    ``share`` 0 drops every document with a hit. Rows of one doc_id are told apart by the checksum of their text.
     """
-    cut = hits(docs, benchmark, size).filter("places IS NOT NULL").groupBy("doc_id").agg(
-        F.array_distinct(F.flatten(F.collect_list(covered_words()))).alias("_cut")
-    )
-    parts = F.regexp_extract_all("text", F.lit(r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"), F.lit(0))
-    tail = F.regexp_extract("text", r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*\z", 0)
+    named = docs.withColumn("_crc", F.crc32(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")))
+    found = hits(named, benchmark, size, extra=("_crc",)).filter("places IS NOT NULL").select("doc_id", "_crc", "n_words", covered_words().alias("_cut"))
+    found = found.dropDuplicates(["doc_id", "_crc"]).alias("f")
+    n = named.alias("n")
+    joined = n.join(found, F.col("n.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("n._crc") == F.col("f._crc")), "left").select("n.*", "f.n_words", "f._cut")
+    joined = joined.filter("_cut IS NULL").unionByName(joined.filter((F.size("_cut") <= share * F.col("n_words")) & (F.size("_cut") > 0)))
+    separator, word = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*", r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+    parts = F.regexp_extract_all("text", F.lit(separator + word), F.lit(0))
     kept = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains("_cut", i + 1)), "")
-    joined = docs.join(cut, "doc_id", "left")
+    tail = F.regexp_extract("text", separator + r"\z", 0)
     return joined.withColumn("text", F.when(F.col("_cut").isNotNull(), F.concat(kept, tail)).otherwise(F.col("text"))).select(*docs.columns)
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import decontam, ogg, packing, quality, substring_dedup, suffix_dedup, warc
+from millrace.llm import decontam, lm, near_join, ogg, packing, quality, substring_dedup, suffix_dedup, token_counts, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_join.join(table(spark, sf_dir, "documents"))
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.digests(warc.warc_round_trip(table(spark, sf_dir, "pages")))
 
@@ -23,10 +27,18 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_corpus(table(spark, sf_dir, "documents"))
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digests(table(spark, sf_dir, "documents"))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_edited(token_counts.sample_edits(table(spark, sf_dir, "documents")))
+
+
 def op7_ogg_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ogg.decode_media(ogg.encode_media(table(spark, sf_dir, "documents")))
 
@@ -45,7 +57,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op2_warc, op3_packing, op5_substring_dedup, op7_ogg_media, op8_suffix_array_dedup, op9_decontamination, op10_quality)
-}
+    f.__name__: f
+    for f in (
+        op1_ngram_jaccard_join, op2_warc, op3_packing, op4_lm_scoring, op5_substring_dedup,
+        op6_token_counts, op7_ogg_media, op8_suffix_array_dedup, op9_decontamination, op10_quality,
+    )
+}
 
 ORACLES: dict[str, str] = {"op2_warc": warc.SQL, "op9_decontamination": decontam.SQL}
