@@ -1,0 +1,141 @@
+"""Queries of edits, faults and helpers, over pairs made of documents."""
+
+from __future__ import annotations
+
+import hashlib
+
+from pyspark.sql import functions as F
+
+from millrace.operators import corpus, edits
+from millrace.operators.retrieval import fold_pack
+from millrace.plans.registry import query, view
+
+view("revised", """
+SELECT doc_id AS id, text AS before, CASE WHEN doc_id % 3 = 0 THEN replace(text, 'the ', 'a ') WHEN doc_id % 3 = 1 THEN text || chr(10) || 'var x = 1' ELSE text END AS after FROM {documents} WHERE length(text) < 4000
+""")
+view("code", r"""
+SELECT doc_id AS id, 'func f' || CAST(doc_id AS varchar(20)) || '(a):' || chr(10) || ' if a <= ' || CAST(doc_id % 50 AS varchar(20)) || ' and true:  # ' || substring(replace(text, chr(10), ' '), 1, 20) || chr(10) || ' return a + 1' || chr(10) || 'var v = "' || substring(replace(replace(text, chr(10), ' '), '"', ' '), 1, 9) || '"' AS text FROM {documents}
+""")
+
+
+@query("revised")
+def changed_lines(revised):
+    return edits.rows_of(revised, ["id", "before", "after"], lambda k, a, b: [(k, n) for n in edits.changed_lines(a, b)], "id bigint, line bigint")
+
+
+@query("revised")
+def patch_size(revised):
+    return edits.rows_of(revised, ["id", "before", "after"], lambda k, a, b: [(k, edits.patch_size(a, b))], "id bigint, lines bigint")
+
+
+@query("revised")
+def answer_zones(revised):
+    t = revised.select("id", corpus.tokens("before").alias("a"), corpus.tokens("after").alias("b")).filter("a <> b")
+    return edits.rows_of(t, ["id", "a", "b"], lambda k, a, b: [(k, n, z) for n, z in enumerate(edits.answer_zones(list(a), list(b)))], "id bigint, zone bigint, text string")
+
+
+@query("revised")
+def task_signature(revised):
+    """Shingles of the changed zones and of the beginning of the text, for each changed row."""
+    t = revised.select("id", corpus.tokens("before").alias("a"), corpus.tokens("after").alias("b")).filter("a <> b")
+    zones = edits.rows_of(t, ["id", "a", "b"], lambda k, a, b: [(k, "\n".join(edits.answer_zones(list(a), list(b))))], "id bigint, text string")
+    both = zones.join(revised.select("id", F.substring("before", 1, 90).alias("instruction")), "id")
+    return both.select("id", F.size(corpus.shingles("text")).alias("answer_shingles"), F.size(corpus.shingles("instruction")).alias("instruction_shingles"))
+
+
+@query("revised")
+def unique_edits(revised):
+    f = lambda k, a, b: [(k, n, o, w) for n, (o, w) in enumerate(edits.unique_edits(a, b) or [])]
+    return edits.rows_of(revised, ["id", "before", "after"], f, "id bigint, step bigint, old string, new string")
+
+
+@query("revised", sql="SELECT id, sha256(after) AS hash, true AS replayed FROM {revised}")
+def replay_edits(revised):
+    """Edits of each pair, applied in order: must give the expected text."""
+
+    def f(k, a, b):
+        made = edits.unique_edits(a, b)
+        text, reason = edits.replay(a, made) if made is not None else (b, None)
+        return [(k, hashlib.sha256(text.encode()).hexdigest(), reason is None and text == b)]
+
+    return edits.rows_of(revised, ["id", "before", "after"], f, "id bigint, hash string, replayed boolean")
+
+
+@query("code", sql=rf"""SELECT id, length(text)::BIGINT AS chars, length(text)::BIGINT - length(regexp_replace(regexp_replace(text, '"[^"\n]*"', '', 'g'), '#[^\n]*', '', 'g'))::BIGINT AS masked FROM {{code}}""")
+def mask_code(code):
+    f = lambda k, t: [(k, len(t), sum(a != b or (a == " " and i in spans(t)) for i, (a, b) in enumerate(zip(t, edits.mask_code(t), strict=True))))]
+
+    def spans(t):
+        import re
+
+        return {i for m in re.finditer(r'"[^"\n]*"|#[^\n]*', t) for i in range(m.start(), m.end())}
+
+    return edits.rows_of(code, ["id", "text"], f, "id bigint, chars bigint, masked bigint")
+
+
+@query("code", sql="SELECT id, unnest([2, 2, 2, 2, 3, 3, 3, 4]) AS line, unnest(['comparison', 'logic', 'truth', 'number', 'arithmetic', 'number', 'deletion', 'deletion']) AS operator FROM {code}")
+def mutation_rows(code):
+    f = lambda k, t: [(k, n, op) for n, op, *_ in edits.mutation_rows(t)]
+    return edits.rows_of(code, ["id", "text"], f, "id bigint, line int, operator string")
+
+
+@query("code", sql="SELECT id, 3 AS line, sha256(replace(text, chr(10) || ' return a + 1', chr(10) || ' return a - 1')) AS hash FROM {code}")
+def apply_mutation(code):
+    mutants = code.select("id", "text", F.lit(3).alias("line"), F.lit(" return a + 1").alias("old"), F.lit(" return a - 1").alias("new"))
+    return mutants.select("id", "line", F.sha2(edits.apply_mutation(F.col("text"), F.col("line"), F.col("old"), F.col("new")).cast("binary"), 256).alias("hash"))
+
+
+@query("code", sql="SELECT id, unnest(['func', 'var']) AS kind, unnest(['f' || id::VARCHAR, 'v']) AS name, unnest([1, 4]) AS first, unnest([3, 4]) AS last FROM {code}")
+def script_declarations(code):
+    return edits.rows_of(code, ["id", "text"], lambda k, t: [(k, *d) for d in edits.script_declarations(t)], "id bigint, kind string, name string, first int, last int")
+
+
+@query("events", sql="SELECT event_id, (props::JSON->>'k')::BIGINT AS k, CASE WHEN event_id % 9 = 0 THEN 'unreadable' END AS reason FROM (SELECT event_id, CASE WHEN event_id % 9 = 0 THEN NULL ELSE props END AS props FROM {events})")
+def answer_json(events):
+    """JSON of an answer: the whole text, else the first object inside it, else null with a reason."""
+    answers = events.select("event_id", F.when(F.col("event_id") % 9 == 0, F.lit("no json here")).when(F.col("event_id") % 2 == 0, F.concat(F.lit("Sure: "), "props", F.lit(" done"))).otherwise(F.col("props")).alias("text"))
+
+    def f(k, t):
+        value, reason = edits.json_scan(t)
+        return [(k, value["k"] if isinstance(value, dict) and "k" in value else None, reason)]
+
+    return edits.rows_of(answers, ["event_id", "text"], f, "event_id bigint, k bigint, reason string")
+
+
+@query("documents")
+def pack_in_order(documents):
+    """Documents of a source, in order, packed under a budget of characters; only ids and sizes go to the fold."""
+    parts = documents.groupBy("source", F.floor(F.col("doc_id") / 1000).alias("block")).agg(F.sort_array(F.collect_list(F.struct("doc_id", "n_chars"))).alias("d"))
+    f = lambda s, b, d: [(s, b, x["doc_id"], g) for x, g in zip(d, fold_pack([int(x["n_chars"]) for x in d], 20_000), strict=True)]
+    return edits.rows_of(parts, ["source", "block", "d"], f, "source string, block bigint, doc_id bigint, pack bigint")
+
+
+@query("lineitem")
+def dependency_groups(lineitem):
+    """Lines of an order as pieces that use each other's names: mutual users are one group, in an order of use."""
+    uses = lineitem.groupBy("l_orderkey").agg(F.sort_array(F.collect_set(F.struct((F.col("l_partkey") % 6).alias("a"), (F.col("l_suppkey") % 6).alias("b")))).alias("e"))
+
+    def f(k, e):
+        graph: dict[str, set[str]] = {}
+        for x in e:
+            graph.setdefault(str(x["a"]), set()).add(str(x["b"]))
+            graph.setdefault(str(x["b"]), set())
+        return [(k, i, "+".join(g)) for i, g in enumerate(edits.order_groups(graph))]
+
+    return edits.rows_of(uses, ["l_orderkey", "e"], f, "l_orderkey bigint, place bigint, pieces string")
+
+
+@query("nation", sql="SELECT n_regionkey::VARCHAR AS name, (count(*) * 8)::BIGINT AS quota FROM {nation} GROUP BY 1")
+def proportional_quotas(nation):
+    """200 places split by the nations of each region."""
+    counts = {str(x["n_regionkey"]): float(x["n"]) for x in nation.groupBy("n_regionkey").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return nation.sparkSession.createDataFrame([(k, int(v)) for k, v in edits.proportional_quotas(counts, 200).items()], "name string, quota bigint")
+
+
+@query("code", sql="SELECT id, 'f' || id::VARCHAR AS declared, 'a' AS used FROM {code}")
+def declaration_sets(code):
+    """Names that a piece declares, and names it uses without declaring them."""
+    plain = F.regexp_replace(F.regexp_replace("text", r'"[^"\n]*"', ""), r"#[^\n]*", "")
+    declared = F.regexp_extract_all(plain, F.lit(r"func (\w+)"), F.lit(1))
+    used = F.array_except(F.regexp_extract_all(plain, F.lit(r"(?:if|return) (\w+)"), F.lit(1)), declared)
+    return code.select("id", F.array_join(F.array_distinct(declared), ",").alias("declared"), F.array_join(F.array_sort(F.array_distinct(used)), ",").alias("used"))

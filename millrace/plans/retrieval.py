@@ -1,0 +1,96 @@
+"""Queries of chunking and search."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from millrace.operators import retrieval as r
+from millrace.plans.registry import query, view
+
+view("passages", "SELECT doc_id AS id, text FROM {documents}")
+view("questions", "SELECT item_id AS query, substring(text, 1, 40) AS text FROM {benchmark} WHERE item_id % 4 = 0")
+view("vectors", "SELECT vec_id AS id, embedding AS vector FROM {embeddings}")
+TERMS = r"regexp_extract_all(lower(coalesce(text, '')), '[a-z\x{E0}-\x{FF}]{2,}')"
+BM25 = f"""p AS (SELECT id, len(t) AS size, unnest(t) AS term FROM (SELECT id, {TERMS} AS t FROM {{passages}})), tf AS (SELECT term, id, size, count(*) AS tf FROM p GROUP BY ALL), df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+st AS (SELECT count(*) AS n, avg(len({TERMS})) AS mean FROM {{passages}}), a AS (SELECT query, unnest(list_distinct({TERMS})) AS term FROM {{questions}}),
+sc AS (SELECT a.query, tf.id, round(sum(ln(1 + (st.n - df.df + 0.5) / (df.df + 0.5)) * tf.tf * 2.2 / (tf.tf + 1.2 * (0.25 + 0.75 * tf.size / st.mean))), 6) AS score, count(*) AS hits FROM a JOIN df USING (term) JOIN tf USING (term), st GROUP BY ALL)"""
+
+
+def statistics(passages) -> tuple[int, float]:
+    x = passages.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size(r.terms("text"))).alias("mean")).first()
+    return int(x["n"]), float(x["mean"] or 1.0)
+
+
+@query("passages", "questions", sql=f"WITH {BM25} SELECT query, rank, id FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, id)::INT AS rank FROM sc) WHERE rank <= 5")
+def fulltext_bm25(passages, questions):
+    n, mean = statistics(passages)
+    return r.bm25(r.postings(passages), questions, n, mean, 5).select("query", "rank", "id")
+
+
+@query("passages", "questions", sql=f"WITH {BM25}, w AS (SELECT query, len(list_distinct({TERMS})) AS wanted FROM {{questions}}) SELECT query, rank, id FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, id)::INT AS rank FROM sc JOIN w USING (query) WHERE hits = wanted) WHERE rank <= 5")
+def fulltext_all_terms(passages, questions):
+    n, mean = statistics(passages)
+    return r.bm25(r.postings(passages), questions, n, mean, 5, all_terms=True).select("query", "rank", "id")
+
+
+@query("passages", sql=f"WITH p AS (SELECT id, unnest(t) AS term FROM (SELECT id, {TERMS} AS t FROM {{passages}})) SELECT term, count(DISTINCT id)::BIGINT AS df, count(*)::BIGINT AS cf FROM p GROUP BY term")
+def build_index(passages):
+    return r.postings(passages).groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
+
+
+@query("vectors", sql="""WITH s AS (SELECT q.id AS query, v.id, round(list_cosine_similarity(q.vector::DOUBLE[], v.vector::DOUBLE[]), 6) AS score FROM {vectors} q, {vectors} v WHERE q.id % 20 = 0)
+SELECT query, rank, id, score FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, id)::INT AS rank FROM s) WHERE rank <= 5""")
+def vector_neighbors(vectors):
+    queries = vectors.filter("id % 20 = 0").select(F.col("id").alias("query"), "vector")
+    return r.neighbours(vectors, queries, 5).select("query", "rank", "id", "score")
+
+
+@query("passages")
+def embed_batches(passages):
+    return r.embed(passages, r.hashing_embedder, 16).select("id", F.size("vector").alias("width"), F.aggregate("vector", F.lit(0.0), lambda a, x: a + x).cast("long").alias("words"))
+
+
+@query("passages", "questions")
+def hybrid_search(passages, questions):
+    """Exact words as identifiers of documents, then vectors of a stand-in embedder, then BM25."""
+    n, mean = statistics(passages)
+    exact = questions.select("query", F.explode(F.split("text", " ")).alias("w")).join(passages.select("id", F.split("text", " ")[0].alias("w")), "w")
+    exact = exact.groupBy("query").agg(F.min("id").alias("id")).withColumn("rank", F.lit(1))
+    vectors = r.embed(passages, r.hashing_embedder, 16)
+    asked = r.embed(questions.select(F.col("query").alias("id"), "text"), r.hashing_embedder, 16).select(F.col("id").alias("query"), "vector")
+    return r.hybrid(exact, r.neighbours(vectors, asked, 6), r.bm25(r.postings(passages), questions, n, mean, 6), 8)
+
+
+@query("passages")
+def chunk_paragraphs(passages):
+    return r.chunk_paragraphs(passages).select("id", "chunk", F.length("text").cast("long").alias("chars"), F.sha2(F.col("text").cast("binary"), 256).alias("hash"))
+
+
+view("page_lines", "SELECT doc_id AS page, CAST(p AS bigint) + 1 AS line, substring(t, 1, 12) AS text, (p + doc_id) % 5 AS level FROM {documents} LATERAL VIEW posexplode(split(text, '\\\\n')) x AS p, t", "SELECT page, line, substring(t, 1, 12) AS text, (line - 1 + page) % 5 AS level FROM (SELECT doc_id AS page, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS line, unnest(string_split(text, chr(10))) AS t FROM {documents}) r")
+
+
+@query("page_lines", sql="""WITH s AS (SELECT *, max(CASE WHEN level = 1 THEN line END) OVER w AS l1, max(CASE WHEN level = 2 THEN line END) OVER w AS l2, max(CASE WHEN level = 3 THEN line END) OVER w AS l3,
+ last_value(CASE WHEN level = 1 THEN text END IGNORE NULLS) OVER w AS t1, last_value(CASE WHEN level = 2 THEN text END IGNORE NULLS) OVER w AS t2, last_value(CASE WHEN level = 3 THEN text END IGNORE NULLS) OVER w AS t3 FROM {page_lines} WINDOW w AS (PARTITION BY page ORDER BY line))
+SELECT page, line, concat_ws(' > ', t1, CASE WHEN l2 > coalesce(l1, -1) THEN t2 END, CASE WHEN l3 > coalesce(l1, -1) AND l3 > coalesce(CASE WHEN l2 > coalesce(l1, -1) THEN l2 END, -1) THEN t3 END) AS path FROM s""")
+def heading_path(lines):
+    return r.heading_path(lines.drop("level"), F.pmod(F.col("line") - 1 + F.col("page"), F.lit(5)))
+
+
+@query("questions", "part", sql="WITH n AS (SELECT DISTINCT split_part(p_name, ' ', 1) AS name, 'class' AS kind FROM {part} UNION SELECT DISTINCT split_part(p_name, ' ', 2), 'member' FROM {part}), w AS (SELECT p_partkey AS query, unnest(list_distinct(string_split(p_name, ' '))) AS name FROM {part}) SELECT DISTINCT query, name, kind, CASE kind WHEN 'member' THEN 0 ELSE 1 END AS rank FROM w JOIN n USING (name)")
+def exact_lookup(_, part):
+    word = lambda i: F.split("p_name", " ")[i]
+    names = part.select(word(0).alias("name"), F.lit("class").alias("kind")).union(part.select(word(1), F.lit("member"))).distinct()
+    return r.exact_lookup(part.select(F.col("p_partkey").alias("query"), F.col("p_name").alias("text")), names)
+
+
+@query("passages")
+def stem_terms(passages):
+    return r.stem_terms(r.postings(passages))
+
+
+@query("part", sql="""WITH a AS (SELECT DISTINCT p_name || 's' AS asked FROM {part} WHERE p_partkey < 200), k AS (SELECT DISTINCT p_name AS name FROM {part}),
+s AS (SELECT asked AS query, name AS id, round(1 - levenshtein(asked, name) / greatest(length(asked), length(name)), 6) AS score FROM a JOIN k ON substring(asked, 1, 1) = substring(name, 1, 1) AND length(asked) >= 0.6 * length(name) AND length(name) >= 0.6 * length(asked) AND asked <> name)
+SELECT query, rank, id, score FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, id)::INT AS rank FROM s WHERE score >= 0.6) WHERE rank <= 3""")
+def close_names(part):
+    asked = part.filter("p_partkey < 200").select(F.concat("p_name", F.lit("s")).alias("name"))
+    return r.close_names(asked, part.select(F.col("p_name").alias("name"))).select("query", "rank", "id", "score")

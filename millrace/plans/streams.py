@@ -1,0 +1,105 @@
+"""Queries of streams, sources and sinks."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from millrace.operators import rounds
+from millrace.plans import registry
+from millrace.sources import folders
+from millrace.streaming import capture
+
+registry.view("exchanges", """
+SELECT c.conv_id * 100 + c.turn AS ts, CASE WHEN c.turn % 9 = 8 THEN 500 ELSE 200 END AS status, '/v1/chat/completions' AS path,
+ transform(filter(array_sort(collect_list(struct(p.turn, p.role, p.text))), x -> x.role IS NOT NULL), x -> struct(x.role AS role, substring(x.text, 1, 40) AS content)) AS request
+FROM {conversations} c JOIN {conversations} p ON p.conv_id = c.conv_id AND p.turn <= c.turn WHERE c.role = 'user' GROUP BY c.conv_id, c.turn
+""", "SELECT 1")
+
+
+@registry.query("exchanges", sql="SELECT conv_id * 100 + turn AS ts, (turn + 1)::INT AS messages FROM {conversations} WHERE role = 'user' AND turn % 9 <> 8")
+def ingest_exchanges(exchanges):
+    return capture.accepted(exchanges).select("ts", F.size("request").alias("messages"))
+
+
+@registry.query("exchanges")
+def stitch_sessions(exchanges):
+    """Captured requests grow turn by turn; those of a conversation are one session."""
+    return capture.stitched_batch(capture.accepted(exchanges))
+
+
+def _live(spark, sf_dir):
+    stream = folders.stream_table(spark, sf_dir, "events").select("event_type", "user_id", "event_id", (F.col("value") > 40).alias("ok"))
+    live = capture.live_table(stream, folders.scratch(spark), ["event_type", "user_id"], ["event_id"])
+    return live.groupBy("event_type").agg(F.sum(F.col("ok").cast("long")).alias("k"), F.count(F.lit(1)).alias("n"))
+
+
+registry.QUERIES["live_scores"] = _live
+registry.ORACLES["live_scores"] = "SELECT event_type, sum((v > 40)::INT)::BIGINT AS k, count(*)::BIGINT AS n FROM (SELECT event_type, user_id, arg_max(value, event_id) AS v FROM events GROUP BY ALL) GROUP BY event_type"
+
+
+def _raw_log(spark, sf_dir):
+    """Every event kept by day through a file sink, read back and counted."""
+    folder = folders.scratch(spark)
+    stream = folders.stream_table(spark, sf_dir, "events").withColumn("day", F.to_date("ts").cast("string"))
+    q = stream.writeStream.format("parquet").partitionBy("day").option("path", f"{folder}/raw").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.read.parquet(f"{folder}/raw").groupBy(F.col("day").cast("string").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+
+
+registry.QUERIES["raw_exchange_log"] = _raw_log
+registry.ORACLES["raw_exchange_log"] = "SELECT ts::DATE::VARCHAR AS day, count(*)::BIGINT AS n FROM events GROUP BY 1"
+
+
+def _registry_csv(spark, sf_dir):
+    """Attempts written as a registry and read back, then the best attempt of each task."""
+    folder = folders.scratch(spark)
+    attempts = registry.read(spark, sf_dir, "attempts").select("task", "skill", "attempt", "ok", "length")
+    folders.write_registry(attempts, f"{folder}/registry")
+    return rounds.best_attempt(folders.read_registry(spark, f"{folder}/registry"))
+
+
+registry.QUERIES["registry_csv"] = _registry_csv
+registry.ORACLES["registry_csv"] = registry.oracle(
+    "SELECT task, attempt, length, 0::BIGINT AS violations FROM (SELECT *, row_number() OVER (PARTITION BY task ORDER BY length, attempt) AS r FROM {attempts} WHERE lower(ok) IN ('true', '1', 'oui')) WHERE r = 1"
+)
+
+
+def _append(spark, sf_dir):
+    """Results appended in two batches; both are there."""
+    path = f"{folders.scratch(spark)}/results"
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "user_id", "event_type")
+    events.filter("event_id % 2 = 0").write.mode("append").parquet(path)
+    events.filter("event_id % 2 = 1").write.mode("append").parquet(path)
+    return spark.read.parquet(path)
+
+
+registry.QUERIES["append_results"] = _append
+registry.ORACLES["append_results"] = "SELECT event_id, user_id, event_type FROM events"
+
+
+def _sft(spark, sf_dir):
+    """Chat rows written as JSON lines and read back."""
+    path = f"{folders.scratch(spark)}/sft"
+    m = registry.read(spark, sf_dir, "messages")
+    m.groupBy("session").agg(F.sort_array(F.collect_list(F.struct("pos", "role", "content"))).alias("messages")).write.json(path)
+    back = spark.read.schema("session bigint, messages array<struct<pos:bigint,role:string,content:string>>").json(path)
+    return back.select("session", F.size("messages").cast("long").alias("n"), F.sha2(F.array_join(F.transform("messages", lambda x: x["content"]), "\n").cast("binary"), 256).alias("hash"))
+
+
+registry.QUERIES["write_sft"] = _sft
+registry.ORACLES["write_sft"] = registry.oracle("SELECT session, count(*)::BIGINT AS n, sha256(string_agg(content, chr(10) ORDER BY pos)) AS hash FROM {messages} GROUP BY session")
+
+
+def _sessions(spark, sf_dir):
+    """Sessions written with a header line and read back."""
+    path = f"{folders.scratch(spark)}/sessions"
+    m = registry.read(spark, sf_dir, "messages").filter("session < 40")
+    folders.write_sessions(m, m.select("session").distinct(), path)
+    back = spark.read.option("wholetext", True).text(path).withColumn("session", F.col("session").cast("bigint"))
+    lines = back.select("session", F.posexplode(F.split("value", "\n")).alias("pos", "line")).filter("pos > 0 AND line <> ''")
+    said = F.from_json("line", "role string, content string")
+    return lines.select("session", said["role"].alias("role")).groupBy("session", "role").agg(F.count(F.lit(1)).alias("n"))
+
+
+registry.QUERIES["write_sessions"] = _sessions
+registry.ORACLES["write_sessions"] = registry.oracle("SELECT session, role, count(*)::BIGINT AS n FROM {messages} WHERE session < 40 GROUP BY ALL")
