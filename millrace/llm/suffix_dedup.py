@@ -1,9 +1,10 @@
 """Exact removal of repeated byte strings by distributed prefix doubling over position ranks.
 
 Ranks name the classes of equal prefixes at a position. The first round ranks prefixes of ``n / 2`` bytes at anchor positions
-(see ``spans``) and drops what is unique. Spans that occur twice as a whole are settled there. For the windows of what is left
-the second round pairs the rank at a position with the rank half a window on, Spark groups these pairs, and pairs that more
-than one position has are past the threshold: a repeated window. Offsets double from n / 2 to n.
+(see ``spans``) and drops what is unique. Spans that occur twice as a whole are settled there. Spark sorts what is left by its
+rank; the second round pairs the rank at a position with the rank half a window on, sorts the pairs of equal first rank, and
+equal pairs are past the threshold: a repeated window. Offsets double from n / 2 to n. Anchors with more than ``SHARD`` kinds
+of span take rounds of smaller growth, each a grouping by Spark that drops unique names (``spans.settle_large``).
 
 Ranks are 64-bit names of byte strings instead of dense integers, so a round needs no global numbering.
 
@@ -21,43 +22,60 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import RollingHash, covered, map_batches, materialize
-from millrace.llm.spans import by_document, candidates, units_of, with_texts
+from pyspark.sql.pandas.types import to_arrow_type
 
-LENGTH = 400
+from millrace.llm.common import attach, covered, map_batches, restored, utf8
+from millrace.llm.spans import by_document, candidates, open_spans, rolling_of, settle, settle_large, shards, with_texts
 
+LENGTH = 400
+#: Spans of one anchor that one task ranks in memory: some tens of MB.
+SHARD = 4096
+
+
+def settle_shards(spans: DataFrame, n: int) -> DataFrame:
+    """Rows (doc_id, crc, lo, hi): repeated windows of single spans, by rank pairs within the spans of one anchor."""
+
+    def rank(shard: list[tuple]) -> list[tuple]:
+        pairs, half = [], n // 2
+        for _, _, _, _, count, data, _ in shard:
+            rolling, at = rolling_of(data, "byte"), np.arange(count)
+            # the rank at a window's place and the rank half a window on
+            pairs.append(np.stack([rolling.of(at, half), rolling.of(at + half, n - half)], 1))
+        owner = np.repeat(np.arange(len(shard)), [len(p) for p in pairs])
+        both = np.concatenate(pairs)
+        order = np.lexsort((both[:, 1], both[:, 0]))
+        ranked = both[order]
+        same = (ranked[1:] == ranked[:-1]).all(axis=1)
+        repeated = np.zeros(len(both), bool)
+        repeated[order] = np.concatenate(([False], same)) | np.concatenate((same, [False]))
+        out = []
+        begin = np.cumsum([0, *(len(p) for p in pairs)])
+        for i in np.unique(owner[repeated]).tolist():
+            _, doc, crc, first, count, _, copies = shard[i]
+            if copies == 1:
+                mark = np.concatenate(([False], repeated[begin[i] : begin[i + 1]], [False])).astype(np.int8)
+                for lo, hi in zip(np.flatnonzero(np.diff(mark) > 0).tolist(), np.flatnonzero(np.diff(mark) < 0).tolist(), strict=True):
+                    out.append((doc, crc, first + lo, first + hi - 1 + n))
+        return out
 
-def rank_pairs(docs: DataFrame, open_spans: DataFrame, n: int) -> DataFrame:
-    """Rows (r1, r2, doc_id, crc, at, single): rank pairs at offset n / 2 of each window of the spans."""
+    key = spans.schema["doc_id"].dataType
+    schema = f"doc_id {key.simpleString()}, crc bigint, lo int, hi int"
+    return shards(spans, rank, ["anchor", "doc_id", "crc", "first", "count", "data", "copies"], schema, [to_arrow_type(key), pa.int64(), pa.int32(), pa.int32()])
 
-    def run(batch: pa.RecordBatch) -> list:
-        rows, out = [], []
-        for i, (text, parts) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
-            rolling = RollingHash(units_of(text, "byte"))
-            starts = np.concatenate([np.arange(p["first"], p["first"] + p["count"]) for p in parts])
-            single = np.concatenate([np.full(p["count"], p["copies"] == 1) for p in parts])
-            half = n // 2
-            out.append((rolling.of(starts, half).view(np.int64), rolling.of(starts + half, n - half).view(np.int64), starts.astype(np.int32), single))
-            rows.append(np.full(len(starts), i))
-        take = pa.array(np.concatenate(rows))
-        r1, r2, at, single = (np.concatenate(c) for c in zip(*out, strict=True))
-        return [r1, r2, batch.column(0).take(take), batch.column(1).take(take), at, single]
-
-    texts = with_texts(docs, by_document(open_spans, "first", "count", "copies"), "inner")
-    key = docs.schema["doc_id"].dataType.simpleString()
-    return map_batches(texts, run, f"r1 bigint, r2 bigint, doc_id {key}, crc bigint, at int, single boolean")
 
-
-def repeated_windows(docs: DataFrame, n: int = LENGTH) -> DataFrame:
+def repeated_windows(docs: DataFrame, n: int = LENGTH, shard: int = SHARD) -> DataFrame:
     """Rows (doc_id, crc, lo, hi): runs of bytes covered by repeated windows, possibly overlapping."""
     found, kinds = candidates(docs, "byte", n, n // 2, across=False)
-    settled = found.join(kinds.filter("copies > 1").select("anchor", "span"), ["anchor", "span"], "left_semi")
-    several = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1").select("anchor")
-    pairs = materialize(rank_pairs(docs, kinds.join(several, "anchor", "left_semi"), n), "rank_pairs")
-    common = pairs.groupBy("r1", "r2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("r1", "r2")
-    rest = pairs.filter("single").join(common, ["r1", "r2"], "left_semi")
-    whole = settled.select("doc_id", "crc", F.col("first").alias("lo"), (F.col("first") + F.col("count") + (n - 1)).alias("hi"))
-    return whole.unionByName(rest.select("doc_id", "crc", F.col("at").alias("lo"), (F.col("at") + n).alias("hi")))
+    whole = found.join(kinds.filter("copies > 1").select("anchor", "span"), ["anchor", "span"], "left_semi")
+    out = whole.select("doc_id", "crc", F.col("first").alias("lo"), (F.col("first") + F.col("count") + (n - 1)).alias("hi"))
+    spans = open_spans(docs, kinds, "byte", n)
+    out = out.unionByName(settle_shards(spans.filter(F.col("kinds") <= shard), n))
+    large = spans.filter(F.col("kinds") > shard)
+    if large.limit(1).count():
+        rest = settle_large(large, "byte", n, n // 2, across=False).join(kinds.filter("copies = 1").select("anchor", "span"), ["anchor", "span"], "left_semi")
+        lo = F.col("first") + F.col("at")
+        out = out.unionByName(rest.select("doc_id", "crc", lo.alias("lo"), (lo + n).alias("hi")))
+    return out
 
 
 def runs_of(parts: list[dict] | None) -> tuple[np.ndarray, np.ndarray]:
@@ -71,23 +89,37 @@ def without(data: bytes, lo: np.ndarray, hi: np.ndarray) -> bytes:
     return b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
 
 
-def dedup(docs: DataFrame, n: int = LENGTH) -> DataFrame:
-    """Per document: doc_id, n_bytes, n_removed, n_spans, kept (bytes that remain)."""
+def dedup(docs: DataFrame, n: int = LENGTH, shard: int = SHARD) -> DataFrame:
+    """Documents that lose bytes: doc_id, crc (of the text), n_removed, n_spans, kept (bytes that remain)."""
 
     def run(batch: pa.RecordBatch) -> list:
         out = []
         for text, parts in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
             lo, hi = runs_of(parts)
-            out.append((len(text), int((hi - lo).sum()), len(lo), without(text, lo, hi)))
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-        return [batch.column(0), *(pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True))]
+            out.append((int((hi - lo).sum()), len(lo), without(text, lo, hi)))
+        kinds = [pa.int64(), pa.int64(), pa.binary()]
+        return [batch.column(0), batch.column(1), *(pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True))]
 
     key = docs.schema["doc_id"].dataType.simpleString()
-    return map_batches(with_texts(docs, by_document(repeated_windows(docs, n), "lo", "hi"), "left"), run, f"doc_id {key}, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
+    texts = with_texts(docs, by_document(repeated_windows(docs, n, shard), "lo", "hi"))
+    return map_batches(texts, run, f"doc_id {key}, crc bigint, n_removed bigint, n_spans bigint, kept binary")
+
+
+def digests(docs: DataFrame, n: int = LENGTH, shard: int = SHARD) -> DataFrame:
+    changed = dedup(docs, n, shard).select("doc_id", "crc", "n_removed", "n_spans", F.sha2("kept", 256).alias("sha"))
+    text = utf8("text")
+    every = docs.select("doc_id", F.crc32(text).alias("crc"), F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("sha"))
+    zero = F.lit(0).cast("long")
+    return settle(every, changed).select(
+        "f.doc_id", "n_bytes", F.coalesce("x.n_removed", zero).alias("n_removed"), F.coalesce("x.n_spans", zero).alias("n_spans"),
+        F.coalesce("x.sha", "sha").alias("kept_sha256"),
+    )
 
 
-def digests(docs: DataFrame, n: int = LENGTH) -> DataFrame:
-    return dedup(docs, n).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+def remove(docs: DataFrame, n: int = LENGTH) -> DataFrame:
+    """Documents without repeated byte strings, all columns kept; a cut may fall inside a character, whose rest is replaced."""
+    changed = dedup(docs, n).select("doc_id", "crc", F.decode("kept", "UTF-8").alias("kept")).dropDuplicates(["doc_id", "crc"])
+    return attach(docs, changed).select(*restored(docs.columns, F.coalesce("x.kept", "d.text")))
 
 
 def brute_force(texts: dict[int, str | None], n: int = LENGTH) -> dict[int, tuple[int, int, int, str]]:
