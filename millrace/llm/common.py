@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 MIX_A, MIX_B, ROLL = 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15
 
 
+#: Rows that a Python worker turns into objects at a time.
+SLICE = 1000
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below ``spark.checkpoint.dir``, which driver and executors share.
 
@@ -40,12 +44,26 @@ def utf8(column: str) -> "F.Column":
     return F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")
 
 
+def attach(docs: DataFrame, rows: DataFrame, how: str = "left") -> DataFrame:
+    """Documents as a struct ``d`` with the matching row of ``rows`` (doc_id, crc of the text, ..) as a struct ``x``.
+
+    Structs keep any column names of the two apart.
+    """
+    d, x = docs.select(F.struct("*").alias("d")), rows.select(F.struct("*").alias("x"))
+    return d.join(x, F.col("d.doc_id").eqNullSafe(F.col("x.doc_id")) & (F.crc32(utf8("d.text")) == F.col("x.crc")), how)
+
+
+def restored(columns: list[str], text: "F.Column | None" = None) -> list:
+    """The columns of documents out of the struct ``d``, with ``text`` in place of the text."""
+    return [text.alias(c) if c == "text" and text is not None else F.col(f"d.`{c}`").alias(c) for c in columns]
+
+
 def map_batches(df: DataFrame, f: Callable[[pa.RecordBatch], list], schema: str) -> DataFrame:
     """``mapInArrow`` with a function from one record batch to a list of columns (arrays in schema order)."""
     names = [part.split()[0] for part in split_schema(schema)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(i, SLICE) for b in batches for i in range(0, b.num_rows, SLICE)):
             if batch.num_rows:
                 yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in f(batch)], names=names)
 

@@ -6,8 +6,8 @@ spans of one anchor: a suffix automaton is built over them in document order, an
 automaton of the spans of smaller documents for its matching statistics; where these reach ``n``, a passage repeats. A shard
 is sent to the task that streams its spans rather than broadcast to all, as all references together grow with the corpus.
 
-Anchors with more than ``SHARD`` different spans (the borders of a very common passage) are settled by an aggregation over
-their windows, which has no bound on a shard, with equal results.
+Anchors with more than ``SHARD`` different spans (the borders of a very common passage) are settled by aggregations over
+blocks of their windows, which need no bound on a shard, with equal results.
 
 Defined results: null and empty texts have no words; texts under ``n`` words lose nothing; passages repeated within one
 document only, or in rows of one doc_id, stay; an empty table gives an empty result; ``remove`` keeps extra columns.
@@ -16,18 +16,19 @@ document only, or in rows of one doc_id, stay; an empty table gives an empty res
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import zlib
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import RollingHash, covered, map_batches, materialize
-from millrace.llm.spans import by_document, candidates, units_of, with_texts
+from millrace.llm.common import attach, covered, map_batches, restored, utf8
+from millrace.llm.spans import by_document, candidates, open_spans, settle, settle_large, shards, with_texts
 
 WORDS = 50
-SHARD = 256
+#: Spans of one anchor that one automaton is built over: some tens of MB.
+SHARD = 1024
 
 
 class SuffixAutomaton:
@@ -86,26 +87,10 @@ class SuffixAutomaton:
         return out
 
 
-def open_words(docs: DataFrame, kinds: DataFrame, n: int) -> DataFrame:
-    """Rows (anchor, span, doc_id, count, words): the spans to settle with the hashes of their words."""
-
-    def run(batch: pa.RecordBatch) -> list:
-        rows = []
-        for doc, text, parts in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-            units = units_of(text, "word")
-            rows += [(p["anchor"], p["span"], doc, p["count"], p["kinds"], units[p["first"] : p["first"] + p["count"] + n - 1].tobytes()) for p in parts]
-        kinds_ = [pa.int64(), pa.int64(), batch.schema.field(0).type, pa.int32(), pa.int64(), pa.binary()]
-        return [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds_, strict=True)]
-
-    texts = with_texts(docs, by_document(kinds, "anchor", "span", "first", "count", "kinds"), "inner")
-    key = docs.schema["doc_id"].dataType.simpleString()
-    return map_batches(texts, run, f"anchor bigint, span bigint, doc_id {key}, count int, kinds bigint, words binary")
-
-
 def settle_shards(spans: DataFrame, n: int) -> DataFrame:
     """Rows (anchor, span, at): windows of a span, by place, that a smaller document has. One shard at a time is in memory."""
 
-    def settle(shard: list[tuple]) -> list[tuple[int, int, int]]:
+    def stream(shard: list[tuple]) -> list[tuple[int, int, int]]:
         automaton, out, waiting, last = SuffixAutomaton(), [], [], None
         for anchor, span, doc, words in shard:
             if doc != last:
@@ -118,98 +103,62 @@ def settle_shards(spans: DataFrame, n: int) -> DataFrame:
             waiting.append(sequence)
         return out
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard: list[tuple] = []
-        out: list[tuple[int, int, int]] = []
-
-        def pack() -> pa.RecordBatch:
-            columns = list(zip(*out, strict=True)) if out else [(), (), ()]
-            out.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, [pa.int64(), pa.int64(), pa.int32()], strict=True)], names=["anchor", "span", "at"])
-
-        for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("anchor", "span", "doc_id", "words")), strict=True):
-                if shard and shard[0][0] != row[0]:
-                    out += settle(shard)
-                    shard = []
-                shard.append(row)
-            if len(out) > 50_000:
-                yield pack()
-        out += settle(shard)
-        yield pack()
-
-    order = spans.select("anchor", "span", "doc_id", "words").repartition(F.col("anchor")).sortWithinPartitions("anchor", "doc_id", "span")
-    return order.mapInArrow(run, "anchor bigint, span bigint, at int")
-
-
-def settle_large(spans: DataFrame, n: int) -> DataFrame:
-    """The same for anchors with many spans: least document of each window by aggregation, which Spark splits freely."""
-
-    def run(batch: pa.RecordBatch) -> list:
-        out, rows = [], []
-        for i, (count, words) in enumerate(zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True)):
-            rolling = RollingHash(np.frombuffer(words, np.uint64))
-            at = np.arange(count)
-            out.append((rolling.of(at, n // 2).view(np.int64), rolling.of(at + n // 2, n - n // 2).view(np.int64), at.astype(np.int32)))
-            rows.append(np.full(count, i))
-        take = pa.array(np.concatenate(rows))
-        r1, r2, at = (np.concatenate(c) for c in zip(*out, strict=True))
-        return [*(batch.column(c).take(take) for c in range(3)), r1, r2, at]
-
-    key = spans.schema["doc_id"].dataType.simpleString()
-    windows = map_batches(spans.select("anchor", "span", "doc_id", "count", "words"), run, f"anchor bigint, span bigint, doc_id {key}, r1 bigint, r2 bigint, at int")
-    least = windows.groupBy("anchor", "r1", "r2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most").drop("most")
-    return windows.join(least, ["anchor", "r1", "r2"]).filter("doc_id > least").select("anchor", "span", "at")
+    return shards(spans, stream, ["anchor", "span", "doc_id", "data"], "anchor bigint, span bigint, at int", [pa.int64(), pa.int64(), pa.int32()])
 
 
 def repeated_passages(docs: DataFrame, n: int = WORDS, shard: int = SHARD) -> DataFrame:
     """Rows (doc_id, crc, lo, hi): runs of words that go."""
     docs = docs.filter("doc_id IS NOT NULL")
     found, kinds = candidates(docs, "word", n, n // 2, across=True)
-    several = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
-    spans = materialize(open_words(docs, kinds.join(several, "anchor"), n), "open_words")
-    small, large = spans.filter(F.col("kinds") <= shard), spans.filter(F.col("kinds") > shard)
-    # windows that follow each other are one run before they meet the other occurrences of their span
-    settled = settle_shards(small, n).unionByName(settle_large(large, n)).groupBy("anchor", "span").agg(F.collect_list("at").alias("ats"))
-    firsts = kinds.select("anchor", "span", F.col("doc_id").alias("least"))
-    placed = found.join(firsts, ["anchor", "span"])
+    spans = open_spans(docs, kinds, "word", n)
+    settled = settle_shards(spans.filter(F.col("kinds") <= shard), n)
+    large = spans.filter(F.col("kinds") > shard)
+    if large.limit(1).count():
+        settled = settled.unionByName(settle_large(large, "word", n, n // 2, across=True).select("anchor", "span", "at"))
+    settled = settled.groupBy("anchor", "span").agg(F.collect_list("at").alias("ats"))  # at most n - n / 2 + 1 places
+    placed = found.join(kinds.select("anchor", "span", F.col("doc_id").alias("least")), ["anchor", "span"])
     later = placed.filter("doc_id > least").select("doc_id", "crc", F.col("first").alias("lo"), (F.col("first") + F.col("count") + (n - 1)).alias("hi"))
     own = placed.filter("doc_id = least").join(settled, ["anchor", "span"]).select("doc_id", "crc", "first", F.explode("ats").alias("at"))
     return later.unionByName(own.select("doc_id", "crc", (F.col("first") + F.col("at")).alias("lo"), (F.col("first") + F.col("at") + n).alias("hi")))
 
 
 def dedup(docs: DataFrame, n: int = WORDS, shard: int = SHARD) -> DataFrame:
-    """Per document: doc_id, crc, n_words, n_removed, kept (remaining words joined by one space, as bytes)."""
+    """Documents that lose words: doc_id, crc (of the text), n_removed, kept (remaining words joined by one space, as bytes)."""
 
     def run(batch: pa.RecordBatch) -> list:
         out = []
         for text, parts in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
             words = text.split()
-            if parts:
-                lo, hi = covered(np.array([p["lo"] for p in parts]), np.array([p["hi"] for p in parts]))
-                edges = [0, *np.stack([lo, hi], 1).ravel().tolist(), len(words)]
-                left = [w for a, b in zip(edges[::2], edges[1::2], strict=True) for w in words[a:b]]
-            else:
-                left = words
-            out.append((len(words), len(words) - len(left), b" ".join(left)))
-        kinds = [pa.int64(), pa.int64(), pa.binary()]
+            lo, hi = covered(np.array([p["lo"] for p in parts]), np.array([p["hi"] for p in parts]))
+            edges = [0, *np.stack([lo, hi], 1).ravel().tolist(), len(words)]
+            left = [w for a, b in zip(edges[::2], edges[1::2], strict=True) for w in words[a:b]]
+            out.append((len(words) - len(left), b" ".join(left)))
+        kinds = [pa.int64(), pa.binary()]
         return [batch.column(0), batch.column(1), *(pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True))]
 
     key = docs.schema["doc_id"].dataType.simpleString()
-    parts = by_document(repeated_passages(docs, n, shard), "lo", "hi")
-    return map_batches(with_texts(docs, parts, "left"), run, f"doc_id {key}, crc bigint, n_words bigint, n_removed bigint, kept binary")
+    texts = with_texts(docs, by_document(repeated_passages(docs, n, shard), "lo", "hi"))
+    return map_batches(texts, run, f"doc_id {key}, crc bigint, n_removed bigint, kept binary")
 
 
-def digests(docs: DataFrame) -> DataFrame:
-    return dedup(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+def digests(docs: DataFrame, n: int = WORDS, shard: int = SHARD) -> DataFrame:
+    def run(batch: pa.RecordBatch) -> list:
+        out = []
+        for text in batch.column(1).to_pylist():
+            words = text.split()
+            out.append((zlib.crc32(text), len(words), hashlib.sha256(b" ".join(words)).hexdigest()))
+        return [batch.column(0), *(pa.array(c, k) for c, k in zip(zip(*out, strict=True), [pa.int64(), pa.int64(), pa.string()], strict=True))]
+
+    changed = dedup(docs, n, shard).select("doc_id", "crc", "n_removed", F.sha2("kept", 256).alias("sha"))
+    key = docs.schema["doc_id"].dataType.simpleString()
+    every = map_batches(docs.select("doc_id", utf8("text").alias("text")), run, f"doc_id {key}, crc bigint, n_words bigint, sha string")
+    return settle(every, changed).select("f.doc_id", "n_words", F.coalesce("x.n_removed", F.lit(0).cast("long")).alias("n_removed"), F.coalesce("x.sha", "f.sha").alias("kept_sha256"))
 
 
 def remove(docs: DataFrame, n: int = WORDS) -> DataFrame:
     """Documents without their repeated passages: changed texts are the remaining words joined by one space."""
-    changed = dedup(docs, n).filter("n_removed > 0").select(F.col("doc_id").alias("_id"), F.col("crc").alias("_crc"), F.col("kept").cast("string").alias("_kept"))
-    changed = changed.dropDuplicates(["_id", "_crc"])
-    match = (F.col("doc_id") == F.col("_id")) & (F.crc32(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")) == F.col("_crc"))
-    return docs.join(changed, match, "left").withColumn("text", F.coalesce("_kept", "text")).select(*docs.columns)
+    changed = dedup(docs, n).select("doc_id", "crc", F.col("kept").cast("string").alias("kept")).dropDuplicates(["doc_id", "crc"])
+    return attach(docs, changed).select(*restored(docs.columns, F.coalesce("x.kept", "d.text")))
 
 
 def brute_force(texts: dict[int, str | None], n: int = WORDS) -> dict[int, tuple[int, int, str]]:
