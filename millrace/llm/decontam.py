@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import materialize
+from millrace.llm.common import attach, materialize, restored, utf8
 
 SIZE = 10
 HEAD = 4
@@ -105,17 +105,15 @@ def clean(docs: DataFrame, benchmark: DataFrame, share: float = 1.0, size: int =
     A hit word goes with the separators before it. Documents without hits, null texts and all other columns stay as they are;
     ``share`` 0 drops every document with a hit. Rows of one doc_id are told apart by the checksum of their text.
     """
-    named = docs.withColumn("_crc", F.crc32(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")))
-    found = hits(named, benchmark, size, extra=("_crc",)).filter("places IS NOT NULL").select("doc_id", "_crc", "n_words", covered_words().alias("_cut"))
-    found = found.dropDuplicates(["doc_id", "_crc"]).alias("f")
-    n = named.alias("n")
-    joined = n.join(found, F.col("n.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("n._crc") == F.col("f._crc")), "left").select("n.*", "f.n_words", "f._cut")
-    joined = joined.filter("_cut IS NULL").unionByName(joined.filter((F.size("_cut") <= share * F.col("n_words")) & (F.size("_cut") > 0)))
+    named = docs.select("doc_id", "text", F.crc32(utf8("text")).alias("crc"))
+    found = hits(named, benchmark, size, extra=("crc",)).filter("places IS NOT NULL").select("doc_id", "crc", "n_words", covered_words().alias("cut"))
+    joined = attach(docs, found.dropDuplicates(["doc_id", "crc"]))
+    joined = joined.filter((F.size("x.cut") <= share * F.col("x.n_words")) | F.col("x.cut").isNull())
     separator, word = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*", r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-    parts = F.regexp_extract_all("text", F.lit(separator + word), F.lit(0))
-    kept = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains("_cut", i + 1)), "")
-    tail = F.regexp_extract("text", separator + r"\z", 0)
-    return joined.withColumn("text", F.when(F.col("_cut").isNotNull(), F.concat(kept, tail)).otherwise(F.col("text"))).select(*docs.columns)
+    parts = F.regexp_extract_all("d.text", F.lit(separator + word), F.lit(0))
+    kept = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains("x.cut", i + 1)), "")
+    tail = F.regexp_extract("d.text", separator + r"\z", 0)
+    return joined.select(*restored(docs.columns, F.when(F.col("x.cut").isNotNull(), F.concat(kept, tail)).otherwise(F.col("d.text"))))
 
 
 SQL = r"""

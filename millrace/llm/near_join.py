@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import RollingHash, map_batches, materialize, mix64, utf8, word_hashes
+from millrace.llm.common import RollingHash, attach, map_batches, materialize, mix64, restored, utf8, word_hashes
 from millrace.llm.graph import components
 from millrace.llm.spans import with_texts
 
@@ -316,7 +316,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE,
 def node_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """Rows (node, text as bytes) of the wanted nodes."""
     parts = wanted.groupBy("doc_id", "crc").agg(F.collect_list("node").alias("parts"))
-    found = with_texts(docs, parts, "inner").select(F.explode("parts").alias("node"), "text")
+    found = with_texts(docs, parts).select(F.explode("parts").alias("node"), "text")
     return found.groupBy("node").agg(F.first("text").alias("text"))  # repeated rows have the same text
 
 
@@ -327,15 +327,14 @@ def join(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE) -> DataFrame:
     """One document of each class stays (that of the least doc_id), with its columns; rows without doc_id stay."""
     found = classes(docs, threshold, size, links=False).filter("stays AND doc_id IS NOT NULL")
-    stay = materialize(found.groupBy("doc_id", "crc").agg(F.count(F.lit(1)).alias("_rows")), "staying").withColumnsRenamed({"doc_id": "_id", "crc": "_crc"})
-    crc = F.crc32(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))
-    kept = docs.join(stay, (F.col("doc_id") == F.col("_id")) & (crc == F.col("_crc")), "inner")
-    once = kept.filter("_rows = 1").select(*docs.columns)
+    stay = materialize(found.groupBy("doc_id", "crc").agg(F.count(F.lit(1)).alias("rows")), "staying")
+    kept = attach(docs, stay, "inner")
+    columns = restored(docs.columns)
+    once = kept.filter("x.rows = 1").select(*columns)
     # repeated rows are copies as well; blank texts aren't
-    blank = ~F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    again = kept.filter("_rows > 1")
-    again = again.filter(~blank).dropDuplicates(["doc_id", "text"]).unionByName(again.filter(blank)).select(*docs.columns)
-    return once.unionByName(again).unionByName(docs.filter("doc_id IS NULL"))
+    again, blank = kept.filter("x.rows > 1"), ~F.coalesce("d.text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    first = again.filter(~blank).groupBy(F.col("d.doc_id").alias("id"), F.col("d.text").alias("text")).agg(F.first("d").alias("d"))
+    return once.unionByName(first.select(*columns)).unionByName(again.filter(blank).select(*columns)).unionByName(docs.filter("doc_id IS NULL"))
 
 
 def brute_force(texts: dict[int, str | None], threshold: float = THRESHOLD, size: int = SHINGLE) -> dict[int, tuple[int, int, int]]:

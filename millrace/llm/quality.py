@@ -25,7 +25,7 @@ PENALTY = 0.002
 
 
 def statistics() -> dict[str, Column]:
-    """Named statistics over the columns of ``with_parts``; all finite, 0 for an empty text."""
+    """Named statistics over a text and its words and lines; all finite, 0 for an empty text."""
     t, words, lines = F.col("_t"), F.col("_words"), F.col("_lines")
     n = F.greatest(F.length(t), F.lit(1)).cast("double")
     n_words = F.greatest(F.size(words), F.lit(1)).cast("double")
@@ -51,16 +51,15 @@ def statistics() -> dict[str, Column]:
     }
 
 
-def with_parts(docs: DataFrame, column: str = "text") -> DataFrame:
-    """Adds the text, its words and its lines once, for all statistics to share."""
-    docs = docs.withColumn("_t", F.coalesce(F.col(column).cast("string"), F.lit("")))
-    return docs.withColumn("_words", F.array_remove(F.split("_t", r"[ \n\t\r\f\x0B]"), "")).withColumn("_lines", F.array_remove(F.split("_t", "\n"), ""))
-
-
 def with_statistics(docs: DataFrame, names: list[str] | None = None) -> DataFrame:
-    """Adds statistics (all, or those named) as columns _s_<name>."""
+    """Documents as a struct ``d`` beside statistics (all, or those named) as columns _s_<name>.
+
+    The text, its words and its lines are columns of their own first, for all statistics to share.
+    """
     wanted = {k: c for k, c in statistics().items() if names is None or k in names}
-    return with_parts(docs).select(*docs.columns, *(c.cast("double").alias(f"_s_{k}") for k, c in wanted.items()))
+    parts = docs.select(F.struct("*").alias("d")).withColumn("_t", F.coalesce(F.col("d.text").cast("string"), F.lit("")))
+    parts = parts.withColumn("_words", F.array_remove(F.split("_t", r"[ \n\t\r\f\x0B]"), "")).withColumn("_lines", F.array_remove(F.split("_t", "\n"), ""))
+    return parts.select("d", *(c.cast("double").alias(f"_s_{k}") for k, c in wanted.items()))
 
 
 @dataclass
@@ -176,7 +175,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> RuleModel
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(sample).select(F.col("doc_id").alias("_id"), F.col("quality").cast("int").alias("_y"))
     # at most ``sample`` rows of two numbers: bounded, so the texts need no shuffle
     rows = docs.select("doc_id", "text").join(F.broadcast(known), F.col("doc_id") == F.col("_id"))
-    rows = with_statistics(rows).select("_y", *(F.col(f"_s_{k}").alias(k) for k in stats)).toPandas()
+    rows = with_statistics(rows).select("d._y", *(F.col(f"_s_{k}").alias(k) for k in stats)).toPandas()
     return fit(rows[stats].to_numpy(float), (rows["_y"].to_numpy() > 0).astype(float), stats)
 
 
@@ -184,11 +183,11 @@ def score(docs: DataFrame, model: RuleModel) -> DataFrame:
     """doc_id, held_out, score and prediction of every document."""
     wide = with_statistics(docs.select("doc_id", "text"), model.used())
     score = model.score({k: F.col(f"_s_{k}") for k in model.used()})
-    scored = wide.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), score.alias("score"))
+    scored = wide.select("d.doc_id", F.coalesce(held_out("d.doc_id"), F.lit(False)).alias("held_out"), score.alias("score"))
     return scored.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
 
 
 def keep_good(docs: DataFrame, model: RuleModel, least: float = 0.5) -> DataFrame:
     """Rows whose score is at least ``least``, with their own columns."""
     wide = with_statistics(docs, model.used())
-    return wide.filter(model.score({k: F.col(f"_s_{k}") for k in model.used()}) >= least).select(*docs.columns)
+    return wide.filter(model.score({k: F.col(f"_s_{k}") for k in model.used()}) >= least).select("d.*")
