@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql.window import Window, WindowSpec
 
 #: Ordered rules of error categories (first match wins) and known noise; fixed values.
 CATEGORIES = (
@@ -23,7 +23,9 @@ PLACE = r"\(?(res://[^\s:()]+):([0-9]+)\)?"
 INLINE = r"^(res://[^\s:]+):([0-9]+) - (.*)$"
 VENDORED = "res://addons/"
 
-by_line = Window.partitionBy("log").orderBy("line")
+
+def by_line() -> WindowSpec:
+    return Window.partitionBy("log").orderBy("line")
 
 
 def category(column: str) -> Column:
@@ -37,14 +39,14 @@ def category(column: str) -> Column:
 def without_noise(lines: DataFrame) -> DataFrame:
     """Colour codes out; noise lines out; an ``at:`` line that follows an exit summary out."""
     plain = lines.withColumn("text", F.regexp_replace("text", COLOURS, ""))
-    after = F.coalesce(F.lower(F.lag("text").over(by_line)).rlike(EXIT_SUMMARY), F.lit(False)) & F.ltrim("text").startswith("at:")
+    after = F.coalesce(F.lower(F.lag("text").over(by_line())).rlike(EXIT_SUMMARY), F.lit(False)) & F.ltrim("text").startswith("at:")
     return plain.withColumn("_after", after).filter(~F.col("_after") & ~F.lower("text").rlike(NOISE)).drop("_after")
 
 
 def blocks(lines: DataFrame) -> DataFrame:
     """Rows (log, block, line, message, body): a start line and the indented lines that follow it without a break."""
     starts = lines.withColumn("start", F.col("text").rlike(START)).withColumn("indented", F.col("text").rlike(r"^[ \t]"))
-    numbered = starts.withColumn("block", F.sum(F.col("start").cast("long")).over(by_line)).filter("block > 0")
+    numbered = starts.withColumn("block", F.sum(F.col("start").cast("long")).over(by_line())).filter("block > 0")
     in_block = Window.partitionBy("log", "block").orderBy("line")
     kept = numbered.withColumn("breaks", F.sum((~F.col("start") & ~F.col("indented")).cast("long")).over(in_block)).filter("breaks = 0")
     body = F.sort_array(F.collect_list(F.when(~F.col("start"), F.struct("line", "text"))))
@@ -77,7 +79,7 @@ def distinct_errors(found: DataFrame) -> DataFrame:
 
 def compact(lines: DataFrame, keep: int = 2) -> DataFrame:
     """Blocks keyed by their first two lines: rows of the first ``keep`` of each key, and per log how many were dropped."""
-    numbered = lines.withColumn("block", F.sum(F.col("text").rlike("^(SCRIPT ERROR|ERROR|WARNING|ok)").cast("long")).over(by_line))
+    numbered = lines.withColumn("block", F.sum(F.col("text").rlike("^(SCRIPT ERROR|ERROR|WARNING|ok)").cast("long")).over(by_line()))
     inside = Window.partitionBy("log", "block").orderBy("line")
     heads = numbered.withColumn("i", F.row_number().over(inside)).filter("i <= 2").groupBy("log", "block").agg(
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("line", "text"))), lambda x: x["text"]), "\n").alias("key")
@@ -88,14 +90,14 @@ def compact(lines: DataFrame, keep: int = 2) -> DataFrame:
 
 def segments(lines: DataFrame, marker: str) -> DataFrame:
     """Each line with the marker line opened last before or at it; null before the first."""
-    return lines.withColumn("segment", F.last(F.when(F.col("text").rlike(marker), F.col("line")), ignorenulls=True).over(by_line))
+    return lines.withColumn("segment", F.last(F.when(F.col("text").rlike(marker), F.col("line")), ignorenulls=True).over(by_line()))
 
 
 def carried(lines: DataFrame) -> DataFrame:
     """(log, file, number, message): each ``at:`` line takes the error seen last, and each message serves once."""
     start = F.col("text").rlike(START)
-    state = lines.withColumn("opened", F.last(F.when(start, F.col("line")), ignorenulls=True).over(by_line))
-    state = state.withColumn("message", F.last(F.when(start, F.trim(F.regexp_extract("text", START, 3))), ignorenulls=True).over(by_line))
+    state = lines.withColumn("opened", F.last(F.when(start, F.col("line")), ignorenulls=True).over(by_line()))
+    state = state.withColumn("message", F.last(F.when(start, F.trim(F.regexp_extract("text", START, 3))), ignorenulls=True).over(by_line()))
     at = state.filter(~start & F.ltrim("text").startswith("at:") & F.col("text").rlike(PLACE) & F.col("opened").isNotNull())
     first = at.groupBy("log", "opened").agg(F.min(F.struct("line", "message", "text")).alias("x")).select("log", "x.*")
     named = first.select("log", "line", "message", F.regexp_extract("text", PLACE, 1).alias("file"), F.regexp_extract("text", PLACE, 2).cast("int").alias("number"))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql.window import Window, WindowSpec
 
 ROLES = ("system", "user", "assistant", "tool")
 PLANS = ("ORGANISATION.md", "plan.md")
@@ -17,9 +17,13 @@ READS, WRITES, CAPTURES = ("read_file", "read", "view"), ("write_file", "write",
 FOLDERS = ("0_autoload", "1_core", "2_sequence", "3_entities", "4_ui", "5_data", "6_assets", "7_tests")
 ROOT_FILES = ("project.godot", "ORGANISATION.md", "plan.md", "icon.svg", "README.md", "AGENTS.md", "opencode.json", "default_bus_layout.tres", "export_presets.cfg")
 
-by_pos = Window.partitionBy("session").orderBy("pos")
-before = by_pos.rowsBetween(Window.unboundedPreceding, -1)
-whole = Window.partitionBy("session")
+
+def by_pos() -> WindowSpec:
+    return Window.partitionBy("session").orderBy("pos")
+
+
+def before() -> WindowSpec:
+    return by_pos().rowsBetween(Window.unboundedPreceding, -1)
 
 
 def normalized(messages: DataFrame) -> DataFrame:
@@ -36,13 +40,13 @@ def key(*columns: str) -> Column:
 def cleaned(messages: DataFrame) -> DataFrame:
     """Known roles; nothing after the session's last assistant message."""
     known = messages.filter(F.col("role").isin(*ROLES)).withColumn("content", F.coalesce("content", F.lit("")))
-    last = F.max(F.when(F.col("role") == "assistant", F.col("pos"))).over(whole)
+    last = F.max(F.when(F.col("role") == "assistant", F.col("pos"))).over(Window.partitionBy("session"))
     return known.withColumn("_last", last).filter("pos <= _last").drop("_last")
 
 
 def alternates(messages: DataFrame) -> DataFrame:
     """Whether a session is system, then user and assistant in turn, ending with assistant."""
-    placed = messages.withColumn("i", F.row_number().over(by_pos) - 1)
+    placed = messages.withColumn("i", F.row_number().over(by_pos()) - 1)
     fits = F.when(F.col("i") == 0, F.col("role") == "system").when(F.col("i") % 2 == 1, F.col("role") == "user").otherwise(F.col("role") == "assistant")
     return placed.groupBy("session").agg((F.bool_and(fits) & (F.count(F.lit(1)) >= 3) & (F.max_by("role", "pos") == "assistant")).alias("valid"))
 
@@ -50,8 +54,8 @@ def alternates(messages: DataFrame) -> DataFrame:
 def sharegpt_turns(messages: DataFrame) -> DataFrame:
     """Rows (session, turn, from, value): consecutive tool results are one turn, system messages aren't turns."""
     rows = messages.filter("role <> 'system'")
-    joins = (F.col("role") == "tool") & (F.lag("role").over(by_pos) == "tool")
-    rows = rows.withColumn("joins", F.coalesce(joins, F.lit(False))).withColumn("turn", F.sum((~F.col("joins")).cast("long")).over(by_pos) - 1)
+    joins = (F.col("role") == "tool") & (F.lag("role").over(by_pos()) == "tool")
+    rows = rows.withColumn("joins", F.coalesce(joins, F.lit(False))).withColumn("turn", F.sum((~F.col("joins")).cast("long")).over(by_pos()) - 1)
     said = F.when(F.col("role") == "user", "human").when(F.col("role") == "assistant", F.when(F.col("tool").isNotNull(), "function_call").otherwise("gpt")).otherwise("observation")
     rows = rows.withColumn("from", said).withColumn("value", F.when(F.col("from") == "function_call", F.col("tool")).otherwise(F.col("content")))
     parts = F.sort_array(F.collect_list(F.struct("pos", "value")))
@@ -66,9 +70,9 @@ def sharegpt_valid(turns: DataFrame) -> DataFrame:
 
 def rendered(messages: DataFrame) -> DataFrame:
     """One text per session in a chat template: tagged turns, tool results inside user turns, calls as tags."""
-    joins = (F.col("role") == "tool") & (F.lag("role").over(by_pos) == "tool")
+    joins = (F.col("role") == "tool") & (F.lag("role").over(by_pos()) == "tool")
     opens = F.when(F.coalesce(joins, F.lit(False)), "").otherwise(F.concat(F.lit("<|im_start|>"), F.when(F.col("role") == "tool", "user").otherwise(F.col("role")), F.lit("\n")))
-    ends = F.when((F.col("role") == "tool") & (F.lead("role").over(by_pos) == "tool"), "\n").otherwise("<|im_end|>\n")
+    ends = F.when((F.col("role") == "tool") & (F.lead("role").over(by_pos()) == "tool"), "\n").otherwise("<|im_end|>\n")
     body = F.when(F.col("role") == "tool", F.concat(F.lit("<tool_response>\n"), "content", F.lit("\n</tool_response>"))).when(
         F.col("tool").isNotNull(), F.concat("content", F.lit("\n<tool_call>"), "tool", F.lit("</tool_call>"))
     ).otherwise(F.col("content"))
@@ -104,20 +108,20 @@ def out_of_plan(calls: DataFrame) -> DataFrame:
 
 def captures_without_comment(messages: DataFrame) -> DataFrame:
     """Captures whose next assistant message says nothing."""
-    said = messages.filter("role = 'assistant'").withColumn("next", F.lead(F.coalesce("content", F.lit(""))).over(by_pos))
+    said = messages.filter("role = 'assistant'").withColumn("next", F.lead(F.coalesce("content", F.lit(""))).over(by_pos()))
     return said.filter(F.col("tool").isin(*CAPTURES) & (F.trim("next") == "")).select("session", "pos")
 
 
 def unproven_announcements(messages: DataFrame, pattern: str) -> DataFrame:
     """Messages that announce passing tests without a passing run since the last write."""
     state = F.when(F.col("tool").isin(*WRITES), 0).when(F.col("tool") == "run_tests", F.when(F.col("tests_ok"), 1).otherwise(2))
-    known = messages.withColumn("state", F.last(state, ignorenulls=True).over(before))
+    known = messages.withColumn("state", F.last(state, ignorenulls=True).over(before()))
     return known.filter((F.col("role") == "assistant") & F.lower("content").rlike(pattern) & (F.coalesce("state", F.lit(0)) != 1)).select("session", "pos")
 
 
 def undeclared_writes(messages: DataFrame) -> DataFrame:
     """Writes outside the files declared so far; none while nothing has been declared."""
-    declared = F.collect_set(F.when(F.col("tool") == "prepare_action", F.col("path"))).over(before)
+    declared = F.collect_set(F.when(F.col("tool") == "prepare_action", F.col("path"))).over(before())
     rows = messages.withColumn("known", declared).filter(F.col("tool").isin(*WRITES) & (F.size("known") > 0))
     fits = F.exists("known", lambda d: (F.col("path") == d) | F.endswith(F.col("path"), F.concat(F.lit("/"), d)))
     return rows.filter(~fits & ~F.element_at(F.split("path", "/"), -1).isin(*PLANS)).select("session", "pos", "path")

@@ -168,7 +168,7 @@ def unseen_citations(messages):
 @query("messages", sql="""SELECT session, pos, CASE WHEN ask <> '' THEN coalesce(starts_with(n, ask), false) ELSE n IS NULL END AS valid FROM (SELECT *, regexp_extract(content, '([a-zA-Z]+)\\.\\s*$', 1) AS ask, lead(content) OVER (PARTITION BY session ORDER BY pos) AS n FROM {messages}) WHERE role = 'assistant'""")
 def answer_follows_request(messages):
     """A reply that ends with a command word is followed by a turn that starts with it; otherwise no turn follows."""
-    rows = messages.withColumn("next", F.lead("content").over(m.by_pos)).filter("role = 'assistant'").withColumn("ask", F.regexp_extract("content", r"([a-zA-Z]+)\.\s*$", 1))
+    rows = messages.withColumn("next", F.lead("content").over(m.by_pos())).filter("role = 'assistant'").withColumn("ask", F.regexp_extract("content", r"([a-zA-Z]+)\.\s*$", 1))
     return rows.select("session", "pos", F.when(F.col("ask") != "", F.coalesce(F.startswith("next", "ask"), F.lit(False))).otherwise(F.col("next").isNull()).alias("valid"))
 
 

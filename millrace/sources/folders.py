@@ -36,7 +36,7 @@ def read_file_tree(spark: SparkSession, root: str, ignored: str = r"/(\.git|\.go
     path = F.regexp_replace("path", "^file:/*", "/")
     relative = F.expr("substring(p, length(b) + 2)")
     named = files.withColumn("p", path).withColumn("b", base).withColumn("relative", relative)
-    return named.filter(F.col("relative").rlike(TEXT_FILES) & ~F.concat(F.lit("/"), "relative").rlike(ignored)).select(F.col("relative").alias("path"), F.decode("content", F.lit("UTF-8")).alias("text"))
+    return named.filter(F.col("relative").rlike(TEXT_FILES) & ~F.concat(F.lit("/"), "relative").rlike(ignored)).select(F.col("relative").alias("path"), F.decode("content", "UTF-8").alias("text"))
 
 
 def read_sessions(spark: SparkSession, root: str) -> DataFrame:

@@ -82,7 +82,7 @@ def test_closure_stops_on_cycles(spark):
 
 def test_edit_helpers():
     a, b = "x\ny\nx\nz", "x\nY\nx\nz\nw"
-    assert edits.changed_lines(a, b) == [2, 4, 5] and edits.patch_size(a, b) == 5
+    assert edits.changed_lines(a, b) == [2, 5] and edits.patch_size(a, b) == 3
     assert edits.replay(a, edits.unique_edits(a, b)) == (b, None)
     assert edits.occurrences("aaa", "aa") == 2 and edits.replay("aa", [("a", "b")])[1] == "found 2 times"
     assert edits.mask_code('x = "a#b" # c\ny') == "x =           \ny".replace("x =           ", "x = " + " " * 9)
