@@ -8,9 +8,9 @@ posterior takes into account.
 
 No bucket or group is expanded into pairs of rows:
 
-1. every node of a bucket is compared with the bucket's first node only; verified links make first classes;
+1. a node is compared with the first nodes of the buckets it shares most; verified links make first classes;
 2. buckets that still hold several classes are cut into chunks, and pairs of chunks are compared in blocks, across classes
-   only; what passes is verified and joins classes;
+   only; a block verifies what passes and returns the links that join classes;
 3. within a class, blocks of texts are compared exactly with each other to count each node's links.
 
 A link is lost only if its nodes share none of the ``BANDS`` buckets (chance under 1e-7 at similarity 0.8) or by the tolerance.
@@ -37,7 +37,9 @@ from millrace.llm.spans import with_texts
 
 SHINGLE, THRESHOLD, TOLERANCE = 5, 0.8, 1e-6
 BANDS, ROWS, STEP = 32, 4, 16
-CHUNK, BLOCK = 512, 128
+CHUNK, BLOCK = 512, 256
+#: Leads that a node is compared with first (of at most ``BANDS``).
+LEADS = 3
 
 
 @lru_cache(1)
@@ -162,17 +164,21 @@ def verify(pairs: DataFrame, texts: DataFrame, threshold: float, size: int) -> D
     return order.mapInArrow(run, "a bigint, b bigint")
 
 
-def across_classes(buckets: DataFrame, labels: DataFrame, nodes: DataFrame, threshold: float, tolerance: float) -> DataFrame:
-    """Pairs (a, b) of different classes that share a bucket and pass the Bayesian comparison."""
+def across_classes(buckets: DataFrame, labels: DataFrame, nodes: DataFrame, texts: DataFrame, threshold: float, tolerance: float, size: int) -> DataFrame:
+    """Links (a, b) between nodes of different classes that share a bucket: pruned by MinHash bytes, verified in the block.
+
+    Of the links of a block only those are returned that join classes which the block's links before them don't join.
+    """
     placed = buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     mixed = placed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("key", "n")
     chunks = F.ceil(F.col("n") / F.lit(CHUNK)).cast("int")
-    rows = placed.join(mixed, "key").join(nodes.select("node", "bytes"), "node").withColumn("chunk", F.pmod(F.xxhash64("node"), chunks).cast("int"))
+    rows = placed.join(mixed, "key").withColumn("chunk", F.pmod(F.xxhash64("node"), chunks).cast("int"))
     # a chunk meets every chunk once: it is row side of the blocks from its number on and column side of those before
     other = F.explode(F.sequence(F.lit(0), chunks - 1))
-    rows = rows.select("key", "node", "label", "bytes", "chunk", other.alias("other")).select(
-        "key", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "node", "label", "bytes", "chunk"
+    rows = rows.select("key", "node", "label", "chunk", other.alias("other")).select(
+        "key", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "node", "label", "chunk"
     )
+    rows = rows.join(nodes.select("node", "bytes"), "node").join(texts, "node")
 
     def compare(block: list[tuple]) -> list[tuple[int, int]]:
         i, j = block[0][1], block[0][2]
@@ -182,17 +188,38 @@ def across_classes(buckets: DataFrame, labels: DataFrame, nodes: DataFrame, thre
             return []
         matrix = lambda rows: np.frombuffer(b"".join(r[5] for r in rows), np.uint8).reshape(len(rows), -1)
         x, y = matrix(left), matrix(right)
-        classes, nodes_ = np.array([r[4] for r in right]), np.array([r[3] for r in right])
-        out = []
+        classes, order = np.array([r[4] for r in right]), np.arange(len(right))
+        pairs = []
         for k, r in enumerate(left):
-            others = np.flatnonzero((classes != r[4]) & ((nodes_ > r[3]) if i == j else True))
+            others = np.flatnonzero((classes != r[4]) & (order > (k if i == j else -1)))
             if len(others):
-                alive = others[surviving(np.broadcast_to(x[k], (len(others), x.shape[1])), y[others], threshold, tolerance)]
-                out += [(min(r[3], int(v)), max(r[3], int(v))) for v in nodes_[alive]]
+                pairs.append((k, others[surviving(np.broadcast_to(x[k], (len(others), x.shape[1])), y[others], threshold, tolerance)]))
+        pairs = [(k, alive) for k, alive in pairs if len(alive)]
+        if not pairs:
+            return []
+        ks, vs = [k for k, _ in pairs], np.unique(np.concatenate([alive for _, alive in pairs]))
+        one, two = [shingles(left[k][7], size) for k in ks], [shingles(right[v][7], size) for v in vs.tolist()]
+        both = intersections(one, two)
+        a, b = np.array([len(s) for s in one]), np.array([len(s) for s in two])
+        linked = both >= threshold * (a[:, None] + b[None, :] - both)
+        top: dict[int, int] = {}
+
+        def find(label: int) -> int:
+            while top.get(label, label) != label:
+                label = top[label]
+            return label
+
+        out = []
+        for p, (k, alive) in enumerate(pairs):
+            for v in alive[linked[p, np.searchsorted(vs, alive)]].tolist():
+                m, n = find(left[k][4]), find(right[v][4])
+                if m != n:
+                    top[max(m, n)] = min(m, n)
+                    out.append((left[k][3], right[v][3]))
         return out
 
     order = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return by_block(order, compare, ["key", "i", "j", "node", "label", "bytes", "chunk"], "a bigint, b bigint").distinct()
+    return by_block(order, compare, ["key", "i", "j", "node", "label", "bytes", "chunk", "text"], "a bigint, b bigint").distinct()
 
 
 def by_block(rows: DataFrame, f, columns: list[str], schema: str) -> DataFrame:
@@ -286,11 +313,13 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE,
     near = buckets.select("node").distinct()
     wanted = near.join(nodes, "node").select("node", "doc_id", "crc")
     texts = materialize(node_texts(docs, wanted), "texts")
-    star = prune(buckets.filter("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct(), nodes, threshold, tolerance)
+    # the few leads that a node shares most buckets with come first; whatever they leave open is compared below
+    leads = buckets.filter("node <> lead").groupBy("node", "lead").agg(F.count(F.lit(1)).alias("n"))
+    leads = leads.groupBy("node").agg(F.slice(F.sort_array(F.collect_list(F.struct("n", (-F.col("lead")).alias("l"))), asc=False), 1, LEADS).alias("x"))
+    star = prune(leads.select("node", F.explode("x").alias("x")).select((-F.col("x.l")).alias("a"), F.col("node").alias("b")), nodes, threshold, tolerance)
     linked = materialize(verify(materialize(star, "star"), texts, threshold, size), "links")
     labels = components(linked)
-    more = materialize(across_classes(buckets, labels, nodes, threshold, tolerance), "across")
-    extra = materialize(verify(more, texts, threshold, size), "links")
+    extra = materialize(across_classes(buckets, labels, nodes, texts, threshold, tolerance, size), "across")
     if extra.limit(1).count():
         labels = components(linked.unionByName(extra))
     labels = materialize(labels, "classes")
