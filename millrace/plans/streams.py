@@ -95,7 +95,7 @@ def _sessions(spark, sf_dir):
     path = f"{folders.scratch(spark)}/sessions"
     m = registry.read(spark, sf_dir, "messages").filter("session < 40")
     folders.write_sessions(m, m.select("session").distinct(), path)
-    back = spark.read.option("wholetext", True).text(path).withColumn("session", F.col("session").cast("bigint"))
+    back = spark.read.text(path, wholetext=True).withColumn("session", F.col("session").cast("bigint"))
     lines = back.select("session", F.posexplode(F.split("value", "\n")).alias("pos", "line")).filter("pos > 0 AND line <> ''")
     said = F.from_json("line", "role string, content string")
     return lines.select("session", said["role"].alias("role")).groupBy("session", "role").agg(F.count(F.lit(1)).alias("n"))

@@ -41,7 +41,7 @@ def read_file_tree(spark: SparkSession, root: str, ignored: str = r"/(\.git|\.go
 
 def read_sessions(spark: SparkSession, root: str) -> DataFrame:
     """Session files whose first line is a header and whose other lines are messages: (session, header, pos, role, content)."""
-    whole = spark.read.option("wholetext", True).text(root).withColumn("session", F.regexp_extract(F.input_file_name(), r"([^/]+?)(\.jsonl)?$", 1))
+    whole = spark.read.text(root, wholetext=True).withColumn("session", F.regexp_extract(F.input_file_name(), r"([^/]+?)(\.jsonl)?$", 1))
     lines = whole.select("session", F.posexplode(F.filter(F.split("value", "\n"), lambda x: F.trim(x) != "")).alias("pos", "line"), F.split("value", "\n")[0].alias("header"))
     said = F.from_json("line", "role string, content string, tool_call_id string")
     return lines.filter("pos > 0").select("session", "header", (F.col("pos") - 1).alias("pos"), said["role"].alias("role"), said["content"].alias("content"))
