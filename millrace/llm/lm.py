@@ -41,7 +41,7 @@ OWN, REST = 47, 16  # classes of one id, classes for the other ids
 WINDOW, CONTEXT = 32, 8
 WIDTH = 16
 TOP, TOP_BYTES = 200_000, 64
-ROUNDS, EVERY = 2, 8
+TURNS = 8  # rounds of training, each on its part of the texts
 RATE, BATCH = 0.01, 64
 K = OWN + REST + 1
 END = K - 1
@@ -108,9 +108,9 @@ def count_ids(counts: DataFrame, path: str) -> tuple[np.ndarray, np.ndarray]:
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["at", "c"])
 
     # bounded by the square of the vocabulary, whatever the corpus
-    rows = counts.mapInArrow(run, "at bigint, c bigint").groupBy("at").agg(F.sum("c").alias("c")).toPandas()
+    rows = counts.mapInArrow(run, "at bigint, c bigint").groupBy("at").agg(F.sum("c").alias("c")).toArrow()
     out = np.zeros(side * side + VOCABULARY)
-    out[rows["at"].to_numpy(np.int64)] = rows["c"].to_numpy(float)
+    out[rows["at"].to_numpy()] = rows["c"].to_numpy()
     return out[: side * side].reshape(side, side), out[side * side :]
 
 
@@ -137,7 +137,9 @@ class Tables:
         inner = counts[:VOCABULARY]
         general = (inner.sum(axis=0) + 0.5) / (inner.sum() + 0.5 * (VOCABULARY + 1))
         strength = 5.0
-        chain = np.log10((inner + strength * general) / (inner.sum(axis=1, keepdims=True) + strength))
+        chain = inner + strength * general
+        chain /= inner.sum(axis=1, keepdims=True) + strength
+        np.log10(chain, out=chain)
         prior = np.bincount(class_of, heads, K) + 1.0
         prior[END] += texts
         return cls(class_of, first.astype(np.float32), heads, np.maximum(kinds, 1), chain.astype(np.float32), prior / prior.sum())
@@ -161,6 +163,16 @@ class Tables:
 BOS = VOCABULARY
 
 
+def sums(keys: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """Sum of the rows of each key below n."""
+    out = np.zeros((n, rows.shape[1]), rows.dtype)
+    order = np.argsort(keys, kind="stable")
+    held = keys[order]
+    begin = np.flatnonzero(np.concatenate(([True], held[1:] != held[:-1])))
+    out[held[begin]] = np.add.reduceat(rows[order], begin, axis=0)
+    return out
+
+
 class Attention:
     """One causal self-attention layer with relative place biases; logits also see the class of the last token."""
 
@@ -217,8 +229,7 @@ class Attention:
         np.put_along_axis(z, y[..., None], np.take_along_axis(z, y[..., None], 2) - 1, 2)
         z *= real[..., None] / max(1, real.sum())
         flat = z.reshape(-1, K)
-        g = {"o": h.reshape(-1, WIDTH).T @ flat, "bias": flat.sum(axis=0), "last": np.zeros_like(p["last"])}
-        np.add.at(g["last"], last.ravel(), flat)
+        g = {"o": h.reshape(-1, WIDTH).T @ flat, "bias": flat.sum(axis=0), "last": sums(last.ravel(), flat, K + 1)}
         dh = z @ p["o"].T
         da = dh @ v.transpose(0, 2, 1)
         ds = a * (da - (da * a).sum(axis=2, keepdims=True))
@@ -226,8 +237,7 @@ class Attention:
         dq, dk, dv = ds @ k / root, ds.transpose(0, 2, 1) @ q / root, a.transpose(0, 2, 1) @ dh
         rows = e.reshape(-1, WIDTH)
         g |= {n: rows.T @ d.reshape(-1, WIDTH) for n, d in (("q", dq), ("k", dk), ("v", dv))}
-        g["e"] = np.zeros_like(p["e"])
-        np.add.at(g["e"], x.ravel(), (dq @ p["q"].T + dk @ p["k"].T + dv @ p["v"].T).reshape(-1, WIDTH))
+        g["e"] = sums(x.ravel(), dq.reshape(-1, WIDTH) @ p["q"].T + dk.reshape(-1, WIDTH) @ p["k"].T + dv.reshape(-1, WIDTH) @ p["v"].T, VOCABULARY + 1)
         return g
 
 
@@ -310,13 +320,13 @@ def sequences(words_a_text: list[list[bytes]], look_up) -> tuple[np.ndarray, np.
     return x, y, sizes + 1, (*found, place, ends)
 
 
-def train(docs: DataFrame, tables: Tables, lexicon_data: tuple, path: str, rounds: int = ROUNDS, every: int = EVERY) -> np.ndarray:
-    """Average of models that the tasks train, ``rounds`` times, on the texts whose turn it is (one in ``every`` a round)."""
+def train(docs: DataFrame, tables: Tables, lexicon_data: tuple, path: str, turns: int = TURNS) -> np.ndarray:
+    """Average of models that the tasks train, round by round, on the texts whose turn it is; each text has one of the ``turns``."""
     spark = docs.sparkSession
     flat = Attention(tables.class_of, tables.prior).flat()
     shared = spark.sparkContext.broadcast((lexicon_data, tables))
-    turn = F.pmod(F.floor(F.crc32(F.col("doc_id").cast("string").cast("binary")) / 7), F.lit(every))
-    for number in range(rounds):
+    turn = F.pmod(F.floor(F.crc32(F.col("doc_id").cast("string").cast("binary")) / 7), F.lit(turns))
+    for number in range(turns):
         start = spark.sparkContext.broadcast(flat)
 
         def run(batches: Iterator[pa.RecordBatch], start=start) -> Iterator[pa.RecordBatch]:
@@ -337,11 +347,11 @@ def train(docs: DataFrame, tables: Tables, lexicon_data: tuple, path: str, round
                 values = model.flat().astype(float) * seen
                 yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(values))), pa.array(values), pa.array(np.full(len(values), float(seen)))], names=["i", "v", "w"])
 
-        part = docs.filter(turn == number % every).select(utf8("text").alias("text"))
-        means = part.mapInArrow(run, "i bigint, v double, w double").groupBy("i").agg((F.sum("v") / F.sum("w")).alias("v")).toPandas()
+        part = docs.filter(F.coalesce(turn, F.lit(0)) == number).select(utf8("text").alias("text"))
+        means = part.mapInArrow(run, "i bigint, v double, w double").groupBy("i").agg((F.sum("v") / F.sum("w")).alias("v")).toArrow()
         if len(means):
             flat = flat.copy()
-            flat[means["i"].to_numpy(np.int64)] = means["v"].to_numpy(np.float32)
+            flat[means["i"].to_numpy()] = means["v"].to_numpy().astype(np.float32)
     return flat
 
 
@@ -353,8 +363,8 @@ def fit(docs: DataFrame, path: str | None = None) -> tuple[Model, DataFrame, tup
     texts = known.count()
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     tables = Tables.of(*count_ids(counts, path), texts)
-    top = counts.filter(F.octet_length("word") <= TOP_BYTES).orderBy(F.desc("c"), "word").limit(TOP).toPandas()
-    words, c = [bytes(w) for w in top["word"]], top["c"].to_numpy(np.int64)
+    top = counts.filter(F.octet_length("word") <= TOP_BYTES).orderBy(F.desc("c"), "word").limit(TOP).toArrow()
+    words, c = top["word"].to_pylist(), top["c"].to_numpy()
     heads, spelled = tables.spellings(*spell(words, path))
     data = (words, c, heads, tables.word_scores(heads, spelled, c))
     flat = train(known, tables, data, path)

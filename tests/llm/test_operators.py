@@ -251,6 +251,18 @@ def test_quality(spark, docs, nothing):
     assert {r["score"] for r in quality.score(docs, empty).collect()} == {0.5}
 
 
+def test_lm_trains_on_every_text(spark):
+    """Texts of all turns, one word each: the logits after each word move away from their start at 0."""
+    words = ["the", "and", "for", "with", "that", "have", "from", "not"]
+    turn, kept = (lambda i: zlib.crc32(str(i).encode()) // 7 % lm.TURNS), (lambda i: zlib.crc32(str(i).encode()) % 7 != 2)
+    ids = [next(i for i in range(1000) if turn(i) == t and kept(i)) for t in range(lm.TURNS)]
+    model, _, _ = lm.fit(spark.createDataFrame([(i, f"{w} " * 5) for i, w in zip(ids, words, strict=True)], "doc_id long, text string"))
+    spelled, starts = lm.spell([w.encode() for w in words], model.path)
+    classes = model.tables.class_of[spelled[starts[:-1]]]
+    assert len(set(classes.tolist())) == lm.TURNS
+    assert lm.Attention(model.tables.class_of, flat=model.flat).p["last"][classes].any(axis=1).all()
+
+
 def test_lm(docs, nothing):
     got = {r["doc_id"]: r for r in lm.score_corpus(docs).collect()}
     out = {k: zlib.crc32(str(k).encode()) % 7 == 2 for k in TEXTS}
