@@ -7,22 +7,21 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def closure(parents: DataFrame, most: int = 64) -> DataFrame:
+def closure(parents: DataFrame) -> DataFrame:
     """Rows (child, ancestor, depth), the class itself at depth 0, from (child, parent).
 
-    Rounds of joins that double the known depth; a cycle stops as its classes are known already. ``most`` bounds the depth.
+    Rounds of joins that double the known depth; a cycle stops as its classes are known already.
     """
     known = parents.select("child", F.col("child").alias("ancestor"), F.lit(0).alias("depth"))
     known = known.unionByName(parents.filter("parent IS NOT NULL AND parent <> child").select("child", F.col("parent").alias("ancestor"), F.lit(1).alias("depth")))
     reach = 1
-    while reach < most:
+    while True:
         further = known.filter(F.col("depth") == reach).alias("a").join(known.filter("depth > 0").alias("b"), F.col("a.ancestor") == F.col("b.child"))
         grown = known.unionByName(further.select("a.child", "b.ancestor", (F.col("a.depth") + F.col("b.depth")).alias("depth")))
         grown = grown.groupBy("child", "ancestor").agg(F.min("depth").alias("depth")).checkpoint()
         if grown.filter(F.col("depth") > reach).limit(1).count() == 0:
             return grown
         known, reach = grown, reach * 2
-    return known
 
 
 def members_of(chain: DataFrame, members: DataFrame) -> DataFrame:
@@ -65,18 +64,17 @@ def forbidden(edges: DataFrame, allowed: DataFrame) -> DataFrame:
     return across.join(F.broadcast(allowed), ["from_folder", "to_folder"], "left_anti").select("src", "dst", "from_folder", "to_folder")
 
 
-def reachable(edges: DataFrame, starts: DataFrame, most: int = 64) -> DataFrame:
+def reachable(edges: DataFrame, starts: DataFrame) -> DataFrame:
     """Nodes reached from the starts, with the least number of steps; each round joins only the newest nodes."""
     seen = starts.select("node", F.lit(0).alias("steps")).distinct()
     newest, step = seen, 0
-    while step < most:
+    while True:
         step += 1
         found = newest.join(edges, newest["node"] == edges["src"]).select(F.col("dst").alias("node")).distinct().join(seen, "node", "left_anti")
         newest = found.select("node", F.lit(step).alias("steps")).checkpoint()
         if not newest.limit(1).count():
-            break
+            return seen
         seen = seen.unionByName(newest).checkpoint()
-    return seen
 
 
 def snake(column: Column) -> Column:
