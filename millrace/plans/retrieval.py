@@ -54,7 +54,9 @@ def embed_batches(passages):
 def hybrid_search(passages, questions):
     """Exact words as identifiers of documents, then vectors of a stand-in embedder, then BM25."""
     n, mean = statistics(passages)
-    exact = questions.select("query", F.explode(F.split("text", " ")).alias("w")).join(passages.select("id", F.split("text", " ")[0].alias("w")), "w")
+    words = lambda: F.explode(F.array_distinct(F.split("text", " "))).alias("w")
+    first = passages.select("id", words()).filter("w <> ''").groupBy("w").agg(F.min("id").alias("id"))
+    exact = questions.select("query", words()).join(first, "w")
     exact = exact.groupBy("query").agg(F.min("id").alias("id")).withColumn("rank", F.lit(1))
     vectors = r.embed(passages, r.hashing_embedder, 16)
     asked = r.embed(questions.select(F.col("query").alias("id"), "text"), r.hashing_embedder, 16).select(F.col("id").alias("query"), "vector")

@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 from millrace.operators import vocabulary
+from millrace.plans import load
+
+REGISTRY = load()
+
 
 def test_closure_and_reachable_have_no_last_step(spark):
     n = 131
@@ -11,3 +15,10 @@ def test_closure_and_reachable_have_no_last_step(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(66)], "src long, dst long")
     got = {r["node"]: r["steps"] for r in vocabulary.reachable(edges, spark.range(1).select("id").withColumnRenamed("id", "node")).collect()}
     assert got == {i: i for i in range(67)}
+
+
+def test_exact_words_anywhere_in_a_passage(spark, tmp_path):
+    spark.createDataFrame([(0, "zz  yy"), (1, "aa bb target"), (2, "cc target")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(4, "target  qq")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = REGISTRY.QUERIES["hybrid_search"](spark, str(tmp_path)).collect()
+    assert [(r["query"], r["place"], r["id"]) for r in got if r["found_by"] == "exact"] == [(4, 1, 1)]
