@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -86,14 +87,23 @@ def top_n(scored: DataFrame, top: int, buckets: int = 32) -> DataFrame:
     return near.withColumn("rank", F.row_number().over(Window.partitionBy("query").orderBy(*order))).filter(F.col("rank") <= top).drop("_b")
 
 
-MAX_QUERIES = 20_000
+MAX_QUERIES = 20_000  # about, of one pass
 
 
 def neighbours(vectors: DataFrame, queries: DataFrame, top: int) -> DataFrame:
-    """Rows (query, rank, id, score): nearest vectors by cosine, in blocks; each batch keeps its best, Spark ranks the rest."""
-    asked = queries.limit(MAX_QUERIES + 1).toPandas()
-    if len(asked) > MAX_QUERIES:
-        raise ValueError("too many queries for one pass: split them")
+    """Rows (query, rank, id, score): nearest vectors by cosine; queries go in passes over all rows, so the driver has one block of them."""
+    n = queries.count()
+    if n <= MAX_QUERIES:
+        return _pass(vectors, queries, top)
+    blocks = -(-2 * n // MAX_QUERIES)
+    dealt = queries.withColumn("_b", F.pmod(F.xxhash64("query"), F.lit(blocks))).checkpoint()
+    done = [_pass(vectors, dealt.filter(F.col("_b") == b).drop("_b"), top).checkpoint() for b in range(blocks)]
+    return reduce(DataFrame.unionByName, done)
+
+
+def _pass(vectors: DataFrame, queries: DataFrame, top: int) -> DataFrame:
+    """One block of queries against all rows; each batch keeps its best, Spark ranks the rest."""
+    asked = queries.toPandas()
     unit = lambda m: m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-12)
     q, names = unit(np.stack(asked["vector"]).astype(float)) if len(asked) else np.zeros((0, 1)), asked["query"].to_numpy()
 

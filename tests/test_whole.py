@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from millrace.operators import vocabulary
+import numpy as np
+
+from millrace.operators import retrieval, vocabulary
 from millrace.plans import load
 
 REGISTRY = load()
@@ -22,3 +24,13 @@ def test_exact_words_anywhere_in_a_passage(spark, tmp_path):
     spark.createDataFrame([(4, "target  qq")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     got = REGISTRY.QUERIES["hybrid_search"](spark, str(tmp_path)).collect()
     assert [(r["query"], r["place"], r["id"]) for r in got if r["found_by"] == "exact"] == [(4, 1, 1)]
+
+
+def test_more_queries_than_one_pass(spark, monkeypatch):
+    m = np.random.default_rng(3).normal(size=(60, 4))
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "id long, vector array<double>")
+    monkeypatch.setattr(retrieval, "MAX_QUERIES", 20)
+    got = {(r["query"], r["rank"]): r["id"] for r in retrieval.neighbours(vectors, vectors.withColumnRenamed("id", "query"), 3).collect()}
+    unit = m / np.linalg.norm(m, axis=1, keepdims=True)
+    near = np.round(unit @ unit.T, 6)
+    assert got == {(q, k + 1): i for q in range(60) for k, i in enumerate(np.lexsort((np.arange(60), -near[q]))[:3])}
