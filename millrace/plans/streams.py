@@ -11,7 +11,7 @@ from millrace.streaming import capture
 
 registry.view("exchanges", """
 SELECT c.conv_id * 100 + c.turn AS ts, CASE WHEN c.turn % 9 = 8 THEN 500 ELSE 200 END AS status, '/v1/chat/completions' AS path,
- transform(filter(array_sort(collect_list(struct(p.turn, p.role, p.text))), x -> x.role IS NOT NULL), x -> struct(x.role AS role, substring(x.text, 1, 40) AS content)) AS request
+ transform(filter(array_sort(collect_list(struct(p.turn, p.role, p.text))), x -> x.role IS NOT NULL), x -> struct(x.role AS role, x.text AS content)) AS request
 FROM {conversations} c JOIN {conversations} p ON p.conv_id = c.conv_id AND p.turn <= c.turn WHERE c.role = 'user' GROUP BY c.conv_id, c.turn
 """, "SELECT 1")
 

@@ -34,3 +34,10 @@ def test_more_queries_than_one_pass(spark, monkeypatch):
     unit = m / np.linalg.norm(m, axis=1, keepdims=True)
     near = np.round(unit @ unit.T, 6)
     assert got == {(q, k + 1): i for q in range(60) for k, i in enumerate(np.lexsort((np.arange(60), -near[q]))[:3])}
+
+
+def test_long_openings_are_told_apart(spark, tmp_path):
+    talks = [(1, 0, "user", "a" * 50 + "x"), (2, 0, "user", "a" * 50 + "y"), (2, 1, "assistant", "b"), (2, 2, "user", "c")]
+    spark.createDataFrame(talks, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = REGISTRY.QUERIES["stitch_sessions"](spark, str(tmp_path)).collect()
+    assert sorted((r["exchanges"], r["messages"]) for r in got) == [(1, 1), (2, 3)]
