@@ -1,12 +1,12 @@
-"""Exact removal of repeated byte strings by distributed prefix doubling over position ranks.
+"""Exact removal of repeated byte strings by hashes of windows at anchors.
 
-Ranks name the classes of equal prefixes at a position. The first round ranks prefixes of ``n / 2`` bytes at anchor positions
-(see ``spans``) and drops what is unique. Spans that occur twice as a whole are settled there. Spark sorts what is left by its
-rank; the second round pairs the rank at a position with the rank half a window on, sorts the pairs of equal first rank, and
-equal pairs are past the threshold: a repeated window. Offsets double from n / 2 to n. Anchors with more than ``SHARD`` kinds
-of span take rounds of smaller growth, each a grouping by Spark that drops unique names (``spans.settle_large``).
+Prefixes of ``n / 2`` bytes at anchor positions (see ``spans``) are named first, and what is unique is dropped. Spans that
+occur twice as a whole are settled there. For what is left, both halves of each window get rolling hashes straight from the
+text, and one sort of the pairs inside a task per anchor marks equal pairs: repeated windows. No rank is made from earlier
+ranks, so this isn't prefix doubling. Anchors with more than ``SHARD`` kinds of span name ever longer pieces by hash, each
+round a grouping by Spark that drops unique names (``spans.settle_large``).
 
-Ranks are 64-bit names of byte strings instead of dense integers, so a round needs no global numbering.
+Names are 64-bit hashes of byte strings, so nothing needs a global numbering.
 
 Defined results: null or empty texts and texts under ``n`` bytes lose nothing; of repeated strings every copy goes, also
 within one document and in repeated rows; an empty table gives an empty result; extra columns are ignored (``dedup``) or kept
