@@ -105,7 +105,8 @@ def demux(data: bytes) -> dict[int, dict]:
 
 
 def padded(data: bytes) -> bytes:
-    return data + bytes(64 - len(data) % 64)
+    """Bytes 0 up to a positive multiple of 64: none where the length is one already."""
+    return data + bytes(-len(data) % 64 if data else 64)
 
 
 def encode_media(docs: DataFrame, column: str = "text", key: str = "doc_id") -> DataFrame:
