@@ -9,7 +9,8 @@ in the shared folder and a lost executor only costs a task; ``export_files`` put
 
 Defined results: a null or empty html is an empty payload; a null url is written as an empty target; records of equal
 payload of at least ``MIN_REVISIT`` bytes become one response (least page_id) and revisits of it; an empty table gives an
-empty archive table; extra columns are ignored. Repeated page ids keep their own records.
+empty archive table; extra columns are ignored. Repeated page ids keep their own records, and copies under the least id are all
+responses. A null page_id is written as an empty id, is always a response and answers for no other record.
 """
 
 from __future__ import annotations
@@ -55,9 +56,9 @@ def plan_records(pages: DataFrame) -> DataFrame:
     )
 
 
-def record_bytes(page_id: int, url: str, payload: bytes, digest: str, kind: str, refers_to: int | None) -> bytes:
+def record_bytes(page_id: int | None, url: str, payload: bytes, digest: str, kind: str, refers_to: int | None) -> bytes:
     head = [
-        "WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:{page_id}>",
+        "WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>",
         f"WARC-Target-URI: {' '.join(url.split())}", "WARC-Date: 2024-01-01T00:00:00Z", f"WARC-Payload-Digest: sha256:{digest}",
     ]
     if refers_to is not None:
@@ -165,7 +166,7 @@ def read_members(normalized: DataFrame) -> DataFrame:
                 for x in index:
                     raw = gzip.decompress(content[x["offset"] : x["offset"] + x["length"]])
                     head, begin, end = parse_record(raw)
-                    number = lambda field: int(head[field].rpartition(":")[2].rstrip(">")) if field in head else None  # noqa: B023, E731
+                    number = lambda field: int(n) if (n := head.get(field, "").rpartition(":")[2].rstrip(">")) else None  # noqa: B023, E731
                     rows.append((name, x["record"], number("WARC-Record-ID"), head["WARC-Target-URI"], head["WARC-Type"], number("WARC-Refers-To"), head["WARC-Payload-Digest"].partition(":")[2], raw[begin:end]))
                 columns = list(zip(*rows, strict=True)) if rows else [()] * 8
                 kinds = [pa.string(), pa.int32(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.binary()]
