@@ -1,50 +1,59 @@
-"""Language-model scores: a causal self-attention model over subword ids, trained in numpy, beside a unigram base.
+"""Language-model scores: causal self-attention over subword ids, trained in numpy, beside a unigram base.
 
-A text is its words (lower-cased A-Z, between ASCII blanks) and one end. A word is spelled in subword ids of a public
-vocabulary, of which the first ``VOCABULARY`` are used. The model factors each token exactly:
+A text is its words (lower-cased A-Z, between ASCII blanks) and one end. Words are spelled in the first ``VOCABULARY`` subword
+ids of a public vocabulary. The ids fall into ``GROUPS`` by which ids they meet within words (a spectral grouping), a word into
+the group that its ids vote for. Two attention models share one class:
 
-    p(token | before) = p(class of its first id | ids before, by attention) * p(first id | class) * p(word | first id)
-    p(word | first id) = (count of the word + d * spelling) / (count of the first id + d), spelling = product of p(id | id before)
+* words: a place sees the words before it in its window, each as the sum of the vectors of all its ids, and predicts the class
+  of the next token: the most frequent words and the end are classes of their own, other words belong to their group's
+  class of listed or of rare words. Within a class, listed words have their training frequency;
+* spelling of rare and unknown words: a place sees the group and the ids of the word so far, and predicts the class of the next
+  id or the word's end; within a class an id has its smoothed frequency after the id before it.
 
-where d is the number of different training words that begin with that id (Witten-Bell), so unseen words keep a share.
+    p(rare word | class) = (its count - 0.75, or 0 if unknown, + 0.75 * d * spelling) / n
 
-Attention runs over the sequence of first ids in windows of ``WINDOW`` that overlap by ``CONTEXT``; the causal mask lets a
-place see what is before it, and each token is scored once, in the window where it has more context. The other factors are
-smoothed counts over all training words. Classes are the most frequent first ids, one each, and some for the rest.
+where n counts the rare words of the group and d the different ones.
 
-Counting and training run where the data is: tasks count words and train copies of the model on their part of the training
-texts, Spark sums counts and averages parameters. Base counts of the ``TOP`` most frequent words travel to the tasks; all
-other words meet their counts in a join.
+Windows overlap by ``context`` places; the causal mask lets a place see what is before it, and each token is scored once, in
+the window where it has most context. So p adds up to at most 1 over all tokens.
+
+Training takes every training text once, in ``ROUNDS`` rounds that each text's checksum assigns: tasks add up gradients over
+their texts at the same parameters, Spark sums them and the driver makes one step. Partitions don't change the model (but for
+the order of float sums). Rare words train the spelling the same way. Sums and parameters are of fixed size; word counts meet
+the texts in a join, only the ``TOP`` most frequent words are broadcast.
 
 Defined results: a null or empty text is the end alone; repeated rows are scored each (and counted each, if trained on);
-without training texts all counts are 0 and the model is uniform; an empty table gives an empty result; extra columns are
-ignored.
+without training texts all counts are 0 and the model keeps its start; a null doc_id is trained on; an empty table gives an
+empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
-from dataclasses import dataclass
-from functools import partial
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import bpe
 from millrace.llm.common import materialize, utf8
 
-VOCABULARY = 2048
-OWN, REST = 47, 16  # classes of one id, classes for the other ids
-WINDOW, CONTEXT = 32, 8
-WIDTH = 16
-TOP, TOP_BYTES = 200_000, 64
-TURNS = 8  # rounds of training, each on its part of the texts
-RATE, BATCH = 0.01, 64
-K = OWN + REST + 1
-END = K - 1
+VOCABULARY = 1024
+GROUPS, OWN = 8, 15
+K = OWN + 2 * GROUPS + 1  # classes of words: own ones, listed and rare ones of each group, the end
+LISTED, RARE, END = OWN, OWN + GROUPS, K - 1
+LEVELS = 4
+STOP = GROUPS * LEVELS  # classes of ids: group and level of frequency, and the end of a word
+WIDTH = GROUPS
+TOP, TOP_BYTES, LEAST = 200_000, 64, 3  # listed words: how many, how long, how often seen
+DISCOUNT = 0.75
+ROUNDS, SPELLING_ROUNDS = 16, 12
+RATE = 0.15
+SLOTS = 16
 
 
 def held_out(column: str = "doc_id") -> Column:
@@ -77,349 +86,567 @@ def count_words(docs: DataFrame, flush: int = 300_000) -> DataFrame:
 
 
 def spell(words: list[bytes], path: str) -> tuple[np.ndarray, np.ndarray]:
-    """Subword ids of all words in one array, and where each word begins in it."""
+    """Subword ids of all words in one array, and where each word begins in it (and the last one ends)."""
     encode = bpe.encoder(path, VOCABULARY).fast.encode_ordinary
     ids = [encode(" " + w.decode("utf-8", "replace")) for w in words]
     starts = np.concatenate(([0], np.cumsum([len(i) for i in ids]))).astype(np.int64)
     return np.array([x for i in ids for x in i], np.int64), starts
 
 
-def count_ids(counts: DataFrame, path: str) -> tuple[np.ndarray, np.ndarray]:
-    """Matrix [before, id] of subword counts within words, and for each id the number of different words it begins.
+VECTOR = "slot int, at binary, v binary"
 
-    Row VOCABULARY of the matrix is a word's begin, column VOCABULARY its end.
-    """
-    side = VOCABULARY + 1
+
+def vector(slot: int, values: np.ndarray) -> pa.RecordBatch:
+    """A vector of float64 as its non-zero places."""
+    at = np.flatnonzero(values)
+    arrays = [pa.array([slot], pa.int32()), pa.array([at.astype(np.int32).tobytes()], pa.binary()), pa.array([values[at].tobytes()], pa.binary())]
+    return pa.RecordBatch.from_arrays(arrays, names=["slot", "at", "v"])
+
+
+def gather(vectors: DataFrame, size: int) -> dict[int, np.ndarray]:
+    """Sums of the vectors of each slot; tasks add, the driver gets one vector of fixed size a slot."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(side * side + VOCABULARY, np.int64)
+        sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            words, c = batch.column(0).to_pylist(), batch.column(1).to_numpy()
-            if not words:
-                continue
-            ids, starts = spell(words, path)
-            sizes = np.diff(starts)
-            before = np.concatenate(([VOCABULARY], ids))[: len(ids)].copy()
-            before[starts[:-1]] = VOCABULARY
-            np.add.at(total, before * side + ids, np.repeat(c, sizes))
-            np.add.at(total, ids[starts[1:] - 1] * side + VOCABULARY, c)
-            total[side * side :] += np.bincount(ids[starts[:-1]], minlength=VOCABULARY)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["at", "c"])
-
-    # bounded by the square of the vocabulary, whatever the corpus
-    rows = counts.mapInArrow(run, "at bigint, c bigint").groupBy("at").agg(F.sum("c").alias("c")).toArrow()
-    out = np.zeros(side * side + VOCABULARY)
-    out[rows["at"].to_numpy()] = rows["c"].to_numpy()
-    return out[: side * side].reshape(side, side), out[side * side :]
+            for slot, at, v in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                sums.setdefault(slot, np.zeros(size))[np.frombuffer(at, np.int32)] += np.frombuffer(v, np.float64)
+        for slot, values in sums.items():
+            yield vector(slot, values)
+
+    out: dict[int, np.ndarray] = {}
+    rows = vectors.repartition(SLOTS, "slot").mapInArrow(run, VECTOR).toArrow()
+    for slot, at, v in sorted(zip(*(c.to_pylist() for c in rows.columns), strict=True)):
+        out.setdefault(slot, np.zeros(size))[np.frombuffer(at, np.int32)] += np.frombuffer(v, np.float64)
+    return out
 
 
-@dataclass
-class Tables:
-    """Smoothed log10 probabilities from counts."""
+SIDE = VOCABULARY + 1
 
-    class_of: np.ndarray  # class of each first id
-    first: np.ndarray  # log10 p(first id | class)
-    begun: np.ndarray  # training words that begin with each id
-    kinds: np.ndarray  # different ones, at least 1
-    chain: np.ndarray  # log10 p(id | id before), column VOCABULARY: the word ends
-    prior: np.ndarray  # share of each class, end included
 
-    @classmethod
-    def of(cls, counts: np.ndarray, kinds: np.ndarray, texts: int) -> Tables:
-        heads = counts[VOCABULARY, :VOCABULARY]
-        order = np.argsort(-heads, kind="stable")
-        class_of = np.empty(VOCABULARY, np.int64)
-        class_of[order[:OWN]] = np.arange(OWN)
-        class_of[order[OWN:]] = OWN + np.arange(VOCABULARY - OWN) * REST // (VOCABULARY - OWN)
-        total = np.bincount(class_of, heads + 1, K)
-        first = np.log10((heads + 1) / total[class_of])
-        inner = counts[:VOCABULARY]
-        general = (inner.sum(axis=0) + 0.5) / (inner.sum() + 0.5 * (VOCABULARY + 1))
-        strength = 5.0
-        chain = inner + strength * general
-        chain /= inner.sum(axis=1, keepdims=True) + strength
-        np.log10(chain, out=chain)
-        prior = np.bincount(class_of, heads, K) + 1.0
-        prior[END] += texts
-        return cls(class_of, first.astype(np.float32), heads, np.maximum(kinds, 1), chain.astype(np.float32), prior / prior.sum())
-
-    def spellings(self, ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """First id of each word, and the log10 of d * p(spelling | first id)."""
-        if len(starts) < 2:
-            return np.zeros(0, np.int64), np.zeros(0)
-        steps = np.zeros(len(ids))
-        steps[:-1] = self.chain[ids[:-1], ids[1:]]
-        steps[starts[1:] - 1] = self.chain[ids[starts[1:] - 1], VOCABULARY]
-        heads = ids[starts[:-1]]
-        return heads, np.log10(self.kinds[heads]) + np.add.reduceat(steps, starts[:-1])
-
-    def word_scores(self, heads: np.ndarray, spelled: np.ndarray, counts: np.ndarray | float = 0) -> np.ndarray:
-        """log10 p(word | class of its first id)."""
-        inside = np.where(counts > 0, np.log10(counts + 10.0**spelled), spelled)
-        return self.first[heads] + inside - np.log10(self.begun[heads] + self.kinds[heads])
-
-
-BOS = VOCABULARY
-
-
-def sums(keys: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
-    """Sum of the rows of each key below n."""
-    out = np.zeros((n, rows.shape[1]), rows.dtype)
-    order = np.argsort(keys, kind="stable")
-    held = keys[order]
-    begin = np.flatnonzero(np.concatenate(([True], held[1:] != held[:-1])))
-    out[held[begin]] = np.add.reduceat(rows[order], begin, axis=0)
+def count_ids(counts: DataFrame, path: str) -> np.ndarray:
+    """Matrix [before, id] of ids within words; a word counts by the number of binary digits of its count.
+
+    Row VOCABULARY is a word's begin, column VOCABULARY its end.
+    """
+    rows_a_slot = -(-SIDE // SLOTS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(rows_a_slot * SLOTS * SIDE)
+        for batch in batches:
+            for i in range(0, batch.num_rows, 10_000):
+                words, c = (x.slice(i, 10_000) for x in batch.columns)
+                ids, starts = spell(words.to_pylist(), path)
+                weight = 1 + np.floor(np.log2(c.to_numpy()))
+                before = np.concatenate(([VOCABULARY], ids))[: len(ids)].copy()
+                before[starts[:-1]] = VOCABULARY
+                np.add.at(total, before * SIDE + ids, np.repeat(weight, np.diff(starts)))
+                np.add.at(total, ids[starts[1:] - 1] * SIDE + VOCABULARY, weight)
+        for slot, block in enumerate(total.reshape(SLOTS, -1)):
+            if block.any():
+                yield vector(slot, block)
+
+    found = gather(counts.select("word", "c").mapInArrow(run, VECTOR), rows_a_slot * SIDE)
+    empty = np.zeros(rows_a_slot * SIDE)
+    return np.concatenate([found.get(s, empty) for s in range(SLOTS)]).reshape(-1, SIDE)[:SIDE]
+
+
+def affinities(matrix: np.ndarray) -> np.ndarray:
+    """Closeness [id, group] of each id to each group: spectral coordinates of positive mutual information, then spherical means."""
+    met = matrix[:VOCABULARY, :VOCABULARY] + matrix[:VOCABULARY, :VOCABULARY].T
+    seen = met.sum(axis=1)
+    near = np.maximum(np.log((met + 0.1) * (met.sum() + 1) / np.outer(seen + 200, seen + 200)), 0)
+    basis = np.random.default_rng(0).normal(size=(VOCABULARY, GROUPS + 4))
+    for _ in range(30):
+        basis = np.linalg.qr(near @ basis)[0]
+    values, turn = np.linalg.eigh(basis.T @ near @ basis)
+    at = (basis @ turn)[:, -GROUPS:] * np.sqrt(np.abs(values[-GROUPS:]))
+    at /= np.linalg.norm(at, axis=1, keepdims=True) + 1e-9
+    weight = np.log1p(seen)
+    centres = at[[int(np.argmax(seen))]]
+    while len(centres) < GROUPS:  # the next one is far from those there are
+        centres = np.concatenate((centres, at[[int(np.argmax((1 - (at @ centres.T).max(axis=1)) * weight))]]))
+    for _ in range(30):
+        mine = np.argmax(at @ centres.T, axis=1)
+        for g in range(GROUPS):
+            middle = (at * weight[:, None])[mine == g].sum(axis=0)
+            if np.linalg.norm(middle) > 0:
+                centres[g] = middle / np.linalg.norm(middle)
+    return (at @ centres.T).astype(np.float32)
+
+
+def id_classes(matrix: np.ndarray, near: np.ndarray) -> np.ndarray:
+    """Class of each id: its group, and there its quarter by frequency."""
+    often, group = matrix[:, :VOCABULARY].sum(axis=0), np.argmax(near, axis=1)
+    out = np.zeros(VOCABULARY, np.int64)
+    for g in range(GROUPS):
+        mine = np.flatnonzero(group == g)
+        order = mine[np.argsort(-often[mine], kind="stable")]
+        share = (np.cumsum(often[order]) - often[order]) / max(often[order].sum(), 1)
+        out[order] = g * LEVELS + np.minimum((share * LEVELS).astype(np.int64), LEVELS - 1)
     return out
 
 
+def id_table(matrix: np.ndarray, class_of: np.ndarray) -> np.ndarray:
+    """log10 p(id | its class, id before), smoothed towards p(id | its class)."""
+    inner = matrix[:, :VOCABULARY]
+    member = np.eye(STOP)[class_of]
+    often = inner.sum(axis=0) + 0.5
+    general = often / (often @ member)[class_of]
+    return np.log10((inner + 4 * general) / ((inner @ member)[:, class_of] + 4)).astype(np.float32)
+
+
+def windows(sizes: np.ndarray, window: int, context: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For sequences of these lengths laid end to end: places [windows, window], which are real, which are scored here."""
+    step = window - context
+    count = np.maximum(1, -(-(sizes - window) // step) + 1)
+    owner = np.repeat(np.arange(len(sizes)), count)
+    nth = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+    begin = np.cumsum(sizes) - sizes
+    inner = nth[:, None] * step + np.arange(window)
+    real = inner < sizes[owner][:, None]
+    scored = real & ((np.arange(window) >= context) | (nth == 0)[:, None])
+    return begin[owner][:, None] + np.minimum(inner, sizes[owner][:, None] - 1), real, scored
+
+
+@dataclass
+class Form:
+    """What a model reads and says: inputs are sums of id vectors (ids laid end to end, starts), each of a class."""
+
+    ids: np.ndarray
+    starts: np.ndarray
+    class_of: np.ndarray  # of each input, for the logits after it
+    vectors: int
+    classes: int
+    window: int
+    context: int
+
+    def shapes(self) -> dict[str, tuple[int, ...]]:
+        square = (WIDTH, WIDTH)
+        return {
+            "e": (self.vectors, WIDTH), "q": square, "k": square, "v": square, "far": (self.window,), "o": (WIDTH, self.classes),
+            "last": (int(self.class_of.max()) + 1, self.classes), "bias": (self.classes,),
+        }
+
+    def start(self, prior: np.ndarray) -> dict[str, np.ndarray]:
+        rng = np.random.default_rng(11)
+        p = {k: np.zeros(s) for k, s in self.shapes().items()}
+        p |= {"q": rng.normal(0, 0.3, (WIDTH, WIDTH)), "k": rng.normal(0, 0.3, (WIDTH, WIDTH)), "v": np.eye(WIDTH), "bias": np.log(prior / prior.sum())}
+        return p
+
+    def flat(self, p: dict[str, np.ndarray]) -> np.ndarray:
+        return np.concatenate([p[k].ravel() for k in self.shapes()])
+
+    def parts(self, flat: np.ndarray) -> dict[str, np.ndarray]:
+        shapes = self.shapes()
+        ends = np.cumsum([int(np.prod(s)) for s in shapes.values()])
+        return {k: part.reshape(s) for (k, s), part in zip(shapes.items(), np.split(flat, ends[:-1]), strict=True)}
+
+
 class Attention:
-    """One causal self-attention layer with relative place biases; logits also see the class of the last token."""
-
-    SHAPES = {"e": (VOCABULARY + 1, WIDTH), "q": (WIDTH, WIDTH), "k": (WIDTH, WIDTH), "v": (WIDTH, WIDTH), "far": (WINDOW,), "o": (WIDTH, K), "last": (K + 1, K), "bias": (K,)}
-    MASK = np.where(np.tril(np.ones((WINDOW, WINDOW), bool)), 0, -1e9).astype(np.float32)
-    AWAY = np.maximum(np.arange(WINDOW)[:, None] - np.arange(WINDOW), 0)
-
-    def __init__(self, class_of: np.ndarray, prior: np.ndarray | None = None, flat: np.ndarray | None = None):
-        self.class_of = np.append(class_of, K)  # begin of text is a class of its own
-        if flat is None:
-            rng = np.random.default_rng(11)
-            self.p = {k: (rng.normal(0, 0.3, s) if k in ("e", "q", "k", "v") else np.zeros(s)).astype(np.float32) for k, s in self.SHAPES.items()}
-            self.p["bias"] = np.log(prior).astype(np.float32)
-        else:
-            sizes = np.cumsum([int(np.prod(s)) for s in self.SHAPES.values()])
-            self.p = {k: part.reshape(s).astype(np.float32) for (k, s), part in zip(self.SHAPES.items(), np.split(flat, sizes[:-1]), strict=True)}
+    """One causal self-attention layer with relative place biases; logits also see the class of what came last."""
+
+    def __init__(self, form: Form, p: dict[str, np.ndarray], kind: type = np.float32):
+        self.form, self.p = form, {k: v.astype(kind) for k, v in p.items()}
+        n = form.window
+        self.mask = np.where(np.tril(np.ones((n, n), bool)), 0, -1e9).astype(kind)
+        self.away = np.maximum(np.arange(n)[:, None] - np.arange(n), 0)
+        self.rows = np.add.reduceat(self.p["e"][form.ids], form.starts[:-1], axis=0)
+        self.root = kind(np.sqrt(WIDTH))
+        self.tables = self.rows @ self.p["q"] / self.root, self.rows @ self.p["k"], self.rows @ self.p["v"]
+        self.after = self.p["last"] + self.p["bias"]
+
+    def weights(self, x: np.ndarray) -> np.ndarray:
+        q, k, _ = self.tables
+        a = q[x] @ k[x].transpose(0, 2, 1)
+        a += self.mask + self.p["far"][self.away]
+        a -= a.max(axis=2, keepdims=True)
+        np.exp(a, out=a)
+        a /= a.sum(axis=2, keepdims=True)
+        return a
 
-    def flat(self) -> np.ndarray:
-        return np.concatenate([self.p[k].ravel() for k in self.SHAPES])
-
-    def tables(self) -> tuple[np.ndarray, ...]:
-        """Queries, keys and values of each id, for scoring."""
-        p = self.p
-        return p["e"] @ p["q"] / np.float32(np.sqrt(WIDTH)), p["e"] @ p["k"], p["e"] @ p["v"]
-
-    def log_p(self, x: np.ndarray, y: np.ndarray, tables: tuple[np.ndarray, ...]) -> np.ndarray:
-        """Natural log probability of the classes y [windows, WINDOW] after the ids x."""
-        q, k, v = tables
-        s = q[x] @ k[x].transpose(0, 2, 1)
-        s += self.MASK + self.p["far"][self.AWAY]
-        s -= s.max(axis=2, keepdims=True)
-        np.exp(s, out=s)
-        h = s @ v[x]
-        h /= s.sum(axis=2, keepdims=True)
+    def log_p(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Natural log probability of the classes y [windows, window] after the inputs x."""
+        h = self.weights(x) @ self.tables[2][x]
         z = h.reshape(-1, WIDTH) @ self.p["o"]
-        z += (self.p["last"] + self.p["bias"])[self.class_of[x.ravel()]]
+        z += self.after[self.form.class_of[x.ravel()]]
         z -= z.max(axis=1, keepdims=True)
         picked = z[np.arange(len(z)), y.ravel()]
         np.exp(z, out=z)
         return (picked - np.log(z.sum(axis=1))).reshape(x.shape)
 
     def gradients(self, x: np.ndarray, y: np.ndarray, real: np.ndarray) -> dict[str, np.ndarray]:
-        p, root = self.p, np.float32(np.sqrt(WIDTH))
-        e = p["e"][x]
-        q, k, v = e @ p["q"], e @ p["k"], e @ p["v"]
-        s = q @ k.transpose(0, 2, 1) / root + self.MASK + p["far"][self.AWAY]
-        a = np.exp(s - s.max(axis=2, keepdims=True))
-        a /= a.sum(axis=2, keepdims=True)
-        h = a @ v
-        last = self.class_of[x]
-        z = h @ p["o"] + p["last"][last] + p["bias"]
-        z = np.exp(z - z.max(axis=2, keepdims=True))
-        z /= z.sum(axis=2, keepdims=True)
-        np.put_along_axis(z, y[..., None], np.take_along_axis(z, y[..., None], 2) - 1, 2)
-        z *= real[..., None] / max(1, real.sum())
-        flat = z.reshape(-1, K)
-        g = {"o": h.reshape(-1, WIDTH).T @ flat, "bias": flat.sum(axis=0), "last": sums(last.ravel(), flat, K + 1)}
-        dh = z @ p["o"].T
-        da = dh @ v.transpose(0, 2, 1)
-        ds = a * (da - (da * a).sum(axis=2, keepdims=True))
-        g["far"] = np.bincount(self.AWAY.ravel(), ds.sum(axis=0).ravel(), WINDOW).astype(np.float32)
-        dq, dk, dv = ds @ k / root, ds.transpose(0, 2, 1) @ q / root, a.transpose(0, 2, 1) @ dh
-        rows = e.reshape(-1, WIDTH)
-        g |= {n: rows.T @ d.reshape(-1, WIDTH) for n, d in (("q", dq), ("k", dk), ("v", dv))}
-        g["e"] = sums(x.ravel(), dq.reshape(-1, WIDTH) @ p["q"].T + dk.reshape(-1, WIDTH) @ p["k"].T + dv.reshape(-1, WIDTH) @ p["v"].T, VOCABULARY + 1)
+        """Of the summed loss over real places; ``rows`` are those of the input at each place."""
+        p, form = self.p, self.form
+        e, (q, k, v) = self.rows[x], (t[x] for t in self.tables)
+        a = self.weights(x)
+        h = (a @ v).reshape(-1, WIDTH)
+        last = form.class_of[x.ravel()]
+        z = h @ p["o"]
+        z += self.after[last]
+        z -= z.max(axis=1, keepdims=True)
+        np.exp(z, out=z)
+        z /= z.sum(axis=1, keepdims=True)
+        z[np.arange(len(z)), y.ravel()] -= 1
+        z *= real.reshape(-1, 1)
+        g = {"o": h.T @ z, "bias": z.sum(axis=0), "last": by_row(last, z, len(p["last"]))}
+        dh = (z @ p["o"].T).reshape(e.shape)
+        ds = dh @ v.transpose(0, 2, 1)
+        ds -= (ds * a).sum(axis=2, keepdims=True)
+        ds *= a
+        g["far"] = np.bincount(self.away.ravel(), ds.sum(axis=0).ravel(), form.window)
+        dq, dk, dv = ds @ k / self.root, ds.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ dh
+        dq, dk, dv, e = (t.reshape(-1, WIDTH) for t in (dq, dk, dv, e))
+        g |= {"q": e.T @ dq, "k": e.T @ dk, "v": e.T @ dv, "rows": dq @ p["q"].T + dk @ p["k"].T + dv @ p["v"].T}
         return g
 
 
-class Adam:
+def by_row(x: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """Sum of the rows of each key below n."""
+    return np.stack([np.bincount(x, rows[:, j], n) for j in range(rows.shape[1])], 1)
+
+
+class Gradient:
+    """Sums over sequences, some thousand windows at a time."""
+
+    BLOCK = 256
+
     def __init__(self, model: Attention):
-        self.model, self.t = model, 0
-        self.m = {k: np.zeros_like(v) for k, v in model.p.items()}
-        self.v = {k: np.zeros_like(v) for k, v in model.p.items()}
-
-    def step(self, g: dict[str, np.ndarray], rate: float) -> None:
-        self.t += 1
-        for k, d in g.items():
-            self.m[k] += 0.1 * (d - self.m[k])
-            self.v[k] += 0.01 * (d * d - self.v[k])
-            self.model.p[k] -= (rate * (self.m[k] / (1 - 0.9**self.t)) / (np.sqrt(self.v[k] / (1 - 0.99**self.t)) + 1e-8)).astype(np.float32)
-
-
-def windows(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For texts of these lengths laid end to end: places [windows, WINDOW], which are real, which are scored here."""
-    step = WINDOW - CONTEXT
-    count = np.maximum(1, -(-(sizes - WINDOW) // step) + 1)
-    text = np.repeat(np.arange(len(sizes)), count)
-    nth = np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)
-    begin = np.cumsum(sizes) - sizes
-    inner = nth[:, None] * step + np.arange(WINDOW)
-    real = inner < sizes[text][:, None]
-    scored = real & ((np.arange(WINDOW) >= CONTEXT) | (nth == 0)[:, None])
-    return begin[text][:, None] + np.minimum(inner, sizes[text][:, None] - 1), real, scored
+        self.model, form = model, model.form
+        self.sums = {k: np.zeros(s) for k, s in form.shapes().items() if k != "e"}
+        self.rows = np.zeros((len(form.starts) - 1, WIDTH))
+        self.n = 0
+
+    def add(self, x: np.ndarray, y: np.ndarray, sizes: np.ndarray) -> None:
+        form = self.model.form
+        at, real, _ = windows(sizes, form.window, 0)
+        self.n += int(sizes.sum())
+        seen, rows = [], []
+        for i in range(0, len(at), self.BLOCK):
+            a, r = at[i : i + self.BLOCK], real[i : i + self.BLOCK]
+            g = self.model.gradients(x[a], y[a], r)
+            seen.append(x[a].ravel())
+            rows.append(g.pop("rows"))
+            for k, v in g.items():
+                self.sums[k] += v
+        if seen:
+            self.rows += by_row(np.concatenate(seen), np.concatenate(rows), len(self.rows))
+
+    def flat(self) -> np.ndarray:
+        form = self.model.form
+        spread = np.repeat(self.rows, np.diff(form.starts), axis=0)
+        return form.flat(self.sums | {"e": by_row(form.ids, spread, form.vectors)})
+
 
+def train(rows: DataFrame, form: Form, p: dict[str, np.ndarray], rounds: int, sequences: Callable, extra: int = 0) -> tuple[dict, np.ndarray]:
+    """Parameters after one step a round, and the sum of the extra numbers over all rows.
 
+    ``rows`` have a column ``turn``, the round of each; ``sequences`` makes (inputs, classes, sizes, extra numbers) of a batch.
+    """
+    spark = rows.sparkSession
+    flat, tail = form.flat(p), np.zeros(extra)
+    m, v = np.zeros_like(flat), np.zeros_like(flat)
+    size = len(flat) + 1 + extra
+    shared = spark.sparkContext.broadcast(form)
+    for number in range(rounds):
+        now = spark.sparkContext.broadcast(flat)
+
+        def run(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
+            form, gradient, more = shared.value, None, np.zeros(extra)
+            for batch in batches:
+                for i in range(0, batch.num_rows, 2000):
+                    gradient = gradient or Gradient(Attention(form, form.parts(now.value)))
+                    x, y, sizes, numbers = sequences(batch.slice(i, 2000))
+                    gradient.add(x, y, sizes)
+                    more += numbers
+            if gradient:
+                yield vector(TaskContext.get().partitionId() % SLOTS, np.concatenate((gradient.flat(), [gradient.n], more)))
+
+        total = sum(gather(rows.filter(F.col("turn") == number).mapInArrow(run, VECTOR), size).values(), np.zeros(size))
+        now.destroy()
+        n, tail = total[len(flat)], tail + total[len(flat) + 1 :]
+        if n:
+            g = total[: len(flat)] / n
+            m += 0.2 * (g - m)
+            v += 0.1 * (g * g - v)
+            at = number + 1
+            flat = flat - RATE * (1 - number / (2 * rounds)) * (m / (1 - 0.8**at)) / (np.sqrt(v / (1 - 0.9**at)) + 1e-6)
+    shared.destroy()
+    return form.parts(flat), tail
+
+
+def turn(column: Column, rounds: int) -> Column:
+    return F.coalesce(F.pmod(F.floor(F.crc32(column) / 7), F.lit(rounds)), F.lit(0)).cast("int")
+
+
+@dataclass
+class Spelling:
+    """Groups and spelling of any word."""
+
+    path: str
+    near: np.ndarray
+    class_of: np.ndarray
+    table: np.ndarray
+    p: dict[str, np.ndarray]
+
+    @classmethod
+    def of(cls, matrix: np.ndarray, path: str) -> Spelling:
+        near = affinities(matrix)
+        class_of = id_classes(matrix, near)
+        self = cls(path, near, class_of, id_table(matrix, class_of), {})
+        prior = np.append(np.bincount(class_of, matrix[:, :VOCABULARY].sum(axis=0), STOP), matrix[:, VOCABULARY].sum()) + 1.0
+        self.p = self.form().start(prior)
+        self.p["e"][:VOCABULARY] = near - near.mean(axis=1, keepdims=True)
+        self.p["e"][VOCABULARY:] = np.eye(GROUPS) - 1 / GROUPS
+        self.p["o"][np.arange(STOP) // LEVELS, np.arange(STOP)] = 0.15
+        # the start is the chain of id pairs: what a class has more after an id than anywhere
+        pairs = np.concatenate((matrix[:, :VOCABULARY] @ np.eye(STOP)[class_of], matrix[:, VOCABULARY:]), axis=1)
+        share = prior / prior.sum()
+        after = np.log((pairs + 5 * share) / (pairs.sum(axis=1, keepdims=True) + 5) / share)
+        self.p["last"] = after[np.minimum(np.arange(VOCABULARY + GROUPS), VOCABULARY)]
+        return self
+
+    def form(self) -> Form:
+        n = VOCABULARY + GROUPS  # ids, and a begin for each group
+        return Form(np.arange(n), np.arange(n + 1), np.arange(n), n, STOP + 1, 8, 3)
+
+    def groups(self, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        return np.argmax(np.add.reduceat(self.near[ids], starts[:-1], axis=0), axis=1) if len(starts) > 1 else np.zeros(0, np.int64)
+
+    def sequences(self, ids: np.ndarray, starts: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        sizes = np.diff(starts)
+        place = np.arange(len(ids)) + np.repeat(np.arange(len(sizes)), sizes)
+        x, y = np.empty(len(ids) + len(sizes), np.int64), np.full(len(ids) + len(sizes), STOP)
+        x[place + 1], y[place] = ids, self.class_of[ids]
+        x[starts[:-1] + np.arange(len(sizes))] = VOCABULARY + groups
+        return x, y, sizes + 1
+
+    def scores(self, ids: np.ndarray, starts: np.ndarray, groups: np.ndarray, model: Attention) -> np.ndarray:
+        """log10 p(spelling | group) of each word."""
+        x, y, sizes = self.sequences(ids, starts, groups)
+        if not len(x):
+            return np.zeros(0)
+        out = token_logs(model, x, y, sizes)
+        before = np.concatenate(([VOCABULARY], ids))[: len(ids)].copy()
+        before[starts[:-1]] = VOCABULARY
+        out[np.arange(len(ids)) + np.repeat(np.arange(len(sizes)), sizes - 1)] += self.table[before, ids]
+        return np.add.reduceat(out, np.cumsum(sizes) - sizes)
+
+
+def token_logs(model: Attention, x: np.ndarray, y: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """log10 p(class) of each token, each from one window."""
+    out, form = np.zeros(len(x)), model.form
+    at, _, scored = windows(sizes, form.window, form.context)
+    for i in range(0, len(at), 512):
+        a, mine = at[i : i + 512], scored[i : i + 512]
+        out[a[mine]] = model.log_p(x[a], y[a])[mine]
+    return out / np.log(10)
+
+
+def train_spelling(rare: DataFrame, spelling: Spelling) -> tuple[dict, np.ndarray, np.ndarray]:
+    """Parameters, and the count and number of different rare words of each group."""
+
+    def sequences(batch: pa.RecordBatch):
+        ids, starts = spell(batch.column(0).to_pylist(), spelling.path)
+        groups = spelling.groups(ids, starts)
+        numbers = np.concatenate((np.bincount(groups, batch.column(1).to_numpy(), GROUPS), np.bincount(groups, None, GROUPS)))
+        return *spelling.sequences(ids, starts, groups), numbers
+
+    rows = rare.select("word", "c", turn(F.col("word"), SPELLING_ROUNDS).alias("turn"))
+    p, sums = train(rows, spelling.form(), spelling.p, SPELLING_ROUNDS, sequences, 2 * GROUPS)
+    return p, sums[:GROUPS], sums[GROUPS:]
+
+
+@dataclass
 class Lexicon:
-    """Words of a batch -> first id, spelling score, base count. Frequent words come ready; others are spelled anew."""
-
-    def __init__(self, words: list[bytes], counts: np.ndarray, heads: np.ndarray, scores: np.ndarray, tables: Tables, path: str):
-        self.index = {w: i for i, w in enumerate(words)}
-        self.counts, self.heads, self.scores, self.tables, self.path = counts, heads, scores, tables, path
-
-    def look_up(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """First ids, scores, counts (-1 if not known here), places of the words not known here and their spellings.
-
-        Words that aren't known here are scored as unseen ones.
-        """
-        get = partial(self.index.get)
-        at = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
-        rare = np.flatnonzero(at < 0)
-        if len(self.heads):
-            heads, scores, counts = self.heads[at], self.scores[at], np.where(at >= 0, self.counts[at], -1)
-        else:
-            heads, scores, counts = np.zeros(len(at), np.int64), np.zeros(len(at)), np.full(len(at), -1)
-        if len(rare):
-            heads[rare], spelled = self.tables.spellings(*spell([words[i] for i in rare], self.path))
-            scores[rare] = self.tables.word_scores(heads[rare], spelled)
-        else:
-            spelled = np.zeros(0)
-        return heads, scores, counts, rare, spelled
+    """Listed words and what stays the same for all texts. A token's code: its place in the list, then L + group, then L + GROUPS."""
+
+    spelling: Spelling
+    counts: np.ndarray  # of listed words
+    ids: np.ndarray
+    starts: np.ndarray
+    class_of: np.ndarray  # of each code; the begin is class K
+    inside: np.ndarray  # log10 p(listed word | class)
+    rare_n: np.ndarray
+    rare_d: np.ndarray
+    texts: int
+    n: int
+    v: int
+
+    @classmethod
+    def of(cls, words: list[bytes], counts: np.ndarray, spelling: Spelling, rare_n: np.ndarray, rare_d: np.ndarray, texts: int, n: int, v: int) -> Lexicon:
+        ids, starts = spell(words, spelling.path)
+        groups = spelling.groups(ids, starts)
+        listed = np.where(np.arange(len(words)) < OWN, np.arange(len(words)), LISTED + groups)
+        inside = np.log10(counts / np.bincount(listed, counts, K)[listed]) if len(words) else np.zeros(0)
+        class_of = np.concatenate((listed, RARE + np.arange(GROUPS), [K])).astype(np.int64)
+        return cls(spelling, counts, ids, starts, class_of, inside, np.maximum(rare_n, 1), np.maximum(rare_d, 1), texts, n, v)
+
+    def form(self) -> Form:
+        more = VOCABULARY + np.arange(GROUPS + 1)
+        starts = np.concatenate((self.starts, self.starts[-1] + 1 + np.arange(GROUPS + 1)))
+        return Form(np.concatenate((self.ids, more)), starts, self.class_of, VOCABULARY + GROUPS + 1, K, 24, 8)
+
+    def start(self) -> dict[str, np.ndarray]:
+        prior = np.bincount(self.class_of[: len(self.counts)], self.counts, K) + 1.0
+        prior[RARE:END] += self.rare_n
+        prior[END] += self.texts
+        p = self.form().start(prior)
+        near = self.spelling.near
+        p["e"][:VOCABULARY] = near - near.mean(axis=1, keepdims=True)
+        p["e"][VOCABULARY:-1] = 2 * np.eye(GROUPS) - 2 / GROUPS
+        for kind in (LISTED, RARE):
+            p["o"][np.arange(GROUPS), kind + np.arange(GROUPS)] = 1
+        own = min(OWN, len(self.counts))
+        if own:
+            p["o"][:, :own] = 0.5 * np.add.reduceat(p["e"][self.ids], self.starts[:-1], axis=0)[:own].T
+        return p
+
+
+def sequences_of(codes: np.ndarray, sizes: np.ndarray, class_of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Inputs, classes and lengths of texts with ``sizes`` words each, laid end to end."""
+    begin = len(class_of) - 1
+    x, y = np.full(len(codes) + len(sizes), begin), np.full(len(codes) + len(sizes), END)
+    place = np.arange(len(codes)) + np.repeat(np.arange(len(sizes)), sizes)
+    x[place + 1], y[place] = codes, class_of[codes]
+    x[np.cumsum(sizes + 1) - sizes - 1] = begin
+    return x, y, sizes + 1
+
+
+def codes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    data = column.to_pylist()
+    return np.frombuffer(b"".join(data), np.int32).astype(np.int64), np.array([len(d) // 4 for d in data], np.int64)
 
 
 @dataclass
 class Model:
-    tables: Tables
-    flat: np.ndarray
-    n: int  # training tokens
-    v: int  # distinct ones
-    texts: int
-    path: str
+    lexicon: Lexicon
+    words: list[bytes]
+    counts: DataFrame  # of all training words
+    p: dict[str, np.ndarray] | None = None
 
 
-def sequences(words_a_text: list[list[bytes]], look_up) -> tuple[np.ndarray, np.ndarray, np.ndarray, tuple]:
-    """Ids before each token, class of each token and number of tokens a text, for texts laid end to end."""
-    flat = [w for t in words_a_text for w in t]
-    found = look_up(flat)
-    sizes = np.array([len(t) for t in words_a_text])
-    heads = found[0]
-    ends = np.cumsum(sizes + 1) - 1
-    place = np.arange(len(flat)) + np.repeat(np.arange(len(sizes)), sizes)
-    x, y = np.full(len(flat) + len(sizes), BOS), np.full(len(flat) + len(sizes), END)
-    y[place] = look_up.__self__.tables.class_of[heads]
-    x[place + 1] = heads
-    x[ends - sizes] = BOS
-    return x, y, sizes + 1, (*found, place, ends)
-
-
-def train(docs: DataFrame, tables: Tables, lexicon_data: tuple, path: str, turns: int = TURNS) -> np.ndarray:
-    """Average of models that the tasks train, round by round, on the texts whose turn it is; each text has one of the ``turns``."""
-    spark = docs.sparkSession
-    flat = Attention(tables.class_of, tables.prior).flat()
-    shared = spark.sparkContext.broadcast((lexicon_data, tables))
-    turn = F.pmod(F.floor(F.crc32(F.col("doc_id").cast("string").cast("binary")) / 7), F.lit(turns))
-    for number in range(turns):
-        start = spark.sparkContext.broadcast(flat)
-
-        def run(batches: Iterator[pa.RecordBatch], start=start) -> Iterator[pa.RecordBatch]:
-            data, tables = shared.value
-            lexicon, model = Lexicon(*data, tables, path), Attention(tables.class_of, flat=start.value)
-            adam, seen, rng = Adam(model), 0, np.random.default_rng(5)
-            for batch in batches:
-                texts = batch.column(0).to_pylist()
-                for i in range(0, len(texts), 200):
-                    x, y, sizes, _ = sequences([words_of(t) for t in texts[i : i + 200]], lexicon.look_up)
-                    at, real, _ = windows(sizes)
-                    order = rng.permutation(len(at))
-                    for j in range(0, len(order), BATCH):
-                        w = order[j : j + BATCH]
-                        adam.step(model.gradients(x[at[w]], y[at[w]], real[w].astype(np.float32)), RATE / (1 + seen / 400_000))
-                        seen += int(real[w].sum())
-            if seen:
-                values = model.flat().astype(float) * seen
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(values))), pa.array(values), pa.array(np.full(len(values), float(seen)))], names=["i", "v", "w"])
-
-        part = docs.filter(F.coalesce(turn, F.lit(0)) == number).select(utf8("text").alias("text"))
-        means = part.mapInArrow(run, "i bigint, v double, w double").groupBy("i").agg((F.sum("v") / F.sum("w")).alias("v")).toArrow()
-        if len(means):
-            flat = flat.copy()
-            flat[means["i"].to_numpy()] = means["v"].to_numpy().astype(np.float32)
-    return flat
-
-
-def fit(docs: DataFrame, path: str | None = None) -> tuple[Model, DataFrame, tuple]:
-    """Model, table of all training word counts, and the frequent words with their numbers."""
+def make_lexicon(known: DataFrame, path: str | None = None) -> Model:
+    """Counts of all training words, groups, the list and the trained spelling."""
     path = path or bpe.default_path()
-    known = docs.filter(~held_out())
     counts = materialize(count_words(known), "word_counts")
     texts = known.count()
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
-    tables = Tables.of(*count_ids(counts, path), texts)
-    top = counts.filter(F.octet_length("word") <= TOP_BYTES).orderBy(F.desc("c"), "word").limit(TOP).toArrow()
-    words, c = top["word"].to_pylist(), top["c"].to_numpy()
-    heads, spelled = tables.spellings(*spell(words, path))
-    data = (words, c, heads, tables.word_scores(heads, spelled, c))
-    flat = train(known, tables, data, path)
-    return Model(tables, flat, int(total["n"]) + texts, int(total["v"]) + (texts > 0), texts, path), counts, data
-
-
-def score(docs: DataFrame, model: Model, counts: DataFrame, frequent: tuple) -> DataFrame:
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((model, frequent))
+    # words seen once or twice stay off the list: they stand for the words yet to come
+    top = counts.filter((F.octet_length("word") <= TOP_BYTES) & (F.col("c") >= LEAST)).orderBy(F.desc("c"), "word").limit(TOP).toArrow()
+    words, c = top["word"].to_pylist(), top["c"].to_numpy().astype(float)
+    rare = F.octet_length("word") > TOP_BYTES
+    rare |= ((F.col("c") < int(c[-1])) | ((F.col("c") == int(c[-1])) & (F.col("word") > F.lit(bytearray(words[-1]))))) if words else F.lit(True)
+    spelling = Spelling.of(count_ids(counts, path), path)
+    spelling.p, rare_n, rare_d = train_spelling(counts.filter(rare), spelling)
+    lexicon = Lexicon.of(words, c, spelling, rare_n, rare_d, texts, int(total["n"]) + texts, int(total["v"]) + (texts > 0))
+    return Model(lexicon, words, counts)
+
+
+def encode(docs: DataFrame, model: Model) -> DataFrame:
+    """Texts as token codes, with the base score and what doesn't depend on context; rare words are kept to meet their counts."""
+    context = docs.sparkSession.sparkContext
+    shared, listed = context.broadcast(model.lexicon), context.broadcast(model.words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, data = shared.value
-        lexicon, net = Lexicon(*data, model.tables, model.path), Attention(model.tables.class_of, flat=model.flat)
-        tables, total = net.tables(), np.log10(model.n + model.v + 1)
+        lexicon = shared.value
+        spelling, index = lexicon.spelling, {w: i for i, w in enumerate(listed.value)}
+        net = Attention(spelling.form(), spelling.p)
+        total, rare = np.log10(lexicon.n + lexicon.v + 1), len(index)
+        base_of, known = np.append(np.log10(lexicon.counts + 1), 0), np.append(np.ones(rare, np.int64), 0)
+        inside_of, get = np.append(lexicon.inside, 0), index.get
         for batch in batches:
             for i in range(0, batch.num_rows, 500):
                 part = batch.slice(i, 500)
-                texts = [words_of(t) for t in part.column(2).to_pylist()]
-                x, y, sizes, (_, inside, known, rare, spelled, place, ends) = sequences(texts, lexicon.look_up)
-                logs = np.zeros(len(x))
-                at, _, scored = windows(sizes)
-                for j in range(0, len(at), 512):
-                    a, mine = at[j : j + 512], scored[j : j + 512]
-                    logs[a[mine]] = net.log_p(x[a], y[a], tables)[mine]
-                logs /= np.log(10)
-                logs[place] += inside
-                base, c = np.zeros(len(x)), np.zeros(len(x), np.int64)
-                base[place] = np.log10(np.maximum(known, 0) + 1) - total
-                base[ends] = np.log10(model.texts + 1) - total
-                c[place] = known > 0
-                c[ends] = model.texts > 0
-                begin = ends - sizes + 1
+                texts = [words_of(t) for t in part.column(3).to_pylist()]
+                sizes = np.array([len(t) for t in texts])
                 words = [w for t in texts for w in t]
-                owner = np.repeat(np.arange(len(sizes)), sizes - 1)
-                lists = [[] for _ in texts]
-                for k, value in zip(rare.tolist(), spelled.tolist(), strict=True):
-                    lists[owner[k]].append({"word": words[k], "spelled": value})
-                yield pa.RecordBatch.from_arrays([
-                    part.column(0), part.column(1), pa.array(sizes.astype(np.int64)), pa.array(np.add.reduceat(c, begin)), pa.array(np.add.reduceat(base, begin)),
-                    pa.array(np.add.reduceat(logs, begin)), pa.array(lists, pa.list_(pa.struct([("word", pa.binary()), ("spelled", pa.float64())]))),
-                ], names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "rare"])
+                codes = np.fromiter((get(w, rare) for w in words), np.int64, len(words))
+                base, inside, c = base_of[codes] - total, inside_of[codes], known[codes]
+                at = np.flatnonzero(codes == rare)
+                lists: list[list] = [[] for _ in texts]
+                if len(at):
+                    new: dict[bytes, int] = {}
+                    which = np.array([new.setdefault(words[j], len(new)) for j in at.tolist()])
+                    ids, starts = spell(list(new), spelling.path)
+                    groups = spelling.groups(ids, starts)
+                    log_d = np.log10(DISCOUNT * lexicon.rare_d)[groups]
+                    spelled = spelling.scores(ids, starts, groups, net) + log_d
+                    codes[at] += groups[which]
+                    inside[at] = (spelled - np.log10(lexicon.rare_n)[groups])[which]
+                    names, owner = list(new), np.repeat(np.arange(len(texts)), sizes)[at]
+                    for (doc, w), n in Counter(zip(owner.tolist(), which.tolist(), strict=True)).items():
+                        lists[doc].append({"word": names[w], "n": n, "spelled": float(spelled[w])})
+                ends = np.cumsum(sizes)
+                per = lambda v: np.diff(np.concatenate(([0], np.cumsum(v)))[np.concatenate(([0], ends))])
+                end = np.log10(lexicon.texts + 1) - total
+                data = codes.astype(np.int32)
+                columns = [
+                    pa.array(sizes + 1, pa.int64()), pa.array(per(c) + (lexicon.texts > 0), pa.int64()), pa.array(per(base) + end), pa.array(per(inside)),
+                    pa.array([data[a:b].tobytes() for a, b in zip(ends - sizes, ends, strict=True)], pa.binary()),
+                    pa.array(lists, pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64()), ("spelled", pa.float64())]))),
+                ]
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], *columns], names=[*part.schema.names[:3], "n_tokens", "n_known", "base_score", "inside", "codes", "rare"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double, rare array<struct<word:binary,spelled:double>>"
-    scored = docs.select("doc_id", held_out().alias("held_out"), utf8("text").alias("text")).mapInArrow(run, schema)
-    scored = materialize(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
-    # the words that the tasks didn't know get their counts here
-    rest = scored.select("row", F.explode("rare").alias("r")).groupBy("row", "r.word").agg(F.count(F.lit(1)).alias("n"), F.first("r.spelled").alias("spelled"))
-    seen = F.col("n") * (F.log10(F.col("c") + F.pow(F.lit(10.0), "spelled")) - F.col("spelled"))
-    found = rest.join(counts, "word").groupBy("row").agg(F.sum("n").alias("more"), F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("add"), F.sum(seen).alias("gain"))
+    schema = f"doc_id {kind}, held_out boolean, turn int, n_tokens bigint, n_known bigint, base_score double, inside double, codes binary, rare array<struct<word:binary,n:bigint,spelled:double>>"
+    key = turn(F.col("doc_id").cast("string").cast("binary"), ROUNDS).alias("turn")
+    coded = docs.select("doc_id", held_out().alias("held_out"), key, utf8("text").alias("text")).mapInArrow(run, schema)
+    return materialize(coded.withColumn("row", F.monotonically_increasing_id()), "coded")
+
+
+def train_words(coded: DataFrame, model: Model) -> Model:
+    """The model with attention trained on all rows of ``coded``."""
+    shared = coded.sparkSession.sparkContext.broadcast(model.lexicon.class_of)
+
+    def sequences(batch: pa.RecordBatch):
+        return *sequences_of(*codes_of(batch.column(0)), shared.value), 0
+
+    p, _ = train(coded.select("codes", "turn"), model.lexicon.form(), model.lexicon.start(), ROUNDS, sequences)
+    return replace(model, p=p)
+
+
+def score_coded(coded: DataFrame, model: Model) -> DataFrame:
+    lexicon = model.lexicon
+    shared = coded.sparkSession.sparkContext.broadcast((lexicon.form(), model.p))
+    kept = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base_score"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        form, p = shared.value
+        net = Attention(form, p)
+        for batch in batches:
+            for i in range(0, batch.num_rows, 1000):
+                part = batch.slice(i, 1000)
+                x, y, sizes = sequences_of(*codes_of(part.column("codes")), form.class_of)
+                logs = np.add.reduceat(token_logs(net, x, y, sizes), np.cumsum(sizes) - sizes) + part.column("inside").to_numpy()
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), pa.array(logs)], names=[*kept, "score"])
+
+    kind = coded.schema["doc_id"].dataType.simpleString()
+    scored = coded.select(*kept, "inside", "codes").mapInArrow(run, f"row bigint, doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double")
+    # rare words get their counts here
+    rest = coded.select("row", F.explode("rare").alias("r")).select("row", "r.*")
+    seen = F.col("n") * (F.log10(F.col("c") - DISCOUNT + F.pow(F.lit(10.0), "spelled")) - F.col("spelled"))
+    found = rest.join(model.counts, "word").groupBy("row").agg(F.sum("n").alias("more"), F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("add"), F.sum(seen).alias("gain"))
     return scored.join(found, "row", "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more", F.lit(0))).alias("n_known"), F.lit(model.n).cast("long").alias("train_tokens"),
+        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more", F.lit(0))).alias("n_known"), F.lit(lexicon.n).cast("long").alias("train_tokens"),
         (F.col("base_score") + F.coalesce("add", F.lit(0.0))).alias("base_score"), (F.col("score") + F.coalesce("gain", F.lit(0.0))).alias("score"),
     )
 
 
+def fit(docs: DataFrame, path: str | None = None) -> Model:
+    """A model of all training texts among ``docs``."""
+    known = docs.filter(~held_out())
+    model = make_lexicon(known, path)
+    return train_words(encode(known, model), model)
+
+
+def score(docs: DataFrame, model: Model) -> DataFrame:
+    """Rows (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of any texts."""
+    return score_coded(encode(docs, model), model)
+
+
 def score_corpus(docs: DataFrame, path: str | None = None) -> DataFrame:
-    return score(docs, *fit(docs, path))
+    """``score`` of all texts by the model of the training ones; texts are encoded once."""
+    model = make_lexicon(docs.filter(~held_out()), path)
+    coded = encode(docs, model)
+    return score_coded(coded, train_words(coded.filter(~F.col("held_out")), model))
