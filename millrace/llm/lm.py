@@ -53,6 +53,7 @@ TOP, TOP_BYTES, LEAST = 200_000, 64, 3  # listed words: how many, how long, how
 DISCOUNT = 0.75
 ROUNDS, SPELLING_ROUNDS = 16, 12
 RATE = 0.15
+MOST = 60.0  # bound of scores and logits before the exponential
 SLOTS = 16
 
 
@@ -251,48 +252,56 @@ class Attention:
         n = form.window
         self.mask = np.where(np.tril(np.ones((n, n), bool)), 0, -1e9).astype(kind)
         self.away = np.maximum(np.arange(n)[:, None] - np.arange(n), 0)
-        self.rows = np.add.reduceat(self.p["e"][form.ids], form.starts[:-1], axis=0)
+        rows = np.add.reduceat(self.p["e"][form.ids], form.starts[:-1], axis=0)
         self.root = kind(np.sqrt(WIDTH))
-        self.tables = self.rows @ self.p["q"] / self.root, self.rows @ self.p["k"], self.rows @ self.p["v"]
+        # input, query, key and value of each input side by side
+        self.table = np.concatenate((rows, rows @ self.p["q"] / self.root, rows @ self.p["k"], rows @ self.p["v"]), axis=1)
         self.after = self.p["last"] + self.p["bias"]
-
-    def weights(self, x: np.ndarray) -> np.ndarray:
-        q, k, _ = self.tables
-        a = q[x] @ k[x].transpose(0, 2, 1)
-        a += self.mask + self.p["far"][self.away]
-        a -= a.max(axis=2, keepdims=True)
+        self.ones = np.ones((max(n, form.classes), 1), kind)
+        self.far = self.mask + self.p["far"][self.away]
+
+    def look(self, x: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Inputs, queries, keys, values, attention weights and attended values at the places of each window."""
+        t = self.table[x]
+        e, q, k, v = (t[..., i * WIDTH : (i + 1) * WIDTH] for i in range(4))
+        a = q @ k.transpose(0, 2, 1)
+        a += self.far
+        np.minimum(a, MOST, out=a)
         np.exp(a, out=a)
-        a /= a.sum(axis=2, keepdims=True)
-        return a
+        a /= a @ self.ones[: a.shape[2]]
+        return e, q, k, v, a, a @ v
+
+    def logits(self, h: np.ndarray, last: np.ndarray) -> np.ndarray:
+        z = h.reshape(-1, WIDTH) @ self.p["o"]
+        z += self.after[last]
+        return np.clip(z, -MOST, MOST, out=z)
 
     def log_p(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Natural log probability of the classes y [windows, window] after the inputs x."""
-        h = self.weights(x) @ self.tables[2][x]
-        z = h.reshape(-1, WIDTH) @ self.p["o"]
-        z += self.after[self.form.class_of[x.ravel()]]
-        z -= z.max(axis=1, keepdims=True)
+        z = self.logits(self.look(x)[-1], self.form.class_of[x.ravel()])
         picked = z[np.arange(len(z)), y.ravel()]
         np.exp(z, out=z)
-        return (picked - np.log(z.sum(axis=1))).reshape(x.shape)
+        return (picked - np.log((z @ self.ones[: z.shape[1]])[:, 0])).reshape(x.shape)
 
     def gradients(self, x: np.ndarray, y: np.ndarray, real: np.ndarray) -> dict[str, np.ndarray]:
         """Of the summed loss over real places; ``rows`` are those of the input at each place."""
         p, form = self.p, self.form
-        e, (q, k, v) = self.rows[x], (t[x] for t in self.tables)
-        a = self.weights(x)
-        h = (a @ v).reshape(-1, WIDTH)
+        e, q, k, v, a, h = self.look(x)
         last = form.class_of[x.ravel()]
-        z = h @ p["o"]
-        z += self.after[last]
-        z -= z.max(axis=1, keepdims=True)
+        z = self.logits(h, last)
         np.exp(z, out=z)
-        z /= z.sum(axis=1, keepdims=True)
-        z[np.arange(len(z)), y.ravel()] -= 1
-        z *= real.reshape(-1, 1)
-        g = {"o": h.T @ z, "bias": z.sum(axis=0), "last": by_row(last, z, len(p["last"]))}
-        dh = (z @ p["o"].T).reshape(e.shape)
+        z *= real.reshape(-1, 1) / (z @ self.ones[: z.shape[1]])
+        z[np.arange(len(z)), y.ravel()] -= real.ravel()
+        g = {"o": h.reshape(-1, WIDTH).T @ z, "bias": z.sum(axis=0)}
+        if len(p["last"]) <= 64:
+            hot = np.zeros((len(z), len(p["last"])), z.dtype)
+            hot[np.arange(len(z)), last] = 1
+            g["last"] = hot.T @ z
+        else:
+            g["last"] = by_row(last, z, len(p["last"]))
+        dh = (z @ p["o"].T).reshape(h.shape)
         ds = dh @ v.transpose(0, 2, 1)
-        ds -= (ds * a).sum(axis=2, keepdims=True)
+        ds -= ((dh * h) @ self.ones[:WIDTH])
         ds *= a
         g["far"] = np.bincount(self.away.ravel(), ds.sum(axis=0).ravel(), form.window)
         dq, dk, dv = ds @ k / self.root, ds.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ dh
