@@ -29,9 +29,11 @@ empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -51,10 +53,12 @@ STOP = GROUPS * LEVELS  # classes of ids: group and level of frequency, and the
 WIDTH = GROUPS
 TOP, TOP_BYTES, LEAST = 200_000, 64, 3  # listed words: how many, how long, how often seen
 DISCOUNT = 0.75
-ROUNDS, SPELLING_ROUNDS = 16, 12
+ROUNDS, SPELLING_ROUNDS = 12, 12
 RATE = 0.15
 MOST = 60.0  # bound of scores and logits before the exponential
 SLOTS = 16
+#: Blanks beside the ASCII ones that part words, and very long runs.
+ODD_BLANKS = re.compile(r"[^\S ]|\S{100000}")
 
 
 def held_out(column: str = "doc_id") -> Column:
@@ -86,12 +90,25 @@ def count_words(docs: DataFrame, flush: int = 300_000) -> DataFrame:
     return docs.select(utf8("text").alias("text")).mapInArrow(run, "word binary, c bigint").groupBy("word").agg(F.sum("c").alias("c"))
 
 
+@lru_cache(2)
+def beginners(path: str) -> np.ndarray:
+    """Which ids start with a space: within words there is none, so they begin words."""
+    fast = bpe.encoder(path, VOCABULARY).fast
+    return np.array([fast.decode_single_token_bytes(i)[:1] == b" " for i in range(VOCABULARY)])
+
+
 def spell(words: list[bytes], path: str) -> tuple[np.ndarray, np.ndarray]:
     """Subword ids of all words in one array, and where each word begins in it (and the last one ends)."""
     encode = bpe.encoder(path, VOCABULARY).fast.encode_ordinary
-    ids = [encode(" " + w.decode("utf-8", "replace")) for w in words]
-    starts = np.concatenate(([0], np.cumsum([len(i) for i in ids]))).astype(np.int64)
-    return np.array([x for i in ids for x in i], np.int64), starts
+    text = b"".join(b" " + w for w in words).decode("utf-8", "replace")
+    if not ODD_BLANKS.search(text):  # then words don't touch each other's pre-tokens
+        ids = np.array(encode(text), np.int64)
+        starts = np.flatnonzero(beginners(path)[ids]) if len(ids) else ids
+        if len(starts) == len(words):
+            return ids, np.append(starts, len(ids))
+    each = [encode(" " + w.decode("utf-8", "replace")) for w in words]
+    starts = np.concatenate(([0], np.cumsum([len(i) for i in each]))).astype(np.int64)
+    return np.array([x for i in each for x in i], np.int64), starts
 
 
 VECTOR = "slot int, at binary, v binary"
@@ -347,31 +364,34 @@ class Gradient:
         return form.flat(self.sums | {"e": by_row(form.ids, spread, form.vectors)})
 
 
-def train(rows: DataFrame, form: Form, p: dict[str, np.ndarray], rounds: int, sequences: Callable, extra: int = 0) -> tuple[dict, np.ndarray]:
+def train(rows: DataFrame, form: Form, p: dict[str, np.ndarray], rounds: int, sequences: Callable, at_once: int, extra: int = 0) -> tuple[dict, np.ndarray]:
     """Parameters after one step a round, and the sum of the extra numbers over all rows.
 
-    ``rows`` have a column ``turn``, the round of each; ``sequences`` makes (inputs, classes, sizes, extra numbers) of a batch.
+    ``rows`` have a column ``turn``, the round of each; ``sequences`` makes (inputs, classes, sizes, extra numbers) of
+    a batch of ``at_once`` rows.
     """
     spark = rows.sparkSession
     flat, tail = form.flat(p), np.zeros(extra)
     m, v = np.zeros_like(flat), np.zeros_like(flat)
     size = len(flat) + 1 + extra
     shared = spark.sparkContext.broadcast(form)
+    # a round reads one part in ``rounds``; its tasks are as much larger
+    tasks = max(spark.sparkContext.defaultParallelism, -(-rows.rdd.getNumPartitions() // rounds))
     for number in range(rounds):
         now = spark.sparkContext.broadcast(flat)
 
         def run(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
             form, gradient, more = shared.value, None, np.zeros(extra)
             for batch in batches:
-                for i in range(0, batch.num_rows, 2000):
+                for i in range(0, batch.num_rows, at_once):
                     gradient = gradient or Gradient(Attention(form, form.parts(now.value)))
-                    x, y, sizes, numbers = sequences(batch.slice(i, 2000))
+                    x, y, sizes, numbers = sequences(batch.slice(i, at_once))
                     gradient.add(x, y, sizes)
                     more += numbers
             if gradient:
                 yield vector(TaskContext.get().partitionId() % SLOTS, np.concatenate((gradient.flat(), [gradient.n], more)))
 
-        total = sum(gather(rows.filter(F.col("turn") == number).mapInArrow(run, VECTOR), size).values(), np.zeros(size))
+        total = sum(gather(rows.filter(F.col("turn") == number).coalesce(tasks).mapInArrow(run, VECTOR), size).values(), np.zeros(size))
         now.destroy()
         n, tail = total[len(flat)], tail + total[len(flat) + 1 :]
         if n:
@@ -462,7 +482,7 @@ def train_spelling(rare: DataFrame, spelling: Spelling) -> tuple[dict, np.ndarra
         return *spelling.sequences(ids, starts, groups), numbers
 
     rows = rare.select("word", "c", turn(F.col("word"), SPELLING_ROUNDS).alias("turn"))
-    p, sums = train(rows, spelling.form(), spelling.p, SPELLING_ROUNDS, sequences, 2 * GROUPS)
+    p, sums = train(rows, spelling.form(), spelling.p, SPELLING_ROUNDS, sequences, 10_000, 2 * GROUPS)
     return p, sums[:GROUPS], sums[GROUPS:]
 
 
@@ -494,7 +514,7 @@ class Lexicon:
     def form(self) -> Form:
         more = VOCABULARY + np.arange(GROUPS + 1)
         starts = np.concatenate((self.starts, self.starts[-1] + 1 + np.arange(GROUPS + 1)))
-        return Form(np.concatenate((self.ids, more)), starts, self.class_of, VOCABULARY + GROUPS + 1, K, 24, 8)
+        return Form(np.concatenate((self.ids, more)), starts, self.class_of, VOCABULARY + GROUPS + 1, K, 16, 4)
 
     def start(self) -> dict[str, np.ndarray]:
         prior = np.bincount(self.class_of[: len(self.counts)], self.counts, K) + 1.0
@@ -573,19 +593,18 @@ def encode(docs: DataFrame, model: Model) -> DataFrame:
                 codes = np.fromiter((get(w, rare) for w in words), np.int64, len(words))
                 base, inside, c = base_of[codes] - total, inside_of[codes], known[codes]
                 at = np.flatnonzero(codes == rare)
-                lists: list[list] = [[] for _ in texts]
-                if len(at):
-                    new: dict[bytes, int] = {}
-                    which = np.array([new.setdefault(words[j], len(new)) for j in at.tolist()])
-                    ids, starts = spell(list(new), spelling.path)
-                    groups = spelling.groups(ids, starts)
-                    log_d = np.log10(DISCOUNT * lexicon.rare_d)[groups]
-                    spelled = spelling.scores(ids, starts, groups, net) + log_d
-                    codes[at] += groups[which]
-                    inside[at] = (spelled - np.log10(lexicon.rare_n)[groups])[which]
-                    names, owner = list(new), np.repeat(np.arange(len(texts)), sizes)[at]
-                    for (doc, w), n in Counter(zip(owner.tolist(), which.tolist(), strict=True)).items():
-                        lists[doc].append({"word": names[w], "n": n, "spelled": float(spelled[w])})
+                new: dict[bytes, int] = {}
+                which = np.array([new.setdefault(words[j], len(new)) for j in at.tolist()], np.int64)
+                ids, starts = spell(list(new), spelling.path)
+                groups = spelling.groups(ids, starts)
+                spelled = spelling.scores(ids, starts, groups, net) + np.log10(DISCOUNT * lexicon.rare_d)[groups]
+                codes[at] += groups[which]
+                inside[at] = (spelled - np.log10(lexicon.rare_n)[groups])[which]
+                # each rare word of a text once, with its number
+                pairs, n = np.unique(np.repeat(np.arange(len(texts)), sizes)[at] * max(1, len(new)) + which, return_counts=True)
+                owner, word = np.divmod(pairs, max(1, len(new)))
+                found = pa.StructArray.from_arrays([pa.array(list(new), pa.binary()).take(pa.array(word)), pa.array(n, pa.int64()), pa.array(spelled[word])], ["word", "n", "spelled"])
+                lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(owner, np.arange(len(texts) + 1)), pa.int32()), found)
                 ends = np.cumsum(sizes)
                 per = lambda v: np.diff(np.concatenate(([0], np.cumsum(v)))[np.concatenate(([0], ends))])
                 end = np.log10(lexicon.texts + 1) - total
@@ -593,7 +612,7 @@ def encode(docs: DataFrame, model: Model) -> DataFrame:
                 columns = [
                     pa.array(sizes + 1, pa.int64()), pa.array(per(c) + (lexicon.texts > 0), pa.int64()), pa.array(per(base) + end), pa.array(per(inside)),
                     pa.array([data[a:b].tobytes() for a, b in zip(ends - sizes, ends, strict=True)], pa.binary()),
-                    pa.array(lists, pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64()), ("spelled", pa.float64())]))),
+                    lists,
                 ]
                 yield pa.RecordBatch.from_arrays([*part.columns[:3], *columns], names=[*part.schema.names[:3], "n_tokens", "n_known", "base_score", "inside", "codes", "rare"])
 
@@ -611,7 +630,7 @@ def train_words(coded: DataFrame, model: Model) -> Model:
     def sequences(batch: pa.RecordBatch):
         return *sequences_of(*codes_of(batch.column(0)), shared.value), 0
 
-    p, _ = train(coded.select("codes", "turn"), model.lexicon.form(), model.lexicon.start(), ROUNDS, sequences)
+    p, _ = train(coded.select("codes", "turn"), model.lexicon.form(), model.lexicon.start(), ROUNDS, sequences, 500)
     return replace(model, p=p)
 
 
