@@ -47,7 +47,7 @@ def spans_of(units: np.ndarray, n: int, k: int) -> tuple[np.ndarray, ...]:
 
 
 def find_spans(docs: DataFrame, unit: str, n: int, k: int) -> DataFrame:
-    """Rows (anchor, span, doc_id, crc, first, count); ``crc`` tells texts under one doc_id apart."""
+    """Rows (anchor, span, doc_id, crc, first, count); ``crc`` tells texts (no nulls) under one doc_id apart."""
 
     def run(batch: pa.RecordBatch) -> list:
         data = batch.column(1).to_pylist()
@@ -59,7 +59,7 @@ def find_spans(docs: DataFrame, unit: str, n: int, k: int) -> DataFrame:
         return [column(0), column(1), batch.column(0).take(pa.array(rows)), crc[rows], column(2).astype(np.int32), column(3).astype(np.int32)]
 
     key = docs.schema["doc_id"].dataType.simpleString()
-    return map_batches(docs.select("doc_id", utf8("text").alias("text")), run, f"anchor bigint, span bigint, doc_id {key}, crc bigint, first int, count int")
+    return map_batches(docs.select("doc_id", F.col("text").cast("binary").alias("text")), run, f"anchor bigint, span bigint, doc_id {key}, crc bigint, first int, count int")
 
 
 def candidates(docs: DataFrame, unit: str, n: int, k: int, across: bool) -> tuple[DataFrame, DataFrame]:
@@ -100,6 +100,30 @@ def with_texts(docs: DataFrame, parts: DataFrame) -> DataFrame:
     return d.join(p, F.col("d.doc_id").eqNullSafe(F.col("p.doc_id")) & (F.col("d.crc") == F.col("p.crc"))).select("d.doc_id", "d.crc", "d.text", "p.parts")
 
 
+TEXT_KEY = ["hash", "crc", "bytes"]
+
+
+def collapse(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Each different text once (doc_id, text), under its least doc_id; of these, all that have copies; rows with copies.
+
+    The last are (doc_id, crc, bytes, least); the least document's own rows are among them. Copies stay out of the
+    search for spans, where a large group of them would make rows for each span of each copy. Texts are shuffled, combined
+    first, only where their slot is taken by a text with copies.
+    """
+    slot = F.pmod(F.xxhash64(*TEXT_KEY), F.lit(SLOTS)).alias("slot")
+    text = utf8("text")
+    d = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("hash"), F.crc32(text).alias("crc"), F.octet_length(text).alias("bytes"))
+    keys = materialize(d.select("doc_id", *TEXT_KEY), "text_keys")
+    groups = keys.groupBy(*TEXT_KEY).agg(F.count(F.lit(1)).alias("text_rows"), F.min("doc_id").alias("least")).filter("text_rows > 1")
+    groups = materialize(groups, "copied")
+    taken = F.broadcast(groups.select(slot).distinct())
+    d = d.withColumn("slot", slot)
+    many = d.join(taken, "slot", "left_semi").groupBy(*TEXT_KEY).agg(F.min("doc_id").alias("doc_id"), F.first("text").alias("text"))
+    many = materialize(many.select("doc_id", "crc", "text"), "copied_texts")
+    each = d.join(taken, "slot", "left_anti").select("doc_id", "text").unionByName(many.select("doc_id", "text"))
+    return each, many, keys.join(groups, TEXT_KEY).select("doc_id", "crc", "bytes", "least")
+
+
 def settle(found: DataFrame, changed: DataFrame) -> DataFrame:
     """All documents of ``found`` (doc_id, crc, ..), each with its row of ``changed``, if any, as a struct ``x``."""
     c = changed.dropDuplicates(["doc_id", "crc"]).select(F.struct("*").alias("x")).alias("c")

@@ -1,7 +1,8 @@
 """Removal of word passages that an earlier document already has, by suffix automata of reference spans.
 
 A passage is ``n`` consecutive words; it goes from every document but the one with the least doc_id. References are the spans
-(see ``spans``) whose anchor occurs in several documents; equal spans count once, for their first document. A shard holds the
+(see ``spans``) whose anchor occurs in several documents; equal spans count once, for their first document. Documents with the
+text of an earlier one lose every passage without a search. A shard holds the
 spans of one anchor: a suffix automaton is built over them in document order, and each span is first streamed through the
 automaton of the spans of smaller documents for its matching statistics; where these reach ``n``, a passage repeats. A shard
 is sent to the task that streams its spans rather than broadcast to all, as all references together grow with the corpus.
@@ -23,8 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import attach, covered, map_batches, restored, utf8
-from millrace.llm.spans import by_document, candidates, open_spans, settle, settle_large, shards, with_texts
+from millrace.llm.common import attach, covered, map_batches, materialize, restored, utf8
+from millrace.llm.spans import by_document, candidates, collapse, open_spans, settle, settle_large, shards, with_texts
 
 WORDS = 50
 #: Spans of one anchor that one automaton is built over: some tens of MB.
@@ -107,8 +108,7 @@ def settle_shards(spans: DataFrame, n: int) -> DataFrame:
 
 
 def repeated_passages(docs: DataFrame, n: int = WORDS, shard: int = SHARD) -> DataFrame:
-    """Rows (doc_id, crc, lo, hi): runs of words that go."""
-    docs = docs.filter("doc_id IS NOT NULL")
+    """Rows (doc_id, crc, lo, hi): runs of words that go, of documents whose texts all differ."""
     found, kinds = candidates(docs, "word", n, n // 2, across=True)
     spans = open_spans(docs, kinds, "word", n)
     settled = settle_shards(spans.filter(F.col("kinds") <= shard), n)
@@ -116,9 +116,11 @@ def repeated_passages(docs: DataFrame, n: int = WORDS, shard: int = SHARD) -> Da
     if large.limit(1).count():
         settled = settled.unionByName(settle_large(large, "word", n, n // 2, across=True).select("anchor", "span", "at"))
     settled = settled.groupBy("anchor", "span").agg(F.collect_list("at").alias("ats"))  # at most n - n / 2 + 1 places
-    placed = found.join(kinds.select("anchor", "span", F.col("doc_id").alias("least")), ["anchor", "span"])
+    # every candidate meets its kind once; the written table serves both cases below
+    first = kinds.select("anchor", "span", F.col("doc_id").alias("least"))
+    placed = materialize(found.join(first, ["anchor", "span"]), "placed")
     later = placed.filter("doc_id > least").select("doc_id", "crc", F.col("first").alias("lo"), (F.col("first") + F.col("count") + (n - 1)).alias("hi"))
-    own = placed.filter("doc_id = least").join(settled, ["anchor", "span"]).select("doc_id", "crc", "first", F.explode("ats").alias("at"))
+    own = placed.filter("doc_id = least").join(materialize(settled, "settled"), ["anchor", "span"]).select("doc_id", "crc", "first", F.explode("ats").alias("at"))
     return later.unionByName(own.select("doc_id", "crc", (F.col("first") + F.col("at")).alias("lo"), (F.col("first") + F.col("at") + n).alias("hi")))
 
 
@@ -136,9 +138,19 @@ def dedup(docs: DataFrame, n: int = WORDS, shard: int = SHARD) -> DataFrame:
         kinds = [pa.int64(), pa.binary()]
         return [batch.column(0), batch.column(1), *(pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True))]
 
+    def lengths(batch: pa.RecordBatch) -> list:
+        return [*batch.columns[:2], pa.array([len(t.split()) for t in batch.column(2).to_pylist()], pa.int64())]
+
+    docs = docs.filter("doc_id IS NOT NULL")
     key = docs.schema["doc_id"].dataType.simpleString()
-    texts = with_texts(docs, by_document(repeated_passages(docs, n, shard), "lo", "hi"))
-    return map_batches(texts, run, f"doc_id {key}, crc bigint, n_removed bigint, kept binary")
+    each, many, copies = collapse(docs)
+    texts = with_texts(each, by_document(repeated_passages(each, n, shard), "lo", "hi"))
+    first = map_batches(texts, run, f"doc_id {key}, crc bigint, n_removed bigint, kept binary")
+    # a copy has all its passages from the least document with its text
+    later = materialize(copies.filter("doc_id > least").select("least", "crc", "doc_id").distinct(), "copies")
+    long = map_batches(many, lengths, f"least {key}, crc bigint, n_removed bigint").filter(F.col("n_removed") >= n)
+    gone = later.join(materialize(long, "long_copied"), ["least", "crc"])
+    return first.unionByName(gone.select("doc_id", "crc", "n_removed", F.lit(b"").alias("kept")))
 
 
 def digests(docs: DataFrame, n: int = WORDS, shard: int = SHARD) -> DataFrame:
