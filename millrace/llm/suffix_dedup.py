@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 
 from pyspark.sql.pandas.types import to_arrow_type
 
-from millrace.llm.common import attach, covered, map_batches, restored, utf8
-from millrace.llm.spans import by_document, candidates, open_spans, rolling_of, settle, settle_large, shards, with_texts
+from millrace.llm.common import attach, covered, map_batches, materialize, restored, utf8
+from millrace.llm.spans import by_document, candidates, collapse, open_spans, rolling_of, settle, settle_large, shards, with_texts
 
 LENGTH = 400
 #: Spans of one anchor that one task ranks in memory: some tens of MB.
@@ -101,8 +101,13 @@ def dedup(docs: DataFrame, n: int = LENGTH, shard: int = SHARD) -> DataFrame:
         return [batch.column(0), batch.column(1), *(pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True))]
 
     key = docs.schema["doc_id"].dataType.simpleString()
-    texts = with_texts(docs, by_document(repeated_windows(docs, n, shard), "lo", "hi"))
-    return map_batches(texts, run, f"doc_id {key}, crc bigint, n_removed bigint, n_spans bigint, kept binary")
+    each, _, copies = collapse(docs)
+    # every string of a text with copies starts elsewhere too
+    gone = materialize(copies.filter(F.col("bytes") >= n).select("doc_id", "crc", F.col("bytes").cast("long").alias("n_removed")).distinct(), "copies")
+    parts = by_document(repeated_windows(each, n, shard), "lo", "hi").alias("p")
+    parts = parts.join(gone.alias("g"), F.col("p.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("p.crc") == F.col("g.crc")), "left_anti")
+    first = map_batches(with_texts(each, parts), run, f"doc_id {key}, crc bigint, n_removed bigint, n_spans bigint, kept binary")
+    return first.unionByName(gone.select("*", F.lit(1).cast("long").alias("n_spans"), F.lit(b"").alias("kept")))
 
 
 def digests(docs: DataFrame, n: int = LENGTH, shard: int = SHARD) -> DataFrame:
