@@ -267,7 +267,7 @@ class Attention:
     def __init__(self, form: Form, p: dict[str, np.ndarray], kind: type = np.float32):
         self.form, self.p = form, {k: v.astype(kind) for k, v in p.items()}
         n = form.window
-        self.mask = np.where(np.tril(np.ones((n, n), bool)), 0, -1e9).astype(kind)
+        self.mask = np.tril(np.ones((n, n))).astype(kind)
         self.away = np.maximum(np.arange(n)[:, None] - np.arange(n), 0)
         rows = np.add.reduceat(self.p["e"][form.ids], form.starts[:-1], axis=0)
         self.root = kind(np.sqrt(WIDTH))
@@ -275,7 +275,7 @@ class Attention:
         self.table = np.concatenate((rows, rows @ self.p["q"] / self.root, rows @ self.p["k"], rows @ self.p["v"]), axis=1)
         self.after = self.p["last"] + self.p["bias"]
         self.ones = np.ones((max(n, form.classes), 1), kind)
-        self.far = self.mask + self.p["far"][self.away]
+        self.far = self.p["far"][self.away]
 
     def look(self, x: np.ndarray) -> tuple[np.ndarray, ...]:
         """Inputs, queries, keys, values, attention weights and attended values at the places of each window."""
@@ -283,8 +283,9 @@ class Attention:
         e, q, k, v = (t[..., i * WIDTH : (i + 1) * WIDTH] for i in range(4))
         a = q @ k.transpose(0, 2, 1)
         a += self.far
-        np.minimum(a, MOST, out=a)
+        np.clip(a, -MOST, MOST, out=a)  # so that no row of weights vanishes
         np.exp(a, out=a)
+        a *= self.mask
         a /= a @ self.ones[: a.shape[2]]
         return e, q, k, v, a, a @ v
 

@@ -287,7 +287,7 @@ def naive_logs(form, p, x, y):
         first = 0 if i < form.window else (i - form.context) // step * step
         seen = rows[x[first : i + 1]]
         s = (seen[-1] @ p["q"]) @ (seen @ p["k"]).T / math.sqrt(lm.WIDTH) + p["far"][np.arange(i - first, -1, -1)]
-        a = np.exp(s - s.max())
+        a = np.exp(s.clip(-lm.MOST, lm.MOST))
         z = (a / a.sum()) @ (seen @ p["v"]) @ p["o"] + p["last"][form.class_of[x[i]]] + p["bias"]
         out.append((z[y[i]] - z.max() - math.log(np.exp(z - z.max()).sum())) / math.log(10))
     return out
@@ -368,6 +368,13 @@ def test_lm_gradients_and_windows():
         assert sorted(at[scored].tolist()) == list(range(sum(sizes)))
 
 
+def test_lm_far_scores_stay_finite():
+    form = lm.Spelling.of(np.ones((lm.SIDE, lm.SIDE)), "").form()
+    p = {k: np.full(v, 30.0) if k in "eqk" else np.zeros(v) for k, v in form.shapes().items()} | {"far": np.full(form.window, -9e9)}
+    model, x = lm.Attention(form, p), np.zeros((1, form.window), np.int64)
+    assert np.isfinite(model.log_p(x, x)).all() and all(np.isfinite(g).all() for g in model.gradients(x, x, x == 0).values())
+
+
 def test_lm_does_not_depend_on_partitions(docs):
     models = [lm.fit(docs.repartition(n)) for n in (1, 5)]
     assert all(np.allclose(models[0].p[k], models[1].p[k], atol=1e-4) for k in models[0].p)
