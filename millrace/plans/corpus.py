@@ -157,11 +157,13 @@ def tree_fingerprint(layers):
     return corpus.tree_fingerprint(corpus.overlay(layers, removed, "project"), "project").withColumn("files", F.col("files").cast("long"))
 
 
-@query("documents", sql="SELECT doc_id, CASE WHEN doc_id % 31 = 0 THEN 'missing' WHEN doc_id % 17 = 0 THEN 'modified' ELSE 'intact' END AS status FROM {documents} WHERE doc_id % 10 = 0")
+@query("documents", sql="""WITH t AS (SELECT doc_id, text AS now, CASE WHEN doc_id % 17 = 0 THEN replace(text, ' the ', ' a ') ELSE text END AS old, CASE WHEN doc_id % 31 <> 0 THEN text END AS listed FROM {documents})
+SELECT doc_id, CASE WHEN listed IS NULL THEN 'missing' WHEN sha256(old) <> sha256(now) OR sha256(listed) <> sha256(now) THEN 'modified' ELSE 'intact' END AS status FROM t""")
 def frozen_integrity(documents):
     """Stored hash, hash of the text now and hash in the manifest must agree for every frozen row."""
-    frozen = documents.filter("doc_id % 10 = 0")
-    stored = frozen.select("doc_id", F.when(F.col("doc_id") % 17 == 0, F.sha2(F.lit("x").cast("binary"), 256)).otherwise(corpus.fingerprint("text")).alias("stored"))
+    frozen = documents.select("doc_id", "text")
+    then = F.when(F.col("doc_id") % 17 == 0, F.replace("text", F.lit(" the "), F.lit(" a "))).otherwise(F.col("text"))
+    stored = frozen.select("doc_id", then.alias("text")).select("doc_id", corpus.fingerprint("text").alias("stored"))
     manifest = frozen.filter("doc_id % 31 <> 0").select("doc_id", corpus.fingerprint("text").alias("listed"))
     joined = frozen.join(stored, "doc_id").join(manifest, "doc_id", "left").withColumn("now", corpus.fingerprint("text"))
     status = F.when(F.col("listed").isNull(), "missing").when((F.col("stored") != F.col("now")) | (F.col("listed") != F.col("now")), "modified").otherwise("intact")

@@ -10,13 +10,13 @@ from millrace.plans.registry import query, view
 DRESS = """CASE (line * 7 + log) % 11 WHEN 0 THEN 'ERROR: ' || {part} WHEN 1 THEN '   at: f (res://' || CASE WHEN line % 3 = 0 THEN 'addons/x' ELSE 'scripts/h' || CAST(log % 5 AS varchar(9)) END || '.gd:' || CAST(line % 40 AS varchar(9)) || ')'
  WHEN 2 THEN 'SCRIPT ERROR: Parse Error: ' || {part} WHEN 3 THEN '   at: g (res://scripts/k.gd:' || CAST(line % 9 AS varchar(9)) || ')' WHEN 4 THEN 'ERROR: res://scenes/c.tscn:' || CAST(line % 12 AS varchar(9)) || ' - File not found: x'
  WHEN 5 THEN 'ERROR: 3 resources still in use at exit' WHEN 6 THEN '   at: clear (core/io.cpp:1)' WHEN 7 THEN chr(27) || '[31mERROR: Invalid operands' || chr(27) || '[0m' WHEN 8 THEN '  in res://scripts/z.gd:' || CAST(line % 6 AS varchar(9)) ELSE {part} END"""
-PART = "substring(replace(raw, chr(10), '_'), 1, 3)"
+PART = "replace(raw, chr(10), '_')"
 view(
     "log_lines",
-    "SELECT log, line, " + DRESS.replace("{part}", PART) + " AS text FROM (SELECT doc_id AS log, CAST(p AS bigint) + 1 AS line, t AS raw FROM {documents} LATERAL VIEW posexplode(split(text, '[ ]')) x AS p, t WHERE doc_id % 10 = 0) r",
-    "SELECT log, line, " + DRESS.replace("{part}", PART) + " AS text FROM (SELECT doc_id AS log, unnest(range(1, len(string_split(text, ' ')) + 1)) AS line, unnest(string_split(text, ' ')) AS raw FROM {documents} WHERE doc_id % 10 = 0) r",
+    "SELECT log, line, " + DRESS.replace("{part}", PART) + " AS text FROM (SELECT doc_id AS log, CAST(p AS bigint) + 1 AS line, t AS raw FROM {documents} LATERAL VIEW posexplode(split(text, '[ ]')) x AS p, t) r",
+    "SELECT log, line, " + DRESS.replace("{part}", PART) + " AS text FROM (SELECT doc_id AS log, unnest(range(1, len(string_split(text, ' ')) + 1)) AS line, unnest(string_split(text, ' ')) AS raw FROM {documents}) r",
 )
-NOISE = r"remote port number must be between|remote debugger: unable to connect|\b(leaked|in use|exist) at exit\b"
+NOISE = logs.NOISE
 PLAIN = r"plain AS (SELECT log, line, regexp_replace(text, '\x1B\[[0-9;?]*[A-Za-z]', '', 'g') AS text FROM {log_lines})"
 CLEAN = rf"""{PLAIN}, clean AS (SELECT log, line, text FROM (SELECT *, coalesce(regexp_matches(lower(lag(text) OVER (PARTITION BY log ORDER BY line)), '\b(leaked|in use|exist) at exit\b'), false) AND starts_with(ltrim(text), 'at:') AS a FROM plain) WHERE NOT a AND NOT regexp_matches(lower(text), '{NOISE}'))"""
 BLOCKS = r"""s AS (SELECT *, regexp_matches(text, '^\s*(USER )?(SCRIPT ERROR|ERROR): (.*)$') AS st, regexp_matches(text, '^[ \t]') AS ind FROM clean),

@@ -8,6 +8,7 @@ first such message, so sessions that can meet share a key.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -98,13 +99,21 @@ def live_table(stream: DataFrame, folder: str, key: list[str], order: list[str])
     from millrace.operators.scores import last_wins
 
     spark = stream.sparkSession
-    versions: list[str] = []
+
+    def latest(below: float) -> str | None:
+        """The newest version that a batch before this one has committed; what is on disk survives a restart."""
+        root = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+        done = [n for n in (x.getPath().getName() for x in (files.listStatus(root) if files.exists(root) else [])) if re.fullmatch(r"v\d+", n)]
+        done = [int(n[1:]) for n in done if int(n[1:]) < below and files.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{n}/_SUCCESS"))]
+        return f"{folder}/v{max(done)}" if done else None
 
     def merge(batch: DataFrame, number: int) -> None:
-        both = batch if not versions else spark.read.parquet(versions[-1]).unionByName(batch)
+        before = latest(number)
+        both = batch if before is None else spark.read.parquet(before).unionByName(batch)
         last_wins(both, key, order).select(*batch.columns).write.mode("overwrite").parquet(f"{folder}/v{number}")
-        versions.append(f"{folder}/v{number}")
 
     q = stream.writeStream.foreachBatch(merge).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
     q.awaitTermination()
-    return spark.read.parquet(versions[-1]) if versions else spark.createDataFrame([], stream.schema)
+    now = latest(float("inf"))
+    return spark.read.parquet(now) if now else spark.createDataFrame([], stream.schema)

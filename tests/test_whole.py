@@ -41,3 +41,13 @@ def test_long_openings_are_told_apart(spark, tmp_path):
     spark.createDataFrame(talks, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
     got = REGISTRY.QUERIES["stitch_sessions"](spark, str(tmp_path)).collect()
     assert sorted((r["exchanges"], r["messages"]) for r in got) == [(1, 1), (2, 3)]
+
+
+def test_live_table_goes_on_after_a_restart(spark, tmp_path):
+    from millrace.streaming.capture import live_table
+
+    source, folder = f"{tmp_path}/in", f"file://{tmp_path}/table"
+    for key, value in ((1, 10), (2, 20), (1, 11)):
+        spark.createDataFrame([(key, value)], "key long, value long").coalesce(1).write.mode("append").parquet(source)
+        out = live_table(spark.readStream.schema("key long, value long").parquet(source), folder, ["key"], ["value"])
+    assert sorted(map(tuple, out.collect())) == [(1, 11), (2, 20)]
