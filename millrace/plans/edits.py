@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 
 from pyspark.sql import functions as F
 
@@ -11,19 +12,22 @@ from millrace.operators.retrieval import fold_pack
 from millrace.plans.registry import query, view
 
 view("revised", """
-SELECT doc_id AS id, text AS before, CASE WHEN doc_id % 3 = 0 THEN replace(text, 'the ', 'a ') WHEN doc_id % 3 = 1 THEN text || chr(10) || 'var x = 1' ELSE text END AS after FROM {documents} WHERE length(text) < 4000
+SELECT doc_id AS id, text AS before, CASE WHEN doc_id % 3 = 0 THEN replace(text, 'the ', 'a ') WHEN doc_id % 3 = 1 THEN text || chr(10) || 'var x = 1' ELSE text END AS after FROM {documents}
 """)
 view("code", r"""
-SELECT doc_id AS id, 'func f' || CAST(doc_id AS varchar(20)) || '(a):' || chr(10) || ' if a <= ' || CAST(doc_id % 50 AS varchar(20)) || ' and true:  # ' || substring(replace(text, chr(10), ' '), 1, 20) || chr(10) || ' return a + 1' || chr(10) || 'var v = "' || substring(replace(replace(text, chr(10), ' '), '"', ' '), 1, 9) || '"' AS text FROM {documents}
+SELECT doc_id AS id, 'func f' || CAST(doc_id AS varchar(20)) || '(a):' || chr(10) || ' if a <= ' || CAST(doc_id % 50 AS varchar(20)) || ' and true:  # ' || replace(text, chr(10), ' ') || chr(10) || ' return a + 1' || chr(10) || 'var v = "' || replace(replace(replace(text, chr(10), ' '), '"', ' '), chr(92), ' ') || '"' AS text FROM {documents}
 """)
 
 
-@query("revised")
+LINES = """WITH l AS (SELECT id, unnest(range(1, len(string_split(after, chr(10))) + 1)) AS line, unnest(string_split(after, chr(10))) AS new, string_split(before, chr(10)) AS old FROM {revised})"""
+
+
+@query("revised", sql=f"{LINES} SELECT id, line FROM l WHERE new IS DISTINCT FROM old[line]")
 def changed_lines(revised):
     return edits.rows_of(revised, ["id", "before", "after"], lambda k, a, b: [(k, n) for n in edits.changed_lines(a, b)], "id bigint, line bigint")
 
 
-@query("revised")
+@query("revised", sql=f"{LINES} SELECT id, coalesce(sum(1 + (line <= len(old))::INT) FILTER (new IS DISTINCT FROM old[line]), 0)::BIGINT AS lines FROM l GROUP BY id")
 def patch_size(revised):
     return edits.rows_of(revised, ["id", "before", "after"], lambda k, a, b: [(k, edits.patch_size(a, b))], "id bigint, lines bigint")
 
@@ -36,10 +40,10 @@ def answer_zones(revised):
 
 @query("revised")
 def task_signature(revised):
-    """Shingles of the changed zones and of the beginning of the text, for each changed row."""
+    """Shingles of the changed zones and of the first line of the text, for each changed row."""
     t = revised.select("id", corpus.tokens("before").alias("a"), corpus.tokens("after").alias("b")).filter("a <> b")
     zones = edits.rows_of(t, ["id", "a", "b"], lambda k, a, b: [(k, "\n".join(edits.answer_zones(list(a), list(b))))], "id bigint, text string")
-    both = zones.join(revised.select("id", F.substring("before", 1, 90).alias("instruction")), "id")
+    both = zones.join(revised.select("id", F.split("before", "\n")[0].alias("instruction")), "id")
     return both.select("id", F.size(corpus.shingles("text")).alias("answer_shingles"), F.size(corpus.shingles("instruction")).alias("instruction_shingles"))
 
 
@@ -63,12 +67,11 @@ def replay_edits(revised):
 
 @query("code", sql=rf"""SELECT id, length(text)::BIGINT AS chars, length(text)::BIGINT - length(regexp_replace(regexp_replace(text, '"[^"\n]*"', '', 'g'), '#[^\n]*', '', 'g'))::BIGINT AS masked FROM {{code}}""")
 def mask_code(code):
-    f = lambda k, t: [(k, len(t), sum(a != b or (a == " " and i in spans(t)) for i, (a, b) in enumerate(zip(t, edits.mask_code(t), strict=True))))]
-
-    def spans(t):
-        import re
+    hidden = re.compile(r'"[^"\n]*"|#[^\n]*')
 
-        return {i for m in re.finditer(r'"[^"\n]*"|#[^\n]*', t) for i in range(m.start(), m.end())}
+    def f(k, t):
+        blank = {i for m in hidden.finditer(t) for i in range(m.start(), m.end())}
+        return [(k, len(t), sum(a != b or (a == " " and i in blank) for i, (a, b) in enumerate(zip(t, edits.mask_code(t), strict=True))))]
 
     return edits.rows_of(code, ["id", "text"], f, "id bigint, chars bigint, masked bigint")
 

@@ -11,10 +11,11 @@ view("messages", """
 SELECT conv_id AS session, turn AS pos, role, CASE WHEN length(text) % 13 = 0 THEN '' ELSE text END AS content,
   CASE WHEN role <> 'assistant' THEN NULL ELSE CASE (length(text) + turn) % 7 WHEN 0 THEN 'write_file' WHEN 1 THEN 'read_file' WHEN 2 THEN 'run_tests' WHEN 3 THEN 'capture_frames' WHEN 4 THEN 'prepare_action' WHEN 5 THEN 'edit' ELSE NULL END END AS tool,
   CASE WHEN role <> 'assistant' THEN NULL ELSE CASE length(text) % 6 WHEN 0 THEN 'plan.md' WHEN 1 THEN '1_core/hero.gd' WHEN 2 THEN 'notes/x.txt' WHEN 3 THEN '4_ui/hud.tscn' WHEN 4 THEN 'README.md' ELSE 'hero.gd' END END AS path,
-  CASE WHEN role <> 'assistant' THEN NULL ELSE substring(text, 1, 1) END AS body, length(text) % 2 = 0 AS tests_ok
+  CASE WHEN role <> 'assistant' THEN NULL ELSE text END AS body, length(text) % 2 = 0 AS tests_ok
 FROM {conversations}
 """)
 view("calls", "SELECT session, pos, tool, path, body FROM {messages} WHERE tool IS NOT NULL")
+view("retried_calls", "SELECT session, pos, tool, path, body FROM {calls} UNION ALL SELECT session, pos + 1000, tool, path, body FROM {calls} WHERE (session + pos) % 3 = 0")
 view("chat", """
 SELECT session, pos, CASE WHEN pos % 5 = 3 THEN 'tool' WHEN pos % 5 = 4 AND role = 'user' THEN 'tool' ELSE role END AS role, content, tool FROM {messages}
 """)
@@ -95,7 +96,7 @@ def plan_read_before_write(calls):
     return m.plan_read_first(calls)
 
 
-@query("calls", sql=f"WITH {REPEATED} SELECT * FROM repeated")
+@query("retried_calls", sql=f"WITH {REPEATED.replace('calls', 'retried_calls')} SELECT * FROM repeated")
 def repeated_writes(calls):
     return m.repeated_writes(calls)
 

@@ -93,13 +93,11 @@ registry.ORACLES["write_sft"] = registry.oracle("SELECT session, count(*)::BIGIN
 def _sessions(spark, sf_dir):
     """Sessions written with a header line and read back."""
     path = f"{folders.scratch(spark)}/sessions"
-    m = registry.read(spark, sf_dir, "messages").filter("session < 40")
+    m = registry.read(spark, sf_dir, "messages")
     folders.write_sessions(m, m.select("session").distinct(), path)
-    back = spark.read.text(path, wholetext=True).withColumn("session", F.col("session").cast("bigint"))
-    lines = back.select("session", F.posexplode(F.split("value", "\n")).alias("pos", "line")).filter("pos > 0 AND line <> ''")
-    said = F.from_json("line", "role string, content string")
-    return lines.select("session", said["role"].alias("role")).groupBy("session", "role").agg(F.count(F.lit(1)).alias("n"))
+    back = folders.session_messages(spark.read.parquet(path))
+    return back.select("session", "pos", "role", F.sha2(F.col("content").cast("binary"), 256).alias("hash"))
 
 
 registry.QUERIES["write_sessions"] = _sessions
-registry.ORACLES["write_sessions"] = registry.oracle("SELECT session, role, count(*)::BIGINT AS n FROM {messages} WHERE session < 40 GROUP BY ALL")
+registry.ORACLES["write_sessions"] = registry.oracle("SELECT session, (row_number() OVER (PARTITION BY session ORDER BY pos) - 1)::INT AS pos, role, sha256(content) AS hash FROM {messages}")

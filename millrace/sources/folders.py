@@ -39,20 +39,29 @@ def read_file_tree(spark: SparkSession, root: str, ignored: str = r"/(\.git|\.go
     return named.filter(F.col("relative").rlike(TEXT_FILES) & ~F.concat(F.lit("/"), "relative").rlike(ignored)).select(F.col("relative").alias("path"), F.decode("content", "UTF-8").alias("text"))
 
 
+def session_messages(files: DataFrame) -> DataFrame:
+    """Messages (session, header, pos, role, content) of rows (session, value) that hold a session's header line and message lines."""
+    lines = files.select("session", F.filter(F.split("value", "\n"), lambda x: F.trim(x) != "").alias("lines"))
+    rows = lines.select("session", F.col("lines")[0].alias("header"), F.posexplode("lines").alias("pos", "line"))
+    said = F.from_json("line", "role string, content string, tool_call_id string")
+    return rows.filter("pos > 0").select("session", "header", (F.col("pos") - 1).alias("pos"), said["role"].alias("role"), said["content"].alias("content"))
+
+
 def read_sessions(spark: SparkSession, root: str) -> DataFrame:
     """Session files whose first line is a header and whose other lines are messages: (session, header, pos, role, content)."""
-    whole = spark.read.text(root, wholetext=True).withColumn("session", F.regexp_extract(F.input_file_name(), r"([^/]+?)(\.jsonl)?$", 1))
-    lines = whole.select("session", F.posexplode(F.filter(F.split("value", "\n"), lambda x: F.trim(x) != "")).alias("pos", "line"), F.split("value", "\n")[0].alias("header"))
-    said = F.from_json("line", "role string, content string, tool_call_id string")
-    return lines.filter("pos > 0").select("session", "header", (F.col("pos") - 1).alias("pos"), said["role"].alias("role"), said["content"].alias("content"))
+    name = F.regexp_extract(F.input_file_name(), r"([^/]+?)(\.jsonl)?$", 1)
+    return session_messages(spark.read.text(root, wholetext=True).withColumn("session", name))
 
 
 def write_sessions(messages: DataFrame, headers: DataFrame, folder: str) -> None:
-    """One text row a session, header first, messages in order, keys sorted; partitions of sessions, overwritten as a whole."""
+    """Parquet rows (session, value), value being the session's file: header first, messages in order, keys sorted.
+
+    Rows, not files, so that millions of sessions aren't millions of files; ``session_messages`` reads them again.
+    """
     line = F.to_json(F.struct("content", "role"))
     ordered = messages.groupBy("session").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", line.alias("line")))), lambda x: x["line"]).alias("lines"))
-    rows = headers.join(ordered, "session").select("session", F.concat_ws("\n", F.to_json(F.struct("session")), F.array_join("lines", "\n")).alias("value"))
-    rows.write.mode("overwrite").partitionBy("session").text(folder)
+    value = F.concat_ws("\n", F.to_json(F.struct("session")), F.array_join("lines", "\n"))
+    headers.join(ordered, "session").select("session", value.alias("value")).write.mode("overwrite").parquet(folder)
 
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
