@@ -182,11 +182,22 @@ def stem_terms(index: DataFrame) -> DataFrame:
     return index.select("term").distinct().mapInPandas(run, "term string, stem string")
 
 
-def close_names(asked: DataFrame, known: DataFrame, ratio: float = 0.6, top: int = 3) -> DataFrame:
-    """Up to three nearest known names per asked name, by 1 - edits / longer length; blocked by first letter and length."""
-    a = asked.select(F.col("name").alias("asked")).distinct().withColumn("first", F.substring("asked", 1, 1)).withColumn("n", F.length("asked"))
-    k = known.select("name").distinct().withColumn("first", F.substring("name", 1, 1)).withColumn("m", F.length("name"))
-    pairs = a.join(k, "first").filter((F.col("n") >= ratio * F.col("m")) & (F.col("m") >= ratio * F.col("n")) & (F.col("asked") != F.col("name")))
-    near = F.round(1 - F.levenshtein("asked", "name") / F.greatest("n", "m"), 6)
-    scored = pairs.select(F.col("asked").alias("query"), F.col("name").alias("id"), near.alias("score")).filter(F.col("score") >= ratio)
-    return top_n(scored, top)
+def close_names(asked: DataFrame, known: DataFrame, ratio: float = 0.6, top: int = 3, block: int = 2_000) -> DataFrame:
+    """Rows (query, rank, id, score): up to ``top`` nearest known names per asked name, by 1 - edits / longer length.
+
+    Asked names go in blocks of about ``block`` or fewer, each broadcast against all known names of a fitting length, so no
+    pair is lost to a blocking key. A name isn't near itself; null names are left out; ties go by name.
+    """
+    a = asked.filter("name IS NOT NULL").select(F.col("name").alias("query"), F.length("name").alias("n")).distinct()
+    k = known.filter("name IS NOT NULL").select(F.col("name").alias("id"), F.length("name").alias("m")).distinct()
+
+    def near(part: DataFrame) -> DataFrame:
+        fits = (F.col("n") >= ratio * F.col("m")) & (F.col("m") >= ratio * F.col("n")) & (F.col("query") != F.col("id"))
+        score = F.round(1 - F.levenshtein("query", "id") / F.greatest("n", "m", F.lit(1)), 6)
+        return top_n(k.join(F.broadcast(part), fits).select("query", "id", score.alias("score")).filter(F.col("score") >= ratio), top)
+
+    blocks = -(-2 * a.count() // block)
+    if blocks <= 2:
+        return near(a)
+    dealt = a.withColumn("_b", F.pmod(F.xxhash64("query"), F.lit(blocks))).checkpoint()
+    return reduce(DataFrame.unionByName, [near(dealt.filter(F.col("_b") == b).drop("_b")).checkpoint() for b in range(blocks)])
