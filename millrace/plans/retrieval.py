@@ -8,8 +8,7 @@ from millrace.operators import retrieval as r
 from millrace.plans.registry import query, view
 
 view("passages", "SELECT doc_id AS id, text FROM {documents}")
-view("questions", "SELECT item_id AS query, text FROM {benchmark} WHERE item_id % 20 = 0")
-view("items", "SELECT item_id AS query, text FROM {benchmark}")
+view("questions", "SELECT item_id AS query, text FROM {benchmark}")
 view("vectors", "SELECT vec_id AS id, embedding AS vector FROM {embeddings}")
 TERMS = r"regexp_extract_all(lower(coalesce(text, '')), '[a-z\x{E0}-\x{FF}]{2,}')"
 BM25 = f"""p AS (SELECT id, len(t) AS size, unnest(t) AS term FROM (SELECT id, {TERMS} AS t FROM {{passages}})), tf AS (SELECT term, id, size, count(*) AS tf FROM p GROUP BY ALL), df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
@@ -28,10 +27,10 @@ def fulltext_bm25(passages, questions):
     return r.bm25(r.postings(passages), questions, n, mean, 5).select("query", "rank", "id")
 
 
-@query("passages", "items", sql=f"WITH {BM25.replace('questions', 'items')}, w AS (SELECT query, len(list_distinct({TERMS})) AS wanted FROM {{items}}) SELECT query, rank, id FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, id)::INT AS rank FROM sc JOIN w USING (query) WHERE hits = wanted) WHERE rank <= 5")
-def fulltext_all_terms(passages, items):
+@query("passages", "questions", sql=f"WITH {BM25}, w AS (SELECT query, len(list_distinct({TERMS})) AS wanted FROM {{questions}}) SELECT query, rank, id FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, id)::INT AS rank FROM sc JOIN w USING (query) WHERE hits = wanted) WHERE rank <= 5")
+def fulltext_all_terms(passages, questions):
     n, mean = statistics(passages)
-    return r.bm25(r.postings(passages), items, n, mean, 5, all_terms=True).select("query", "rank", "id")
+    return r.bm25(r.postings(passages), questions, n, mean, 5, all_terms=True).select("query", "rank", "id")
 
 
 @query("passages", sql=f"WITH p AS (SELECT id, unnest(t) AS term FROM (SELECT id, {TERMS} AS t FROM {{passages}})) SELECT term, count(DISTINCT id)::BIGINT AS df, count(*)::BIGINT AS cf FROM p GROUP BY term")
