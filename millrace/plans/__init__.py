@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("scoring", "rounds", "corpus", "messages", "logs", "vocabulary", "retrieval", "edits", "rules", "streams", "admission")
+MODULES = ("scoring", "rounds", "corpus", "messages", "logs", "vocabulary", "retrieval", "edits", "rules", "streams", "admission", "assembly")
 
 
 def load():

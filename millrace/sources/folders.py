@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,7 +33,7 @@ def read_tasks(spark: SparkSession, root: str) -> DataFrame:
 def read_file_tree(spark: SparkSession, root: str, ignored: str = r"/(\.git|\.godot|reports)/") -> DataFrame:
     """Rows (path, text) of the text files below the root, with paths relative to it."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    base = F.lit(root.rstrip("/").removeprefix("file:"))
+    base = F.lit(re.sub("^file:/*", "/", root.rstrip("/")))
     path = F.regexp_replace("path", "^file:/*", "/")
     relative = F.expr("substring(p, length(b) + 2)")
     named = files.withColumn("p", path).withColumn("b", base).withColumn("relative", relative)
@@ -48,9 +49,13 @@ def session_messages(files: DataFrame) -> DataFrame:
 
 
 def read_sessions(spark: SparkSession, root: str) -> DataFrame:
-    """Session files whose first line is a header and whose other lines are messages: (session, header, pos, role, content)."""
+    """Session files whose first line is a header and whose other lines are messages: (session, header, pos, role, content).
+
+    The session is the file's name, or its folder where folders are named session=<name>.
+    """
+    files = spark.read.text(root, wholetext=True)
     name = F.regexp_extract(F.input_file_name(), r"([^/]+?)(\.jsonl)?$", 1)
-    return session_messages(spark.read.text(root, wholetext=True).withColumn("session", name))
+    return session_messages(files if "session" in files.columns else files.withColumn("session", name))
 
 
 def write_sessions(messages: DataFrame, headers: DataFrame, folder: str) -> None:
