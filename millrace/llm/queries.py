@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import decontam, lm, near_join, ogg, packing, quality, substring_dedup, suffix_dedup, token_counts, warc
+from millrace.llm import decontam, hash_tree, lm, near_join, ogg, packing, quality, ranked_search, spelling, substring_dedup, suffix_dedup, token_counts, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,12 +56,28 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hash_tree.assign(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_ngram_jaccard_join, op2_warc, op3_packing, op4_lm_scoring, op5_substring_dedup,
         op6_token_counts, op7_ogg_media, op8_suffix_array_dedup, op9_decontamination, op10_quality,
+        op11_ranked_search, op12_hash_tree, op13_spelling_variants,
     )
 }
 
-ORACLES: dict[str, str] = {"op2_warc": warc.SQL, "op9_decontamination": decontam.SQL}
+ORACLES: dict[str, str] = {
+    "op2_warc": warc.SQL, "op9_decontamination": decontam.SQL,
+    "op11_ranked_search": ranked_search.SQL, "op12_hash_tree": hash_tree.SQL, "op13_spelling_variants": spelling.SQL,
+}
