@@ -1,17 +1,13 @@
-"""Hints for errors, prompt contexts, hunks attached to notes, mixed faults, and markup pages cut by section."""
+"""Hints for errors, prompt contexts, hunks attached to notes, and mixed faults."""
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from millrace.operators import vocabulary
-from millrace.operators.retrieval import fold_pack, top_n
+from millrace.operators.retrieval import top_n
 
 # How an engine's messages name a member (first group) and its class (second group, or the script's own class).
 NAME = r"[A-Za-z_]\w*"
@@ -176,126 +172,3 @@ def mixed_draw(faults: DataFrame, seed: str, masking: str, script: str = r"\.gd$
     placed = kept.withColumn("_place", F.row_number().over(Window.partitionBy("group", "_s").orderBy("_turn", order, "h", "id")))
     size = F.when(F.col("_s"), _pick((2, 3, 3, 4), F.lit(seed), F.lit("script"), "group")).otherwise(_pick((0, 1, 1, 2), F.lit(seed), F.lit("other"), "group"))
     return placed.filter(F.col("_place") <= size).select("group", "id")
-
-
-# Markup directives whose text stays, those whose argument is text, and code languages that go.
-KEPT = frozenset("note tip warning important caution danger attention seealso code-block code highlight code-tab tabs tab".split())
-SAID = frozenset("note tip warning important caution danger attention seealso".split())
-CODE = frozenset("code-tab code-block code tab".split())
-OTHER_LANGUAGES = frozenset("csharp c# cpp c++".split())
-RULE = re.compile(r"([=\-~^\"'`#*+.:_])\1{2,}\s*")
-#: Inline markup: pattern and what stays, in this order.
-INLINE = (
-    (r":(?:ref|doc|abbr|term|kbd|menuselection|guilabel|code|file|math|button|ui|inputevent|emphasis|strong|literal)?:`([^`<]*?)\s*<[^`>]*>`", "$1"),
-    (r":[a-z_\-]+:`([^`]*)`", "$1"),
-    (r"`([^`<]+?)\s*<[^`>]+>`__?", "$1"),
-    (r"\|(virtual|required|const|vararg|constructor|static|operator|bitfield)\|", "$1"),
-    (r"\*\*(.+?)\*\*", "$1"),
-    (r"``(.+?)``", "$1"),
-    (r"(?<![\w*])\*(?!\s)([^*\n]+?)\*(?![\w*])", "$1"),
-    (r"🔗|\\ |\\", ""),
-)
-
-
-def inline_text(text: Column) -> Column:
-    """Text without roles, links, bold, literals and substitutions; line by line, as no rule spans lines."""
-    for pattern, new in INLINE:
-        text = F.regexp_replace(text, pattern, new)
-    return text
-
-
-def block_lines(text: str) -> list[str]:
-    """Lines that stay of a page: dropped directives go with their indented block, options, rules and table borders go."""
-    out: list[str] = []
-    dropped = None  # indentation of the directive whose block goes
-    for line in text.split("\n"):
-        bare, indent = line.strip(), len(line) - len(line.lstrip(" "))
-        if dropped is not None:
-            if not bare or indent > dropped:
-                continue
-            dropped = None
-        if bare.startswith(".. "):
-            m = re.match(r"\.\.\s+([\w\-]+)::\s*(.*)", bare)
-            name, argument = (m[1], m[2].strip()) if m else ("", "")
-            foreign = name in CODE and argument.lower().split(" ")[0] in OTHER_LANGUAGES
-            if foreign or name not in KEPT:
-                dropped = indent
-            elif name in SAID and argument:
-                out.append(f"{name.capitalize()} : {argument}")
-        elif re.match(r":[\w\- ]+:(\s|$)", bare) and not bare.startswith(":ref:"):
-            continue
-        elif not RULE.fullmatch(bare) and not re.fullmatch(r"[+|][-=+|]*", bare):
-            out.append(line.rstrip())
-    return out
-
-
-def tidy(text: Column) -> Column:
-    """Inline rules, one blank line where there are many, none at either end."""
-    return F.regexp_replace(F.regexp_replace(inline_text(text), r"\n[ \t]*\n(?:[ \t]*\n)+", "\n\n"), r"^\s+|\s+\z", "")
-
-
-def clean_markup(pages: DataFrame) -> DataFrame:
-    """Rows (id, text) of marked-up pages (id, text); null is empty. Blocks are left out in tasks, inline rules run in Spark."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            yield pd.DataFrame({"id": frame["id"], "text": ["\n".join(block_lines(t or "")) for t in frame["text"]]})
-
-    kept = pages.select("id", "text").mapInPandas(run, f"id {pages.schema['id'].dataType.simpleString()}, text string")
-    return kept.select("id", tidy(F.col("text")).alias("text"))
-
-
-ANCHOR = re.compile(r"\.\. _([^:]+):\s*")
-
-
-def sections(text: str) -> list[tuple[list[str], list[str], str]]:
-    """(title path, anchors, body) of each section; a title is a line underlined by a rule, its level the rule's order of arrival.
-
-    Anchors are those right above the title, blank lines aside.
-    """
-    lines = text.split("\n")
-    bare = [x.strip() for x in lines]
-    ruled = [bool(RULE.fullmatch(x)) for x in bare]
-    titles = [n for n in range(len(lines) - 1) if bare[n] and lines[n][0] != " " and ruled[n + 1] and not ruled[n] and len(bare[n + 1]) >= len(bare[n]) - 1]
-    ranks = {mark: k for k, mark in enumerate(dict.fromkeys(bare[n + 1][0] for n in titles))}
-    out: list[tuple[list[str], list[str], str]] = []
-    path: list[str] = []
-    for start, end in zip([-2, *titles], [*titles, len(lines)], strict=True):
-        anchors: list[str] = []
-        if start >= 0:
-            path = [*path[: ranks[bare[start + 1][0]]], bare[start]]
-            above = start - 1
-            while above >= 0 and (not bare[above] or ANCHOR.fullmatch(bare[above])):
-                anchors[:0] = ANCHOR.findall(bare[above])
-                above -= 1
-        out.append((path, anchors, "\n".join(lines[start + 2 : end])))
-    return out
-
-
-def chunk_sections(pages: DataFrame, limit: int = 1800) -> DataFrame:
-    """Rows (id, section, part, title, anchors, text): sections of pages (id, text), cut at blank lines up to ``limit`` characters.
-
-    The title is the path of titles down to the section, and the part's number from the second on; anchors are the first
-    part's. Sections without text have no rows, and a paragraph over the limit is a part of its own.
-    """
-    key = pages.schema["id"].dataType.simpleString()
-
-    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rows = [(k, n, " › ".join(path), anchors, "\n".join(block_lines(body))) for k, t in zip(frame["id"], frame["text"], strict=True) for n, (path, anchors, body) in enumerate(sections(t or ""))]
-            yield pd.DataFrame(rows, columns=["id", "section", "title", "anchors", "text"])
-
-    def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rows = []
-            for k, n, title, anchors, text in frame.itertuples(index=False):
-                parts = text.split("\n\n")
-                groups = fold_pack([len(p) + 2 for p in parts], limit + 2)
-                for g in range(groups[-1] + 1):
-                    named = f"{title} ({g + 1})" if g else title
-                    rows.append((k, n, g, named, list(anchors) if g == 0 else [], "\n\n".join(p for p, x in zip(parts, groups, strict=True) if x == g)))
-            yield pd.DataFrame(rows, columns=["id", "section", "part", "title", "anchors", "text"])
-
-    found = pages.select("id", "text").mapInPandas(cut, f"id {key}, section bigint, title string, anchors array<string>, text string")
-    whole = found.select("id", "section", inline_text(F.col("title")).alias("title"), "anchors", tidy(F.col("text")).alias("text")).filter("text <> ''")
-    return whole.mapInPandas(pack, f"id {key}, section bigint, part bigint, title string, anchors array<string>, text string")

@@ -1,4 +1,4 @@
-"""Queries of error hints, prompt contexts, notes and hunks, drawn faults, markup pages, and of the sources that read files."""
+"""Queries of error hints, prompt contexts, notes and hunks, drawn faults, and of the sources that read files."""
 
 from __future__ import annotations
 
@@ -95,32 +95,6 @@ def mixed_draw(faults):
     return a.mixed_draw(faults, "7", "NO")
 
 
-def marked_up(documents):
-    """Documents as markup pages: by its number, a line is a title, a directive, an option, a block of another language, or has roles."""
-    rule = lambda c: F.concat(F.lit("\n"), F.lit(c * 60), F.lit("\n"))
-    short = lambda x: F.substring(x, 1, 60)
-
-    def dress(x, i):
-        forms = (
-            F.concat(F.lit("\n.. _a"), i.cast("string"), F.lit(":\n\n"), short(x), rule("="), x),
-            F.concat(F.lit(".. note:: "), x), F.concat(F.lit(".. image:: a.png\n   :alt: "), x), F.concat(F.lit("\n"), short(x), rule("-"), x, F.lit("\n")),
-            F.concat(F.lit(".. code-block:: csharp\n\n    "), x, F.lit("\n")), F.concat(F.lit("See :ref:`it <x>` and **"), x, F.lit("**.")), x,
-        )
-        return F.element_at(F.array(*forms), i % len(forms) + 1)
-
-    return documents.select(F.col("doc_id").alias("id"), F.array_join(F.transform(F.split(F.coalesce("text", F.lit("")), "\n", -1), dress), "\n").alias("text"))
-
-
-@query("documents")
-def clean_markup(documents):
-    return a.clean_markup(marked_up(documents)).select("id", F.length("text").alias("chars"), F.sha2(F.col("text").cast("binary"), 256).alias("hash"))
-
-
-@query("documents")
-def chunk_sections(documents):
-    return a.chunk_sections(marked_up(documents)).withColumn("text", F.sha2(F.col("text").cast("binary"), 256))
-
-
 def _tasks(spark, sf_dir):
     """Every benchmark item as a task document in its own folder, read back; one in four lacks its origin."""
     root = folders.scratch(spark)

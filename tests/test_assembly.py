@@ -1,4 +1,4 @@
-"""Hints, contexts, hunks, draws and markup on small fixtures, with nulls and empty tables."""
+"""Hints, contexts, hunks and draws on small fixtures, with nulls and empty tables."""
 
 from __future__ import annotations
 
@@ -85,60 +85,3 @@ def test_mixed_draw(spark):
         assert sum(r["kind"] == "mask" for r in script) <= 1
         sizes.add((len(script), len(other)))
     assert {s for s, _ in sizes} <= {2, 3, 4} and len({s for s, _ in sizes}) > 1 and {o for _, o in sizes} <= {0, 1, 2}
-
-
-PAGE = """.. _first:
-
-Top
-===
-
-Some **bold** and ``code`` of :ref:`a thing <there>`, `link <x>`__.
-
-.. image:: a.png
-   :alt: gone
-
-     gone too
-
-.. note:: Keep :kbd:`this`
-
-.. code-block:: csharp
-
-    gone();
-
-.. code-block:: gdscript
-
-    kept()
-
-:widths: 1
-
-
-.. _second:
-.. _third:
-
-Deep
-----
-
-deep text
-
-Other
-=====
-
-Again
------
-"""
-
-
-def test_markup(spark):
-    pages = spark.createDataFrame([(1, PAGE), (2, None), (3, ""), (4, "plain\n\n" + "p" * 50 + "\n\n" + "q" * 50)], "id bigint, text string")
-    clean = dict(rows(a.clean_markup(pages.filter("id > 1 OR id = 1")), "id"))
-    assert clean[1] == "Top\n\nSome bold and code of a thing, link.\n\nNote : Keep this\n\n    kept()\n\nDeep\n\ndeep text\n\nOther\n\nAgain"
-    assert clean[2] == clean[3] == ""
-    parts = rows(a.chunk_sections(pages, 60), "id", "section", "part")
-    assert parts == [
-        (1, 1, 0, "Top", ["first"], "Some bold and code of a thing, link.\n\nNote : Keep this"),
-        (1, 1, 1, "Top (2)", [], "    kept()"),
-        (1, 2, 0, "Top › Deep", ["second", "third"], "deep text"),
-        (4, 0, 0, "", [], "plain\n\n" + "p" * 50),
-        (4, 0, 1, " (2)", [], "q" * 50),
-    ]
-    assert a.chunk_sections(pages.limit(0)).count() == 0
