@@ -59,26 +59,6 @@ def terms(column: str) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(F.col(column), F.lit(""))), F.lit(TERM), F.lit(0))
 
 
-def postings(docs: DataFrame) -> DataFrame:
-    """Rows (term, id, tf, size): counts of terms, and the number of terms of the document."""
-    t = docs.select("id", terms("text").alias("t"))
-    return t.select("id", F.size("t").alias("size"), F.explode("t").alias("term")).groupBy("term", "id", "size").agg(F.count(F.lit(1)).alias("tf"))
-
-
-def bm25(index: DataFrame, queries: DataFrame, documents: int, mean_size: float, top: int, all_terms: bool = False) -> DataFrame:
-    """Rows (query, rank, id, score): Okapi BM25 of the query's distinct terms; ties by id; ``all_terms``: documents with each."""
-    asked = queries.select("query", F.explode(F.array_distinct(terms("text"))).alias("term"))
-    wanted = queries.select("query", F.size(F.array_distinct(terms("text"))).alias("wanted"))
-    used = index.join(asked.select("term").distinct(), "term", "left_semi")
-    df = used.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = F.log(1 + (documents - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    part = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("size") / mean_size))
-    scored = asked.join(df, "term").join(used, "term").groupBy("query", "id").agg(F.round(F.sum(part), 6).alias("score"), F.count(F.lit(1)).alias("hits"))
-    if all_terms:
-        scored = scored.join(wanted, "query").filter("hits = wanted")
-    return top_n(scored.select("query", "id", "score"), top)
-
-
 def top_n(scored: DataFrame, top: int, buckets: int = 32) -> DataFrame:
     """Best ``top`` per query: within buckets first, so a query with many hits is ranked by many tasks."""
     order = (F.desc("score"), F.asc("id"))
@@ -133,32 +113,76 @@ def embed(docs: DataFrame, embedder, width: int) -> DataFrame:
 
 
 def hashing_embedder(texts: list[str], width: int = 16) -> np.ndarray:
-    """A deterministic stand-in: counts of words by the checksum of the word."""
-    import zlib
+    """A deterministic stand-in: counts of words (between blanks) by the first hexadecimal digit of the word's MD5."""
+    from hashlib import md5
 
     out = np.zeros((len(texts), width))
     for i, text in enumerate(texts):
-        for w in text.split():
-            out[i, zlib.crc32(w.encode()) % width] += 1
+        for w in text.split(" "):
+            if w:
+                out[i, int(md5(w.encode()).hexdigest()[0], 16) % width] += 1
     return out
 
 
-def exact_lookup(queries: DataFrame, names: DataFrame) -> DataFrame:
-    """Words of the queries (query, text) that are names (name, kind) in their exact case; members rank before classes."""
-    words = queries.select("query", F.explode(F.array_distinct(F.split("text", r"[^\w.]+"))).alias("name"))
-    found = words.join(names, "name").withColumn("rank", F.when(F.col("kind") == "member", 0).otherwise(1))
-    return found.select("query", "name", "kind", "rank").distinct()
+IDENTIFIER = r"@?[A-Za-z_][A-Za-z0-9_]*"
+MANY = 8
+
 
+def exact_lookup(queries: DataFrame, classes: DataFrame, members: DataFrame, chain: DataFrame) -> DataFrame:
+    """Rows (query, rank, id) of the fragments that a query (query, text) names.
 
-def hybrid(exact: DataFrame, vector: DataFrame, text: DataFrame, n: int) -> DataFrame:
-    """Up to n results a query: exact ones, then vector ones, then text ones; no repeats; how each was found."""
-    staged = None
-    for stage, (name, rows) in enumerate((("exact", exact), ("vector", vector), ("text", text))):
-        part = rows.select("query", "id", F.lit(stage).alias("stage"), F.col("rank").cast("int").alias("rank"), F.lit(name).alias("found_by"))
-        staged = part if staged is None else staged.unionByName(part)
-    first = staged.groupBy("query", "id").agg(F.min(F.struct("stage", "rank", "found_by")).alias("x")).select("query", "id", "x.*")
-    placed = first.withColumn("place", F.row_number().over(Window.partitionBy("query").orderBy("stage", "rank", "id")))
-    return placed.filter(F.col("place") <= n).select("query", "place", "id", "found_by")
+    ``classes`` (class, id), ``members`` (member, class, id) are fragments, ``chain`` (child, ancestor) the closure with each class
+    itself. ``Class.member`` gives the member of the class or an ancestor of least id, then the class. Else each word may be a
+    class (exact case in a sentence, any case alone) or, if it has an underscore or stands alone, a member: with classes in the
+    query one of theirs or their ancestors', of least id; without, the first ``MANY`` by id. Members rank before classes, words
+    in their order; a fragment comes once. Of several fragments of a class the exact case and then the least id counts.
+    """
+    q = queries.select("query", F.trim("text").alias("text")).withColumn("dotted", F.regexp_extract("text", rf"^({IDENTIFIER})\.([A-Za-z_][A-Za-z0-9_]*)(\(\))?\z", 1) != "")
+    pair = lambda g: F.regexp_extract("text", rf"^({IDENTIFIER})\.([A-Za-z_][A-Za-z0-9_]*)(\(\))?\z", g)
+    words = F.regexp_extract_all("text", F.lit(IDENTIFIER), F.lit(0))
+    w = q.filter("NOT dotted").select("query", F.size(words).alias("n"), F.posexplode(words).alias("pos", "word"))
+    dotted = q.filter("dotted").select("query", pair(1).alias("class"), pair(2).alias("member"))
+    one = classes.groupBy("class").agg(F.min("id").alias("id"))
+    keyed = one.select(F.lower("class").alias("low"), F.col("class").alias("found"), F.col("id").alias("class_id"))
+
+    def of_class(rows: DataFrame, name: str, keys: list[str], exact: Column) -> DataFrame:
+        hit = rows.join(keyed, F.lower(name) == F.col("low")).groupBy(*keys).agg(F.min(F.struct((F.col("found") != F.col(name)).alias("other"), "class_id", "found")).alias("x"))
+        return hit.filter(~F.col("x.other") | exact).select(*keys, F.col("x.found").alias("found"), F.col("x.class_id").alias("id"))
+
+    word_class = of_class(w, "word", ["query", "pos", "word", "n"], F.col("n") == 1)
+    dot_class = of_class(dotted, "class", ["query", "member"], F.lit(True))
+    above = chain.select(F.col("child").alias("found"), F.col("ancestor").alias("class"))
+    inherited = lambda rows, keys: rows.join(above, "found").join(members.select("member", "class", "id"), ["member", "class"]).groupBy(*keys).agg(F.min("id").alias("id"))
+    dot_member = inherited(dot_class.drop("id"), ["query"]).withColumn("pos", F.lit(0))
+    other = w.join(word_class.select("query", "pos"), ["query", "pos"], "left_anti").filter("n = 1 OR instr(word, '_') > 0").select("query", "pos", F.col("word").alias("member"))
+    with_class = other.join(word_class.select("query", "found").distinct(), "query")
+    near = inherited(with_class, ["query", "pos"])
+    free = other.join(word_class.select("query").distinct(), "query", "left_anti").join(members.select("member", "id"), "member")
+    free = top_n(free.select(F.struct("query", "pos").alias("query"), "id", F.lit(0).alias("score")), MANY).select("query.query", "query.pos", "id")
+    columns = lambda df, kind: df.select("query", F.lit(kind).alias("kind"), F.col("pos").cast("int").alias("pos"), "id")
+    found = columns(dot_member, 0).unionByName(columns(near, 0)).unionByName(columns(free, 0)).unionByName(columns(word_class, 1)).unionByName(columns(dot_class.withColumn("pos", F.lit(0)), 1))
+    once = found.groupBy("query", "id").agg(F.min(F.struct("kind", "pos")).alias("x"))
+    return once.select("query", F.row_number().over(Window.partitionBy("query").orderBy("x", "id")).alias("rank"), "id")
+
+
+def staged(stages: list[tuple[str, DataFrame, Column | None]], n: int) -> DataFrame:
+    """Rows (query, place, id, found_by): results (query, rank, id) stage by stage until a query has n, none twice.
+
+    A stage takes at most its own number of places (a column over ``placed``, the places taken before; None: all that is left).
+    """
+    done = None
+    for k, (name, rows, most) in enumerate(stages):
+        new = rows.select("query", "id", "rank")
+        taken = new.select("query", F.lit(0).alias("placed")).distinct()
+        if done is not None:
+            new = new.join(done.select("query", "id"), ["query", "id"], "left_anti")
+            taken = taken.select("query").join(done.groupBy("query").agg(F.count(F.lit(1)).alias("placed")), "query", "left").select("query", F.coalesce("placed", F.lit(0)).alias("placed"))
+        room = F.lit(n) - F.col("placed")
+        ranked = new.join(taken, "query").withColumn("_r", F.row_number().over(Window.partitionBy("query").orderBy("rank", "id")))
+        ranked = ranked.filter(F.col("_r") <= (room if most is None else F.least(room, most)))
+        part = ranked.select("query", "id", F.lit(k).alias("stage"), "_r", F.lit(name).alias("found_by"))
+        done = (part if done is None else done.unionByName(part)).checkpoint()
+    return done.select("query", F.row_number().over(Window.partitionBy("query").orderBy("stage", "_r")).alias("place"), "id", "found_by")
 
 
 def stem(word: str) -> str:
