@@ -103,8 +103,15 @@ def changed_draws(draws: DataFrame, start: DataFrame, effects: list[str]) -> Dat
     return first.join(start, same, "left_anti").select("key", *effects)
 
 
-def balanced_until_budget(examples: DataFrame, targets: DataFrame, most: int = 90) -> DataFrame:
-    """Rows (grp, id, total): examples (grp, place, id, size) of a group in seeded order while the sum before them is below the target.
+#: Expected size of an example while fewer than two are in; a fixed value.
+FIRST_MEAN = 1500
+
+
+def balanced_until_budget(examples: DataFrame, targets: DataFrame, most: int = 90, first_mean: float = FIRST_MEAN) -> DataFrame:
+    """Rows (grp, id, total): examples (grp, place, id, size) of a group in seeded order until the target is about reached.
+
+    The first is always taken; another one while the sum so far and half the mean size are below the target. The mean is that of
+    the examples taken but the first, and ``first_mean`` before there are any. At the first that isn't taken the group ends.
 
     ``place`` (what an example changes) is used once, by the first in order; ``targets`` (grp, target). Groups without a
     target get none. The order is by the hash of the id, so a run can be repeated; ``most`` is the feature's own limit.
@@ -116,8 +123,12 @@ def balanced_until_budget(examples: DataFrame, targets: DataFrame, most: int = 9
     near = part.withColumn("n", F.row_number().over(Window.partitionBy("grp", "part").orderBy("order"))).filter(F.col("n") <= most)
     w = Window.partitionBy("grp").orderBy("order")
     placed = near.withColumn("n", F.row_number().over(w)).filter(F.col("n") <= most)
-    summed = placed.withColumn("total", F.sum("size").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return summed.join(targets, "grp").filter(F.col("total") - F.col("size") < F.col("target")).select("grp", "id", "total")
+    up = w.rowsBetween(Window.unboundedPreceding, 0)
+    summed = placed.withColumn("total", F.sum("size").over(up)).withColumn("first", F.first("size").over(up)).join(targets, "grp")
+    before = F.col("total") - F.col("size")
+    mean = F.when(F.col("n") > 2, (before - F.col("first")) / (F.col("n") - 2)).otherwise(F.lit(float(first_mean)))
+    goes_on = (F.col("n") == 1) | (before + mean / 2 < F.col("target"))
+    return summed.withColumn("taken", F.min(goes_on.cast("int")).over(up)).filter("taken = 1").select("grp", "id", "total")
 
 
 def benchmark_score(reports: DataFrame) -> DataFrame:

@@ -48,30 +48,72 @@ def first_hash_wins(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
     return hashed.join(first, "hash").withColumn("accepted", F.col(key) == F.col("kept"))
 
 
+def shingle_hashes(column: str, k: int = SHINGLE) -> Column:
+    """Distinct shingles of k tokens as 64-bit hashes: what joins on shingles compare."""
+
+    def every(t: Column) -> Column:
+        n = F.when(F.size(t) == 0, 0).otherwise(F.greatest(F.size(t) - k + 1, F.lit(1)))
+        starts = F.when(n > 0, F.sequence(F.lit(1), F.greatest(n, F.lit(1)))).otherwise(F.array().cast("array<int>"))
+        return F.array_distinct(F.transform(starts, lambda i: F.xxhash64(F.array_join(F.slice(t, i, k), " "))))
+
+    return bound(tokens(column), every)
+
+
+def hashed_rows(rows: DataFrame, key: list[str], column: str = "text", k: int = SHINGLE) -> DataFrame:
+    """Rows (key, size, shingle) with 64-bit shingles."""
+    return rows.select(*key, shingle_hashes(column, k).alias("_s")).select(*key, F.size("_s").alias("size"), F.explode("_s").alias("shingle"))
+
+
 def near_index(candidates: DataFrame, frozen: DataFrame, threshold: float = 0.8) -> DataFrame:
     """For candidates (id, grp, text): the frozen row (id, grp, text, position) that each doubles, and why.
 
-    Equal text first (last position wins), else the lowest position of equal group and Jaccard >= threshold. Shingle sizes
-    within the threshold of each other are the only ones that can reach it, so pairs are filtered before they are counted.
+    Equal text first (last position wins), else the lowest position of equal group and Jaccard >= threshold.
+
+    A join with prefixes: shingles are ordered by how many frozen rows of the group have them, rarest first. Sets of n that reach
+    the threshold share one of their first n - ceil(threshold n) + 1, so only these are joined, and common shingles stay out.
+    Shingles that no frozen row has come first in that order and meet nothing; a candidate with less than its share of known
+    ones goes at once. Frozen rows of one group and one set of shingles stand for the one of lowest position. What survives
+    sizes and prefixes is counted exactly.
     """
     c, f = candidates.withColumn("hash", fingerprint("text")), frozen.withColumn("hash", fingerprint("text"))
     same = c.join(f.groupBy("hash").agg(F.max(F.struct("position", F.col("id").alias("match"))).alias("x")), "hash").select("id", F.col("x.match").alias("match"), F.lit("same_hash").alias("reason"))
-    a = shingle_rows(c.join(same.select("id"), "id", "left_anti"), ["id", "grp"]).select("id", "grp", F.col("size").alias("n"), "shingle")
-    b = shingle_rows(f, ["id", "grp", "position"]).select(F.col("id").alias("match"), "grp", "position", F.col("size").alias("m"), "shingle")
+    sets = f.select("grp", "position", F.col("id").alias("match"), F.sort_array(shingle_hashes("text")).alias("s")).filter("size(s) > 0")
+    sets = sets.groupBy("grp", F.xxhash64("s").alias("set")).agg(F.min(F.struct("position", "match", "s")).alias("x")).select("grp", "set", F.size("x.s").alias("m"), "x.position", "x.match", "x.s").checkpoint()
+    known = sets.select("grp", F.explode("s").alias("shingle")).groupBy("grp", "shingle").agg(F.count(F.lit(1)).alias("df"))
+    least = lambda n: F.ceil(n * threshold - 1e-9)
+    rarest = lambda n: F.col(n) - least(F.col(n)) + 1
+
+    of_frozen = sets.select("grp", "set", "m", F.explode("s").alias("shingle")).join(known, ["grp", "shingle"]).groupBy("grp", "set", "m").agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("o"))
+    heads = of_frozen.select("grp", "set", "m", F.explode(F.slice("o", F.lit(1), rarest("m").cast("int"))).alias("x")).select("grp", "set", "m", "x.shingle")
+
+    left = c.join(same.select("id"), "id", "left_anti")
+    met = hashed_rows(left, ["id", "grp"]).withColumnRenamed("size", "n").join(known, ["grp", "shingle"]).groupBy("id", "grp", "n").agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("o"))
+    met = met.filter(F.size("o") >= least(F.col("n"))).checkpoint()
+    first = rarest("n") - (F.col("n") - F.size("o"))
+    tops = met.filter(first > 0).select("id", "grp", "n", F.explode(F.slice("o", F.lit(1), first.cast("int"))).alias("x")).select("id", "grp", "n", "x.shingle")
     close = (F.col("n") >= threshold * F.col("m")) & (F.col("m") >= threshold * F.col("n"))
-    both = a.join(b, ["grp", "shingle"]).filter(close).groupBy("id", "match", "position", "n", "m").agg(F.count(F.lit(1)).alias("i"))
-    near = both.filter(F.col("i") >= threshold * (F.col("n") + F.col("m") - F.col("i"))).groupBy("id").agg(F.min(F.struct("position", "match")).alias("x"))
+    pairs = tops.join(heads, ["grp", "shingle"]).filter(close).select("id", "grp", "set").distinct()
+
+    both = pairs.join(met.select("id", "grp", "n", F.transform("o", lambda x: x["shingle"]).alias("a")), ["id", "grp"]).join(sets, ["grp", "set"])
+    shared = F.size(F.array_intersect("a", "s"))
+    near = both.filter(shared >= threshold * (F.col("n") + F.col("m") - shared)).groupBy("id").agg(F.min(F.struct("position", "match")).alias("x"))
     return same.unionByName(near.select("id", F.col("x.match").alias("match"), F.lit("shingles").alias("reason")))
 
 
+#: Shingles of protected texts up to which their table is sent to all tasks (16 bytes each and their text's key).
+SENT = 200_000
+
+
 def protected_hits(documents: DataFrame, protected: DataFrame, share: float = 0.6, least: int = 4) -> DataFrame:
     """Documents (id, text) that hold at least ``share`` of the shingles of a protected text (item, position, side, text).
 
-    Returns (id, item): the protected item of lowest position. Only shingles that protected texts have are counted.
+    Returns (id, item): the protected item of lowest position. Only shingles that protected texts have are counted; while those are
+    at most ``SENT`` they meet the shingles of documents where these are made, else in a join by shingle, with equal results.
     """
-    p = shingle_rows(protected, ["item", "position", "side"]).filter(F.col("size") >= least)
-    d = shingle_rows(documents, ["id"]).select("id", "shingle")
-    hit = d.join(p, "shingle").groupBy("id", "item", "position", "side", "size").agg(F.count(F.lit(1)).alias("n"))
+    p = hashed_rows(protected, ["item", "position", "side"]).filter(F.col("size") >= least).checkpoint()
+    if p.limit(SENT + 1).count() <= SENT:
+        p = F.broadcast(p)
+    hit = hashed_rows(documents, ["id"]).select("id", "shingle").join(p, "shingle").groupBy("id", "item", "position", "side", "size").agg(F.count(F.lit(1)).alias("n"))
     return hit.filter(F.col("n") >= share * F.col("size")).groupBy("id").agg(F.min(F.struct("position", "item")).alias("x")).select("id", "x.item")
 
 

@@ -63,20 +63,52 @@ def sharegpt_turns(messages: DataFrame) -> DataFrame:
     return turns.select("session", "turn", "from", F.array_join(F.transform("parts", lambda x: x["value"]), "\n").alias("value"))
 
 
+def sharegpt_rendered(messages: DataFrame) -> DataFrame:
+    """Rows (session, system, turns, valid, same): conversations whose turns keep the template's own text.
+
+    ``turns`` is an array of (from, value): calls are written in the reply, consecutive tool results are one human turn. System
+    messages at the beginning are the system text, a line each. ``valid``: human and gpt take turns and gpt has the last word;
+    ``same``: the template writes the same text from the turns as from the messages. System messages further on are turns of
+    neither side, so such a session isn't valid.
+    """
+    talk = F.coalesce(F.max((F.col("role") != "system").cast("int")).over(by_pos().rowsBetween(Window.unboundedPreceding, 0)), F.lit(0)) == 1
+    joins = (F.col("role") == "tool") & (F.lag("role").over(by_pos()) == "tool")
+    rows = messages.withColumns({"talk": talk, "joins": F.coalesce(joins, F.lit(False)), "text": reply()})
+    rows = rows.withColumn("turn", F.sum((F.col("talk") & ~F.col("joins")).cast("int")).over(by_pos()))
+    side = F.when(F.col("role") == "assistant", "gpt").when(F.col("role") == "system", "system").otherwise("human")
+    lined = lambda test: F.array_join(F.transform(F.sort_array(F.collect_list(F.when(test, F.struct("pos", "text")))), lambda x: x["text"]), "\n")
+    turns = rows.groupBy("session", "turn").agg(F.min_by(side, "pos").alias("from"), lined(F.col("talk")).alias("value"), lined(~F.col("talk")).alias("system"), F.bool_or("talk").alias("talk"))
+    whole = turns.groupBy("session").agg(
+        F.transform(F.sort_array(F.collect_list(F.when(F.col("talk"), F.struct("turn", "from", "value")))), lambda x: F.struct(x["from"].alias("from"), x["value"].alias("value"))).alias("turns"),
+        F.coalesce(F.max(F.when(~F.col("talk"), F.col("system"))), F.lit("")).alias("system"),
+    )
+    wanted = lambda i: F.when(i % 2 == 0, "human").otherwise("gpt")
+    fits = F.forall(F.transform("turns", lambda t, i: t["from"] == wanted(i)), lambda x: x) & (F.size("turns") > 0) & (F.size("turns") % 2 == 0)
+    block = lambda role, text: F.concat(F.lit("<|im_start|>"), role, F.lit("\n"), text, F.lit("<|im_end|>\n"))
+    said = F.array_join(F.transform("turns", lambda t: block(F.when(t["from"] == "gpt", "assistant").when(t["from"] == "system", "system").otherwise("user"), t["value"])), "")
+    back = F.concat(F.when(F.col("system") != "", block(F.lit("system"), F.col("system"))).otherwise(""), said)
+    both = whole.withColumn("valid", fits).withColumn("back", back).join(rendered(messages), "session")
+    return both.select("session", "system", "turns", "valid", (F.col("back") == F.col("text")).alias("same"))
+
+
 def sharegpt_valid(turns: DataFrame) -> DataFrame:
     fits = F.when(F.col("turn") % 2 == 0, F.col("from").isin("human", "observation")).otherwise(F.col("from").isin("gpt", "function_call"))
     return turns.groupBy("session").agg((F.bool_and(fits) & F.max_by("from", "turn").isin("gpt", "function_call")).alias("valid"), F.count(F.lit(1)).alias("turns"))
 
 
+def reply() -> Column:
+    """What the template writes for a message: calls as tags after the text, tool results in theirs."""
+    of_tool = F.concat(F.lit("<tool_response>\n"), "content", F.lit("\n</tool_response>"))
+    with_call = F.concat("content", F.lit("\n<tool_call>"), "tool", F.lit("</tool_call>"))
+    return F.when(F.col("role") == "tool", of_tool).when((F.col("role") == "assistant") & F.col("tool").isNotNull(), with_call).otherwise(F.col("content"))
+
+
 def rendered(messages: DataFrame) -> DataFrame:
     """One text per session in a chat template: tagged turns, tool results inside user turns, calls as tags."""
     joins = (F.col("role") == "tool") & (F.lag("role").over(by_pos()) == "tool")
     opens = F.when(F.coalesce(joins, F.lit(False)), "").otherwise(F.concat(F.lit("<|im_start|>"), F.when(F.col("role") == "tool", "user").otherwise(F.col("role")), F.lit("\n")))
     ends = F.when((F.col("role") == "tool") & (F.lead("role").over(by_pos()) == "tool"), "\n").otherwise("<|im_end|>\n")
-    body = F.when(F.col("role") == "tool", F.concat(F.lit("<tool_response>\n"), "content", F.lit("\n</tool_response>"))).when(
-        F.col("tool").isNotNull(), F.concat("content", F.lit("\n<tool_call>"), "tool", F.lit("</tool_call>"))
-    ).otherwise(F.col("content"))
-    pieces = messages.select("session", "pos", F.concat(opens, body, ends).alias("piece"))
+    pieces = messages.select("session", "pos", F.concat(opens, reply(), ends).alias("piece"))
     return pieces.groupBy("session").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", "piece"))), lambda x: x["piece"]), "").alias("text"))
 
 

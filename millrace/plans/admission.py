@@ -11,7 +11,9 @@ view("task_files", """
 SELECT CAST(floor(doc_id / 5) AS bigint) AS id, CASE WHEN doc_id % 7 = 0 THEN 'tests_caches/test_' ELSE 'depart/f' END || CAST(doc_id AS varchar(20)) || '.gd' AS path, coalesce(text, '') AS text FROM {documents}
 """)
 view("task_heads", """
-SELECT CAST(floor(doc_id / 5) AS bigint) AS id, CASE WHEN min(doc_id) % 11 = 0 THEN ' ' ELSE max(lang) END AS origin, CASE WHEN min(doc_id) % 9 = 0 THEN NULL ELSE max(text) END AS instruction FROM {documents} GROUP BY 1
+SELECT CAST(floor(doc_id / 5) AS bigint) AS id, CASE WHEN min(doc_id) % 11 = 0 THEN ' ' ELSE max(lang) END AS origin, CASE WHEN min(doc_id) % 9 = 0 THEN NULL ELSE array_join(transform(array_sort(collect_list(struct(doc_id, text))), x -> x.text), ' ') END AS instruction FROM {documents} GROUP BY 1
+""", """
+SELECT doc_id // 5 AS id, CASE WHEN min(doc_id) % 11 = 0 THEN ' ' ELSE max(lang) END AS origin, CASE WHEN min(doc_id) % 9 = 0 THEN NULL ELSE string_agg(text, ' ' ORDER BY doc_id) END AS instruction FROM {documents} GROUP BY 1
 """)
 SUMS = """(SELECT id, string_agg(path || ' ' || sha256(text), chr(10) ORDER BY path) AS lines, count(*) FILTER (starts_with(path, 'tests_caches/test_')) AS tests FROM {task_files} GROUP BY id)"""
 VERSION = "proposal/1"
@@ -80,8 +82,9 @@ def parameter_grid_draw(orders):
 
 
 @query("documents", sql="""WITH o AS (SELECT source AS grp, doc_id // 3 AS place, doc_id AS id, n_chars::BIGINT AS size, sha256(doc_id::VARCHAR) AS k FROM {documents}), x AS (SELECT * FROM o QUALIFY row_number() OVER (PARTITION BY grp, place ORDER BY k) = 1),
-s AS (SELECT *, row_number() OVER w AS n, sum(size) OVER (PARTITION BY grp ORDER BY k ROWS UNBOUNDED PRECEDING)::BIGINT AS total FROM x WINDOW w AS (PARTITION BY grp ORDER BY k)), t AS (SELECT source AS grp, sum(n_chars) // 4 AS target FROM {documents} GROUP BY 1)
-SELECT grp, id, total FROM s JOIN t USING (grp) WHERE n <= 90 AND total - size < target""")
+s AS (SELECT *, row_number() OVER w AS n, sum(size) OVER (PARTITION BY grp ORDER BY k ROWS UNBOUNDED PRECEDING)::BIGINT AS total FROM x WINDOW w AS (PARTITION BY grp ORDER BY k)), t AS (SELECT source AS grp, sum(n_chars) // 4 AS target FROM {documents} GROUP BY 1),
+g AS (SELECT s.*, n = 1 OR total - size + CASE WHEN n > 2 THEN (total - size - first_value(size) OVER (PARTITION BY grp ORDER BY n)) / (n - 2) ELSE 1500.0 END / 2 < target AS goes FROM s JOIN t USING (grp))
+SELECT grp, id, total FROM g WHERE n <= 90 AND n < coalesce((SELECT min(x.n) FROM g x WHERE x.grp = g.grp AND NOT x.goes), 1e9)""")
 def balanced_until_budget(documents):
     """Documents of a source, one of three neighbours at most, until a quarter of the source's characters is reached."""
     examples = documents.select(F.col("source").alias("grp"), F.expr("doc_id div 3").alias("place"), F.col("doc_id").alias("id"), F.col("n_chars").cast("long").alias("size"))

@@ -11,11 +11,12 @@ view("texts", "SELECT doc_id AS id, lang AS grp, source, text FROM {documents}")
 view("frozen_texts", "SELECT doc_id AS id, lang AS grp, text, CAST(doc_id / 20 AS bigint) AS position FROM {documents} WHERE doc_id % 20 = 0")
 view("protected", """
 SELECT CAST(item_id AS varchar(20)) AS item, item_id AS position, 'answer' AS side, text FROM {benchmark}
-UNION ALL SELECT CAST(item_id AS varchar(20)), item_id, 'instruction', substring(text, 1, 90) FROM {benchmark}
+UNION ALL SELECT CAST(item_id AS varchar(20)), item_id, 'instruction', 'Write this: ' || text FROM {benchmark}
 """)
 view("tasks", "SELECT doc_id AS id, lang AS skill, source FROM {documents}")
 view("layers", """
-SELECT source AS project, 'f' || CAST(doc_id % 40 AS varchar(20)) AS path, CASE WHEN doc_id % 3 = 0 THEN 1 ELSE 0 END AS layer, max(text) AS text FROM {documents} GROUP BY 1, 2, 3
+SELECT CAST(floor(doc_id / 40) AS bigint) AS project, 'f' || CAST(doc_id % 40 AS varchar(20)) AS path, 0 AS layer, text FROM {documents}
+UNION ALL SELECT CAST(floor(doc_id / 40) AS bigint), 'f' || CAST(doc_id % 40 AS varchar(20)), 1, text || '!' FROM {documents} WHERE doc_id % 3 = 0
 """)
 
 TOKENS = r"regexp_extract_all(lower(coalesce(text, '')), '[a-zà-ÿ_][a-zà-ÿ0-9_]*|[0-9]+(?:\.[0-9]+)?|[^\x{09}-\x{0D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}a-zà-ÿ0-9_]')"
@@ -133,13 +134,14 @@ def one_per_key(lineitem):
     return drawn.groupBy("l_orderkey").agg(F.min_by("l_partkey", "draw").alias("l_partkey"))
 
 
-FILES = "SELECT source, count(*)::BIGINT AS files, sha256(string_agg('d' || doc_id::VARCHAR || ' ' || sha256(text), chr(10) ORDER BY 'd' || doc_id::VARCHAR)) AS fingerprint FROM {documents} GROUP BY source"
+FILES = "SELECT doc_id // 50 AS project, count(*)::BIGINT AS files, sha256(string_agg('d' || doc_id::VARCHAR || ' ' || sha256(text), chr(10) ORDER BY 'd' || doc_id::VARCHAR)) AS fingerprint FROM {documents} GROUP BY 1"
 
 
 @query("documents", sql=FILES)
 def content_fingerprint(documents):
-    files = documents.select("source", F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("path"), "text")
-    return corpus.tree_fingerprint(files, "source").withColumn("files", F.col("files").cast("long"))
+    """File sets of fifty documents each, so that a set is bounded."""
+    files = documents.select(F.expr("doc_id div 50").alias("project"), F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("path"), "text")
+    return corpus.tree_fingerprint(files, "project").withColumn("files", F.col("files").cast("long"))
 
 
 OVER = "o AS (SELECT project, path, arg_max(text, layer) AS text, max(layer) AS layer FROM {layers} GROUP BY project, path HAVING path <> 'f3')"
@@ -170,11 +172,12 @@ def frozen_integrity(documents):
     return joined.select("doc_id", status.alias("status"))
 
 
-@query("documents", sql="SELECT CASE WHEN doc_id % 9 = 0 THEN 'failed' WHEN doc_id % 7 = 0 THEN 'modified' ELSE 'verified' END AS status, count(*)::BIGINT AS n FROM {documents} GROUP BY 1")
+@query("documents", sql="""SELECT CASE WHEN length(text) % 9 = 0 THEN 'failed' WHEN sha256(text) <> sha256(replace(text, 'the', 'a')) THEN 'modified' ELSE 'verified' END AS status, count(*)::BIGINT AS n FROM {documents} WHERE text IS NOT NULL GROUP BY 1""")
 def verify_by_hash(documents):
     """Rows against what was recorded when they were verified: failed then, changed since, or verified."""
-    noted = documents.select("doc_id", (F.col("doc_id") % 9 != 0).alias("passed"), corpus.fingerprint("text").alias("hash"))
-    now = documents.select("doc_id", F.when(F.col("doc_id") % 7 == 0, F.concat("text", F.lit("!"))).otherwise(F.col("text")).alias("text"))
+    documents = documents.filter("text IS NOT NULL")
+    noted = documents.select("doc_id", (F.length("text") % 9 != 0).alias("passed"), corpus.fingerprint("text").alias("hash"))
+    now = documents.select("doc_id", F.replace("text", F.lit("the"), F.lit("a")).alias("text"))
     joined = now.join(noted, "doc_id")
     status = F.when(~F.col("passed"), "failed").when(corpus.fingerprint("text") != F.col("hash"), "modified").otherwise("verified")
     return joined.groupBy(status.alias("status")).agg(F.count(F.lit(1)).alias("n"))

@@ -8,7 +8,7 @@ from millrace.operators import messages as m
 from millrace.plans.registry import query, view
 
 view("messages", """
-SELECT conv_id AS session, turn AS pos, role, CASE WHEN length(text) % 13 = 0 THEN '' ELSE text END AS content,
+SELECT conv_id AS session, turn AS pos, role, CASE WHEN length(text) % 3 = 0 THEN '' ELSE text END AS content,
   CASE WHEN role <> 'assistant' THEN NULL ELSE CASE (length(text) + turn) % 7 WHEN 0 THEN 'write_file' WHEN 1 THEN 'read_file' WHEN 2 THEN 'run_tests' WHEN 3 THEN 'capture_frames' WHEN 4 THEN 'prepare_action' WHEN 5 THEN 'edit' ELSE NULL END END AS tool,
   CASE WHEN role <> 'assistant' THEN NULL ELSE CASE length(text) % 6 WHEN 0 THEN 'plan.md' WHEN 1 THEN '1_core/hero.gd' WHEN 2 THEN 'notes/x.txt' WHEN 3 THEN '4_ui/hud.tscn' WHEN 4 THEN 'README.md' ELSE 'hero.gd' END END AS path,
   CASE WHEN role <> 'assistant' THEN NULL ELSE text END AS body, length(text) % 2 = 0 AS tests_ok
@@ -57,10 +57,24 @@ def to_sharegpt(chat):
 
 
 @query("chat", sql=TURNS + """ SELECT session, bool_and(CASE WHEN turn % 2 = 0 THEN "from" IN ('human', 'observation') ELSE "from" IN ('gpt', 'function_call') END) AND arg_max("from", turn) IN ('gpt', 'function_call') AS valid, count(*)::BIGINT AS turns FROM t GROUP BY session""")
-def to_sharegpt_rendered(chat):
+def sharegpt_validity(chat):
     return m.sharegpt_valid(m.sharegpt_turns(chat))
 
 
+REPLY = "CASE WHEN role = 'tool' THEN '<tool_response>' || chr(10) || content || chr(10) || '</tool_response>' WHEN role = 'assistant' AND tool IS NOT NULL THEN content || chr(10) || '<tool_call>' || tool || '</tool_call>' ELSE content END"
+
+
+@query("chat", sql=f"""WITH r AS (SELECT *, {REPLY} AS text, coalesce(role = 'tool' AND lag(role) OVER w = 'tool', false) AS j, pos < coalesce(min(CASE WHEN role <> 'system' THEN pos END) OVER (PARTITION BY session), 1e9) AS head FROM {{chat}} WINDOW w AS (PARTITION BY session ORDER BY pos)),
+n AS (SELECT *, sum((NOT head AND NOT j)::INT) OVER (PARTITION BY session ORDER BY pos) AS turn FROM r),
+t AS (SELECT session, turn, CASE arg_min(role, pos) WHEN 'assistant' THEN 'gpt' WHEN 'system' THEN 'system' ELSE 'human' END AS f, string_agg(text, chr(10) ORDER BY pos) AS value FROM n WHERE NOT head GROUP BY session, turn),
+y AS (SELECT session, string_agg(text, chr(10) ORDER BY pos) AS system, count(*) AS heads FROM n WHERE head GROUP BY session), c AS (SELECT session, count(*) AS turns, bool_and(f = CASE turn % 2 WHEN 1 THEN 'human' ELSE 'gpt' END) AND count(*) % 2 = 0 AS valid, string_agg(f || ':' || value, chr(10) ORDER BY turn) AS said FROM t GROUP BY session)
+SELECT s.session, coalesce(valid, false) AS valid, coalesce(turns, 0)::INT AS turns, coalesce(heads, 0) < 2 AND (heads IS NULL OR system <> '') AS same, sha256(coalesce(system, '') || chr(10) || coalesce(said, '')) AS hash FROM (SELECT DISTINCT session FROM {{chat}}) s LEFT JOIN c USING (session) LEFT JOIN y USING (session)""")
+def to_sharegpt_rendered(chat):
+    out = m.sharegpt_rendered(chat)
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["from"], F.lit(":"), t["value"])), "\n")
+    return out.select("session", "valid", F.size("turns").alias("turns"), "same", F.sha2(F.concat("system", F.lit("\n"), said).cast("binary"), 256).alias("hash"))
+
+
 @query("chat", sql="""SELECT session, sha256(string_agg(CASE WHEN coalesce(role = 'tool' AND p = 'tool', false) THEN '' ELSE '<|im_start|>' || CASE role WHEN 'tool' THEN 'user' ELSE role END || chr(10) END ||
  CASE WHEN role = 'tool' THEN '<tool_response>' || chr(10) || content || chr(10) || '</tool_response>' WHEN tool IS NOT NULL THEN content || chr(10) || '<tool_call>' || tool || '</tool_call>' ELSE content END ||
  CASE WHEN role = 'tool' AND n = 'tool' THEN chr(10) ELSE '<|im_end|>' || chr(10) END, '' ORDER BY pos)) AS text FROM (SELECT *, lag(role) OVER w AS p, lead(role) OVER w AS n FROM {chat} WINDOW w AS (PARTITION BY session ORDER BY pos)) GROUP BY session""")

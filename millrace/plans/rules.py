@@ -25,12 +25,13 @@ def violations_by_rule(lines):
     return rules.by_rule(rules.violations(lines))
 
 
-@query("events", sql="""WITH b AS (SELECT user_id AS attempt, event_type AS rule, 1 AS n, 'p' AS side FROM {events} WHERE event_id % 6 = 0 UNION ALL SELECT user_id, 'QA-' || (event_id % 3)::VARCHAR, 1, 's' FROM {events} WHERE event_id % 50 = 1),
+@query("events", sql="""WITH b AS (SELECT user_id AS attempt, CASE WHEN value > 50 THEN event_type ELSE 'QA-' || (event_id % 3)::VARCHAR END AS rule, 1 AS n, CASE WHEN value > 50 THEN 'p' ELSE 's' END AS side FROM {events}),
 c AS (SELECT attempt, rule, sum(n) AS n, max((side = 'p')::INT) AS p, max((side = 's')::INT) AS s FROM b GROUP BY ALL)
 SELECT attempt, sum(n)::BIGINT AS violations, string_agg(rule || '=' || n::VARCHAR, ',' ORDER BY rule || '=' || n::VARCHAR) AS rules, max(p) = 0 AS structure_ok, max(s) = 0 AS session_ok FROM c GROUP BY attempt""")
 def attempt_triage(events):
-    project = events.filter("event_id % 6 = 0").select(F.col("user_id").alias("attempt"), F.col("event_type").alias("rule"), F.lit(1).alias("n"))
-    session = events.filter("event_id % 50 = 1").select(F.col("user_id").alias("attempt"), F.concat(F.lit("QA-"), (F.col("event_id") % 3).cast("string")).alias("rule"), F.lit(1).alias("n"))
+    """Every event breaks a rule: of the project if its value is high, else of the session."""
+    project = events.filter("value > 50").select(F.col("user_id").alias("attempt"), F.col("event_type").alias("rule"), F.lit(1).alias("n"))
+    session = events.filter("NOT coalesce(value > 50, false)").select(F.col("user_id").alias("attempt"), F.concat(F.lit("QA-"), (F.col("event_id") % 3).cast("string")).alias("rule"), F.lit(1).alias("n"))
     return rules.triage(project, session)
 
 
@@ -42,12 +43,14 @@ def fault_pattern_hits(lines):
     return rules.useful_patterns(lines, lines.sparkSession.createDataFrame(PATTERNS, "name string, pattern string"))
 
 
-@query("conversations", sql="""SELECT conv_id, turn, CASE turn % 4 WHEN 1 THEN '$ run ' || turn::VARCHAR WHEN 3 THEN '(exit code' END AS found FROM {conversations}""")
+@query("conversations", sql=r"""WITH s AS (SELECT conv_id, turn, regexp_replace(coalesce(text, ''), '[`$]', '', 'g') AS said, length(coalesce(text, '')) % 4 AS k FROM {conversations}), l AS (SELECT *, string_split(said, chr(10)) AS x FROM s)
+SELECT conv_id, turn, CASE WHEN k = 1 AND len(list_filter(x, lambda y: trim(y) <> '')) >= CASE WHEN trim(x[1]) <> '' THEN 2 ELSE 1 END THEN substring('$ ' || x[1], 1, 80) WHEN k = 3 OR contains(said, '(exit code') THEN '(exit code' END AS found FROM l""")
 def fake_output_check(conversations):
-    said = F.substring(F.regexp_replace("text", "[`$]", ""), 1, 20)
-    fence = lambda *parts: F.concat(said, F.lit("\n```sh\n"), *parts, F.lit("```"))
-    command = F.concat(F.lit("$ run "), F.col("turn").cast("string"), F.lit("\n"))
-    text = F.when(F.col("turn") % 4 == 1, fence(command, F.lit("done\n"))).when(F.col("turn") % 4 == 3, F.concat(said, F.lit(" (exit code 0)"))).when(F.col("turn") % 4 == 2, fence(command)).otherwise(said)
+    """Whole texts as a command block, whose first line is the command, as text with an exit code, or as they are."""
+    said = F.regexp_replace(F.coalesce("text", F.lit("")), "[`$]", "")
+    kind = F.length(F.coalesce("text", F.lit(""))) % 4
+    fenced = F.concat(F.lit("Look:\n```sh\n$ "), said, F.lit("\n```"))
+    text = F.when(kind == 1, fenced).when(kind == 3, F.concat(said, F.lit(" (exit code 0)"))).otherwise(said)
     return conversations.select("conv_id", "turn", rules.written_output(text).alias("found"))
 
 

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators import scores
+from millrace.plans import registry
 from millrace.plans.registry import query, view
+from millrace.sources import folders
 
 view("results", """
 SELECT CASE WHEN year(l_shipdate) % 2 = 0 THEN 'r0' ELSE 'r1' END AS round,
@@ -41,6 +43,21 @@ def read_results_last_wins(results):
     return scores.last_wins(results, KEY, ORDER).select(*KEY, "line", "ok")
 
 
+def _result_files(spark, sf_dir):
+    """All results as files of JSON lines in their order, one line in 13 cut off and one in 17 blank, read back."""
+    root = folders.scratch(spark)
+    r = registry.read(spark, sf_dir, "results")
+    line = F.to_json(F.struct(F.col("round").alias("tour"), "configuration", F.col("skill").alias("competence"), F.concat("skill", F.lit("/"), F.col("task").cast("string")).alias("tache_id"), "ok", F.col("line").cast("double").alias("duree_juge_s")))
+    cut = F.when(F.col("part") % 17 == 0, F.lit(" ")).when(F.col("part") % 13 == 0, F.expr("substring(j, 1, length(j) - 5)")).otherwise(F.col("j"))
+    ordered = r.withColumn("j", line).repartitionByRange(4, *ORDER, "ok").sortWithinPartitions(*ORDER, "ok")
+    ordered.select(cut.alias("value")).write.text(root)
+    return folders.read_results(spark, root).select("tour", "configuration", "tache_id", "ok", F.col("duree_juge_s").cast("long").alias("line"))
+
+
+registry.QUERIES["read_results_files"] = _result_files
+registry.ORACLES["read_results_files"] = registry.oracle(f"WITH {LAST.replace('{results})', '{results} WHERE part % 13 <> 0 AND part % 17 <> 0)')} SELECT round AS tour, configuration, skill || '/' || task AS tache_id, ok, line::BIGINT AS line FROM last")
+
+
 @query("results", sql=f"WITH {LAST}, {COUNTS} SELECT * FROM scored")
 def score_counts(results):
     return scored(results)

@@ -8,7 +8,7 @@ from millrace.operators import vocabulary as v
 from millrace.plans.registry import query, view
 
 view("parents", "SELECT p_partkey AS child, CASE WHEN p_partkey = 0 THEN NULL ELSE CAST(floor((p_partkey - 1) / 4) AS bigint) END AS parent FROM {part}")
-view("members", "SELECT DISTINCT CAST(floor(l_partkey / 7) AS bigint) AS class, 'm' || CAST(l_suppkey % 40 AS varchar(9)) AS member, CASE WHEN l_linenumber < 4 THEN 'method' ELSE 'property' END AS kind FROM {lineitem} WHERE l_suppkey % 3 = 0")
+view("members", "SELECT DISTINCT CAST(floor(l_partkey / 7) AS bigint) AS class, 'm' || CAST(l_suppkey % 40 AS varchar(9)) AS member, CASE WHEN l_linenumber < 4 THEN 'method' ELSE 'property' END AS kind FROM {lineitem}")
 view("accesses", "SELECT o_orderkey AS access, o_custkey AS class, 'm' || CAST(o_orderkey % 120 AS varchar(9)) AS member FROM {orders}")
 CHAIN = "chain AS (SELECT child, child AS ancestor, 0 AS depth FROM {parents} UNION ALL SELECT c.child, p.parent, c.depth + 1 FROM chain c JOIN {parents} p ON c.ancestor = p.child WHERE p.parent IS NOT NULL)"
 

@@ -81,6 +81,25 @@ def write_registry(rows: DataFrame, path: str) -> None:
     rows.repartitionByRange("task", "attempt").sortWithinPartitions("task", "attempt").write.mode("overwrite").option("header", True).csv(path)
 
 
+#: Fields of a result line; fixed values. A line without configuration or task has no key and goes.
+RESULT = "tour string, configuration string, competence string, tache_id string, empreinte string, ok boolean, etape string, categorie string, duree_appel_s double, duree_juge_s double, jetons_entree bigint, jetons_sortie bigint, modele string"
+
+
+def read_results(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Result files of JSON lines: for each (tour, configuration, tache_id) the last line, with its place.
+
+    Blank lines and lines that can't be read (cut off by a crash) are skipped; a missing ``tour`` is empty. Lines come in the order
+    of their files' paths, then of the file: by the start of the split and the line within it, so large files are read in parts.
+    """
+    raw = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("line"))
+    x = F.from_json("value", f"{RESULT}, broken string", {"columnNameOfCorruptRecord": "broken"})
+    rows = raw.filter("trim(value) <> ''").withColumn("x", x).filter("x.broken IS NULL AND x.configuration IS NOT NULL AND x.tache_id IS NOT NULL")
+    rows = rows.select("file", "start", "line", F.coalesce("x.tour", F.lit("")).alias("tour"), *(f"x.{c.split()[0]}" for c in RESULT.split(", ")[1:]))
+    rest = [c for c in rows.columns if c not in ("tour", "configuration", "tache_id")]
+    last = rows.groupBy("tour", "configuration", "tache_id").agg(F.max_by(F.struct(*rest), F.struct("file", "start", "line")).alias("x"))
+    return last.select("tour", "configuration", "tache_id", *(f"x.{c}" for c in rest))
+
+
 def read_junit(spark: SparkSession, path: str) -> DataFrame:
     """XML test report: one row a test case with its outcome."""
     schema = "_classname string, _name string, failure string, error string, skipped string"
