@@ -229,14 +229,3 @@ def json_scan(text: str):
             except ValueError:
                 continue
     return None, "unreadable"
-
-
-def proportional_quotas(shares: dict[str, float], total: int) -> dict[str, int]:
-    """Whole quotas by share that sum to the total: the largest gives, the smallest takes what rounding left."""
-    whole = sum(shares.values()) or 1
-    out = {k: round(total * v / whole) for k, v in shares.items()}
-    while out and sum(out.values()) != total:
-        more = sum(out.values()) < total
-        key = min(out, key=lambda k: (out[k], k)) if more else max(out, key=lambda k: (out[k], k))
-        out[key] += 1 if more else -1
-    return out

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 #: Line rules of style: id and pattern; fixed values.
 LINE_RULES = (("R-OLD", r"\byield\("), ("R-HARD", r"[0-9]{4,}"), ("R-MARK", r"[!?]{2,}"), ("R-PIPE", r" \| "), ("R-LONG", r"^.{201,}"))
@@ -50,18 +49,6 @@ def balance(rows: DataFrame, group: list[str], kind: str, one: str, other: str,
     return rows.groupBy(*group).agg(F.round(of(one) / of(other), 2).alias("ratio"))
 
 
-def extremes(balanced: DataFrame, n: int = 3) -> DataFrame:
-    """The n lowest, the n highest and the middle element (at n div 2 of the sorted list) of the ratios."""
-    known = balanced.filter("ratio IS NOT NULL")
-    low = known.orderBy("ratio").limit(n).withColumn("place", F.lit("low"))
-    high = known.orderBy(F.desc("ratio")).limit(n).withColumn("place", F.lit("high"))
-    count = known.agg(F.floor(F.count(F.lit(1)) / 2).alias("at"))
-    # groups are few (cities and steps); their ratios are one sorted list
-    ranked = known.withColumn("i", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("ratio")) - 1)
-    middle = ranked.join(F.broadcast(count), F.col("i") == F.col("at")).select("ratio", F.lit("middle").alias("place"))
-    return low.select("ratio", "place").unionByName(high.select("ratio", "place")).unionByName(middle)
-
-
 def efficiency(measures: DataFrame) -> DataFrame:
     """Candidate against reference per task: allocations 0, batches at most 1.05 x, time at most 1.15 x by medians, render equal.
 

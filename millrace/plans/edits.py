@@ -7,8 +7,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from millrace.operators import corpus, edits
-from millrace.operators.retrieval import fold_pack
+from millrace.operators import corpus, edits, orders
 from millrace.plans.registry import query, view
 
 view("revised", """
@@ -105,12 +104,13 @@ def answer_json(events):
     return edits.rows_of(answers, ["event_id", "text"], f, "event_id bigint, k bigint, reason string")
 
 
-@query("documents")
+@query("documents", sql="""WITH RECURSIVE o AS (SELECT source, doc_id, n_chars, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS i FROM {documents}),
+f AS (SELECT source, i, 0::BIGINT AS pack, n_chars::BIGINT AS used FROM o WHERE i = 1 UNION ALL SELECT o.source, o.i, pack + (used + n_chars > 20000)::INT, CASE WHEN used + n_chars > 20000 THEN n_chars ELSE used + n_chars END FROM f JOIN o ON o.source = f.source AND o.i = f.i + 1),
+s AS (SELECT source, pack, max(used) AS used FROM f GROUP BY ALL), l AS (SELECT source, max(pack) AS pack, arg_max(used, pack) AS used FROM s GROUP BY source)
+SELECT o.source, doc_id, CASE WHEN f.pack = l.pack AND l.pack > 0 AND l.used < 2500 THEN f.pack - 1 ELSE f.pack END AS pack FROM o JOIN f ON f.source = o.source AND f.i = o.i JOIN l ON l.source = o.source""")
 def pack_in_order(documents):
-    """Documents of a source, in order, packed under a budget of characters; only ids and sizes go to the fold."""
-    parts = documents.groupBy("source", F.floor(F.col("doc_id") / 1000).alias("block")).agg(F.sort_array(F.collect_list(F.struct("doc_id", "n_chars"))).alias("d"))
-    f = lambda s, b, d: [(s, b, x["doc_id"], g) for x, g in zip(d, fold_pack([int(x["n_chars"]) for x in d], 20_000), strict=True)]
-    return edits.rows_of(parts, ["source", "block", "d"], f, "source string, block bigint, doc_id bigint, pack bigint")
+    """All documents of a source, in order, packed under a budget of characters; a short last pack joins the one before."""
+    return orders.pack_in_order(documents.select("source", "doc_id", "n_chars"), "source", ["doc_id"], "n_chars", 20_000, 2_500).select("source", "doc_id", "pack")
 
 
 @query("lineitem")
@@ -128,11 +128,13 @@ def dependency_groups(lineitem):
     return edits.rows_of(uses, ["l_orderkey", "e"], f, "l_orderkey bigint, place bigint, pieces string")
 
 
-@query("nation", sql="SELECT n_regionkey::VARCHAR AS name, (count(*) * 8)::BIGINT AS quota FROM {nation} GROUP BY 1")
-def proportional_quotas(nation):
-    """200 places split by the nations of each region."""
-    counts = {str(x["n_regionkey"]): float(x["n"]) for x in nation.groupBy("n_regionkey").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return nation.sparkSession.createDataFrame([(k, int(v)) for k, v in edits.proportional_quotas(counts, 200).items()], "name string, quota bigint")
+@query("documents", sql="""WITH RECURSIVE c AS (SELECT lang AS grp, source AS key, count(*) AS n FROM {documents} GROUP BY ALL), q AS (SELECT grp, list(key ORDER BY key) AS keys, list(round_even(137 * n / (SELECT sum(n) FROM c x WHERE x.grp = c.grp), 0)::BIGINT ORDER BY key) AS q FROM c GROUP BY grp),
+r AS (SELECT grp, keys, q FROM q UNION ALL SELECT grp, keys, CASE WHEN list_sum(q) < 137 THEN list_transform(q, lambda x, i: x + (i = list_position(q, list_min(q)))::INT) ELSE list_transform(q, lambda x, i: x - (i = len(q) + 1 - list_position(list_reverse(q), list_max(q)))::INT) END FROM r WHERE list_sum(q) <> 137)
+SELECT grp, unnest(keys) AS key, unnest(q) AS quota FROM r WHERE list_sum(q) = 137""")
+def proportional_quotas(documents):
+    """137 places of each language split by the documents of each source."""
+    shares = documents.groupBy(F.col("lang").alias("grp"), F.col("source").alias("key")).agg(F.count(F.lit(1)).cast("double").alias("share"))
+    return orders.proportional_quotas(shares, 137)
 
 
 @query("code", sql="SELECT id, 'f' || id::VARCHAR AS declared, 'a' AS used FROM {code}")

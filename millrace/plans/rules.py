@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.operators import rules
+from millrace.operators import orders, rules
 from millrace.plans.registry import query, view
 
 view(
@@ -54,13 +54,14 @@ def fake_output_check(conversations):
     return conversations.select("conv_id", "turn", rules.written_output(text).alias("found"))
 
 
-BALANCE = "b AS (SELECT l_returnflag, l_linenumber, round(sum(l_quantity) FILTER (l_linestatus = 'O') / sum(l_quantity) FILTER (l_linestatus = 'F'), 2) AS ratio FROM {lineitem} GROUP BY ALL)"
+BALANCE = "b AS (SELECT l_orderkey, round(sum(l_quantity) FILTER (l_linestatus = 'O') / sum(l_quantity) FILTER (l_linestatus = 'F'), 2) AS ratio FROM {lineitem} GROUP BY ALL)"
 
 
 @query("lineitem", sql=f"""WITH {BALANCE}, r AS (SELECT ratio, row_number() OVER (ORDER BY ratio) - 1 AS i, row_number() OVER (ORDER BY ratio DESC) AS d, count(*) OVER () AS n FROM b WHERE ratio IS NOT NULL)
 SELECT ratio, 'low' AS place FROM r WHERE i < 3 UNION ALL SELECT ratio, 'high' FROM r WHERE d <= 3 UNION ALL SELECT ratio, 'middle' FROM r WHERE i = n // 2""")
 def balance_by_step(lineitem):
-    return rules.extremes(rules.balance(lineitem, ["l_returnflag", "l_linenumber"], "l_linestatus", "O", "F", "l_quantity"))
+    found = rules.balance(lineitem, ["l_orderkey"], "l_linestatus", "O", "F", "l_quantity")
+    return orders.extremes(found, "ratio").withColumnRenamed("value", "ratio")
 
 
 view("measures", """
