@@ -130,29 +130,6 @@ def mask_code(text: str) -> str:
     return "".join(out)
 
 
-#: Operators of single-line faults: name, pattern, replacement.
-FAULTS = (
-    ("comparison", re.compile(r"<=|>=|==|!=|(?<![-<>=])[<>](?![<>=])"), {"<=": "<", ">=": ">", "==": "!=", "!=": "==", "<": "<=", ">": ">="}),
-    ("arithmetic", re.compile(r"(?<=\s)[-+*/](?=\s)"), {"+": "-", "-": "+", "*": "/", "/": "*"}),
-    ("logic", re.compile(r"\b(?:and|or)\b"), {"and": "or", "or": "and"}),
-    ("truth", re.compile(r"\b(?:true|false)\b"), {"true": "false", "false": "true"}),
-    ("number", re.compile(r"(?<![\w.])\d+(?![\w.])"), None),
-)
-
-
-def mutation_rows(text: str) -> list[tuple[int, str, int, str, str | None]]:
-    """(line, operator, occurrence, before, after) of every single-line fault; after None is the line's deletion."""
-    out = []
-    for number, (line, masked) in enumerate(zip(text.split("\n"), mask_code(text).split("\n"), strict=True), 1):
-        for name, pattern, swap in FAULTS:
-            for k, m in enumerate(pattern.finditer(masked)):
-                new = swap[m[0]] if swap else str(int(m[0]) + 1)
-                out.append((number, name, k, line, line[: m.start()] + new + line[m.end() :]))
-        if masked.strip() and masked.strip()[-1] not in ":({[":
-            out.append((number, "deletion", 0, line, None))
-    return out
-
-
 def apply_mutation(text: Column, line: Column, before: Column, after: Column) -> Column:
     """The text with its line replaced (or left out, for null); an error if the line isn't what the fault was made for."""
     lines = F.split(text, "\n")

@@ -5,21 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Line rules of style: id and pattern; fixed values.
-LINE_RULES = (("R-OLD", r"\byield\("), ("R-HARD", r"[0-9]{4,}"), ("R-MARK", r"[!?]{2,}"), ("R-PIPE", r" \| "), ("R-LONG", r"^.{201,}"))
-
-
-def violations(lines: DataFrame, rules: tuple = LINE_RULES) -> DataFrame:
-    """One row (file, line, rule) per line rule broken; all rules are tested in one pass over the lines."""
-    broken = F.array_compact(F.array(*(F.when(F.col("text").rlike(p), F.lit(name)) for name, p in rules)))
-    return lines.select("file", "line", F.explode(broken).alias("rule"))
-
-
 def by_rule(found: DataFrame) -> DataFrame:
-    """Per file: violations in all, and counts by rule as text."""
-    counts = found.groupBy("file", "rule").agg(F.count(F.lit(1)).alias("n"))
+    """Per script (id): violations in all, and counts by rule as text."""
+    counts = found.groupBy("id", "rule").agg(F.count(F.lit(1)).alias("n"))
     named = F.sort_array(F.collect_list(F.concat_ws("=", "rule", F.col("n").cast("string"))))
-    return counts.groupBy("file").agg(F.sum("n").alias("total"), F.array_join(named, ",").alias("rules"))
+    return counts.groupBy("id").agg(F.sum("n").alias("total"), F.array_join(named, ",").alias("rules"))
 
 
 def triage(project: DataFrame, session: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("scoring", "rounds", "corpus", "messages", "logs", "vocabulary", "retrieval", "edits", "rules", "streams", "admission", "assembly", "markup", "api")
+MODULES = ("scoring", "rounds", "corpus", "messages", "logs", "vocabulary", "retrieval", "edits", "code", "rules", "streams", "admission", "assembly", "markup", "api")
 
 
 def load():

@@ -75,18 +75,6 @@ def mask_code(code):
     return edits.rows_of(code, ["id", "text"], f, "id bigint, chars bigint, masked bigint")
 
 
-@query("code", sql="SELECT id, unnest([2, 2, 2, 2, 3, 3, 3, 4]) AS line, unnest(['comparison', 'logic', 'truth', 'number', 'arithmetic', 'number', 'deletion', 'deletion']) AS operator FROM {code}")
-def mutation_rows(code):
-    f = lambda k, t: [(k, n, op) for n, op, *_ in edits.mutation_rows(t)]
-    return edits.rows_of(code, ["id", "text"], f, "id bigint, line int, operator string")
-
-
-@query("code", sql="SELECT id, 3 AS line, sha256(replace(text, chr(10) || ' return a + 1', chr(10) || ' return a - 1')) AS hash FROM {code}")
-def apply_mutation(code):
-    mutants = code.select("id", "text", F.lit(3).alias("line"), F.lit(" return a + 1").alias("old"), F.lit(" return a - 1").alias("new"))
-    return mutants.select("id", "line", F.sha2(edits.apply_mutation(F.col("text"), F.col("line"), F.col("old"), F.col("new")).cast("binary"), 256).alias("hash"))
-
-
 @query("code", sql="SELECT id, unnest(['func', 'var']) AS kind, unnest(['f' || id::VARCHAR, 'v']) AS name, unnest([1, 4]) AS first, unnest([3, 4]) AS last FROM {code}")
 def script_declarations(code):
     return edits.rows_of(code, ["id", "text"], lambda k, t: [(k, *d) for d in edits.script_declarations(t)], "id bigint, kind string, name string, first int, last int")

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.operators import orders, rules
+from millrace.operators import code, orders, rules
+from millrace.plans.code import BROKEN
 from millrace.plans.registry import query, view
 
 view(
@@ -12,17 +13,16 @@ view(
     "SELECT doc_id AS file, CAST(p AS bigint) + 1 AS line, t AS text FROM {documents} LATERAL VIEW posexplode(split(text, '\\\\n')) x AS p, t",
     "SELECT file, line, text FROM (SELECT doc_id AS file, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS line, unnest(string_split(text, chr(10))) AS text FROM {documents}) r",
 )
-BROKEN = "v AS (" + " UNION ALL ".join(f"SELECT file, line, '{n}' AS rule FROM {{lines}} WHERE regexp_matches(text, '{p}')" for n, p in rules.LINE_RULES) + ")"
 
 
-@query("lines", sql=f"WITH {BROKEN} SELECT * FROM v")
-def rule_violations(lines):
-    return rules.violations(lines)
+@query("scripts", sql=f"WITH {BROKEN} SELECT id, line, rule FROM v")
+def rule_violations(scripts):
+    return code.violations(scripts)
 
 
-@query("lines", sql=f"WITH {BROKEN}, c AS (SELECT file, rule, count(*) AS n FROM v GROUP BY ALL) SELECT file, sum(n)::BIGINT AS total, string_agg(rule || '=' || n::VARCHAR, ',' ORDER BY rule) AS rules FROM c GROUP BY file")
-def violations_by_rule(lines):
-    return rules.by_rule(rules.violations(lines))
+@query("scripts", sql=f"WITH {BROKEN}, c AS (SELECT id, rule, count(*) AS n FROM v GROUP BY ALL) SELECT id, sum(n)::BIGINT AS total, string_agg(rule || '=' || n::VARCHAR, ',' ORDER BY rule) AS rules FROM c GROUP BY id")
+def violations_by_rule(scripts):
+    return rules.by_rule(code.violations(scripts))
 
 
 @query("events", sql="""WITH b AS (SELECT user_id AS attempt, CASE WHEN value > 50 THEN event_type ELSE 'QA-' || (event_id % 3)::VARCHAR END AS rule, 1 AS n, CASE WHEN value > 50 THEN 'p' ELSE 's' END AS side FROM {events}),
