@@ -242,3 +242,45 @@ def mutation_rows(scripts: DataFrame) -> DataFrame:
     rows = lines.select("id", (F.col("n") + 1).alias("line"), F.col("text").alias("before"), F.posexplode(every).alias("k", "x"))
     nth = F.row_number().over(Window.partitionBy("id", "line", "x.operator").orderBy("k")) - 1
     return rows.withColumn("occurrence", nth).select("id", "line", "x.operator", "occurrence", "before", "x.after")
+
+
+# What a declaration at the top of a script looks like, and words that are no names.
+DECLARED = r"^(?:@\w+(?:\([^)]*\))?\s+)*(?:static\s+)?(func|class_name|signal|var|const|enum|extends|class)\s+(\w+)?"
+RETURNS = r"\)\s*->\s*([^:]+?)\s*:\s*\z"
+WORD = r"(?:^|[^\w.@$])([A-Za-z_]\w*)"
+WORDS_OF_THE_LANGUAGE = tuple(f"{KEYWORDS}|and|or|not|in|is|as|self|true|false|null|void|extends|export|onready|preload|super".split("|"))
+
+
+def script_declarations(scripts: DataFrame) -> DataFrame:
+    """Rows (id, kind, name, returns, first, last): each declaration that isn't indented, with the last line of code of its body.
+
+    A body goes on to the next line of code that isn't indented. ``returns`` is the type after the arrow on the first line.
+    """
+    lines = code_lines(scripts).withColumn("solid", F.col("code").rlike(r"\S")).withColumn("top", F.col("code").rlike(r"^\S"))
+    up = Window.partitionBy("id").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
+    piece = lines.withColumn("piece", F.sum(F.col("top").cast("int")).over(up)).filter("piece > 0").groupBy("id", "piece")
+    found = piece.agg(F.min("line").alias("first"), F.max(F.when(F.col("solid"), F.col("line"))).alias("last"), F.min_by("code", "line").alias("code"))
+    part = lambda g: F.regexp_extract("code", ALL_LETTERS + DECLARED, g)
+    return found.filter(F.col("code").rlike(ALL_LETTERS + DECLARED)).select("id", part(1).alias("kind"), part(2).alias("name"), F.regexp_extract("code", RETURNS, 1).alias("returns"), "first", "last")
+
+
+def declaration_sets(scripts: DataFrame) -> DataFrame:
+    """Rows (id, declared, local, used): arrays of the names a script declares at its top, declares inside, and uses from elsewhere.
+
+    A name after a dot belongs to something else; words of the language are no names.
+    """
+    every = lambda pattern, g=1: F.flatten(F.collect_list(F.regexp_extract_all("code", F.lit(ALL_LETTERS + pattern), F.lit(g))))
+    rows = code_lines(scripts).groupBy("id").agg(
+        every(r"^(?:@\w+(?:\([^)]*\))?\s+)*(?:static\s+)?(?:func|class_name|signal|var|const|enum|class)\s+(\w+)").alias("d"),
+        every(r"^\s+(?:var|const|for)\s+(\w+)").alias("v"), every(r"[(,]\s*(\w+)\s*:").alias("p"), every(WORD).alias("w"),
+    )
+    own = F.array_sort(F.array_distinct("d"))
+    local = F.array_sort(F.array_distinct(F.array_except(F.concat("v", "p"), own)))
+    known = F.concat(own, local, F.array(*map(F.lit, WORDS_OF_THE_LANGUAGE)))
+    return rows.select("id", own.alias("declared"), local.alias("local"), F.array_sort(F.array_except(F.array_distinct("w"), known)).alias("used"))
+
+
+def useful_patterns(lines: DataFrame, patterns: dict[str, str]) -> DataFrame:
+    """Rows (name, hits) of the search patterns that find nothing (0) or something in correct code: one pass, one sum a pattern."""
+    counted = lines.agg(*(F.coalesce(F.sum(F.size(F.regexp_extract_all("text", F.lit(p), F.lit(0)))), F.lit(0)).cast("long").alias(n) for n, p in patterns.items()))
+    return counted.select(F.inline(F.array(*(F.struct(F.lit(n).alias("name"), F.col(n).alias("hits")) for n in patterns))))

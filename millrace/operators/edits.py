@@ -105,31 +105,6 @@ def replay(text: str, edits: list[tuple[str, str]]) -> tuple[str, str | None]:
     return text, None
 
 
-def mask_code(text: str) -> str:
-    """Strings and comments as blanks of the same length; lines stay where they are."""
-    out, i, n = [], 0, len(text)
-    while i < n:
-        c = text[i]
-        if c == "#":
-            j = text.find("\n", i)
-            j = n if j < 0 else j
-        elif c in "\"'":
-            mark = c * 3 if text.startswith(c * 3, i) else c
-            j = i + len(mark)
-            while j < n and not text.startswith(mark, j):
-                if len(mark) == 1 and text[j] == "\n":
-                    break
-                j += 2 if text[j] == "\\" else 1
-            j = min(n, j + len(mark)) if j < n and text.startswith(mark, j) else min(n, j)
-        else:
-            out.append(c)
-            i += 1
-            continue
-        out.append(re.sub(r"[^\n]", " ", text[i:j]))
-        i = j
-    return "".join(out)
-
-
 def apply_mutation(text: Column, line: Column, before: Column, after: Column) -> Column:
     """The text with its line replaced (or left out, for null); an error if the line isn't what the fault was made for."""
     lines = F.split(text, "\n")
@@ -137,24 +112,6 @@ def apply_mutation(text: Column, line: Column, before: Column, after: Column) ->
     return F.when(lines[line - 1] == before, F.array_join(changed, "\n")).otherwise(F.raise_error(F.lit("the line differs")).cast("string"))
 
 
-DECLARATION = re.compile(r"^(func|class_name|signal|var|const|enum|extends)\s+(\w+)?", re.M)
-
-
-def script_declarations(text: str) -> list[tuple[str, str, int, int]]:
-    """(kind, name, first line, last line) of the top-level declarations of a script."""
-    lines, out = mask_code(text).split("\n"), []
-    for n, line in enumerate(lines, 1):
-        m = DECLARATION.match(line)
-        if m:
-            end = n
-            while end < len(lines) and (not lines[end].strip() or lines[end][0] in " \t"):
-                end += 1
-            while end > n and not lines[end - 1].strip():
-                end -= 1
-            out.append((m[1], m[2] or "", n, end))
-    return out
-
-
 def order_groups(uses: dict[str, set[str]]) -> list[list[str]]:
     """Components of mutual dependency, each after those it uses; ties by name."""
     index: dict[str, int] = {}

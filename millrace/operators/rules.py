@@ -20,12 +20,6 @@ def triage(project: DataFrame, session: DataFrame) -> DataFrame:
     return counts.groupBy("attempt").agg(F.sum("n").alias("violations"), F.array_join(named, ",").alias("rules"), (F.max("p") == 0).alias("structure_ok"), (F.max("s") == 0).alias("session_ok"))
 
 
-def useful_patterns(lines: DataFrame, patterns: DataFrame) -> DataFrame:
-    """Search patterns (name, pattern) that find nothing in correct code; the pattern table is small and named as such."""
-    hits = lines.join(F.broadcast(patterns), F.expr("text RLIKE pattern"))
-    return patterns.join(hits.select("name").distinct(), "name", "left_anti").select("name")
-
-
 def written_output(text: Column) -> Column:
     """Beginning of a command block that holds more than the command, or the mark of an exit code; else null."""
     fences = F.regexp_extract_all(text, F.lit(r"```[a-z]*\n([^`]*)```"), F.lit(1))

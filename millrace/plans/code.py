@@ -115,3 +115,35 @@ def apply_mutation(scripts):
     """Every negated condition put into its script."""
     made = c.mutation_rows(scripts).filter("operator = 'condition_niee'").join(scripts.select("id", "text"), "id")
     return made.select("id", "line", F.sha2(edits.apply_mutation(F.col("text"), F.col("line"), F.col("before"), F.col("after")).cast("binary"), 256).alias("hash"))
+
+
+@query("scripts", sql="""WITH x AS (SELECT id, unnest(regexp_extract_all(text, '"[^"\n]*"|#[^\n]*|[^"#]+')) AS t, text FROM {scripts}) SELECT id, length(any_value(text))::BIGINT AS chars, coalesce(sum(length(replace(t, chr(10), ''))) FILTER (t[1] IN ('"', '#')), 0)::BIGINT AS masked FROM x GROUP BY id UNION ALL SELECT id, 0, 0 FROM {scripts} WHERE text = ''""")
+def mask_code(scripts):
+    """Characters of each script, and how many of them strings and comments hide."""
+    hidden = c.masked(F.col("text"), c.HIDDEN)
+    return scripts.select("id", F.length("text").cast("long").alias("chars"), (F.length(hidden) - F.length(F.replace(hidden, F.lit(c.HIDDEN)))).cast("long").alias("masked"))
+
+
+@query("scripts", sql=rf"""WITH {LINES}, p AS (SELECT *, sum(regexp_matches(code, '^\S')::INT) OVER (PARTITION BY id ORDER BY line) AS piece FROM l), g AS (SELECT id, piece, min(line) AS first, max(line) FILTER (regexp_matches(code, '\S')) AS last, arg_min(code, line) AS code FROM p WHERE piece > 0 GROUP BY ALL)
+SELECT id, regexp_extract(code, '{c.DECLARED}', 1) AS kind, regexp_extract(code, '{c.DECLARED}', 2) AS name, regexp_extract(code, '{c.RETURNS}', 1) AS returns, first::INT AS first, last::INT AS last FROM g WHERE regexp_matches(code, '{c.DECLARED}')""")
+def script_declarations(scripts):
+    return c.script_declarations(scripts)
+
+
+def names(pattern: str) -> str:
+    return f"flatten(list(regexp_extract_all(code, '{pattern}', 1)))"
+
+
+@query("scripts", sql=rf"""WITH {LINES}, w AS (SELECT id, {names(r"^(?:@\w+(?:\([^)]*\))?\s+)*(?:static\s+)?(?:func|class_name|signal|var|const|enum|class)\s+(\w+)")} AS d, list_concat({names(r"^\s+(?:var|const|for)\s+(\w+)")}, {names(r"[(,]\s*(\w+)\s*:")}) AS v, {names(c.WORD)} AS w FROM l GROUP BY id)
+SELECT id, array_to_string(list_sort(list_distinct(d)), ',') AS declared, array_to_string(list_sort(list_distinct(list_filter(v, lambda x: NOT list_contains(d, x)))), ',') AS local,
+ array_to_string(list_sort(list_distinct(list_filter(w, lambda x: NOT list_contains(d, x) AND NOT list_contains(v, x) AND x NOT IN ({listed(c.WORDS_OF_THE_LANGUAGE)})))), ',') AS used FROM w""")
+def declaration_sets(scripts):
+    return c.declaration_sets(scripts).select("id", *(F.array_join(x, ",").alias(x) for x in ("declared", "local", "used")))
+
+
+PATTERNS = {"dots": r"[.]{3}", "the": "the", "never": "zzqqzz", "digits": "[0-9]{3}", "absent": "qqqq"}
+
+
+@query("documents", sql=" UNION ALL ".join(f"SELECT '{n}' AS name, coalesce(sum(len(regexp_extract_all(text, '{p}'))), 0)::BIGINT AS hits FROM {{documents}}" for n, p in PATTERNS.items()))
+def fault_pattern_hits(documents):
+    return c.useful_patterns(documents, PATTERNS)

@@ -13,10 +13,6 @@ from millrace.plans.registry import query, view
 view("revised", """
 SELECT doc_id AS id, text AS before, CASE WHEN doc_id % 3 = 0 THEN replace(text, 'the ', 'a ') WHEN doc_id % 3 = 1 THEN text || chr(10) || 'var x = 1' ELSE text END AS after FROM {documents}
 """)
-view("code", r"""
-SELECT doc_id AS id, 'func f' || CAST(doc_id AS varchar(20)) || '(a):' || chr(10) || ' if a <= ' || CAST(doc_id % 50 AS varchar(20)) || ' and true:  # ' || replace(text, chr(10), ' ') || chr(10) || ' return a + 1' || chr(10) || 'var v = "' || replace(replace(replace(text, chr(10), ' '), '"', ' '), chr(92), ' ') || '"' AS text FROM {documents}
-""")
-
 
 LINES = """WITH l AS (SELECT id, unnest(range(1, len(string_split(after, chr(10))) + 1)) AS line, unnest(string_split(after, chr(10))) AS new, string_split(before, chr(10)) AS old FROM {revised})"""
 
@@ -64,22 +60,6 @@ def replay_edits(revised):
     return edits.rows_of(revised, ["id", "before", "after"], f, "id bigint, hash string, replayed boolean")
 
 
-@query("code", sql=rf"""SELECT id, length(text)::BIGINT AS chars, length(text)::BIGINT - length(regexp_replace(regexp_replace(text, '"[^"\n]*"', '', 'g'), '#[^\n]*', '', 'g'))::BIGINT AS masked FROM {{code}}""")
-def mask_code(code):
-    hidden = re.compile(r'"[^"\n]*"|#[^\n]*')
-
-    def f(k, t):
-        blank = {i for m in hidden.finditer(t) for i in range(m.start(), m.end())}
-        return [(k, len(t), sum(a != b or (a == " " and i in blank) for i, (a, b) in enumerate(zip(t, edits.mask_code(t), strict=True))))]
-
-    return edits.rows_of(code, ["id", "text"], f, "id bigint, chars bigint, masked bigint")
-
-
-@query("code", sql="SELECT id, unnest(['func', 'var']) AS kind, unnest(['f' || id::VARCHAR, 'v']) AS name, unnest([1, 4]) AS first, unnest([3, 4]) AS last FROM {code}")
-def script_declarations(code):
-    return edits.rows_of(code, ["id", "text"], lambda k, t: [(k, *d) for d in edits.script_declarations(t)], "id bigint, kind string, name string, first int, last int")
-
-
 @query("events", sql="SELECT event_id, (props::JSON->>'k')::BIGINT AS k, CASE WHEN event_id % 9 = 0 THEN 'unreadable' END AS reason FROM (SELECT event_id, CASE WHEN event_id % 9 = 0 THEN NULL ELSE props END AS props FROM {events})")
 def answer_json(events):
     """JSON of an answer: the whole text, else the first object inside it, else null with a reason."""
@@ -123,12 +103,3 @@ def proportional_quotas(documents):
     """137 places of each language split by the documents of each source."""
     shares = documents.groupBy(F.col("lang").alias("grp"), F.col("source").alias("key")).agg(F.count(F.lit(1)).cast("double").alias("share"))
     return orders.proportional_quotas(shares, 137)
-
-
-@query("code", sql="SELECT id, 'f' || id::VARCHAR AS declared, 'a' AS used FROM {code}")
-def declaration_sets(code):
-    """Names that a piece declares, and names it uses without declaring them."""
-    plain = F.regexp_replace(F.regexp_replace("text", r'"[^"\n]*"', ""), r"#[^\n]*", "")
-    declared = F.regexp_extract_all(plain, F.lit(r"func (\w+)"), F.lit(1))
-    used = F.array_except(F.regexp_extract_all(plain, F.lit(r"(?:if|return) (\w+)"), F.lit(1)), declared)
-    return code.select("id", F.array_join(F.array_distinct(declared), ",").alias("declared"), F.array_join(F.array_sort(F.array_distinct(used)), ",").alias("used"))

@@ -8,13 +8,6 @@ from millrace.operators import code, orders, rules
 from millrace.plans.code import BROKEN
 from millrace.plans.registry import query, view
 
-view(
-    "lines",
-    "SELECT doc_id AS file, CAST(p AS bigint) + 1 AS line, t AS text FROM {documents} LATERAL VIEW posexplode(split(text, '\\\\n')) x AS p, t",
-    "SELECT file, line, text FROM (SELECT doc_id AS file, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS line, unnest(string_split(text, chr(10))) AS text FROM {documents}) r",
-)
-
-
 @query("scripts", sql=f"WITH {BROKEN} SELECT id, line, rule FROM v")
 def rule_violations(scripts):
     return code.violations(scripts)
@@ -35,14 +28,6 @@ def attempt_triage(events):
     return rules.triage(project, session)
 
 
-PATTERNS = [("dots", r"[.]{3}"), ("the", r"the"), ("never", r"zzqqzz"), ("digits", r"[0-9]{3}"), ("absent", r"qqqq")]
-
-
-@query("lines", sql=" UNION ALL ".join(f"SELECT '{n}' AS name WHERE NOT EXISTS (SELECT 1 FROM {{lines}} WHERE regexp_matches(text, '{p}'))" for n, p in PATTERNS))
-def fault_pattern_hits(lines):
-    return rules.useful_patterns(lines, lines.sparkSession.createDataFrame(PATTERNS, "name string, pattern string"))
-
-
 @query("conversations", sql=r"""WITH s AS (SELECT conv_id, turn, regexp_replace(coalesce(text, ''), '[`$]', '', 'g') AS said, length(coalesce(text, '')) % 4 AS k FROM {conversations}), l AS (SELECT *, string_split(said, chr(10)) AS x FROM s)
 SELECT conv_id, turn, CASE WHEN k = 1 AND len(list_filter(x, lambda y: trim(y) <> '')) >= CASE WHEN trim(x[1]) <> '' THEN 2 ELSE 1 END THEN substring('$ ' || x[1], 1, 80) WHEN k = 3 OR contains(said, '(exit code') THEN '(exit code' END AS found FROM l""")
 def fake_output_check(conversations):
