@@ -185,27 +185,6 @@ def staged(stages: list[tuple[str, DataFrame, Column | None]], n: int) -> DataFr
     return done.select("query", F.row_number().over(Window.partitionBy("query").orderBy("stage", "_r")).alias("place"), "id", "found_by")
 
 
-def stem(word: str) -> str:
-    """A light suffix stripper over folded letters: plural and -ing, -ed, -tion, -ment endings."""
-    import unicodedata
-
-    w = "".join(c for c in unicodedata.normalize("NFD", word.lower()) if not unicodedata.combining(c))
-    for suffix in ("ement", "ation", "ment", "tion", "ness", "ing", "ed", "ly", "es", "s"):
-        if w.endswith(suffix) and len(w) - len(suffix) >= 3:
-            return w[: -len(suffix)]
-    return w
-
-
-def stem_terms(index: DataFrame) -> DataFrame:
-    """Stems of the distinct terms; the helper sees each term once."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            yield frame.assign(stem=frame["term"].map(stem))
-
-    return index.select("term").distinct().mapInPandas(run, "term string, stem string")
-
-
 def close_names(asked: DataFrame, known: DataFrame, ratio: float = 0.6, top: int = 3, block: int = 2_000) -> DataFrame:
     """Rows (query, rank, id, score): up to ``top`` nearest known names per asked name, by 1 - edits / longer length.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.operators import index
+from millrace.operators import index, stems
 from millrace.operators import retrieval as r
 from millrace.operators import vocabulary as v
 from millrace.plans.corpus import HITS
@@ -145,9 +145,31 @@ def exact_lookup(queries, classes, members, parents):
     return r.exact_lookup(queries, classes, members, v.closure(upper))
 
 
-@query("passages")
+class Sql:
+    """The operations of the stemmer's steps in DuckDB's SQL."""
+
+    ends = staticmethod(lambda w, s: f"ends_with({w}, '{s}')")
+    cut = staticmethod(lambda w, n: f"left({w}, length({w}) - {n})" if n else w)
+    fits = staticmethod(lambda w, p: f"regexp_matches({w}, '{p}')")
+    add = staticmethod(lambda w, s: f"({w} || '{s}')" if s else w)
+    both = staticmethod(lambda a, b: f"({a} AND {b})")
+    no = staticmethod(lambda a: f"(NOT {a})")
+    choose = staticmethod(lambda cases, other: "CASE " + " ".join(f"WHEN {t} THEN {v}" for t, v in cases) + f" ELSE {other} END")
+
+
+def _stemmed() -> str:
+    resolved = "regexp_replace(w, '^y', 'Y')"
+    for _ in range(4):
+        resolved = f"regexp_replace(regexp_replace({resolved}, '([aeiou1])y', '\\1Y', 'g'), '([^aeiou1y])y', '\\11', 'g')"
+    ctes = [f"t AS (SELECT DISTINCT unnest({TERMS.format('text')}) AS term FROM {{passages}})", f"f AS (SELECT term, translate(term, '{stems.ACCENTED[0]}', '{stems.ACCENTED[1]}') AS w FROM t)", f"s0 AS (SELECT term, w AS whole, {resolved} AS w FROM f)"]
+    for k, step in enumerate(stems.steps(Sql)):
+        ctes.append(f"s{k + 1} AS (SELECT term, whole, {step('w')} AS w FROM s{k})")
+    return f"WITH {', '.join(ctes)} SELECT term, CASE WHEN length(whole) > 2 THEN translate(w, '1Y', 'yy') ELSE whole END AS stem FROM s{len(ctes) - 3}"
+
+
+@query("passages", sql=_stemmed())
 def stem_terms(passages):
-    return r.stem_terms(passages.select(F.explode(r.terms("text")).alias("term")))
+    return stems.stem_terms(passages.select(F.explode(r.terms("text")).alias("term")))
 
 
 @query("part", sql="""WITH a AS (SELECT DISTINCT '_' || p_name || 's' AS asked FROM {part} WHERE p_partkey % 20 = 0), k AS (SELECT DISTINCT p_name AS name FROM {part}),
