@@ -112,43 +112,6 @@ def apply_mutation(text: Column, line: Column, before: Column, after: Column) ->
     return F.when(lines[line - 1] == before, F.array_join(changed, "\n")).otherwise(F.raise_error(F.lit("the line differs")).cast("string"))
 
 
-def order_groups(uses: dict[str, set[str]]) -> list[list[str]]:
-    """Components of mutual dependency, each after those it uses; ties by name."""
-    index: dict[str, int] = {}
-    low: dict[str, int] = {}
-    stack: list[str] = []
-    out: list[list[str]] = []
-
-    for root in sorted(uses):
-        if root in index:
-            continue
-        work = [(root, iter(sorted(uses[root])))]
-        index[root] = low[root] = len(index)
-        stack.append(root)
-        while work:
-            node, rest = work[-1]
-            for to in rest:
-                if to not in uses:
-                    continue
-                if to not in index:
-                    index[to] = low[to] = len(index)
-                    stack.append(to)
-                    work.append((to, iter(sorted(uses[to]))))
-                    break
-                if to in stack:
-                    low[node] = min(low[node], index[to])
-            else:
-                work.pop()
-                if work:
-                    low[work[-1][0]] = min(low[work[-1][0]], low[node])
-                if low[node] == index[node]:
-                    group = []
-                    while not group or group[-1] != node:
-                        group.append(stack.pop())
-                    out.append(sorted(group))
-    return out
-
-
 def json_scan(text: str):
     """The JSON value that a text is, or else the first object or array inside it; (value, reason)."""
     import json

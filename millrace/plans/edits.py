@@ -7,7 +7,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from millrace.operators import corpus, edits, orders
+from millrace.operators import corpus, edits, groups, orders
 from millrace.plans.registry import query, view
 
 view("revised", """
@@ -81,19 +81,17 @@ def pack_in_order(documents):
     return orders.pack_in_order(documents.select("source", "doc_id", "n_chars"), "source", ["doc_id"], "n_chars", 20_000, 2_500).select("source", "doc_id", "pack")
 
 
-@query("lineitem")
-def dependency_groups(lineitem):
-    """Lines of an order as pieces that use each other's names: mutual users are one group, in an order of use."""
-    uses = lineitem.groupBy("l_orderkey").agg(F.sort_array(F.collect_set(F.struct((F.col("l_partkey") % 6).alias("a"), (F.col("l_suppkey") % 6).alias("b")))).alias("e"))
+view("name_uses", "SELECT CAST(floor(l_orderkey / 4) AS bigint) AS grp, 'p' || CAST(l_partkey % 29 AS varchar(9)) AS a, 'p' || CAST((l_suppkey * 7 + l_linenumber) % 29 AS varchar(9)) AS b FROM {lineitem}")
 
-    def f(k, e):
-        graph: dict[str, set[str]] = {}
-        for x in e:
-            graph.setdefault(str(x["a"]), set()).add(str(x["b"]))
-            graph.setdefault(str(x["b"]), set())
-        return [(k, i, "+".join(g)) for i, g in enumerate(edits.order_groups(graph))]
 
-    return edits.rows_of(uses, ["l_orderkey", "e"], f, "l_orderkey bigint, place bigint, pieces string")
+@query("name_uses", sql="""WITH RECURSIVE e AS (SELECT DISTINCT grp, a, b FROM {name_uses}), n AS (SELECT grp, a AS node FROM e UNION SELECT grp, b FROM e), r AS (SELECT grp, a, b FROM e UNION SELECT r.grp, r.a, e.b FROM r JOIN e ON e.grp = r.grp AND e.a = r.b),
+m AS (SELECT n.grp, n.node, coalesce(max(x.b), n.node) AS other FROM n LEFT JOIN (SELECT r.grp, r.a, r.b FROM r JOIN r s ON s.grp = r.grp AND s.a = r.b AND s.b = r.a) x ON x.grp = n.grp AND x.a = n.node GROUP BY n.grp, n.node), c AS (SELECT grp, node, greatest(node, other) AS component FROM m),
+b AS (SELECT DISTINCT e.grp, x.component AS ca, y.component AS cb FROM e JOIN c x ON x.grp = e.grp AND x.node = e.a JOIN c y ON y.grp = e.grp AND y.node = e.b WHERE x.component <> y.component),
+l AS (SELECT DISTINCT grp, component, 0 AS layer FROM c UNION SELECT b.grp, b.ca, layer + 1 FROM l JOIN b ON b.grp = l.grp AND b.cb = l.component), d AS (SELECT grp, component, max(layer) AS layer FROM l GROUP BY ALL),
+p AS (SELECT grp, component, string_agg(node, '+' ORDER BY node) AS pieces, min(node) AS first FROM c GROUP BY ALL) SELECT grp, row_number() OVER (PARTITION BY grp ORDER BY layer, first) - 1 AS place, layer, pieces FROM p JOIN d USING (grp, component)""")
+def dependency_groups(uses):
+    """Names of every four orders as pieces that use each other: mutual users are one group, in an order of use."""
+    return groups.dependency_groups(uses).withColumn("pieces", F.array_join("pieces", "+"))
 
 
 @query("documents", sql="""WITH RECURSIVE c AS (SELECT lang AS grp, source AS key, count(*) AS n FROM {documents} GROUP BY ALL), q AS (SELECT grp, list(key ORDER BY key) AS keys, list(round_even(137 * n / (SELECT sum(n) FROM c x WHERE x.grp = c.grp), 0)::BIGINT ORDER BY key) AS q FROM c GROUP BY grp),

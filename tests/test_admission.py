@@ -59,10 +59,10 @@ def test_grid_draw(spark):
 def test_balanced_until_budget(spark):
     examples = spark.createDataFrame([("g", i // 2, i, 10) for i in range(400)] + [("h", 0, 0, 10)], "grp string, place int, id int, size int")
     targets = spark.createDataFrame([("g", 35)], "grp string, target int")
-    got = a.balanced_until_budget(examples, targets)
-    assert sorted(r["total"] for r in got.collect()) == [10, 20, 30, 40]
+    got = a.balanced_until_budget(examples, targets, first_mean=8)
+    assert sorted(r["total"] for r in got.collect()) == [10, 20, 30]  # 30 and half a mean of 10 reach the target
     order = sorted((min(range(2 * p, 2 * p + 2), key=lambda i: hashlib.sha256(str(i).encode()).hexdigest()) for p in range(200)), key=lambda i: hashlib.sha256(str(i).encode()).hexdigest())
-    assert sorted(r["id"] for r in got.collect()) == sorted(order[:4])
+    assert sorted(r["id"] for r in got.collect()) == sorted(order[:3])
     many = a.balanced_until_budget(examples, targets.withColumn("target", F.lit(10**6)))
     assert sorted(r["id"] for r in many.collect()) == sorted(order[:90])
 

@@ -86,7 +86,6 @@ def test_edit_helpers():
     assert edits.replay(a, edits.unique_edits(a, b)) == (b, None)
     assert edits.occurrences("aaa", "aa") == 2 and edits.replay("aa", [("a", "b")])[1] == "found 2 times"
     assert edits.answer_zones(list("abcdefgh"), list("abcdXfgh"), 1) == ["d X f"]
-    assert edits.order_groups({"a": {"b"}, "b": {"a", "c"}, "c": set()}) == [["c"], ["a", "b"]]
     assert edits.json_scan('text {"k": 1} more') == ({"k": 1}, None) and edits.json_scan("none")[1] == "unreadable"
 
 
