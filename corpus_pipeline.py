@@ -1,6 +1,10 @@
 """A cleaning pipeline over ``documents``: each stage takes what its predecessor kept and returns a DataFrame.
 
 All stages but the last return the columns of ``documents``; the last returns the places of the packed pieces.
+
+Defined results, in every stage: without rows there are none; columns beyond those of ``documents`` stay with their rows, whatever
+their names; rows of one doc_id are judged each. Null and empty texts are scored like others (the first stage), are no copies of each
+other (the second), hold no passage and no item (the third and fourth), and are one end token (the last).
 """
 
 from __future__ import annotations
@@ -23,28 +27,32 @@ def _with_length(docs: DataFrame, like: DataFrame) -> DataFrame:
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rule ensemble scores below one half go; it learns from labels of the documents at hand."""
+    """Documents that the rule ensemble scores below one half go; it learns from labels of the documents at hand.
+
+    Equal texts have equal scores. Without labels every score is one half, so all stay.
+    """
     model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality.keep_good(docs, model)
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of exact and near copies stays."""
+    """One document of each group of exact and near copies stays: the one of smallest doc_id; of repeated rows of it, one."""
     return near_join.keep_one(docs)
 
 
 def substring_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of 50 words that a document with a smaller id has as well are cut out."""
+    """Passages of 50 words that a document with a smaller id has as well are cut out; n_chars is that of what is left."""
     return _with_length(substring_dedup.remove(docs), docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Words of benchmark windows are cut out; documents that are mostly such words go."""
+    """Words of benchmark windows are cut out; documents of which more than half are such words go. Without items all stay."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return _with_length(decontam.clean(docs, benchmark, MOSTLY_BENCHMARK), docs)
 
 
 def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows of the pieces of all documents in sequences of 1024 tokens; each document ends with one more token."""
     return packing.pack(docs)
 
 
