@@ -45,7 +45,7 @@ def explain_errors(errors: DataFrame, parents: DataFrame, members: DataFrame, do
     w = Window.partitionBy("verdict").orderBy("pos", "class", "member")
     cards = once.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= most)
     pairs = cards.select("class", "member").distinct()
-    chain = vocabulary.closure(parents).join(pairs.select(F.col("class").alias("child")).distinct(), "child", "left_semi")
+    chain = vocabulary.closure_of(parents, pairs.select(F.col("class").alias("child")))
     inherited = vocabulary.nearest(vocabulary.members_of(chain, members)).withColumnRenamed("child", "class")
     known = inherited.join(pairs, ["class", "member"], "left_semi").groupBy("class", "member").agg(F.min(F.struct("kind", "origin")).alias("x")).select("class", "member", "x.kind", "x.origin")
     lost = pairs.join(known, ["class", "member"], "left_anti").withColumnRenamed("member", "asked")

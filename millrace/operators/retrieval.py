@@ -26,20 +26,28 @@ def fold_pack(sizes: list[int], limit: int) -> list[int]:
     return out
 
 
-def chunk_paragraphs(docs: DataFrame, limit: int = 1800) -> DataFrame:
-    """Rows (id, chunk, text): paragraphs packed greedily up to ``limit`` characters, none split."""
+def packed(sizes: Column, limit: int) -> Column:
+    """The part of each piece of a row, packed in order: a small helper over arrays of sizes."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rows = []
-            for key, text in zip(frame["id"], frame["text"], strict=True):
-                parts = [p for p in (text or "").split("\n") if p.strip()]
-                groups = fold_pack([len(p) + 1 for p in parts], limit)
-                for g in range(groups[-1] + 1 if groups else 0):
-                    rows.append((key, g, "\n".join(p for p, x in zip(parts, groups, strict=True) if x == g)))
-            yield pd.DataFrame(rows, columns=["id", "chunk", "text"])
-
-    return docs.select("id", "text").mapInPandas(run, f"id {docs.schema['id'].dataType.simpleString()}, chunk bigint, text string")
+    @F.pandas_udf("array<int>")
+    def groups(column: pd.Series) -> pd.Series:
+        return column.map(lambda x: fold_pack([int(n) for n in x], limit))
+
+    return groups(sizes)
+
+
+def in_parts(pieces: Column, groups: Column, between: str) -> Column:
+    """The texts of the parts: the pieces of each group, joined."""
+    last = F.coalesce(F.array_max(groups), F.lit(-1))
+    every = F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0)))).otherwise(F.array().cast("array<int>"))
+    return F.transform(every, lambda g: F.array_join(F.filter(pieces, lambda p, i: F.get(groups, i) == g), between))
+
+
+def chunk_paragraphs(docs: DataFrame, limit: int = 1800) -> DataFrame:
+    """Rows (id, chunk, text): paragraphs (lines with text) packed greedily up to ``limit`` characters, none split; null has none."""
+    pieces = F.filter(F.split(F.coalesce("text", F.lit("")), "\n", -1), lambda p: p.rlike(r"[^\s]"))
+    cut = docs.select("id", pieces.alias("p")).withColumn("g", packed(F.transform("p", lambda p: F.length(p) + 1), limit))
+    return cut.select("id", F.posexplode(in_parts(F.col("p"), F.col("g"), "\n")).alias("chunk", "text")).withColumn("chunk", F.col("chunk").cast("long"))
 
 
 def heading_path(lines: DataFrame, level: Column) -> DataFrame:

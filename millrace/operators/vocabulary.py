@@ -24,6 +24,22 @@ def closure(parents: DataFrame) -> DataFrame:
         known, reach = grown, reach * 2
 
 
+def closure_of(parents: DataFrame, starts: DataFrame) -> DataFrame:
+    """Rows (child, ancestor, depth) of the asked classes (child) only, each itself at depth 0: one join a step up the tree.
+
+    Classes that ``parents`` doesn't have are left out; a cycle stops as its classes are known already.
+    """
+    up = parents.filter("parent IS NOT NULL AND parent <> child").select(F.col("child").alias("ancestor"), F.col("parent").alias("next")).distinct()
+    newest = starts.select("child").distinct().join(parents.select("child").distinct(), "child", "left_semi").select("child", F.col("child").alias("ancestor"), F.lit(0).alias("depth")).checkpoint()
+    known, depth = newest, 0
+    while newest.limit(1).count():
+        depth += 1
+        found = newest.join(up, "ancestor").select("child", F.col("next").alias("ancestor")).distinct()
+        newest = found.join(known, ["child", "ancestor"], "left_anti").withColumn("depth", F.lit(depth)).checkpoint()
+        known = known.unionByName(newest)
+    return known
+
+
 def members_of(chain: DataFrame, members: DataFrame) -> DataFrame:
     """Members (class, member, kind) with every class that has them, through its ancestors: (child, member, kind, origin, depth)."""
     m = members.select(F.col("class").alias("ancestor"), "member", "kind")

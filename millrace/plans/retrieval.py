@@ -108,7 +108,9 @@ def hybrid_search(fragments, protected, questions):
     return r.staged(stages, PLACES)
 
 
-@query("passages")
+@query("passages", sql=r"""WITH RECURSIVE x AS (SELECT id, list_filter(string_split(coalesce(text, ''), chr(10)), lambda p: regexp_matches(p, '[^\s]')) AS p FROM {passages}),
+j AS (SELECT id, 1 AS k, 0::BIGINT AS chunk, length(p[1]) + 1 AS used FROM x WHERE len(p) > 0 UNION ALL SELECT x.id, k + 1, chunk + (used + length(x.p[k + 1]) + 1 > 1800)::INT, CASE WHEN used + length(x.p[k + 1]) + 1 > 1800 THEN length(x.p[k + 1]) + 1 ELSE used + length(x.p[k + 1]) + 1 END FROM j JOIN x ON x.id = j.id WHERE k < len(x.p)),
+y AS (SELECT j.id, chunk, string_agg(x.p[k], chr(10) ORDER BY k) AS text FROM j JOIN x ON x.id = j.id GROUP BY j.id, chunk) SELECT id, chunk, length(text)::BIGINT AS chars, sha256(text) AS hash FROM y""")
 def chunk_paragraphs(passages):
     return r.chunk_paragraphs(passages).select("id", "chunk", F.length("text").cast("long").alias("chars"), F.sha2(F.col("text").cast("binary"), 256).alias("hash"))
 

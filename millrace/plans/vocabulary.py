@@ -33,10 +33,10 @@ def descendant_member(parents, members):
     return v.in_descendants(v.closure(parents), members)
 
 
-@query("accesses", "parents", "members", sql=f"""WITH RECURSIVE {CHAIN} SELECT access, class, member FROM {{accesses}} a WHERE member NOT IN (SELECT 'm' || (n_nationkey * 3 + 1)::VARCHAR FROM {{nation}})
+@query("accesses", "parents", "members", "nation", sql=f"""WITH RECURSIVE {CHAIN} SELECT access, class, member FROM {{accesses}} a WHERE member NOT IN (SELECT 'm' || (n_nationkey * 3 + 1)::VARCHAR FROM {{nation}})
 AND NOT EXISTS (SELECT 1 FROM chain c JOIN {{members}} m ON m.class = c.ancestor WHERE c.child = a.class AND m.member = a.member) AND NOT EXISTS (SELECT 1 FROM chain c JOIN {{members}} m ON m.class = c.child WHERE c.ancestor = a.class AND m.member = a.member AND c.depth > 0)""")
-def unknown_members(accesses, parents, members):
-    project = accesses.sparkSession.range(25).select(F.concat(F.lit("m"), (F.col("id") * 3 + 1).cast("string")).alias("member"))
+def unknown_members(accesses, parents, members, nation):
+    project = nation.select(F.concat(F.lit("m"), (F.col("n_nationkey") * 3 + 1).cast("string")).alias("member"))
     return v.unknown_members(accesses, v.closure(parents), members, project)
 
 

@@ -100,18 +100,27 @@ def live_table(stream: DataFrame, folder: str, key: list[str], order: list[str])
 
     spark = stream.sparkSession
 
-    def latest(below: float) -> str | None:
-        """The newest version that a batch before this one has committed; what is on disk survives a restart."""
+    def files():
+        return spark._jvm.org.apache.hadoop.fs.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def versions(below: float) -> list[int]:
+        """Versions of batches before this one that were written whole; what is on disk survives a restart."""
         root = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        files = root.getFileSystem(spark._jsc.hadoopConfiguration())
-        done = [n for n in (x.getPath().getName() for x in (files.listStatus(root) if files.exists(root) else [])) if re.fullmatch(r"v\d+", n)]
-        done = [int(n[1:]) for n in done if int(n[1:]) < below and files.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{n}/_SUCCESS"))]
+        names = [x.getPath().getName() for x in (files().listStatus(root) if files().exists(root) else [])]
+        done = [int(n[1:]) for n in names if re.fullmatch(r"v\d+", n)]
+        return [n for n in done if n < below and files().exists(spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/v{n}/_SUCCESS"))]
+
+    def latest(below: float) -> str | None:
+        done = versions(below)
         return f"{folder}/v{max(done)}" if done else None
 
     def merge(batch: DataFrame, number: int) -> None:
         before = latest(number)
         both = batch if before is None else spark.read.parquet(before).unionByName(batch)
         last_wins(both, key, order).select(*batch.columns).write.mode("overwrite").parquet(f"{folder}/v{number}")
+        # a batch that is run again needs the version before it, none needs those before that
+        for old in versions(number - 1):
+            files().delete(spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/v{old}"), True)
 
     q = stream.writeStream.foreachBatch(merge).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
     q.awaitTermination()

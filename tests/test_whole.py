@@ -51,3 +51,70 @@ def test_live_table_goes_on_after_a_restart(spark, tmp_path):
         spark.createDataFrame([(key, value)], "key long, value long").coalesce(1).write.mode("append").parquet(source)
         out = live_table(spark.readStream.schema("key long, value long").parquet(source), folder, ["key"], ["value"])
     assert sorted(map(tuple, out.collect())) == [(1, 11), (2, 20)]
+
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_sessions_of_all_conversations_against_one_list(spark):
+    """The rule over all exchanges in order, without keys: the longest shared opening, then the same system text, then the latest."""
+    from millrace.plans import registry
+    from millrace.streaming import capture
+
+    exchanges = capture.accepted(registry.read(spark, SF, "exchanges")).collect()
+    sessions: list[dict] = []
+    for x in sorted(exchanges, key=lambda x: x["ts"]):
+        said = [(m["role"], m["content"]) for m in x["request"]]
+        talk, system = [m for m in said if m[0] != "system"], [m for m in said if m[0] == "system"]
+        fits = []
+        for i, s in enumerate(sessions):
+            shared = next((k for k, (a, b) in enumerate(zip(talk, s["talk"], strict=False)) if a != b), min(len(talk), len(s["talk"])))
+            if shared and len(talk) > len(s["talk"]):
+                fits.append((shared, s["system"] == system, s["last"], i))
+        if fits:
+            old = sessions[max(fits)[3]]
+            old.update(talk=talk, system=system, last=x["ts"], n=old["n"] + 1)
+        else:
+            sessions.append({"talk": talk, "system": system, "first": x["ts"], "last": x["ts"], "n": 1})
+    got = REGISTRY.QUERIES["stitch_sessions"](spark, SF).collect()
+    assert sorted((r["first"], r["last"], r["exchanges"], r["messages"]) for r in got) == sorted((float(s["first"]), float(s["last"]), s["n"], len(s["talk"])) for s in sessions)
+
+
+def test_edits_and_zones_of_all_documents(spark):
+    from millrace.operators import corpus, edits
+    from millrace.plans import registry
+
+    pairs = {r["id"]: r for r in registry.read(spark, SF, "revised").select("id", "before", "after", corpus.tokens("before").alias("a"), corpus.tokens("after").alias("b")).collect()}
+    steps: dict = {}
+    for r in sorted(REGISTRY.QUERIES["unique_edits"](spark, SF).collect(), key=lambda r: r["step"]):
+        steps.setdefault(r["id"], []).append((r["old"], r["new"]))
+    assert set(steps) == {k for k, r in pairs.items() if r["before"] != r["after"]}
+    assert all(edits.replay(pairs[k]["before"], s) == (pairs[k]["after"], None) for k, s in steps.items())
+    zones: dict = {}
+    for r in REGISTRY.QUERIES["answer_zones"](spark, SF).collect():
+        zones.setdefault(r["id"], []).append(r["text"])
+    changed = {k: r for k, r in pairs.items() if r["a"] != r["b"]}
+    for k, r in changed.items():
+        text, old = " ".join(r["b"]), set(r["a"])
+        assert all(z in text for z in zones.get(k, [])) and all(any(w in z.split(" ") for z in zones[k]) for w in set(r["b"]) - old)
+    signed = {r["id"]: r for r in REGISTRY.QUERIES["task_signature"](spark, SF).collect()}
+    assert set(signed) == set(changed) and all(r["answer_shingles"] > 0 for k, r in signed.items() if zones.get(k))
+
+
+def test_frozen_tasks_among_the_chosen_are_an_error(spark):
+    import pytest
+
+    from millrace.operators import rounds
+
+    tasks = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "skill string, task long")
+    frozen = spark.createDataFrame([(2,)], "task long")
+    with pytest.raises(ValueError, match="frozen"):
+        rounds.select_tasks(tasks, ["a"], 1, frozen)
+    assert [r["task"] for r in rounds.select_tasks(tasks, ["b"], 1, frozen).collect()] == [3]
+
+
+def test_closure_of_asked_classes(spark):
+    parents = spark.createDataFrame([("a", None), ("b", "a"), ("c", "b"), ("x", "y"), ("y", "x")], "child string, parent string")
+    asked = spark.createDataFrame([("c",), ("x",), ("nowhere",)], "child string")
+    got = sorted(map(tuple, vocabulary.closure_of(parents, asked).collect()))
+    assert got == [("c", "a", 2), ("c", "b", 1), ("c", "c", 0), ("x", "x", 0), ("x", "y", 1)]
