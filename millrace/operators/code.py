@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from millrace.operators.corpus import bound
+
 #: Strings (three quotes may span lines, others end with the line), comments, and runs without either.
 TOKEN = r'''"""(?:\\[\s\S]|[^\\])*?(?:"""|\\?\z)|\'\'\'(?:\\[\s\S]|[^\\])*?(?:\'\'\'|\\?\z)|"(?:\\[^\n]|[^"\\\n])*(?:"|\\?(?=\n|\z))|'(?:\\[^\n]|[^'\\\n])*(?:'|\\?(?=\n|\z))|#[^\n]*|[^"'#]+'''.replace(r"\'", "'")
 
@@ -179,16 +181,21 @@ REPLACED: tuple[tuple[str, str, Callable[[Column], Column]], ...] = (
 
 def replacements(name: str, pattern: str, new: Callable[[Column], Column]) -> Column:
     """Array of (operator, occurrence, after): each match in ``code`` replaced in ``text``, one at a time."""
-    gaps = F.regexp_extract_all("code", F.lit(rf"{ALL_LETTERS}(?s)(.*?)(?:{pattern})"), F.lit(1))
+    gaps = F.regexp_extract_all("code", F.lit(rf"{ALL_LETTERS}(?s)\G(.*?)(?:{pattern})"), F.lit(1))
     matches = F.regexp_extract_all("code", F.lit(ALL_LETTERS + pattern), F.lit(0))
     length = lambda xs: F.aggregate(xs, F.lit(0), lambda a, x: a + F.length(x))
 
-    def one(m: Column, k: Column) -> Column:
-        start = length(F.slice(gaps, F.lit(1), k + 1)) + length(F.slice(matches, F.lit(1), k))
-        after = F.concat(F.substring("text", F.lit(1), start), new(m), F.substring(F.col("text"), start + F.length(m) + 1, F.length("text")))
-        return F.struct(F.lit(name).alias("operator"), after.alias("after"), new(m).isNotNull().alias("made"))
+    def every(found: Column) -> Column:
+        def one(m: Column, k: Column) -> Column:
+            start = length(F.slice(found["gaps"], F.lit(1), k + 1)) + length(F.slice(found["matches"], F.lit(1), k))
+            after = F.concat(F.substring("text", F.lit(1), start), new(m), F.substring(F.col("text"), start + F.length(m) + 1, F.length("text")))
+            return F.struct(F.lit(name).alias("operator"), after.alias("after"), new(m).isNotNull().alias("made"))
+
+        return F.filter(F.transform(found["matches"], one), lambda x: x["made"])
 
-    return F.filter(F.transform(matches, one), lambda x: x["made"])
+    # most lines have no match, and the gaps are searched only where there are some, each from the end of the match before
+    none = F.array().cast("array<string>")
+    return bound(F.struct(matches.alias("matches"), F.when(F.col("code").rlike(ALL_LETTERS + pattern), gaps).otherwise(none).alias("gaps")), every)
 
 
 def whole_line_faults() -> list[Column]:
@@ -233,8 +240,9 @@ def mutation_rows(scripts: DataFrame) -> DataFrame:
     the faults of one operator on one line from 0. Blank and comment lines of scripts have none; null texts have none.
     """
     script, scene = F.col("path").endswith(".gd"), F.col("path").endswith(".tscn")
-    lines = scripts.filter(script | scene).select("id", "path", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("n", "text"))
-    lines = lines.withColumn("code", masked(F.col("text"), HIDDEN))
+    # text and code leave the generator together, so that no later column masks a line again
+    both = F.transform(F.split(F.coalesce("text", F.lit("")), "\n", -1), lambda x: F.struct(x.alias("text"), masked(x, HIDDEN).alias("code")))
+    lines = scripts.filter(script | scene).select("id", "path", F.posexplode(both).alias("n", "x")).select("id", "path", "n", "x.text", "x.code")
     empty = F.array().cast("array<struct<operator:string,after:string,made:boolean>>")
     live = script & ~F.col("text").rlike(r"^\s*(#|\z)")
     of_script = [F.when(live, x) for x in (*(replacements(*r) for r in REPLACED), *whole_line_faults())]
