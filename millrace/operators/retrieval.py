@@ -165,8 +165,9 @@ def exact_lookup(queries: DataFrame, classes: DataFrame, members: DataFrame, cha
     other = w.join(word_class.select("query", "pos"), ["query", "pos"], "left_anti").filter("n = 1 OR instr(word, '_') > 0").select("query", "pos", F.col("word").alias("member"))
     with_class = other.join(word_class.select("query", "found").distinct(), "query")
     near = inherited(with_class, ["query", "pos"])
-    free = other.join(word_class.select("query").distinct(), "query", "left_anti").join(members.select("member", "id"), "member")
-    free = top_n(free.select(F.struct("query", "pos").alias("query"), "id", F.lit(0).alias("score")), MANY).select("query.query", "query.pos", "id")
+    # the first of each name are found once, before any query asks for them
+    first = top_n(members.select(F.col("member").alias("query"), "id", F.lit(0).alias("score")), MANY).select(F.col("query").alias("member"), "id")
+    free = other.join(word_class.select("query").distinct(), "query", "left_anti").join(first, "member").select("query", "pos", "id")
     columns = lambda df, kind: df.select("query", F.lit(kind).alias("kind"), F.col("pos").cast("int").alias("pos"), "id")
     found = columns(dot_member, 0).unionByName(columns(near, 0)).unionByName(columns(free, 0)).unionByName(columns(word_class, 1)).unionByName(columns(dot_class.withColumn("pos", F.lit(0)), 1))
     once = found.groupBy("query", "id").agg(F.min(F.struct("kind", "pos")).alias("x"))
