@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from millrace.operators.names import close_names, listed
+
 #: Extensions that a proposal may write, steps that its judge may name.
 EXTENSIONS = ("gd", "tscn", "tres", "json", "txt", "cfg", "md")
 STEPS = ("import", "check_script", "load_scene", "run_tests")
@@ -84,6 +86,15 @@ def unknown_types(scripts: DataFrame, known: DataFrame, pattern: str, local: str
     return first.join(known.select("name").distinct(), "name", "left_anti").join(declared, ["id", "name"], "left_anti").select("id", "line", "name")
 
 
+def with_near_types(unknown: DataFrame, known: DataFrame, ratio: float = 0.7) -> DataFrame:
+    """Unknown type names (id, line, name) with ``near``: up to three known names (name) each, nearest first; null if there are none.
+
+    Each different name is compared once, however many scripts use it.
+    """
+    close = listed(close_names(unknown.select("name"), known.select("name"), ratio), "query").withColumnRenamed("query", "name")
+    return unknown.join(close, "name", "left").select(*unknown.columns, "near")
+
+
 def parameter_grid_draw(keys: DataFrame, grid: dict[str, tuple[float, float, float, int]]) -> DataFrame:
     """The first row (key) of each different point of a grid {name: (low, high, step, digits)}, the point drawn by the key's hash."""
     out = keys.select("key")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from millrace.operators import vocabulary
-from millrace.operators.retrieval import top_n
+from millrace.operators.names import close_names, listed
 
 # How an engine's messages name a member (first group) and its class (second group, or the script's own class).
 NAME = r"[A-Za-z_]\w*"
@@ -48,11 +48,9 @@ def explain_errors(errors: DataFrame, parents: DataFrame, members: DataFrame, do
     chain = vocabulary.closure_of(parents, pairs.select(F.col("class").alias("child")))
     inherited = vocabulary.nearest(vocabulary.members_of(chain, members)).withColumnRenamed("child", "class")
     known = inherited.join(pairs, ["class", "member"], "left_semi").groupBy("class", "member").agg(F.min(F.struct("kind", "origin")).alias("x")).select("class", "member", "x.kind", "x.origin")
-    lost = pairs.join(known, ["class", "member"], "left_anti").withColumnRenamed("member", "asked")
-    score = F.round(1 - F.levenshtein("asked", "member") / F.greatest(F.length("asked"), F.length("member"), F.lit(1)), 6)
-    names = lost.join(inherited.select("class", "member").distinct(), "class").withColumn("score", score).filter(F.col("score") >= ratio)
-    best = top_n(names.select(F.struct("class", "asked").alias("query"), F.col("member").alias("id"), "score"), 3)
-    near = best.groupBy("query").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("rank", "id"))), lambda x: x["id"]), "; ").alias("near")).select("query.class", F.col("query.asked").alias("member"), "near")
+    lost = pairs.join(known, ["class", "member"], "left_anti").withColumnRenamed("member", "name")
+    owned = inherited.select("class", F.col("member").alias("name"))
+    near = listed(close_names(lost, owned, ratio, within=["class"]), "class", "query").withColumnRenamed("query", "member")
     texts = docs.select(F.col("name").alias("_name"), F.substring("text", 1, EXCERPT).alias("excerpt"))
     full = cards.join(known, ["class", "member"], "left").join(near, ["class", "member"], "left").withColumn("_name", F.concat("origin", F.lit("."), "member"))
     return full.join(texts, "_name", "left").select("verdict", "place", "class", "member", "kind", "origin", "near", "excerpt")

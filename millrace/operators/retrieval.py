@@ -67,9 +67,9 @@ def terms(column: str) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(F.col(column), F.lit(""))), F.lit(TERM), F.lit(0))
 
 
-def top_n(scored: DataFrame, top: int, buckets: int = 32) -> DataFrame:
-    """Best ``top`` per query: within buckets first, so a query with many hits is ranked by many tasks."""
-    order = (F.desc("score"), F.asc("id"))
+def top_n(scored: DataFrame, top: int, buckets: int = 32, ties: str = "first") -> DataFrame:
+    """Best ``top`` per query: within buckets first, so a query with many hits is ranked by many tasks; ties go to the first (or last) id."""
+    order = (F.desc("score"), F.asc("id") if ties == "first" else F.desc("id"))
     salted = scored.withColumn("_b", F.pmod(F.xxhash64("id"), F.lit(buckets)))
     near = salted.withColumn("rank", F.row_number().over(Window.partitionBy("query", "_b").orderBy(*order))).filter(F.col("rank") <= top)
     return near.withColumn("rank", F.row_number().over(Window.partitionBy("query").orderBy(*order))).filter(F.col("rank") <= top).drop("_b")
@@ -192,24 +192,3 @@ def staged(stages: list[tuple[str, DataFrame, Column | None]], n: int) -> DataFr
         part = ranked.select("query", "id", F.lit(k).alias("stage"), "_r", F.lit(name).alias("found_by"))
         done = (part if done is None else done.unionByName(part)).checkpoint()
     return done.select("query", F.row_number().over(Window.partitionBy("query").orderBy("stage", "_r")).alias("place"), "id", "found_by")
-
-
-def close_names(asked: DataFrame, known: DataFrame, ratio: float = 0.6, top: int = 3, block: int = 2_000) -> DataFrame:
-    """Rows (query, rank, id, score): up to ``top`` nearest known names per asked name, by 1 - edits / longer length.
-
-    Asked names go in blocks of about ``block`` or fewer, each broadcast against all known names of a fitting length, so no
-    pair is lost to a blocking key. A name isn't near itself; null names are left out; ties go by name.
-    """
-    a = asked.filter("name IS NOT NULL").select(F.col("name").alias("query"), F.length("name").alias("n")).distinct()
-    k = known.filter("name IS NOT NULL").select(F.col("name").alias("id"), F.length("name").alias("m")).distinct()
-
-    def near(part: DataFrame) -> DataFrame:
-        fits = (F.col("n") >= ratio * F.col("m")) & (F.col("m") >= ratio * F.col("n")) & (F.col("query") != F.col("id"))
-        score = F.round(1 - F.levenshtein("query", "id") / F.greatest("n", "m", F.lit(1)), 6)
-        return top_n(k.join(F.broadcast(part), fits).select("query", "id", score.alias("score")).filter(F.col("score") >= ratio), top)
-
-    blocks = -(-2 * a.count() // block)
-    if blocks <= 2:
-        return near(a)
-    dealt = a.withColumn("_b", F.pmod(F.xxhash64("query"), F.lit(blocks))).checkpoint()
-    return reduce(DataFrame.unionByName, [near(dealt.filter(F.col("_b") == b).drop("_b")).checkpoint() for b in range(blocks)])

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.operators import admission as a
+from millrace.plans.names import ratios
 from millrace.plans.registry import query, view
 
 view("task_files", """
@@ -56,14 +57,16 @@ WORD = r"(?:^|[^A-Za-z])(?:the|de|la|der|el) ([A-Za-z]+)"
 LOCAL = r"(?:^|\n)([A-Z][a-z]+)"
 
 
-@query("documents", "part", sql=rf"""WITH l AS (SELECT doc_id AS id, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS line, unnest(string_split(text, chr(10))) AS t FROM {{documents}}),
+@query("documents", "part", sql=rf"""WITH RECURSIVE l AS (SELECT doc_id AS id, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS line, unnest(string_split(text, chr(10))) AS t FROM {{documents}}),
 u AS (SELECT id, line, unnest(regexp_extract_all(t, '{WORD}', 1)) AS name FROM l), f AS (SELECT id, name, min(line)::INT AS line FROM u WHERE regexp_matches(name, '^[A-Z]') GROUP BY ALL),
-d AS (SELECT DISTINCT doc_id AS id, unnest(regexp_extract_all(text, '{LOCAL}', 1)) AS name FROM {{documents}}), k AS (SELECT DISTINCT upper(substring(p_name, 1, 1)) || substring(split_part(p_name, ' ', 1), 2) AS name FROM {{part}})
-SELECT f.id, f.line, f.name FROM f ANTI JOIN k ON f.name = k.name ANTI JOIN d ON f.id = d.id AND f.name = d.name""")
+d AS (SELECT DISTINCT doc_id AS id, unnest(regexp_extract_all(text, '{LOCAL}', 1)) AS name FROM {{documents}}), k AS (SELECT DISTINCT upper(substring(p_name, 1, 1)) || substring(split_part(p_name, ' ', 1), 2) AS name FROM {{part}}),
+o AS (SELECT f.id, f.line, f.name FROM f ANTI JOIN k ON f.name = k.name ANTI JOIN d ON f.id = d.id AND f.name = d.name), pairs AS (SELECT DISTINCT o.name AS query, k.name AS id FROM o, k), {ratios("pairs")},
+n AS (SELECT query, string_agg(id, '; ' ORDER BY score DESC, id DESC) AS near FROM (SELECT * FROM ratios WHERE score >= 0.7 QUALIFY row_number() OVER (PARTITION BY query ORDER BY score DESC, id DESC) <= 3) GROUP BY query)
+SELECT o.id, o.line, o.name, n.near FROM o LEFT JOIN n ON n.query = o.name""")
 def unknown_types(documents, part):
     """Capitalised words after an article stand for type names; words that begin a line are the document's own declarations."""
     known = part.select(F.initcap(F.split("p_name", " ")[0]).alias("name"))
-    return a.unknown_types(documents.select(F.col("doc_id").alias("id"), "text"), known, WORD, LOCAL)
+    return a.with_near_types(a.unknown_types(documents.select(F.col("doc_id").alias("id"), "text"), known, WORD, LOCAL), known)
 
 
 GRID = {"speed": (100.0, 320.0, 10.0, 1), "duration": (0.05, 0.4, 0.05, 2)}

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import assembly as a
 from millrace.plans import registry
+from millrace.plans.names import ratios
 from millrace.plans.registry import query, view
 from millrace.plans.vocabulary import CHAIN
 from millrace.sources import folders
@@ -27,8 +28,8 @@ view("member_docs", "SELECT 'c' || CAST(doc_id % 70 AS varchar(20)) || '.m' || C
 @query("engine_errors", "named_parents", "named_members", "member_docs", sql=f"""WITH RECURSIVE {CHAIN.replace("{parents}", "{named_parents}")}, i AS (SELECT c.child AS class, m.member, m.kind, arg_min(m.class, (c.depth, m.class)) AS origin FROM chain c JOIN {{named_members}} m ON m.class = c.ancestor WHERE c.child IN (SELECT class FROM {{engine_errors}}) GROUP BY ALL),
 o AS (SELECT verdict, class, member, min(pos) AS pos FROM {{engine_errors}} WHERE class IN (SELECT child FROM {{named_parents}}) GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY verdict ORDER BY pos, class, member)::INT AS place FROM o QUALIFY place <= 3),
 k AS (SELECT class, member, min(kind) AS kind, arg_min(origin, (kind, origin)) AS origin FROM i GROUP BY ALL), p AS (SELECT DISTINCT class, member FROM r ANTI JOIN k USING (class, member)),
-s AS (SELECT DISTINCT p.class, p.member, i.member AS id, round(1 - levenshtein(p.member, i.member) / greatest(length(p.member), length(i.member)), 6) AS score FROM p JOIN i ON i.class = p.class),
-n AS (SELECT class, member, string_agg(id, '; ' ORDER BY score DESC, id) AS near FROM (SELECT * FROM s WHERE score >= 0.6 QUALIFY row_number() OVER (PARTITION BY class, member ORDER BY score DESC, id) <= 3) GROUP BY ALL)
+c AS (SELECT DISTINCT p.class, p.member AS query, i.member AS id FROM p JOIN i ON i.class = p.class), {ratios("c")}, s AS (SELECT class, query AS member, id, score FROM c JOIN ratios USING (query, id)),
+n AS (SELECT class, member, string_agg(id, '; ' ORDER BY score DESC, id DESC) AS near FROM (SELECT * FROM s WHERE score >= 0.6 QUALIFY row_number() OVER (PARTITION BY class, member ORDER BY score DESC, id DESC) <= 3) GROUP BY ALL)
 SELECT verdict, place, r.class, r.member, kind, origin, near, substring(d.text, 1, 600) AS excerpt FROM r LEFT JOIN k USING (class, member) LEFT JOIN n USING (class, member) LEFT JOIN {{member_docs}} d ON d.name = origin || '.' || r.member""")
 def explain_errors(errors, parents, members, docs):
     return a.explain_errors(errors, parents, members, docs)

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.operators import index, stems
+from millrace.operators import index, names, stems
 from millrace.operators import retrieval as r
 from millrace.operators import vocabulary as v
 from millrace.plans.corpus import HITS
+from millrace.plans.names import ratios
 from millrace.plans.registry import query, view
 from millrace.plans.vocabulary import CHAIN
 from millrace.sources import folders
@@ -174,9 +175,9 @@ def stem_terms(passages):
     return stems.stem_terms(passages.select(F.explode(r.terms("text")).alias("term")))
 
 
-@query("part", sql="""WITH a AS (SELECT DISTINCT '_' || p_name || 's' AS asked FROM {part} WHERE p_partkey % 20 = 0), k AS (SELECT DISTINCT p_name AS name FROM {part}),
-s AS (SELECT asked AS query, name AS id, round(1 - levenshtein(asked, name) / greatest(length(asked), length(name)), 6) AS score FROM a JOIN k ON length(asked) >= 0.6 * length(name) AND length(name) >= 0.6 * length(asked) AND asked <> name)
-SELECT query, rank, id, score FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, id)::INT AS rank FROM s WHERE score >= 0.6) WHERE rank <= 3""")
+@query("part", sql=f"""WITH RECURSIVE a AS (SELECT DISTINCT '_' || p_name || 's' AS asked FROM {{part}} WHERE p_partkey % 20 = 0), k AS (SELECT DISTINCT p_name AS name FROM {{part}}),
+pairs AS (SELECT asked AS query, name AS id FROM a JOIN k ON asked <> name), {ratios("pairs")}
+SELECT query, rank, id, score FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, id DESC)::INT AS rank FROM ratios WHERE score >= 0.6) WHERE rank <= 3""")
 def close_names(part):
     asked = part.filter("p_partkey % 20 = 0").select(F.concat(F.lit("_"), F.col("p_name"), F.lit("s")).alias("name"))
-    return r.close_names(asked, part.select(F.col("p_name").alias("name"))).select("query", "rank", "id", "score")
+    return names.close_names(asked, part.select(F.col("p_name").alias("name"))).select("query", "rank", "id", "score")
