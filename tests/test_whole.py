@@ -57,7 +57,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_sessions_of_all_conversations_against_one_list(spark):
-    """The rule over all exchanges in order, without keys: the longest shared opening, then the same system text, then the latest."""
+    """The rule over all exchanges in order, without keys: the longest shared opening, then the same system text, then the last opened."""
     from millrace.plans import registry
     from millrace.streaming import capture
 
@@ -70,9 +70,9 @@ def test_sessions_of_all_conversations_against_one_list(spark):
         for i, s in enumerate(sessions):
             shared = next((k for k, (a, b) in enumerate(zip(talk, s["talk"], strict=False)) if a != b), min(len(talk), len(s["talk"])))
             if shared and len(talk) > len(s["talk"]):
-                fits.append((shared, s["system"] == system, s["last"], i))
+                fits.append((shared, s["system"] == system, i))
         if fits:
-            old = sessions[max(fits)[3]]
+            old = sessions[max(fits)[2]]
             old.update(talk=talk, system=system, last=x["ts"], n=old["n"] + 1)
         else:
             sessions.append({"talk": talk, "system": system, "first": x["ts"], "last": x["ts"], "n": 1})
