@@ -73,6 +73,36 @@ def proposal_validation(proposals: DataFrame, skills: DataFrame, version: str, s
     return proposals.join(known, "skill", "left").select("id", errors.alias("errors"))
 
 
+def start_files(files: DataFrame, replacements: DataFrame, removals: DataFrame, additions: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The files (id, path, text) from which proposals start, and the errors (id, part, k, error) of their changes.
+
+    Replacements (id, k, path, before, after) are made in order of k, each in the file that those before it left, if ``before`` stands
+    there exactly once; then removals (id, k, path) of files that are there, then additions (id, path, text; the last text of a path
+    in order). A change that can't be made is an error and leaves the file. Null ids have no files.
+    """
+    step = F.struct("k", "before", "after")
+    asked = replacements.groupBy("id", "path").agg(F.sort_array(F.collect_list(step)).alias("steps"))
+    both = files.select("id", "path", F.coalesce("text", F.lit("")).alias("text"), F.lit(True).alias("there")).join(asked, ["id", "path"], "full")
+
+    def make(state: Column, x: Column) -> Column:
+        n = occurrences(state["text"], x["before"])
+        lacking = state["text"].isNull() | (F.coalesce(x["before"], F.lit("")) == "") | x["after"].isNull()
+        error = F.when(lacking, "unknown file or no text").when(n != 1, F.concat(F.lit("before found "), n.cast("string"), F.lit(" times")))
+        text = F.when(error.isNull(), F.replace(state["text"], x["before"], x["after"])).otherwise(state["text"])
+        errors = F.when(error.isNull(), state["errors"]).otherwise(F.array_append(state["errors"], F.struct(x["k"].cast("long").alias("k"), error.alias("error"))))
+        return F.struct(text.alias("text"), errors.alias("errors"))
+
+    start = F.struct(F.col("text").alias("text"), F.array().cast("array<struct<k:bigint,error:string>>").alias("errors"))
+    done = both.withColumn("x", F.aggregate(F.coalesce("steps", F.array().cast(asked.schema["steps"].dataType)), start, make))
+    changed = done.filter("there").select("id", "path", F.col("x.text").alias("text"))
+    wrong = done.select("id", F.lit("replacement").alias("part"), F.explode("x.errors").alias("e")).select("id", "part", "e.k", "e.error")
+    gone = removals.select("id", "path", F.col("k").cast("long").alias("k"), F.row_number().over(Window.partitionBy("id", "path").orderBy("k")).alias("_r"))
+    lost = gone.join(files.select("id", "path", F.lit(True).alias("there")).distinct(), ["id", "path"], "left").filter("there IS NULL OR _r > 1")
+    new = additions.groupBy("id", "path").agg(F.max("text").alias("text"))
+    kept = changed.join(gone.select("id", "path"), ["id", "path"], "left_anti").join(new.select("id", "path"), ["id", "path"], "left_anti")
+    return kept.unionByName(new), wrong.unionByName(lost.select("id", F.lit("removal").alias("part"), "k", F.lit("not there").alias("error")))
+
+
 def unknown_types(scripts: DataFrame, known: DataFrame, pattern: str, local: str) -> DataFrame:
     """Rows (id, line, name): the first line of each type name of a script (id, text) that neither ``known`` (name) nor the script declares.
 

@@ -157,6 +157,72 @@ def tree_fingerprint(files: DataFrame, key: str) -> DataFrame:
     return listed.select(key, F.sha2(F.concat_ws("\n", F.transform("xs", lambda x: F.concat_ws(" ", x["path"], x["sha"]))).cast("binary"), 256).alias("fingerprint"), F.size("xs").alias("files"))
 
 
+#: A task's folders in order, fields of its document that change without it, steps of a judge in order, where its
+#: tests lie, what a run leaves behind.
+TASK_FOLDERS, VOLATILE = ("depart", "reference", "tests_caches"), ("empreinte", "gelee")
+JUDGE_STEPS, JUDGE_TESTS = ("import", "check_script", "load_scene", "run_tests"), "tests_juge"
+CACHES, RUN_LOGS = r"(^|/)(\.godot|reports|__pycache__|\.import|\.usine_rapports)(/|\z)|\.uid\z", ("journal.txt", "journal_tests.json")
+
+
+def canonical_json(column: str, without: tuple[str, ...] = ()) -> Column:
+    """A JSON object with its names in order, ", " and ": " between parts and no top-level fields of ``without``; null for anything else."""
+    parsed = F.expr(f"try_cast(try_parse_json(`{column}`) AS map<string,variant>)")
+    compact = F.to_json(F.map_filter(parsed, lambda k, v: ~k.isin(*without)) if without else parsed)
+    return F.regexp_replace(compact, r'((?:"(?:[^"\\]|\\.)*+"|[^":,]++)*+[:,])', "$1 ")
+
+
+def task_fingerprint(tasks: DataFrame, files: DataFrame) -> DataFrame:
+    """Rows (task, files, fingerprint) of tasks (task, document as JSON) and their files (task, folder, path, text).
+
+    SHA-256 of the document without its volatile fields, then of each file's path and own SHA-256, folder by folder, paths by their
+    parts. Files in other folders or in caches don't count; null texts are empty; a document that isn't an object has no fingerprint.
+    """
+    rank = F.array_position(F.array(*map(F.lit, TASK_FOLDERS)), F.col("folder"))
+    counted = files.filter((rank > 0) & ~F.col("path").rlike(r"(^|/)\.godot(/|\z)"))
+    line = F.concat(F.lit("\n"), "folder", F.lit("/"), "path", F.lit("\n"), fingerprint("text"))
+    listed = counted.groupBy("task").agg(F.sort_array(F.collect_list(F.struct(rank.alias("rank"), F.split("path", "/").alias("at"), line.alias("line")))).alias("xs"))
+    joined = tasks.select("task", canonical_json("document", VOLATILE).alias("head")).join(listed, "task", "left")
+    body = F.array_join(F.transform(F.coalesce("xs", F.array().cast(listed.schema["xs"].dataType)), lambda x: x["line"]), "")
+    return joined.select("task", F.coalesce(F.size("xs"), F.lit(0)).alias("files"), F.sha2(F.concat("head", body).cast("binary"), 256).alias("fingerprint"))
+
+
+def quoted(text: Column) -> Column:
+    """A JSON string in ASCII: other characters as \\uXXXX, those beyond 16 bits as two; null stays null."""
+    short = {'"': '\\"', "\\": "\\\\", "\n": "\\n", "\r": "\\r", "\t": "\\t", "\b": "\\b", "\f": "\\f"}
+    code = lambda n: F.format_string("\\u%04x", n)
+
+    def sign(c: Column) -> Column:
+        n, out = F.ascii(c), None
+        for k, v in short.items():
+            out = F.when(c == k, v) if out is None else out.when(c == k, v)
+        two = F.concat(code(F.lit(0xD800) + F.shiftright(n - 0x10000, 10)), code(F.lit(0xDC00) + (n - 0x10000).bitwiseAND(F.lit(1023))))
+        return out.when((n < 32) | ((n > 126) & (n < 0x10000)), code(n)).when(n >= 0x10000, two).otherwise(c)
+
+    plain = F.concat(F.lit('"'), text, F.lit('"'))
+    return F.when(text.rlike(r'\A[ !#-\[\]-~]*\z'), plain).otherwise(F.concat(F.lit('"'), F.array_join(F.transform(F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0)), sign), ""), F.lit('"')))
+
+
+def verdict_key(runs: DataFrame, layers: DataFrame, versions: dict[str, str]) -> DataFrame:
+    """Rows (run, key): what a verdict of a run (run, steps, filter, repetition) depends on, hashed.
+
+    ``layers`` has (run, layer, path, text): the last layer of a path counts, layer null being the judge's tests, which lie in their own folder.
+    Caches don't count, nor logs of a run at the top; unknown steps go, the others take their order. ``versions``: further names and values.
+    """
+    tests = F.col("layer").isNull()
+    clean = layers.filter(~F.col("path").rlike(CACHES) & (tests | ~F.col("path").isin(*RUN_LOGS)))
+    placed = clean.select("run", F.when(tests, F.concat(F.lit(f"{JUDGE_TESTS}/"), "path")).otherwise(F.col("path")).alias("path"), F.when(tests, F.lit(2**31 - 1)).otherwise(F.col("layer")).alias("layer"), fingerprint("text").alias("sha"))
+    last = placed.groupBy("run", "path").agg(F.max_by("sha", F.struct("layer", "sha")).alias("sha"))
+    pairs = F.sort_array(F.collect_list(F.struct("path", F.concat(quoted(F.col("path")), F.lit(': "'), "sha", F.lit('"')).alias("line"))))
+    listed = last.groupBy("run").agg(F.array_join(F.transform(pairs, lambda x: x["line"]), ", ").alias("files"))
+    steps = F.array_join(F.filter(F.array(*(F.lit(f'"{x}"') for x in JUDGE_STEPS)), lambda x: F.array_contains("steps", F.translate(x, '"', ""))), ", ")
+    parts = {
+        "etapes": F.concat(F.lit("["), F.coalesce(steps, F.lit("")), F.lit("]")), "fichiers": F.concat(F.lit("{"), F.coalesce("files", F.lit("")), F.lit("}")),
+        "filtre": F.coalesce(quoted(F.col("filter")), F.lit("null")), "rep": F.col("repetition").cast("string"), **{k: quoted(F.lit(v)) for k, v in versions.items()},
+    }
+    text = F.concat(F.lit("{"), F.concat_ws(", ", *(F.concat(F.lit(f'"{k}": '), parts[k]) for k in sorted(parts))), F.lit("}"))
+    return runs.join(listed, "run", "left").select("run", F.sha2(text.cast("binary"), 256).alias("key"))
+
+
 def overlay(layers: DataFrame, removed: DataFrame, key: str) -> DataFrame:
     """Files of the last layer that has them, without those on the removal list."""
     last = layers.groupBy(key, "path").agg(F.max(F.struct("layer", "text")).alias("x")).select(key, "path", "x.layer", "x.text")

@@ -41,6 +41,41 @@ def patch_size(before: str, after: str) -> int:
     return sum(i2 - i1 + j2 - j1 for _, i1, i2, j1, j2 in opcodes(a, b))
 
 
+#: Files whose lines count, top folders whose files don't.
+LINE_FILES, UNCOUNTED = r"[^/]\.(gd|tscn|tres|godot|json|txt|md|cfg|gdshader)\z", ("addons", "tests_juge")
+
+
+def project_patch(before: DataFrame, after: DataFrame, most: int | None = None) -> DataFrame:
+    """Rows (project, files, lines, rejected) of projects before and after, both (project, path, text).
+
+    ``lines`` are those added or taken away in text files outside addons, hidden tests and caches; a null text is a missing
+    file, which has none. ``rejected``: more than ``most``. Equal files aren't compared; where all lines are new or gone they are just counted;
+    the rest goes line by line inside tasks.
+    """
+    counted = lambda df: df.filter(F.col("path").rlike(LINE_FILES) & ~F.split("path", "/")[0].isin(*UNCOUNTED) & ~F.col("path").rlike(r"(^|/)\.godot(/|\z)"))
+    sides = [counted(df).groupBy("project", "path").agg(F.max("text").alias(name)) for df, name in ((before, "a"), (after, "b"))]
+    pairs = sides[0].join(sides[1], ["project", "path"], "full").filter(~F.col("a").eqNullSafe(F.col("b")))
+
+    @F.pandas_udf("bigint")
+    def lines(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([patch_lines(x, y) for x, y in zip(a, b, strict=True)], dtype="int64")
+
+    sized = pairs.withColumn("n", lines(F.coalesce("a", F.lit("")), F.coalesce("b", F.lit("")))).groupBy("project").agg(F.count(F.lit(1)).alias("files"), F.sum("n").alias("lines"))
+    known = before.select("project").union(after.select("project")).distinct()
+    n = F.coalesce("lines", F.lit(0))
+    over = F.lit(False) if most is None else n > most
+    return known.join(sized, "project", "left").select("project", F.coalesce("files", F.lit(0)).alias("files"), n.alias("lines"), over.alias("rejected"))
+
+
+def patch_lines(before: str, after: str) -> int:
+    """Lines that a patch without context takes away and adds; alignment as in the standard library's diffs."""
+    a, b = before.splitlines(), after.splitlines()
+    if not set(a) & set(b):
+        return len(a) + len(b)
+    matcher = difflib.SequenceMatcher(a=a, b=b)
+    return sum(i2 - i1 + j2 - j1 for tag, i1, i2, j1, j2 in matcher.get_opcodes() if tag != "equal")
+
+
 def answer_zones(before: list[str], after: list[str], context: int = 3) -> list[str]:
     """Zones of tokens that ``after`` adds, changes or lost, with context; near ones are one zone."""
     runs: list[list[int]] = []

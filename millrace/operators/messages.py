@@ -6,6 +6,8 @@ All checks of a session share one partitioning by session.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
@@ -112,6 +114,17 @@ def rendered(messages: DataFrame) -> DataFrame:
     return pieces.groupBy("session").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", "piece"))), lambda x: x["piece"]), "").alias("text"))
 
 
+def served_tools(calls: DataFrame, server: str) -> DataFrame:
+    """Rows (session, pos, at, tool): a server's tools in the order in which calls (session, pos, tool, arguments) use them.
+
+    A tool is called by its name behind the server's (``server_tool``) or from code in the arguments (``["server"].tool``, quotes
+    escaped or not); the name counts before the arguments. Null names and arguments call nothing.
+    """
+    pattern = F.lit(re.escape(server) + r"""(?:_|\\?["']\s*\]\s*\.\s*)([A-Za-z_][A-Za-z0-9_]*)""")
+    found = lambda c: F.regexp_extract_all(F.coalesce(c, F.lit("")), pattern, F.lit(1))
+    return calls.select("session", "pos", F.posexplode(F.concat(found("tool"), found("arguments"))).alias("at", "tool"))
+
+
 def production(messages: DataFrame) -> DataFrame:
     n = lambda c: F.length(F.coalesce(c, F.lit("")))
     size = n("content") + n("tool") + n("path") + n("body")

@@ -53,6 +53,32 @@ def proposal_validation(proposals, pages):
     return checked.select("id", F.array_join("errors", ", ").alias("errors"))
 
 
+view("base_files", "SELECT CAST(floor(page_id / 6) AS bigint) AS id, 'f' || CAST(page_id % 6 AS varchar(9)) AS path, coalesce(html, '') AS text FROM {pages}")
+# step by step: a tag that stands once, what the first step wrote, a tag that stands often, a file that isn't there
+view("base_changes", """
+SELECT id, 10 AS k, path, '<body>' AS before, '<main>' AS after FROM {base_files} UNION ALL SELECT id, 20, path, '<main>', '<nav>' FROM {base_files} UNION ALL SELECT id, 30, path, '<p>', '<q>' FROM {base_files}
+UNION ALL SELECT id, 40, path || 'x', '<p>', '' FROM {base_files} WHERE path = 'f1' UNION ALL SELECT id, 50, path, '', 'y' FROM {base_files} WHERE path = 'f2'
+""")
+view("base_removals", "SELECT id, 0 AS k, path FROM {base_files} WHERE path IN ('f3', 'f5') UNION ALL SELECT id, 1, 'f3' FROM {base_files} WHERE path = 'f4' UNION ALL SELECT id, 2, 'zz' FROM {base_files} WHERE path = 'f0'")
+view("base_additions", "SELECT id, path, 'new ' || CAST(length(text) AS varchar(20)) AS text FROM {base_files} WHERE path IN ('f5', 'f0')")
+FOUND = "(len(string_split({t}, '{b}')) - 1)"
+STEPS_MADE = f"""a AS (SELECT *, {FOUND.format(t="text", b="<body>")} AS n1, CASE WHEN n1 = 1 THEN replace(text, '<body>', '<main>') ELSE text END AS t1, {FOUND.format(t="t1", b="<main>")} AS n2, CASE WHEN n2 = 1 THEN replace(t1, '<main>', '<nav>') ELSE t1 END AS t2,
+ {FOUND.format(t="t2", b="<p>")} AS n3, CASE WHEN n3 = 1 THEN replace(t2, '<p>', '<q>') ELSE t2 END AS t3 FROM {{base_files}})"""
+
+
+@query("base_files", "base_changes", "base_removals", "base_additions", sql=f"""WITH {STEPS_MADE} SELECT id, path, sha256(t3) AS hash FROM a WHERE path IN ('f1', 'f2', 'f4') UNION ALL SELECT id, path, sha256(text) FROM {{base_additions}}""")
+def proposal_start(files, changes, removals, additions):
+    return a.start_files(files, changes, removals, additions)[0].select("id", "path", F.sha2(F.col("text").cast("binary"), 256).alias("hash"))
+
+
+@query("base_files", "base_changes", "base_removals", "base_additions", sql=f"""WITH {STEPS_MADE}, e AS (SELECT id, 'replacement' AS part, unnest([10, 20, 30])::BIGINT AS k, unnest([n1, n2, n3]) AS n FROM a)
+SELECT id, part, k, 'before found ' || n || ' times' AS error FROM e WHERE n <> 1 UNION ALL SELECT id, 'replacement', unnest([40]), 'unknown file or no text' FROM a WHERE path = 'f1' UNION ALL SELECT id, 'replacement', 50, 'unknown file or no text' FROM a WHERE path = 'f2'
+UNION ALL SELECT id, 'removal', 1, 'not there' FROM a WHERE path = 'f4' UNION ALL SELECT id, 'removal', 2, 'not there' FROM a WHERE path = 'f0'""")
+def proposal_changes(files, changes, removals, additions):
+    """Errors of changes; a removal of f3 in a last project without f3 is one more, as its file isn't there."""
+    return a.start_files(files, changes, removals, additions)[1]
+
+
 WORD = r"(?:^|[^A-Za-z])(?:the|de|la|der|el) ([A-Za-z]+)"
 LOCAL = r"(?:^|\n)([A-Z][a-z]+)"
 

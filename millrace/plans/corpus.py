@@ -144,6 +144,37 @@ def content_fingerprint(documents):
     return corpus.tree_fingerprint(files, "project").withColumn("files", F.col("files").cast("long"))
 
 
+view("task_documents", """
+SELECT CAST(floor(doc_id / 50) AS bigint) AS task, chr(123) || '"z": [1, ' || chr(123) || '"b": null, "a": "x: y, z"' || chr(125) || '], "gelee": true,"empreinte":"' || min(lang) || '", "id":"t'
+ || CAST(min(doc_id) AS varchar(20)) || '"  , "a":' || CAST(sum(length(text)) AS varchar(20)) || chr(125) AS document FROM {documents} GROUP BY 1
+""")
+view("task_parts", """
+SELECT CAST(floor(doc_id / 50) AS bigint) AS task, CASE doc_id % 4 WHEN 0 THEN 'depart' WHEN 1 THEN 'reference' WHEN 2 THEN 'tests_caches' ELSE 'notes' END AS folder,
+ CASE WHEN doc_id % 8 = 0 THEN 'b/' WHEN doc_id % 12 = 4 THEN '.godot/' WHEN doc_id % 12 = 8 THEN 'b-c' ELSE '' END || 'd' || CAST(doc_id AS varchar(20)) AS path, text FROM {documents}
+""")
+
+
+@query("task_documents", "task_parts", sql=r"""WITH f AS (SELECT task, count(*)::INT AS files, string_agg(chr(10) || folder || '/' || path || chr(10) || sha256(coalesce(text, '')), '' ORDER BY list_position(['depart', 'reference', 'tests_caches'], folder), string_split(path, '/')) AS body FROM {task_parts} WHERE folder <> 'notes' AND NOT starts_with(path, '.godot/') GROUP BY task),
+h AS (SELECT doc_id // 50 AS task, chr(123) || '"a": ' || sum(length(text)) || ', "id": "t' || min(doc_id) || '", "z": [1, ' || chr(123) || '"a": "x: y, z", "b": null' || chr(125) || ']' || chr(125) AS head FROM {documents} GROUP BY 1)
+SELECT task, coalesce(files, 0)::INT AS files, sha256(head || coalesce(body, '')) AS fingerprint FROM h LEFT JOIN f USING (task)""")
+def task_fingerprint(tasks, files):
+    return corpus.task_fingerprint(tasks, files)
+
+
+view("run_layers", """
+SELECT CAST(floor(doc_id / 40) AS bigint) AS run, CASE WHEN doc_id % 9 = 5 THEN NULL ELSE CAST(doc_id % 3 AS int) END AS layer, CASE WHEN doc_id % 11 = 0 THEN 'reports/x' WHEN doc_id % 13 = 0 THEN 'journal.txt' WHEN doc_id % 7 = 0 THEN 'é' || chr(9) || 'a' ELSE 'f' || CAST(doc_id % 5 AS varchar(9)) END AS path, min(text) AS text FROM {documents} GROUP BY 1, 2, 3
+""")
+view("judged_runs", "SELECT CAST(floor(doc_id / 40) AS bigint) AS run, CASE WHEN min(doc_id) % 3 = 0 THEN NULL ELSE max(source) || chr(34) END AS filter, CAST(count(*) AS bigint) AS repetition FROM {documents} GROUP BY 1")
+
+
+@query("judged_runs", "run_layers", sql=r"""WITH p AS (SELECT run, CASE WHEN layer IS NULL THEN 'tests_juge/' ELSE '' END || path AS path, arg_max(sha256(coalesce(text, '')), (coalesce(layer, 9), sha256(coalesce(text, '')))) AS sha FROM {run_layers} WHERE path <> 'reports/x' AND (layer IS NULL OR path <> 'journal.txt') GROUP BY 1, 2),
+f AS (SELECT run, string_agg('"' || replace(replace(path, 'é', '\u00e9'), chr(9), '\t') || '": "' || sha || '"', ', ' ORDER BY path) AS files FROM p GROUP BY run)
+SELECT run, sha256(chr(123) || '"etapes": ["import", "run_tests"], "fichiers": ' || chr(123) || coalesce(files, '') || chr(125) || ', "filtre": ' || coalesce('"' || replace(filter, '"', '\"') || '"', 'null') || ', "godot": "4", "juge": "j1", "rep": ' || repetition || chr(125)) AS key FROM {judged_runs} LEFT JOIN f USING (run)""")
+def verdict_key(runs, layers):
+    steps = F.array(F.lit("run_tests"), F.lit("import"), F.lit("deploy"))
+    return corpus.verdict_key(runs.withColumn("steps", steps), layers, {"godot": "4", "juge": "j1"})
+
+
 OVER = "o AS (SELECT project, path, arg_max(text, layer) AS text, max(layer) AS layer FROM {layers} GROUP BY project, path HAVING path <> 'f3')"
 
 

@@ -27,6 +27,24 @@ def patch_size(revised):
     return edits.rows_of(revised, ["id", "before", "after"], lambda k, a, b: [(k, edits.patch_size(a, b))], "id bigint, lines bigint")
 
 
+view("files_before", "SELECT CAST(floor(doc_id / 20) AS bigint) AS project, CASE WHEN doc_id % 6 = 0 THEN 'addons/' WHEN doc_id % 10 = 3 THEN '.godot/' ELSE '' END || 'f' || CAST(doc_id AS varchar(20)) || CASE WHEN doc_id % 7 = 1 THEN '.png' ELSE '.gd' END AS path, coalesce(text, '') AS text, doc_id FROM {documents}")
+# every third file gone, every third one line longer, one in twenty new
+view("files_after", """
+SELECT project, path, CASE WHEN doc_id % 3 = 1 THEN text || chr(10) || 'var added_' || CAST(doc_id AS varchar(20)) ELSE text END AS text, doc_id FROM {files_before} WHERE doc_id % 3 <> 2
+UNION ALL SELECT project, 'new/' || CAST(doc_id AS varchar(20)) || '.md', text, doc_id FROM {files_before} WHERE doc_id % 20 = 9
+""")
+COUNTED_FILES = r"NOT starts_with(path, 'addons/') AND NOT starts_with(path, '.godot/') AND NOT ends_with(path, '.png')"
+# lines as the helper splits them: by any line end, none after the last
+LINE_COUNT = r"len(regexp_extract_all(text, '(?s)(?:[^\n\r\x0B\x0C\x1C\x1D\x1E\x{85}\x{2028}\x{2029}]*(?:\r\n|[\n\r\x0B\x0C\x1C\x1D\x1E\x{85}\x{2028}\x{2029}])|[^\n\r\x0B\x0C\x1C\x1D\x1E\x{85}\x{2028}\x{2029}]+\z)'))"
+
+
+@query("files_before", "files_after", sql=f"""WITH a AS (SELECT project, CASE WHEN doc_id % 3 = 2 THEN 1 ELSE doc_id % 3 END AS files, CASE doc_id % 3 WHEN 2 THEN {LINE_COUNT} ELSE doc_id % 3 + (text = '' AND doc_id % 3 = 1)::INT END AS lines FROM {{files_before}} WHERE {COUNTED_FILES}
+ UNION ALL SELECT project, 1, {LINE_COUNT} FROM {{files_before}} WHERE doc_id % 20 = 9)
+SELECT p.project, coalesce(sum(files), 0)::BIGINT AS files, coalesce(sum(lines), 0)::BIGINT AS lines, coalesce(sum(lines), 0) > 400 AS rejected FROM (SELECT DISTINCT project FROM {{files_before}}) p LEFT JOIN a USING (project) GROUP BY p.project""")
+def project_patch(before, after):
+    return edits.project_patch(before, after, 400)
+
+
 @query("revised")
 def answer_zones(revised):
     t = revised.select("id", corpus.tokens("before").alias("a"), corpus.tokens("after").alias("b")).filter("a <> b")

@@ -64,10 +64,13 @@ def sharegpt_validity(chat):
 REPLY = "CASE WHEN role = 'tool' THEN '<tool_response>' || chr(10) || content || chr(10) || '</tool_response>' WHEN role = 'assistant' AND tool IS NOT NULL THEN content || chr(10) || '<tool_call>' || tool || '</tool_call>' ELSE content END"
 
 
-@query("chat", sql=f"""WITH r AS (SELECT *, {REPLY} AS text, coalesce(role = 'tool' AND lag(role) OVER w = 'tool', false) AS j, pos < coalesce(min(CASE WHEN role <> 'system' THEN pos END) OVER (PARTITION BY session), 1e9) AS head FROM {{chat}} WINDOW w AS (PARTITION BY session ORDER BY pos)),
+RENDERED = f"""WITH r AS (SELECT *, {REPLY} AS text, coalesce(role = 'tool' AND lag(role) OVER w = 'tool', false) AS j, pos < coalesce(min(CASE WHEN role <> 'system' THEN pos END) OVER (PARTITION BY session), 1e9) AS head FROM {{chat}} WINDOW w AS (PARTITION BY session ORDER BY pos)),
 n AS (SELECT *, sum((NOT head AND NOT j)::INT) OVER (PARTITION BY session ORDER BY pos) AS turn FROM r),
 t AS (SELECT session, turn, CASE arg_min(role, pos) WHEN 'assistant' THEN 'gpt' WHEN 'system' THEN 'system' ELSE 'human' END AS f, string_agg(text, chr(10) ORDER BY pos) AS value FROM n WHERE NOT head GROUP BY session, turn),
-y AS (SELECT session, string_agg(text, chr(10) ORDER BY pos) AS system, count(*) AS heads FROM n WHERE head GROUP BY session), c AS (SELECT session, count(*) AS turns, bool_and(f = CASE turn % 2 WHEN 1 THEN 'human' ELSE 'gpt' END) AND count(*) % 2 = 0 AS valid, string_agg(f || ':' || value, chr(10) ORDER BY turn) AS said FROM t GROUP BY session)
+y AS (SELECT session, string_agg(text, chr(10) ORDER BY pos) AS system, count(*) AS heads FROM n WHERE head GROUP BY session), c AS (SELECT session, count(*) AS turns, bool_and(f = CASE turn % 2 WHEN 1 THEN 'human' ELSE 'gpt' END) AND count(*) % 2 = 0 AS valid, string_agg(f || ':' || value, chr(10) ORDER BY turn) AS said FROM t GROUP BY session)"""
+
+
+@query("chat", sql=f"""{RENDERED}
 SELECT s.session, coalesce(valid, false) AS valid, coalesce(turns, 0)::INT AS turns, coalesce(heads, 0) < 2 AND (heads IS NULL OR system <> '') AS same, sha256(coalesce(system, '') || chr(10) || coalesce(said, '')) AS hash FROM (SELECT DISTINCT session FROM {{chat}}) s LEFT JOIN c USING (session) LEFT JOIN y USING (session)""")
 def to_sharegpt_rendered(chat):
     out = m.sharegpt_rendered(chat)
@@ -87,10 +90,19 @@ def production_length(messages):
     return m.production(messages)
 
 
-@query("calls", sql="SELECT session, string_agg(tool, ',' ORDER BY pos) AS tools, count(DISTINCT tool)::BIGINT AS kinds FROM {calls} GROUP BY session")
+#: Calls of a server's tools: by a name with the server's, or from code that is given to another tool.
+view("served_calls", """
+SELECT session, pos, CASE WHEN pos % 3 = 1 THEN 'mill_' || tool ELSE 'execute' END AS tool, CASE WHEN pos % 4 < 3 THEN 'const a = await tools["mill"].' || tool || '(1); // ' || body || ' tools[''mill''] . ' || split_part(path, '.', 1) || '(1)' ELSE body END AS arguments FROM {calls}
+""")
+SERVED = r"""'mill(?:_|\\?["'']\s*\]\s*\.\s*)([A-Za-z_][A-Za-z0-9_]*)'"""
+
+
+@query("served_calls", sql=f"""WITH x AS (SELECT session, pos, unnest(range(len(t))) AS place, unnest(t) AS tool FROM (SELECT session, pos, regexp_extract_all(tool, {SERVED}, 1) || regexp_extract_all(coalesce(arguments, ''), {SERVED}, 1) AS t FROM {{served_calls}}))
+SELECT session, string_agg(tool, ',' ORDER BY pos, place) AS tools, count(DISTINCT tool)::BIGINT AS kinds FROM x GROUP BY session""")
 def tool_usage(calls):
-    ordered = F.transform(F.sort_array(F.collect_list(F.struct("pos", "tool"))), lambda x: x["tool"])
-    return calls.groupBy("session").agg(F.array_join(ordered, ",").alias("tools"), F.countDistinct("tool").alias("kinds"))
+    used = m.served_tools(calls, "mill")
+    ordered = F.transform(F.sort_array(F.collect_list(F.struct("pos", "at", "tool"))), lambda x: x["tool"])
+    return used.groupBy("session").agg(F.array_join(ordered, ",").alias("tools"), F.countDistinct("tool").alias("kinds"))
 
 
 PLAN = f"plan AS (SELECT session, CASE WHEN min(pos) FILTER (tool IN {WRITES}) IS NOT NULL THEN coalesce(min(pos) FILTER (tool IN {READS} AND {LAST_PART} IN ('ORGANISATION.md', 'plan.md')) < min(pos) FILTER (tool IN {WRITES}), false) END AS plan_first FROM {{calls}} GROUP BY session)"

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.operators import rounds
+from millrace.operators import messages, rounds
+from millrace.plans import messages as talk_plans
 from millrace.plans import registry
 from millrace.sources import folders
 from millrace.streaming import capture
@@ -40,9 +41,7 @@ registry.ORACLES["live_scores"] = "SELECT event_type, sum((v > 40)::INT)::BIGINT
 def _raw_log(spark, sf_dir):
     """Every event kept by day through a file sink, read back and counted."""
     folder = folders.scratch(spark)
-    stream = folders.stream_table(spark, sf_dir, "events").withColumn("day", F.to_date("ts").cast("string"))
-    q = stream.writeStream.format("parquet").partitionBy("day").option("path", f"{folder}/raw").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
-    q.awaitTermination()
+    capture.raw_log(folders.stream_table(spark, sf_dir, "events"), folder)
     return spark.read.parquet(f"{folder}/raw").groupBy(F.col("day").cast("string").alias("day")).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -64,30 +63,41 @@ registry.ORACLES["registry_csv"] = registry.oracle(
 )
 
 
+registry.view("result_lines", """
+SELECT 'r' || CAST(event_id % 2 AS varchar(9)) AS tour, event_type AS configuration, 'u' || CAST(user_id AS varchar(20)) AS tache_id, event_id % 3 > 0 AS ok, CAST(event_id AS double) AS duree_juge_s, CAST(floor(event_id / 1000) AS bigint) % 4 AS batch FROM {events}
+""")
+
+
 def _append(spark, sf_dir):
-    """Results appended in two batches; both are there."""
-    path = f"{folders.scratch(spark)}/results"
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "user_id", "event_type")
-    events.filter("event_id % 2 = 0").write.mode("append").parquet(path)
-    events.filter("event_id % 2 = 1").write.mode("append").parquet(path)
-    return spark.read.parquet(path)
+    """Results appended in four batches, one of them twice; the last line of each key, a later batch before an earlier."""
+    path, lines = f"{folders.scratch(spark)}/results", registry.read(spark, sf_dir, "result_lines")
+    for batch in (0, 1, 1, 2, 3):
+        ordered = lines.filter(F.col("batch") == batch).drop("batch").repartitionByRange("duree_juge_s").sortWithinPartitions("duree_juge_s")
+        folders.append_results(ordered, path, f"b{batch}")
+    return folders.read_results(spark, f"{path}/*").select("tour", "configuration", "tache_id", "ok", "duree_juge_s")
 
 
 registry.QUERIES["append_results"] = _append
-registry.ORACLES["append_results"] = "SELECT event_id, user_id, event_type FROM events"
+registry.ORACLES["append_results"] = registry.oracle(
+    "SELECT tour, configuration, tache_id, arg_max(ok, (batch, duree_juge_s)) AS ok, arg_max(duree_juge_s, (batch, duree_juge_s)) AS duree_juge_s FROM {result_lines} GROUP BY ALL"
+)
 
 
 def _sft(spark, sf_dir):
-    """Chat rows written as JSON lines and read back."""
-    path = f"{folders.scratch(spark)}/sft"
-    m = registry.read(spark, sf_dir, "messages")
-    m.groupBy("session").agg(F.sort_array(F.collect_list(F.struct("pos", "role", "content"))).alias("messages")).write.json(path)
-    back = spark.read.schema("session bigint, messages array<struct<pos:bigint,role:string,content:string>>").json(path)
-    return back.select("session", F.size("messages").cast("long").alias("n"), F.sha2(F.array_join(F.transform("messages", lambda x: x["content"]), "\n").cast("binary"), 256).alias("hash"))
+    """Valid conversations written as chats, turns and a declaration, then read back through the declaration."""
+    path, chat = f"{folders.scratch(spark)}/sft", registry.read(spark, sf_dir, "chat")
+    rendered = messages.sharegpt_rendered(chat).filter("valid").select("session", "system", F.col("turns").alias("conversations")).checkpoint()
+    said = F.transform(F.sort_array(F.collect_list(F.struct("pos", "role", "content"))), lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content")))
+    folders.write_sft(chat.join(rendered.select("session"), "session", "left_semi").groupBy("session").agg(said.alias("messages")), rendered, path, "talks")
+    chats = spark.read.schema("session bigint, messages array<struct<role: string, content: string>>").json(f"{path}/talks.jsonl").select("session", F.size("messages").cast("long").alias("n"))
+    line = F.concat("from", F.lit(":"), "value")
+    back = folders.read_sft(spark, path, "talks").groupBy("session").agg(F.count(F.lit(1)).alias("turns"), F.sort_array(F.collect_list(F.struct("turn", line.alias("line")))).alias("x"))
+    return chats.join(back, "session").select("session", "n", "turns", F.sha2(F.array_join(F.transform("x", lambda x: x["line"]), "\n").cast("binary"), 256).alias("hash"))
 
 
 registry.QUERIES["write_sft"] = _sft
-registry.ORACLES["write_sft"] = registry.oracle("SELECT session, count(*)::BIGINT AS n, sha256(string_agg(content, chr(10) ORDER BY pos)) AS hash FROM {messages} GROUP BY session")
+registry.ORACLES["write_sft"] = registry.oracle(f"""{talk_plans.RENDERED}
+SELECT session, n, turns, sha256(said) AS hash FROM c JOIN (SELECT session, count(*) AS n FROM {{chat}} GROUP BY session) USING (session) WHERE valid""")
 
 
 def _sessions(spark, sf_dir):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
 
@@ -14,11 +15,14 @@ TEXT_FILES = r"\.(gd|tscn|tres|cfg|godot|md|json|txt)$"
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder below ``spark.checkpoint.dir``; a temporary one only where that isn't set."""
+    """A new folder below ``spark.checkpoint.dir``; a temporary one only where that isn't set and everything runs in one process."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         import tempfile
 
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+
         base = tempfile.mkdtemp(prefix="spark-")
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
@@ -69,6 +73,52 @@ def write_sessions(messages: DataFrame, headers: DataFrame, folder: str) -> None
     headers.join(ordered, "session").select("session", value.alias("value")).write.mode("overwrite").parquet(folder)
 
 
+def append_results(rows: DataFrame, folder: str, batch: str) -> None:
+    """Result lines of a batch added to a folder of JSON lines.
+
+    A batch that is written again (a run that was lost half-way, a stream's batch after a restart) takes its own place, so lines
+    are neither lost nor doubled. ``read_results`` reads the folder; batches count in the order of their names.
+    """
+    if not re.fullmatch(r"[\w.-]+", batch):
+        raise ValueError(f"not a batch name: {batch!r}")
+    rows.write.mode("overwrite").option("ignoreNullFields", False).json(f"{folder}/batch={batch}")
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """One small file, such as a declaration, on whatever file system the path names."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+#: How a set of turns is declared to a trainer; fixed values.
+DECLARED = {"formatting": "sharegpt", "columns": {"messages": "conversations", "system": "system"}, "tags": {"role_tag": "from", "content_tag": "value", "user_tag": "human", "assistant_tag": "gpt"}}
+
+
+def write_sft(chat: DataFrame, turns: DataFrame, folder: str, name: str) -> None:
+    """A training set as JSON lines: chats, turns and the declaration that names the turns' file, written last.
+
+    ``chat`` has (session, messages array of (role, content)), ``turns`` (session, system, conversations array of (from, value)).
+    Files are folders of parts, as Spark writes them.
+    """
+    chat.select("session", "messages").write.mode("overwrite").json(f"{folder}/{name}.jsonl")
+    turns.select("session", "system", "conversations").write.mode("overwrite").json(f"{folder}/{name}_sharegpt.jsonl")
+    write_text(turns.sparkSession, f"{folder}/dataset_info.json", json.dumps({name: {"file_name": f"{name}_sharegpt.jsonl", **DECLARED}}, ensure_ascii=False, indent=2) + "\n")
+
+
+def read_sft(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """Rows (session, system, turn, from, value) of a declared set: file and columns are those that the declaration names."""
+    info = json.loads(spark.read.text(f"{folder}/dataset_info.json", wholetext=True).head()[0])[name]
+    columns, tags = info["columns"], info["tags"]
+    schema = f"session bigint, {columns['system']} string, {columns['messages']} array<struct<`{tags['role_tag']}`: string, `{tags['content_tag']}`: string>>"
+    rows = spark.read.schema(schema).json(f"{folder}/{info['file_name']}")
+    turns = rows.select("session", F.col(columns["system"]).alias("system"), F.posexplode(columns["messages"]).alias("turn", "x"))
+    return turns.select("session", "system", "turn", F.col("x")[tags["role_tag"]].alias("from"), F.col("x")[tags["content_tag"]].alias("value"))
+
+
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
     """Attempt registry as CSV; columns that old files lack take their neutral values."""
     df = spark.read.option("header", True).csv(path)

@@ -23,6 +23,16 @@ def accepted(exchanges: DataFrame) -> DataFrame:
     return exchanges.filter((F.col("status") == 200) & F.col("path").endswith("/chat/completions") & (F.size("request") > 0))
 
 
+def raw_log(exchanges: DataFrame, folder: str, at: str = "ts") -> None:
+    """Every exchange kept as it came, in folders by day: a batch is appended, a stream is run over what there is (once each, by its sink's log)."""
+    dated = exchanges.withColumn("day", F.to_date(at).cast("string"))
+    if not exchanges.isStreaming:
+        dated.write.mode("append").partitionBy("day").parquet(f"{folder}/raw")
+        return
+    sink = dated.writeStream.format("parquet").partitionBy("day").option("path", f"{folder}/raw").option("checkpointLocation", f"{folder}/state")
+    sink.trigger(availableNow=True).start().awaitTermination()
+
+
 def with_key(exchanges: DataFrame) -> DataFrame:
     """Rows (key, ts, talk, system, tools): a 128-bit hash for each message but system ones, one for the system texts, one for the tools.
 
