@@ -29,6 +29,7 @@ empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import ctypes
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
@@ -69,6 +70,19 @@ def words_of(data: bytes) -> list[bytes]:
     return data.lower().split()
 
 
+def frugal(run: Callable) -> Callable:
+    """``run`` for tasks of many small objects: what they freed goes back to the system, else a reused worker keeps it through the next stages."""
+
+    def frugally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+        if trim:
+            trim(0)
+
+    return frugally
+
+
 def count_words(docs: DataFrame, flush: int = 300_000) -> DataFrame:
     """Rows (word, c) over the texts; tasks add up first, some hundred thousand words at a time."""
 
@@ -81,13 +95,14 @@ def count_words(docs: DataFrame, flush: int = 300_000) -> DataFrame:
             return out
 
         for batch in batches:
-            for data in batch.column(0).to_pylist():
-                counts.update(words_of(data))
-                if len(counts) >= flush:
-                    yield pack()
+            for i in range(0, batch.num_rows, 500):
+                for data in batch.column(0).slice(i, 500).to_pylist():
+                    counts.update(words_of(data))
+                    if len(counts) >= flush:
+                        yield pack()
         yield pack()
 
-    return docs.select(utf8("text").alias("text")).mapInArrow(run, "word binary, c bigint").groupBy("word").agg(F.sum("c").alias("c"))
+    return docs.select(utf8("text").alias("text")).mapInArrow(frugal(run), "word binary, c bigint").groupBy("word").agg(F.sum("c").alias("c"))
 
 
 @lru_cache(2)
@@ -264,15 +279,20 @@ class Form:
 class Attention:
     """One causal self-attention layer with relative place biases; logits also see the class of what came last."""
 
+    BLOCK = 16_384
+
     def __init__(self, form: Form, p: dict[str, np.ndarray], kind: type = np.float32):
         self.form, self.p = form, {k: v.astype(kind) for k, v in p.items()}
         n = form.window
         self.mask = np.tril(np.ones((n, n))).astype(kind)
         self.away = np.maximum(np.arange(n)[:, None] - np.arange(n), 0)
-        rows = np.add.reduceat(self.p["e"][form.ids], form.starts[:-1], axis=0)
         self.root = kind(np.sqrt(WIDTH))
-        # input, query, key and value of each input side by side
-        self.table = np.concatenate((rows, rows @ self.p["q"] / self.root, rows @ self.p["k"], rows @ self.p["v"]), axis=1)
+        # input, query, key and value of each input side by side, filled in blocks: it is the largest thing a task holds
+        self.table = np.empty((len(form.starts) - 1, 4 * WIDTH), kind)
+        for i in range(0, len(self.table), self.BLOCK):
+            at = form.starts[i : i + self.BLOCK + 1]
+            rows = np.add.reduceat(self.p["e"][form.ids[at[0] : at[-1]]], at[:-1] - at[0], axis=0)
+            self.table[i : i + self.BLOCK] = np.concatenate((rows, rows @ self.p["q"] / self.root, rows @ self.p["k"], rows @ self.p["v"]), axis=1)
         self.after = self.p["last"] + self.p["bias"]
         self.ones = np.ones((max(n, form.classes), 1), kind)
         self.far = self.p["far"][self.away]
@@ -348,21 +368,21 @@ class Gradient:
         form = self.model.form
         at, real, _ = windows(sizes, form.window, 0)
         self.n += int(sizes.sum())
-        seen, rows = [], []
+        inputs, rows = x[at], np.empty((*at.shape, WIDTH), self.model.table.dtype)
         for i in range(0, len(at), self.BLOCK):
-            a, r = at[i : i + self.BLOCK], real[i : i + self.BLOCK]
-            g = self.model.gradients(x[a], y[a], r)
-            seen.append(x[a].ravel())
-            rows.append(g.pop("rows"))
+            part = slice(i, i + self.BLOCK)
+            g = self.model.gradients(inputs[part], y[at[part]], real[part])
+            rows[part] = g.pop("rows").reshape(rows[part].shape)
             for k, v in g.items():
                 self.sums[k] += v
-        if seen:
-            self.rows += by_row(np.concatenate(seen), np.concatenate(rows), len(self.rows))
+        for j in range(WIDTH):  # a column at a time, also below: the rows are as many as the inputs
+            self.rows[:, j] += np.bincount(inputs.ravel(), rows[..., j].ravel(), len(self.rows))
 
     def flat(self) -> np.ndarray:
         form = self.model.form
-        spread = np.repeat(self.rows, np.diff(form.starts), axis=0)
-        return form.flat(self.sums | {"e": by_row(form.ids, spread, form.vectors)})
+        sizes = np.diff(form.starts)
+        e = np.stack([np.bincount(form.ids, np.repeat(self.rows[:, j], sizes), form.vectors) for j in range(WIDTH)], 1)
+        return form.flat(self.sums | {"e": e})
 
 
 def train(rows: DataFrame, form: Form, p: dict[str, np.ndarray], rounds: int, sequences: Callable, at_once: int, extra: int = 0) -> tuple[dict, np.ndarray]:
@@ -586,8 +606,8 @@ def encode(docs: DataFrame, model: Model) -> DataFrame:
         base_of, known = np.append(np.log10(lexicon.counts + 1), 0), np.append(np.ones(rare, np.int64), 0)
         inside_of, get = np.append(lexicon.inside, 0), index.get
         for batch in batches:
-            for i in range(0, batch.num_rows, 500):
-                part = batch.slice(i, 500)
+            for i in range(0, batch.num_rows, 200):
+                part = batch.slice(i, 200)
                 texts = [words_of(t) for t in part.column(3).to_pylist()]
                 sizes = np.array([len(t) for t in texts])
                 words = [w for t in texts for w in t]
@@ -620,7 +640,7 @@ def encode(docs: DataFrame, model: Model) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, held_out boolean, turn int, n_tokens bigint, n_known bigint, base_score double, inside double, codes binary, rare array<struct<word:binary,n:bigint,spelled:double>>"
     key = turn(F.col("doc_id").cast("string").cast("binary"), ROUNDS).alias("turn")
-    coded = docs.select("doc_id", held_out().alias("held_out"), key, utf8("text").alias("text")).mapInArrow(run, schema)
+    coded = docs.select("doc_id", held_out().alias("held_out"), key, utf8("text").alias("text")).mapInArrow(frugal(run), schema)
     return materialize(coded.withColumn("row", F.monotonically_increasing_id()), "coded")
 
 
@@ -644,8 +664,8 @@ def score_coded(coded: DataFrame, model: Model) -> DataFrame:
         form, p = shared.value
         net = Attention(form, p)
         for batch in batches:
-            for i in range(0, batch.num_rows, 1000):
-                part = batch.slice(i, 1000)
+            for i in range(0, batch.num_rows, 500):
+                part = batch.slice(i, 500)
                 x, y, sizes = sequences_of(*codes_of(part.column("codes")), form.class_of)
                 logs = np.add.reduceat(token_logs(net, x, y, sizes), np.cumsum(sizes) - sizes) + part.column("inside").to_numpy()
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), pa.array(logs)], names=[*kept, "score"])

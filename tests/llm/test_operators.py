@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -375,6 +376,26 @@ def test_lm_far_scores_stay_finite():
     assert np.isfinite(model.log_p(x, x)).all() and all(np.isfinite(g).all() for g in model.gradients(x, x, x == 0).values())
 
 
+def test_lm_holds_few_copies_of_the_list():
+    """A round over one short text with 100 000 listed words of 4 ids: the tables of the words and little besides."""
+    rng, n = np.random.default_rng(3), 100_000
+    form = lm.Form(rng.integers(0, lm.VOCABULARY, 4 * n), np.arange(0, 4 * n + 1, 4), rng.integers(0, lm.K, n), lm.VOCABULARY, lm.K, 16, 4)
+    p = {k: rng.normal(0, 0.1, v) for k, v in form.shapes().items()}
+    x, y = rng.integers(0, n, 40), rng.integers(0, lm.K, 40)
+    tracemalloc.start()
+    gradient = lm.Gradient(lm.Attention(form, p))
+    gradient.add(x, y, np.array([30, 10]))
+    flat = gradient.flat()
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    table, sums = 4 * 4 * lm.WIDTH * n, 8 * lm.WIDTH * n
+    assert most < 1.5 * (table + sums)
+    e = p["e"].astype(np.float32)
+    assert np.allclose(gradient.model.table[:, : lm.WIDTH], e[form.ids].reshape(n, 4, -1).sum(axis=1), atol=1e-6)
+    assert np.allclose(gradient.model.table[:, -lm.WIDTH :], gradient.model.table[:, : lm.WIDTH] @ p["v"].astype(np.float32), atol=1e-5)
+    assert np.array_equal(form.parts(flat)["e"], lm.by_row(form.ids, np.repeat(gradient.rows, 4, axis=0), lm.VOCABULARY))
+
+
 def test_lm_does_not_depend_on_partitions(docs):
     models = [lm.fit(docs.repartition(n)) for n in (1, 5)]
     assert all(np.allclose(models[0].p[k], models[1].p[k], atol=1e-4) for k in models[0].p)
