@@ -71,6 +71,23 @@ def test_byte_strings_of_repeated_rows(twice, nothing):
     assert suffix_dedup.remove(nothing).columns == nothing.columns
 
 
+def test_passages_go_by_bytes_or_by_words(spark):
+    """Of 60 words that two documents share, op5 counts words and op8 bytes: 399 bytes stay, 400 go from both documents."""
+    draw = random.Random(3)
+    rows, passages = [], {399: 40, 400: 41}
+    for size, longer in passages.items():
+        words = ["".join(draw.choices("abcdefghij", k=6 if i < longer else 5)) for i in range(60)]
+        passage = " ".join(words)
+        assert len(passage) == size
+        # the blanks beside the passage differ, so no longer string is shared
+        rows += [(10 * size, f"k {passage} l"), (10 * size + 1, f"m\t{passage}\nn")]
+    few = spark.createDataFrame(rows, "doc_id long, text string")
+    by_bytes, by_words = result(suffix_dedup.digests(few)), result(substring_dedup.digests(few))
+    kept = {k: hashlib.sha256(t.encode()).hexdigest() for k, t in rows} | {4000: hashlib.sha256(b"k  l").hexdigest(), 4001: hashlib.sha256(b"m\t\nn").hexdigest()}
+    assert by_bytes == {k: (len(t), 400 * (k >= 4000), 1 * (k >= 4000), kept[k]) for k, t in rows}
+    assert {k: v[:2] for k, v in by_words.items()} == {3990: (62, 0), 3991: (62, 60), 4000: (62, 0), 4001: (62, 60)}
+
+
 def test_near_join(docs, nothing, monkeypatch):
     monkeypatch.setattr(near_join, "CHUNK", 4)
     monkeypatch.setattr(near_join, "BLOCK", 4)
