@@ -14,15 +14,18 @@ from pyspark.sql.window import Window
 
 from millrace.operators.corpus import bound
 
-#: Strings (three quotes may span lines, others end with the line), comments, and runs without either.
-TOKEN = r'''"""(?:\\[\s\S]|[^\\])*?(?:"""|\\?\z)|\'\'\'(?:\\[\s\S]|[^\\])*?(?:\'\'\'|\\?\z)|"(?:\\[^\n]|[^"\\\n])*(?:"|\\?(?=\n|\z))|'(?:\\[^\n]|[^'\\\n])*(?:'|\\?(?=\n|\z))|#[^\n]*|[^"'#]+'''.replace(r"\'", "'")
+#: Strings (three quotes may span lines, others end with the line), comments, and runs without either. Loops keep what they took
+#: (``*+``): none ever needs to give it back, and loops that can would use stack for each character.
+TOKEN = r'''"""(?:[^\\"]++|\\[\s\S]|"(?!""))*+(?:"""|\\?\z)|\'\'\'(?:[^\\\']++|\\[\s\S]|\'(?!\'\'))*+(?:\'\'\'|\\?\z)|"(?:[^"\\\n]++|\\[^\n])*+(?:"|\\?(?=\n|\z))|\'(?:[^\'\\\n]++|\\[^\n])*+(?:\'|\\?(?=\n|\z))|#[^\n]*|[^"'#]+'''.replace(r"\'", "'")
 
 
 def masked(text: Column, blank: str = " ", strings: bool = True) -> Column:
     """The text with comments (and ``strings``) as blanks of the same length; lines stay where they are."""
     hidden = r"^[\"'#]" if strings else "^#"
     tokens = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TOKEN), F.lit(0))
-    return F.array_join(F.transform(tokens, lambda t: F.when(t.rlike(hidden), F.regexp_replace(t, r"[^\n]", blank)).otherwise(t)), "")
+    # few tokens span lines; the others are as many blanks as letters
+    blanked = lambda t: F.when(t.contains("\n"), F.regexp_replace(t, r"[^\n]", blank)).otherwise(F.repeat(F.lit(blank), F.length(t)))
+    return F.array_join(F.transform(tokens, lambda t: F.when(F.substring(t, 1, 1).isin(*hidden), blanked(t)).otherwise(t)), "")
 
 
 def code_lines(scripts: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ import random
 import re
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import code
@@ -146,3 +147,14 @@ def test_faults_of_whole_lines(spark):
         got.setdefault(r["id"], set()).add((r["operator"], r["after"]))
     for i, (line, want) in enumerate(lines.items()):
         assert (want in got.get(i, ())) if want else i not in got, (line, got.get(i))
+
+
+@pytest.mark.parametrize("open_, close", [('"', '"'), ("'", "'"), ('"""', '"""'), ("'''", "'''"), ('"', ""), ("'''", "")])
+def test_long_strings_are_masked(spark, open_, close):
+    """A string of many letters, escapes and quotes of the other kind is one token, closed or not."""
+    inside = "ab\\" + open_[0] + ("'" if open_[0] == '"' else '"') + "é"
+    text = "x = " + open_ + inside * 40_000 + close + "\ny = 1"
+    got = spark.createDataFrame([(text,)], "text string").select(code.masked(F.col("text")).alias("m")).first()["m"]
+    spans = len(open_) == 3 and not close
+    hidden = len(open_ + inside * 40_000 + close)
+    assert got == "x = " + " " * hidden + "\n" + (" " * 5 if spans else "y = 1")
