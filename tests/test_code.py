@@ -158,3 +158,12 @@ def test_long_strings_are_masked(spark, open_, close):
     spans = len(open_) == 3 and not close
     hidden = len(open_ + inside * 40_000 + close)
     assert got == "x = " + " " * hidden + "\n" + (" " * 5 if spans else "y = 1")
+
+
+LONG = '\tsay("' + "it's \\\" " * 30_000 + '")'
+BODY = "var kept: int = 1\nfunc run(a: int) -> void:\n" + LONG + "\n\tgo(kept)\n"
+
+
+def test_long_lines_have_names(spark):
+    """A line too long for a pattern that uses stack for each character."""
+    assert tuple(code.declaration_sets(frame(spark, [(1, "1_core/x.gd", BODY)])).first()) == (1, ["kept", "run"], ["a"], ["go", "int", "say"])
