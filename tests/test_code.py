@@ -167,3 +167,8 @@ BODY = "var kept: int = 1\nfunc run(a: int) -> void:\n" + LONG + "\n\tgo(kept)\n
 def test_long_lines_have_names(spark):
     """A line too long for a pattern that uses stack for each character."""
     assert tuple(code.declaration_sets(frame(spark, [(1, "1_core/x.gd", BODY)])).first()) == (1, ["kept", "run"], ["a"], ["go", "int", "say"])
+
+
+def test_long_lines_in_declarations(spark):
+    rows = code.script_declarations(frame(spark, [(1, "1_core/x.gd", BODY)])).orderBy("first").collect()
+    assert [tuple(r) for r in rows] == [(1, "var", "kept", "", 1, 1), (1, "func", "run", "void", 2, 4)]
