@@ -103,10 +103,11 @@ def flat(c: Column) -> Column:
 
 def heads(scripts: DataFrame, word: str) -> DataFrame:
     """Rows (id, path, line, arguments, rest) of each ``word (..)`` in the code, wherever its brackets close."""
-    pieces = F.split(masked(F.col("text")), rf"(?=\b{word}\s*\()", -1)
+    pieces = F.split(masked(F.col("text")), rf"(?=\b{word}\s*+\()", -1)
     rows = scripts.select("id", "path", F.posexplode(pieces).alias("n", "piece"))
     above = F.sum(F.length("piece") - F.length(F.replace("piece", F.lit("\n")))).over(Window.partitionBy("id").orderBy("n").rowsBetween(Window.unboundedPreceding, -1))
-    pattern = rf"(?s)^{word}\s*\(({INSIDE})\)(.*)\z"
+    inside = INSIDE.replace("[^()]|", "[^()]++|").replace(")*", ")*+")  # as in TOKEN; SQL's patterns have no such loops
+    pattern = rf"(?s)^{word}\s*+\(({inside})\)(.*)\z"
     found = rows.withColumn("line", F.coalesce(above, F.lit(0)).cast("int") + 1).filter(F.col("piece").rlike(pattern))
     part = lambda g: F.regexp_extract("piece", pattern, g)
     return found.select("id", "path", "line", part(1).alias("arguments"), part(2).alias("rest"))
@@ -132,7 +133,7 @@ def violations(scripts: DataFrame) -> DataFrame:
     none = F.array().cast("array<string>")
     by_line = lines.select("id", "line", F.explode(F.flatten(F.array(*(F.coalesce(x, none) for x in found)))).alias("rule"))
 
-    signatures = heads(scripts.filter(where["script"]), r"func\b\s*\w*")
+    signatures = heads(scripts.filter(where["script"]), r"func\b\s*+\w*+")
     untyped = F.size(F.filter(F.split(flat(F.col("arguments")), ","), lambda a: (F.trim(F.regexp_replace(a, r"\s+", " ")) != "") & ~F.split(a, "=")[0].contains(":")))
     returns = F.when(F.col("rest").rlike(r"^\s*->"), 0).otherwise(1)
     of_types = signatures.select("id", "line", F.explode(F.array_repeat(F.lit("COD-02"), untyped + returns)).alias("rule"))

@@ -172,3 +172,12 @@ def test_long_lines_have_names(spark):
 def test_long_lines_in_declarations(spark):
     rows = code.script_declarations(frame(spark, [(1, "1_core/x.gd", BODY)])).orderBy("first").collect()
     assert [tuple(r) for r in rows] == [(1, "var", "kept", "", 1, 1), (1, "func", "run", "void", 2, 4)]
+
+
+@pytest.mark.parametrize("arguments", ["a" + " " * 60_000 + "b", "a = " + "(" * 3 + "a, " * 50_000 + ")" * 3, "x, " * 50_000])
+def test_long_signatures(spark, arguments):
+    """Signatures of many letters, closed and not, break rules as short ones do."""
+    untyped = 50_000 if arguments.startswith("x") else 1
+    for close, found in ((")", untyped + 1), ("", 0)):
+        scripts = frame(spark, [(1, "5_data/x.gd", f"func run({arguments}{close}:\n{LONG}\n")])
+        assert code.violations(scripts).filter("rule = 'COD-02'").count() == found
