@@ -9,7 +9,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators import code
+from millrace.operators import code, rules
 
 
 def frame(spark, texts):
@@ -181,3 +181,8 @@ def test_long_signatures(spark, arguments):
     for close, found in ((")", untyped + 1), ("", 0)):
         scripts = frame(spark, [(1, "5_data/x.gd", f"func run({arguments}{close}:\n{LONG}\n")])
         assert code.violations(scripts).filter("rule = 'COD-02'").count() == found
+
+
+def test_long_lines_by_rule(spark):
+    scripts = frame(spark, [(1, "5_data/x.gd", BODY + "func Bad(a):\n"), (2, "5_data/y.gd", BODY)])
+    assert [tuple(r) for r in rules.by_rule(code.violations(scripts)).collect()] == [(1, 3, "COD-01=1,COD-02=2")]
