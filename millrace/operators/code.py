@@ -6,7 +6,7 @@ reader walks its characters; rules and faults are tables of patterns compiled in
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,7 +21,7 @@ TOKEN = r'''"""(?:[^\\"]++|\\[\s\S]|"(?!""))*+(?:"""|\\?\z)|\'\'\'(?:[^\\\']++|\
 
 def masked(text: Column, blank: str = " ", strings: bool = True) -> Column:
     """The text with comments (and ``strings``) as blanks of the same length; lines stay where they are."""
-    hidden = r"^[\"'#]" if strings else "^#"
+    hidden = ("\"", "'", "#") if strings else ("#",)
     tokens = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TOKEN), F.lit(0))
     # few tokens span lines; the others are as many blanks as letters
     blanked = lambda t: F.when(t.contains("\n"), F.regexp_replace(t, r"[^\n]", blank)).otherwise(F.repeat(F.lit(blank), F.length(t)))
@@ -198,15 +198,15 @@ def replacements(name: str, pattern: str, new: Callable[[Column], Column]) -> Co
         return F.filter(F.transform(found["matches"], one), lambda x: x["made"])
 
     # most lines have no match, and the gaps are searched only where there are some, each from the end of the match before
-    none = F.array().cast("array<string>")
-    return bound(F.struct(matches.alias("matches"), F.when(F.col("code").rlike(ALL_LETTERS + pattern), gaps).otherwise(none).alias("gaps")), every)
+    none = F.array().cast("array<struct<operator:string,after:string,made:boolean>>")
+    return bound(matches, lambda ms: F.when(F.size(ms) > 0, bound(F.struct(ms.alias("matches"), gaps.alias("gaps")), every)).otherwise(none))
 
 
-def whole_line_faults() -> list[Column]:
-    """Faults of a line as a whole: arrays of (operator, after, made)."""
+def whole_line_faults() -> list[tuple[str, Column]]:
+    """Faults of a line as a whole: their names and arrays of (operator, after, made)."""
     inner, bare = F.col("text").rlike(r"^[\t ]"), F.trim(F.regexp_replace("code", r"^\s+|\s+\z", ""))
     indent = F.regexp_extract("text", r"^(\s*)", 1)
-    made = lambda name, test, after: F.when(test, F.array(F.struct(F.lit(name).alias("operator"), after.alias("after"), F.lit(True).alias("made"))))
+    made = lambda name, test, after: (name, F.when(test, F.array(F.struct(F.lit(name).alias("operator"), after.alias("after"), F.lit(True).alias("made")))))
     call = bare.rlike(r"^[A-Za-z_][\w.]*\(") & bare.endswith(")") & ~bare.rlike(rf"^(?:{KEYWORDS})[.(]") & ~flat(bare).contains("=")
     condition = r"^(\s*(?:if|elif|while)\s+)(.+?)(\s*:\s*)\z"
     lead, body = F.length(F.regexp_extract("code", condition, 1)), F.length(F.regexp_extract("code", condition, 2))
@@ -226,8 +226,8 @@ def whole_line_faults() -> list[Column]:
     ]
 
 
-def scene_faults() -> list[Column]:
-    made = lambda name, test, after: F.when(test, F.array(F.struct(F.lit(name).alias("operator"), after.alias("after"), F.lit(True).alias("made"))))
+def scene_faults() -> list[tuple[str, Column]]:
+    made = lambda name, test, after: (name, F.when(test, F.array(F.struct(F.lit(name).alias("operator"), after.alias("after"), F.lit(True).alias("made")))))
     signal, parent = r'^\[connection signal="([^"]+)"', r'^\[node .*? parent="([^".][^"]*)"'
     put = lambda p: F.regexp_replace("text", rf"({p[:-1]})", f"$1{SUFFIX}")
     return [
@@ -237,11 +237,12 @@ def scene_faults() -> list[Column]:
     ]
 
 
-def mutation_rows(scripts: DataFrame) -> DataFrame:
+def mutation_rows(scripts: DataFrame, operators: Collection[str] | None = None) -> DataFrame:
     """Rows (id, line, operator, occurrence, before, after) of every single-line fault of scripts and scenes (id, path, text).
 
     Strings are masked line by line, as a fault is judged on its line; ``after`` null is the line's deletion. Occurrences count
     the faults of one operator on one line from 0. Blank and comment lines of scripts have none; null texts have none.
+    ``operators``: only these are looked for.
     """
     script, scene = F.col("path").endswith(".gd"), F.col("path").endswith(".tscn")
     # text and code leave the generator together, so that no later column masks a line again
@@ -249,11 +250,13 @@ def mutation_rows(scripts: DataFrame) -> DataFrame:
     lines = scripts.filter(script | scene).select("id", "path", F.posexplode(both).alias("n", "x")).select("id", "path", "n", "x.text", "x.code")
     empty = F.array().cast("array<struct<operator:string,after:string,made:boolean>>")
     live = script & ~F.col("text").rlike(r"^\s*(#|\z)")
-    of_script = [F.when(live, x) for x in (*(replacements(*r) for r in REPLACED), *whole_line_faults())]
-    every = F.flatten(F.array(*(F.coalesce(x, empty) for x in (*of_script, *(F.when(scene, x) for x in scene_faults())))))
-    rows = lines.select("id", (F.col("n") + 1).alias("line"), F.col("text").alias("before"), F.posexplode(every).alias("k", "x"))
-    nth = F.row_number().over(Window.partitionBy("id", "line", "x.operator").orderBy("k")) - 1
-    return rows.withColumn("occurrence", nth).select("id", "line", "x.operator", "occurrence", "before", "x.after")
+    of_script = [(r[0], replacements(*r)) for r in REPLACED] + whole_line_faults()
+    # each array has one operator, and a line has one array of it, so a fault's place there is its occurrence and no row is shuffled
+    numbered = lambda xs: F.transform(F.coalesce(xs, empty), lambda x, k: F.struct(x["operator"].alias("operator"), k.alias("occurrence"), x["after"].alias("after")))
+    found = [(n, F.when(test, x)) for test, faults in ((live, of_script), (scene, scene_faults())) for n, x in faults]
+    every = F.flatten(F.array(*(numbered(x) for n, x in found if operators is None or n in operators)))
+    rows = lines.select("id", (F.col("n") + 1).alias("line"), F.col("text").alias("before"), F.explode(every).alias("x"))
+    return rows.select("id", "line", "x.operator", "x.occurrence", "before", "x.after")
 
 
 # What a declaration at the top of a script looks like, and words that are no names.

@@ -186,3 +186,15 @@ def test_long_signatures(spark, arguments):
 def test_long_lines_by_rule(spark):
     scripts = frame(spark, [(1, "5_data/x.gd", BODY + "func Bad(a):\n"), (2, "5_data/y.gd", BODY)])
     assert [tuple(r) for r in rules.by_rule(code.violations(scripts)).collect()] == [(1, 3, "COD-01=1,COD-02=2")]
+
+
+LINES = ["\tif a <= 1 and b == 2 or a <= 3:", LONG, "\tif a <= 1:  # " + "x" * 200_000]
+
+
+def test_long_lines_have_faults(spark):
+    """Faults are numbered where they are found, so whole lines before and after aren't shuffled."""
+    rows = code.mutation_rows(frame(spark, [(1, "1_core/x.gd", "\n".join(LINES))]))
+    got = sorted((r["line"], r["operator"], r["occurrence"]) for r in rows.select("line", "operator", "occurrence").collect())
+    assert [x for x in got if x[1] == "comparaison_inversee"] == [(1, "comparaison_inversee", 0), (1, "comparaison_inversee", 1), (1, "comparaison_inversee", 2), (3, "comparaison_inversee", 0)]
+    assert (2, "appel_supprime", 0) in got
+    assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
