@@ -113,7 +113,7 @@ def mutation_rows(scripts):
 SELECT id, line, sha256(array_to_string(list_transform(x, lambda y, i: CASE WHEN i = line THEN regexp_replace(y, '^(\s*if )(.*):\z', '\1not (\2):') ELSE y END), chr(10))) AS hash FROM m""")
 def apply_mutation(scripts):
     """Every negated condition put into its script."""
-    made = c.mutation_rows(scripts).filter("operator = 'condition_niee'").join(scripts.select("id", "text"), "id")
+    made = c.mutation_rows(scripts, ("condition_niee",)).join(scripts.select("id", "text"), "id")
     return made.select("id", "line", F.sha2(edits.apply_mutation(F.col("text"), F.col("line"), F.col("before"), F.col("after")).cast("binary"), 256).alias("hash"))
 
 

@@ -198,3 +198,10 @@ def test_long_lines_have_faults(spark):
     assert [x for x in got if x[1] == "comparaison_inversee"] == [(1, "comparaison_inversee", 0), (1, "comparaison_inversee", 1), (1, "comparaison_inversee", 2), (3, "comparaison_inversee", 0)]
     assert (2, "appel_supprime", 0) in got
     assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_asked_faults_only(spark):
+    scripts = frame(spark, [(1, "1_core/x.gd", "\n".join(LINES))])
+    only = code.mutation_rows(scripts, ("condition_niee",)).collect()
+    assert [r["line"] for r in only] == [1]
+    assert sorted(only) == sorted(code.mutation_rows(scripts).filter("operator = 'condition_niee'").collect())
