@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import random
+import re
+
 from pyspark.sql import functions as F
 
 from millrace.operators import index
@@ -57,6 +60,35 @@ def test_all_terms_first_and_title_weight(spark, tmp_path):
     assert ranked(index.bm25(built, queries, 9, example=True)) == {1: [5], 5: [5]}
 
 
+def test_all_terms_of_many_queries(spark, tmp_path, monkeypatch):
+    """Random texts against a loop; queries of equal terms are searched once."""
+    rng = random.Random(3)
+    words = ["aa", "bb", "cc", "dd", "ee", "ff", "gg", "hh"]
+    text = lambda n: " ".join(rng.choice(words[: rng.randint(1, 8)]) for _ in range(n))
+    docs = [(i, text(rng.randint(0, 2)), text(rng.randint(0, 9)), i % 2 == 0) for i in range(120)]
+    asked = [(i, text(rng.randint(0, 6))) for i in range(80)] + [(100, "aa zz"), (101, None), (102, "bb aa"), (103, "aa BB aa")]
+    built = index.build_index(spark.createDataFrame(docs, "id long, title string, text string, example boolean"), frames(spark)[1], f"file://{tmp_path}/index")
+    searched = []
+    monkeypatch.setattr(index, "top_n", lambda scored, top, f=index.top_n: searched.append(scored.select("query").distinct().count()) or f(scored, top))
+    queries = spark.createDataFrame(asked, "query long, text string")
+    some = ranked(index.bm25(built, queries, 200))
+    got = ranked(index.bm25(built, queries, 200, every=True))
+    has = lambda q, d: set(re.findall("[a-z]+", (q or "").lower())) <= set(f"{d[1]} {d[2]}".split())
+    want = {q: {d[0] for d in docs if has(t, d)} for q, t in asked if t}
+    assert {q: set(ids) for q, ids in got.items()} == {q: ids for q, ids in want.items() if ids}
+    assert all(some[q][: len(ids)] == ids for q, ids in got.items()) and got[102] == got[103]
+    assert searched[0] == len({frozenset(t.lower().split()) for _, t in asked if t}) and searched[1] <= searched[0]
+
+
+def test_postings_meet_queries_in_their_fragment(spark, tmp_path):
+    """Rows of a query and a fragment aren't shuffled before the best are known."""
+    fragments, protected = frames(spark)
+    built = index.build_index(fragments, protected, f"file://{tmp_path}/index")
+    queries = spark.createDataFrame([(1, "body move"), (2, "speed")], "query long, text string")
+    plan = index.bm25(built, queries, 9)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(id#" in plan and not re.search(r"hashpartitioning\(\w+#\d+L?, id#", plan)
+
+
 def test_exact_lookup(spark):
     classes = spark.createDataFrame([("Node", 10), ("Node", 11), ("Body", 12), ("Input", 13)], "class string, id long")
     members = spark.createDataFrame([("move", "Node", 20), ("move", "Body", 21), ("get_x", "Node", 22), ("get_x", "Input", 19), ("run", "Body", 24)], "member string, class string, id long")
