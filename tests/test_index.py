@@ -7,7 +7,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from millrace.operators import index
+from millrace.operators import corpus, index
 from millrace.operators import retrieval as r
 from millrace.operators import vocabulary
 
@@ -89,6 +89,19 @@ def test_postings_meet_queries_in_their_fragment(spark, tmp_path):
     assert "hashpartitioning(id#" in plan and not re.search(r"hashpartitioning\(\w+#\d+L?, id#", plan)
 
 
+def test_pairs_before_shingles(spark, monkeypatch):
+    """Only shingles that begin as a protected one are made; hits are those of all shingles."""
+    rng = random.Random(4)
+    text = lambda n: " ".join(rng.choice("abcdefgh,") for _ in range(n))
+    secret = [(f"t{i}", i, "answer", text(rng.randint(0, 20))) for i in range(12)]
+    docs = [(i, " ".join([text(rng.randint(0, 9)), rng.choice(secret)[3][rng.choice((0, 0, 4)) :], text(rng.randint(0, 9))])) for i in range(150)] + [(200, None), (201, "a"), (202, "")]
+    documents, protected = spark.createDataFrame(docs, "id long, text string"), spark.createDataFrame(secret, "item string, position long, side string, text string")
+    few = sorted(tuple(x) for x in corpus.protected_hits(documents, protected, least=1).collect())
+    made = documents.select(F.size(corpus.shingle_hashes("text", pairs=[1])).alias("n")).filter("n > 0").count()
+    monkeypatch.setattr(corpus, "SENT", 0)
+    assert few == sorted(tuple(x) for x in corpus.protected_hits(documents, protected, least=1).collect()) and len(few) > 50 and made == 0
+
+
 def test_exact_lookup(spark):
     classes = spark.createDataFrame([("Node", 10), ("Node", 11), ("Body", 12), ("Input", 13)], "class string, id long")
     members = spark.createDataFrame([("move", "Node", 20), ("move", "Body", 21), ("get_x", "Node", 22), ("get_x", "Input", 19), ("run", "Body", 24)], "member string, class string, id long")
