@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,12 +56,95 @@ def strong_components(uses: DataFrame) -> DataFrame:
         edges = edges.join(found.withColumnRenamed("node", "a"), ["grp", "a"], "left_anti").join(found.withColumnRenamed("node", "b"), ["grp", "b"], "left_anti").select("grp", "a", "b").checkpoint()
 
 
+#: Rows of a group up to which it is put in order inside one task.
+SMALL = 500
+
+
+def in_order(uses: set[tuple[str, str]]) -> list[tuple[int, int, list[str]]]:
+    """(place, layer, pieces) of the uses (a, b) of one group: Tarjan's components, which come after those they use."""
+    after: dict[str, list[str]] = {}
+    for a, b in uses:
+        after.setdefault(a, []).append(b)
+        after.setdefault(b, [])
+    number: dict[str, int] = {}
+    low: dict[str, int] = {}
+    layer: dict[str, int] = {}
+    stack, found = [], []
+    for root in after:
+        if root in number:
+            continue
+        number[root] = low[root] = len(number)
+        stack.append(root)
+        path = [(root, iter(after[root]))]
+        while path:
+            node, rest = path[-1]
+            for other in rest:
+                if other not in number:
+                    number[other] = low[other] = len(number)
+                    stack.append(other)
+                    path.append((other, iter(after[other])))
+                    break
+                if other not in layer:  # still on the stack
+                    low[node] = min(low[node], number[other])
+            else:
+                path.pop()
+                if path:
+                    low[path[-1][0]] = min(low[path[-1][0]], low[node])
+                if low[node] == number[node]:
+                    at = stack.index(node)
+                    pieces = sorted(stack[at:])
+                    del stack[at:]
+                    deep = max((layer[x] + 1 for p in pieces for x in after[p] if x in layer), default=0)
+                    layer.update(dict.fromkeys(pieces, deep))
+                    found.append((deep, pieces))
+    return [(place, deep, pieces) for place, (deep, pieces) in enumerate(sorted(found))]
+
+
+def small_groups(uses: DataFrame) -> DataFrame:
+    """What ``dependency_groups`` says of groups of few rows: rows of a group meet in a task, which holds one group at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind, key, edges, out = None, None, set(), []
+
+        def made() -> pa.RecordBatch:
+            grp, place, layer, pieces = (list(c) for c in zip(*out, strict=True)) if out else ([], [], [], [])
+            return pa.RecordBatch.from_arrays([pa.array(grp, kind), pa.array(place, pa.int64()), pa.array(layer, pa.int32()), pa.array(pieces, pa.list_(pa.string()))], ["grp", "place", "layer", "pieces"])
+
+        for batch in batches:
+            kind = batch.schema.field("grp").type
+            for g, a, b in zip(*(batch.column(c).to_pylist() for c in ("grp", "a", "b")), strict=True):
+                if edges and g != key:
+                    out += [(key, *x) for x in in_order(edges)]
+                    edges = set()
+                key = g
+                edges.add((a, b))
+            yield made()
+            out.clear()
+        if edges:
+            out += [(key, *x) for x in in_order(edges)]
+            yield made()
+
+    kind = uses.schema["grp"].dataType.simpleString()
+    return uses.repartition("grp").sortWithinPartitions("grp").mapInArrow(run, f"grp {kind}, place bigint, layer int, pieces array<string>")
+
+
 def dependency_groups(uses: DataFrame) -> DataFrame:
     """Rows (grp, place, layer, pieces) of uses (grp, a, b), a using b: pieces that must go together, in an order of use.
 
     A group's layer is one more than the deepest of the groups it uses (0 without any), so each group comes after those it uses;
     within a layer the least name decides. ``pieces`` are a group's names, sorted. Null names are left out.
+
+    Groups of up to ``SMALL`` rows are put in order inside tasks, after one shuffle; larger ones by rounds of joins.
     """
+    rows = uses.filter("grp IS NOT NULL AND a IS NOT NULL AND b IS NOT NULL").select("grp", "a", "b")
+    large = rows.groupBy("grp").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > SMALL).select("grp").checkpoint()
+    if not large.limit(1).count():
+        return small_groups(rows)
+    return small_groups(rows.join(large, "grp", "left_anti")).unionByName(large_groups(rows.join(large, "grp", "left_semi")))
+
+
+def large_groups(uses: DataFrame) -> DataFrame:
+    """What ``dependency_groups`` says, for groups of any size: each round of joins goes over all of them."""
     parts = strong_components(uses).checkpoint()
     of = lambda name: parts.select("grp", F.col("node").alias(name), F.col("component").alias(f"c{name}"))
     between = uses.select("grp", "a", "b").join(of("a"), ["grp", "a"]).join(of("b"), ["grp", "b"]).filter("ca <> cb").select("grp", "ca", "cb").distinct().checkpoint()

@@ -53,3 +53,23 @@ def test_components_and_order(spark):
         assert sorted(placed[g]) == list(range(len(placed[g])))
         assert all(at[b] < at[a] or got[g][a] == got[g][b] for x, a, b in rows if x == g)
     assert groups.dependency_groups(uses.limit(0)).count() == 0
+
+
+def test_small_groups_in_tasks(spark, monkeypatch):
+    """Groups of few rows are ordered inside tasks as by rounds of joins, over several batches; only large groups take rounds."""
+    rng = random.Random(9)
+    rows = [(g, f"n{rng.randrange(n)}", f"n{rng.randrange(n)}") for g in range(60) for n in [rng.randint(1, 8)] for _ in range(rng.randint(1, 16))]
+    rows += [(None, "a", "b"), (70, None, "b"), (71, "é", "z"), (71, "z", "é"), (71, "Z", "z")]
+    uses = spark.createDataFrame(rows * 2, "grp long, a string, b string").repartition(3)
+    one = groups.large_groups(uses)
+    by_rounds = sorted(tuple(r) for r in one.collect())
+    rounds = []
+    monkeypatch.setattr(groups, "large_groups", lambda rows, f=groups.large_groups: rounds.append(rows.select("grp").distinct().count()) or f(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        few = groups.dependency_groups(uses)
+        assert few.dtypes == one.dtypes and sorted(tuple(r) for r in few.collect()) == by_rounds and not rounds
+        monkeypatch.setattr(groups, "SMALL", 20)
+        assert sorted(tuple(r) for r in groups.dependency_groups(uses).collect()) == by_rounds and 0 < rounds[0] < 60
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
