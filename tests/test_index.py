@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import random
 import re
+from hashlib import md5
 
 from pyspark.sql import functions as F
 
 from millrace.operators import corpus, index
 from millrace.operators import retrieval as r
 from millrace.operators import vocabulary
+from millrace.plans import load
 
 LONG = "one two three four five six seven eight nine ten eleven twelve"
 FRAGMENTS = [
@@ -115,3 +117,20 @@ def test_staged_results(spark):
     rows = lambda *x: spark.createDataFrame([(1, i, k) for k, i in enumerate(x)], "query long, id long, rank long")
     got = r.staged([("a", rows(1, 2, 3), F.lit(2)), ("b", rows(2, 9, 8, 7), F.lit(2)), ("c", rows(1, 9, 6), None), ("b", rows(2, 9, 8, 7), None)], 6)
     assert [(x["place"], x["id"], x["found_by"]) for x in got.orderBy("place").collect()] == [(1, 1, "a"), (2, 2, "a"), (3, 9, "b"), (4, 8, "b"), (5, 6, "c"), (6, 7, "b")]
+
+
+def test_embedder_counts_words():
+    texts = ["aa bb aa  é", "", "bb"] * 2
+    one = lambda t: [sum(int(md5(w.encode()).hexdigest()[0], 16) == k for w in t.split(" ") if w) for k in range(16)]
+    assert r.hashing_embedder(texts).tolist() == [one(t) for t in texts]
+
+
+def test_searches_of_stages_run_once(spark, tmp_path, monkeypatch):
+    spark.createDataFrame([(i, f"aa b{i} target") for i in range(9)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(4, "target b3")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    given = []
+    monkeypatch.setattr(r, "staged", lambda stages, n, f=r.staged: given.extend(stages) or f(stages, n))
+    assert load().QUERIES["hybrid_search"](spark, str(tmp_path)).count() == 8
+    for _, rows, _ in given:
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "ExistingRDD" in plan and "Exchange" not in plan
